@@ -1,0 +1,29 @@
+"""Join helpers: broadcast only behind a checked size bound.
+
+A broadcast copies the whole side to every executor, so it is used only when a
+row-count check proves the side small. Beyond the bound the join is left to a
+shuffle (sort-merge) join, where adaptive execution can still split skewed
+partitions. The check reads at most ``max_rows + 1`` rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Dimensions in this domain are one row per suburb, month or grid cell.
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+
+
+def is_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged."""
+    return F.broadcast(df) if is_bounded(df, max_rows) else df
+
+
+def left_dimension_join(fact: DataFrame, dim: DataFrame, on, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Left join of a fact to a dimension, broadcasting the dimension when bounded."""
+    return fact.join(bounded_broadcast(dim, max_rows), on=on, how="left")

@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+Every load in this domain is a full batch replace of a landing table; there is
+no watermark, event-time window, state or late-data logic to reproduce, so no
+Structured Streaming query is defined here.
+"""
