@@ -63,10 +63,11 @@ def contains_matches(df: DataFrame, text_col: str, keywords: DataFrame, kw_col:
         return df.join(F.broadcast(kw), cond, "inner")
     kwl = kw.withColumn("_sub", F.lower(F.col(kw_col))).withColumn("_len", F.length("_sub"))
     lengths = kwl.agg(F.array_sort(F.collect_set("_len"))).scalar()
-    keyed = df.withColumn("_rid", F.monotonically_increasing_id())
-    cand = _substring_candidates(keyed, text_col, lengths)
-    hits = cand.join(kwl.drop("_len"), on="_sub", how="inner").drop("_sub")
-    return hits.dropDuplicates(["_rid", kw_col]).drop("_rid")
+    # Match each distinct text once, then join the (text, keyword) pairs back on the text.
+    texts = df.select(text_col).filter(F.col(text_col).isNotNull()).distinct()
+    cand = _substring_candidates(texts, text_col, lengths)
+    pairs = cand.join(kwl.drop("_len"), on="_sub", how="inner").select(text_col, kw_col).distinct()
+    return df.join(pairs, on=text_col, how="inner")
 
 
 def semi_join_contains(df: DataFrame, text_col: str, keywords: DataFrame, kw_col: str,
@@ -79,7 +80,24 @@ def semi_join_contains(df: DataFrame, text_col: str, keywords: DataFrame, kw_col
         return df.join(F.broadcast(kw), cond, "left_semi")
     kwl = kw.select(F.lower(F.col(kw_col)).alias("_sub")).distinct().withColumn("_len", F.length("_sub"))
     lengths = kwl.agg(F.array_sort(F.collect_set("_len"))).scalar()
-    keyed = df.withColumn("_rid", F.monotonically_increasing_id())
-    cand = _substring_candidates(keyed.select("_rid", text_col), text_col, lengths)
-    hit_ids = cand.join(kwl.select("_sub"), on="_sub", how="left_semi").select("_rid").distinct()
-    return keyed.join(hit_ids, on="_rid", how="left_semi").drop("_rid")
+    # Match each distinct text once, then semi-join the rows on the matched texts.
+    texts = df.select(text_col).filter(F.col(text_col).isNotNull()).distinct()
+    cand = _substring_candidates(texts, text_col, lengths)
+    hit_texts = cand.join(kwl.select("_sub"), on="_sub", how="left_semi").select(text_col).distinct()
+    return df.join(hit_texts, on=text_col, how="left_semi")
+
+
+def mark_contains(df: DataFrame, text_col: str, keywords: DataFrame, kw_col: str, flag_col: str,
+                  max_broadcast_keywords: int = MAX_BROADCAST_KEYWORDS) -> DataFrame:
+    """Add a boolean ``flag_col``: text contains any keyword (NULL text -> False).
+
+    Matching runs once per DISTINCT text; the matched texts are joined back on
+    the text value (an equi-join), so repeated texts cost nothing extra.
+    """
+    from tussock.operators.joins import bounded_broadcast
+
+    texts = df.select(F.col(text_col)).filter(F.col(text_col).isNotNull()).distinct()
+    matched = semi_join_contains(texts, text_col, keywords, kw_col, max_broadcast_keywords)
+    matched = matched.withColumn(flag_col, F.lit(True))
+    out = df.join(bounded_broadcast(matched), on=text_col, how="left")
+    return out.withColumn(flag_col, F.coalesce(F.col(flag_col), F.lit(False)))

@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tussock.functions.geo import haversine_sql
 from tussock.plans import marts
 from tussock.plans import oracle as O
 from tussock.plans import staging as stg
@@ -102,3 +103,380 @@ def q_transit_scores(spark, sf_dir):
 @register("liveability_mart", O.build("SELECT * FROM mart_live", ["mart_live"]))
 def q_liveability(spark, sf_dir):
     return marts.liveability_mart(landing(spark, sf_dir))
+
+
+# ------------------------------------------------------------- metrics ---
+
+@register("gross_yield_check", O.build(f"""
+SELECT suburb, district, report_date, avg_sale_price, avg_weekly_rent, gross_yield_pct,
+       avg_weekly_rent * 52 / NULLIF(avg_sale_price, 0) * 100 AS computed_yield_pct,
+       {O.rnd('abs(gross_yield_pct - avg_weekly_rent * 52 / NULLIF(avg_sale_price, 0) * 100)', 6)} AS yield_gap
+FROM stg_prices""", ["stg_prices"]))
+def q_gross_yield(spark, sf_dir):
+    from tussock.functions.metrics import gross_yield_pct
+    p = stg.stg_prices(td.a_prices(spark, sf_dir))
+    computed = gross_yield_pct(F.col("avg_weekly_rent"), F.col("avg_sale_price"))
+    return p.select(
+        "suburb", "district", "report_date", "avg_sale_price", "avg_weekly_rent", "gross_yield_pct",
+        computed.alias("computed_yield_pct"),
+        F.round(F.abs(F.col("gross_yield_pct") - computed), 6).alias("yield_gap"),
+    )
+
+
+# --------------------------------------------------------- source jobs ---
+
+def _rates_positional(spark, sf_dir):
+    from tussock.sources.ingest import rates_from_positions
+    return rates_from_positions(td.a_rate_sheet(spark, sf_dir))
+
+
+def _rates_patched(spark, sf_dir):
+    from tussock.sources.ingest import patch_union, rate_patch
+    return patch_union(_rates_positional(spark, sf_dir), rate_patch(spark))
+
+
+@register("positional_projection", O.build("SELECT * FROM rates_positional", ["rates_positional"]))
+def q_positional(spark, sf_dir):
+    return _rates_positional(spark, sf_dir)
+
+
+@register("rates_patch_union", O.build("SELECT * FROM rates_patched", ["rates_patched"]))
+def q_patch_union(spark, sf_dir):
+    return _rates_patched(spark, sf_dir).orderBy("date")
+
+
+@register("first_last_sample", O.build("""
+SELECT * FROM (SELECT 'head' AS position, * FROM rates_patched ORDER BY date LIMIT 5)
+UNION ALL
+SELECT * FROM (SELECT 'tail' AS position, * FROM rates_patched ORDER BY date DESC LIMIT 5)""", ["rates_patched"]))
+def q_first_last(spark, sf_dir):
+    r = _rates_patched(spark, sf_dir)
+    head = r.orderBy(F.asc("date")).limit(5).select(F.lit("head").alias("position"), *r.columns)
+    tail = r.orderBy(F.desc("date")).limit(5).select(F.lit("tail").alias("position"), *r.columns)
+    return head.unionByName(tail)
+
+
+@register("monthly_union", O.build("""
+SELECT report_month, count(*) AS n_rows, count(DISTINCT suburb) AS n_suburbs
+FROM stg_prices GROUP BY report_month""", ["stg_prices"]))
+def q_monthly_union(spark, sf_dir):
+    """Two landing batches (split by price band) recombined with a bag union
+    by column name; duplicates are kept, column order may differ."""
+    p = stg.stg_prices(td.a_prices(spark, sf_dir))
+    low = p.filter(F.col("avg_sale_price").isNull() | (F.col("avg_sale_price") <= 2000000))
+    high = p.filter(F.col("avg_sale_price") > 2000000).select(*reversed(p.columns))
+    both = low.unionByName(high)
+    return both.groupBy("report_month").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("suburb").alias("n_suburbs"))
+
+
+@register("census_ingest_filter", O.build("SELECT * FROM l_census", ["l_census"]))
+def q_census_filter(spark, sf_dir):
+    return landing(spark, sf_dir).census
+
+
+@register("census_ingest_funnel", O.build("""
+SELECT 0 AS step_no, 'loaded' AS step, count(*) AS row_count FROM census_marked
+UNION ALL SELECT 1, 'sa2_2023', count(*) FILTER (WHERE s1) FROM census_marked
+UNION ALL SELECT 2, 'target_metric', count(*) FILTER (WHERE s1 AND s2) FROM census_marked
+UNION ALL SELECT 3, 'place_name', count(*) FILTER (WHERE s1 AND s2 AND s3) FROM census_marked
+UNION ALL SELECT 4, 'value_type', count(*) FILTER (WHERE s1 AND s2 AND s3 AND s4) FROM census_marked
+UNION ALL SELECT 5, 'numeric_value', count(*) FILTER (WHERE s1 AND s2 AND s3 AND s4 AND s5) FROM census_marked""",
+    ["census_marked"]))
+def q_census_funnel(spark, sf_dir):
+    from tussock.sources.ingest import census_funnel
+    from tussock.sources.landing import read_table
+    nation = read_table(spark, sf_dir, "nation")
+    places = nation.select(F.replace(F.col("n_name"), F.lit("NATION_"), F.lit("Mount ")).alias("keyword"))
+    return census_funnel(td.a_census(spark, sf_dir), places)
+
+
+@register("calendar_grid", O.build("""
+SELECT CAST(year(d) AS INTEGER) AS year,
+       lower(monthname(d)) AS month,
+       CAST(month(d) AS INTEGER) AS month_no,
+       make_date(year(d), list_position(['january','february','march','april','may','june','july','august',
+                 'september','october','november','december'], lower(monthname(d))), 1) AS month_start,
+       strftime(d, '%Y-%m-%d') || ' 00:00:00' AS report_date,
+       CAST(year(d) AS VARCHAR) || '/' || lower(monthname(d)) AS path
+FROM (SELECT CAST(unnest(generate_series(make_date(year(min(o_orderdate)), 1, 1),
+                                         make_date(year(max(o_orderdate)), 12, 1), INTERVAL 1 MONTH)) AS DATE) AS d
+      FROM orders) g""", []))
+def q_calendar(spark, sf_dir):
+    from tussock.sources.calendar import calendar_grid, month_start
+    from tussock.sources.landing import read_table
+    o = read_table(spark, sf_dir, "orders")
+    bounds = o.agg(F.year(F.min("o_orderdate")).alias("start_year"), F.year(F.max("o_orderdate")).alias("end_year"))
+    g = calendar_grid(bounds)
+    return g.select("year", "month", "month_no", month_start(F.col("year"), F.col("month")).alias("month_start"),
+                    "report_date", "path")
+
+
+@register("currency_parse", O.build("""
+SELECT id, price_text, yield_text,
+       TRY_CAST(trim(replace(replace(price_text, '$', ''), ',', '')) AS DOUBLE) AS price,
+       TRY_CAST(trim(replace(yield_text, '%', '')) AS DOUBLE) AS yield_pct
+FROM a_money""", ["a_money"]))
+def q_currency(spark, sf_dir):
+    from tussock.functions.cleaning import parse_money, parse_percent
+    m = td.a_money(spark, sf_dir)
+    return m.select("id", "price_text", "yield_text", parse_money("price_text").alias("price"),
+                    parse_percent("yield_text").alias("yield_pct"))
+
+
+@register("column_fold_rename", O.build("""
+SELECT "OBJECTID", "Name" AS "NAME", "Suburb" AS "SUBURB", "Town - City" AS "TOWN_CITY",
+       "Territorial Authority" AS "TERRITORIAL AUTHORITY", "Shape__Area" AS "SHAPE_AREA",
+       "Shape__Length" AS "SHAPE_LENGTH"
+FROM a_supermarket_file WHERE "Territorial Authority" = 'Auckland'""", ["a_supermarket_file"]))
+def q_fold_rename(spark, sf_dir):
+    from tussock.sources.ingest import ingest_supermarket_file
+    return ingest_supermarket_file(td.a_supermarket_file(spark, sf_dir))
+
+
+@register("value_frequency_top10", O.build("""
+SELECT "Town - City" AS "TOWN_CITY", count(*) AS row_count
+FROM a_supermarket_file WHERE "Territorial Authority" = 'Auckland' AND "Town - City" IS NOT NULL
+GROUP BY 1 ORDER BY row_count DESC, 1 LIMIT 10""", ["a_supermarket_file"]))
+def q_value_freq(spark, sf_dir):
+    from tussock.sources.ingest import ingest_supermarket_file, value_frequency
+    return value_frequency(ingest_supermarket_file(td.a_supermarket_file(spark, sf_dir)), "TOWN_CITY", top=10)
+
+
+@register("json_envelope_flatten", O.build("""
+SELECT event_id, r.id AS id, r.attributes.k AS k
+FROM (SELECT event_id,
+             unnest(from_json(payload, '{"data":[{"id":"BIGINT","attributes":{"k":"BIGINT"}}]}').data) AS r
+      FROM a_envelope)""", ["a_envelope"]))
+def q_json(spark, sf_dir):
+    from pyspark.sql import types as T
+
+    from tussock.sources.payloads import envelope_schema, flatten_envelope
+    record = T.StructType([
+        T.StructField("id", T.LongType()),
+        T.StructField("attributes", T.StructType([T.StructField("k", T.LongType())])),
+    ])
+    env = td.a_envelope(spark, sf_dir)
+    flat = flatten_envelope(env, "payload", envelope_schema(record), "data", keep=["event_id"])
+    return flat.select("event_id", "id", F.col("attributes.k").alias("k"))
+
+
+@register("html_blocks_with_heading")
+def q_html_blocks(spark, sf_dir):
+    from tussock.sources.html import heading_blocks
+    pages = td.a_pages(spark, sf_dir).filter(F.col("status") == 200)
+    return heading_blocks(pages, "page_id", heading_tag="h1", block_tag="p", carry=["url"])
+
+
+@register("html_response_triage", O.build("""
+SELECT page_id, url, status,
+       CASE WHEN status != 200 THEN 'http_' || CAST(status AS VARCHAR)
+            WHEN NOT coalesce(regexp_matches(html, '(?i)<p[\\s>]'), false) THEN 'no_content'
+            ELSE 'ok' END AS reason
+FROM a_pages""", ["a_pages"]))
+def q_triage(spark, sf_dir):
+    from tussock.sources.html import triage
+    return triage(td.a_pages(spark, sf_dir), content_tag="p").select("page_id", "url", "status", "reason")
+
+
+# -------------------------------------------------------------- reports ---
+
+def _mart(spark, sf_dir):
+    return marts.affordability_mart(landing(spark, sf_dir))
+
+
+REPORT_SELECTION = ["Ponsonby", "Remuera", "Avondale", "Manurewa", "Mt 1", "Mt 4", "Mt 12"]
+
+
+@register("report_index_over_time", O.build(f"""
+SELECT report_date, suburb, avg(affordability_index) AS affordability_index
+FROM mart_aff
+WHERE suburb IN {O._in_list(REPORT_SELECTION)} AND report_date IS NOT NULL
+GROUP BY report_date, suburb""", ["mart_aff"]))
+def q_index_over_time(spark, sf_dir):
+    from tussock.plans.reports import index_over_time
+    wanted = spark.createDataFrame([(s,) for s in REPORT_SELECTION], "suburb string")
+    return index_over_time(_mart(spark, sf_dir), wanted)
+
+
+@register("report_price_to_income_3m", O.build("""
+SELECT suburb, avg(price_to_income_ratio) AS price_to_income_ratio
+FROM recent WHERE suburb IS NOT NULL GROUP BY suburb
+HAVING avg(price_to_income_ratio) IS NOT NULL""", ["recent"]))
+def q_pti_3m(spark, sf_dir):
+    from tussock.plans.reports import price_to_income_recent
+    return price_to_income_recent(_mart(spark, sf_dir))
+
+
+@register("report_rate_cycle", O.build("SELECT * FROM rate_cycle", ["rate_cycle"]))
+def q_rate_cycle(spark, sf_dir):
+    from tussock.plans.reports import rate_cycle
+    return rate_cycle(_mart(spark, sf_dir))
+
+
+@register("report_top_schools", O.build("""
+SELECT suburb, avg_eqi_index, school_count FROM (
+  SELECT suburb, avg_eqi_index, school_count,
+         row_number() OVER (PARTITION BY suburb ORDER BY avg_eqi_index DESC, school_count DESC) AS rn
+  FROM mart_aff
+  WHERE report_date = (SELECT max(report_date) FROM mart_aff) AND avg_eqi_index IS NOT NULL) t
+WHERE rn = 1 ORDER BY avg_eqi_index DESC, suburb LIMIT 30""", ["mart_aff"]))
+def q_top_schools(spark, sf_dir):
+    from tussock.plans.reports import top_schools
+    return top_schools(_mart(spark, sf_dir))
+
+
+@register("report_top_amenity", O.build("""
+SELECT suburb, supermarket_count FROM (
+  SELECT suburb, supermarket_count,
+         row_number() OVER (PARTITION BY suburb ORDER BY supermarket_count DESC) AS rn
+  FROM mart_aff
+  WHERE report_date = (SELECT max(report_date) FROM mart_aff) AND supermarket_count IS NOT NULL) t
+WHERE rn = 1 ORDER BY supermarket_count DESC, suburb LIMIT 30""", ["mart_aff"]))
+def q_top_amenity(spark, sf_dir):
+    from tussock.plans.reports import top_amenity
+    return top_amenity(_mart(spark, sf_dir))
+
+
+@register("report_yield_3m", O.build("""
+SELECT suburb, avg(gross_yield_pct) AS gross_yield_pct, avg(avg_sale_price) AS avg_sale_price
+FROM recent WHERE suburb IS NOT NULL GROUP BY suburb
+HAVING avg(gross_yield_pct) IS NOT NULL""", ["recent"]))
+def q_yield_3m(spark, sf_dir):
+    from tussock.plans.reports import yield_recent
+    return yield_recent(_mart(spark, sf_dir))
+
+
+@register("report_peak_to_trough", O.build(f"""
+SELECT p.peak_date, p.peak_value, t.trough_date, t.trough_value,
+       {O.rnd('(t.trough_value - p.peak_value) / p.peak_value * 100', 2)} AS change_pct
+FROM (SELECT report_date AS peak_date, avg_sale_price AS peak_value FROM rate_cycle
+      WHERE avg_sale_price IS NOT NULL ORDER BY avg_sale_price DESC, report_date LIMIT 1) p
+LEFT JOIN (SELECT report_date AS trough_date, avg_sale_price AS trough_value FROM rate_cycle
+      WHERE avg_sale_price IS NOT NULL
+        AND report_date > (SELECT report_date FROM rate_cycle WHERE avg_sale_price IS NOT NULL
+                           ORDER BY avg_sale_price DESC, report_date LIMIT 1)
+      ORDER BY avg_sale_price, report_date LIMIT 1) t ON true""", ["rate_cycle"]))
+def q_peak_to_trough(spark, sf_dir):
+    from tussock.plans.reports import peak_to_trough, rate_cycle
+    return peak_to_trough(rate_cycle(_mart(spark, sf_dir)))
+
+
+@register("distinct_profile", O.build("""
+SELECT count(*) AS n_rows, count(DISTINCT suburb) AS n_distinct, min(report_date) AS first_date,
+       max(report_date) AS last_date, strftime(max(report_date), '%b %Y') AS latest_label
+FROM mart_aff""", ["mart_aff"]))
+def q_distinct_profile(spark, sf_dir):
+    from tussock.operators.quality import distinct_profile
+    return distinct_profile(_mart(spark, sf_dir), "suburb", "report_date")
+
+
+# -------------------------------------------------------------- quality ---
+
+@register("dq_not_null", O.build(
+    "SELECT column_name, failing_rows, failing_rows = 0 AS passed FROM mart_null_counts", ["mart_null_counts"]))
+def q_dq_not_null(spark, sf_dir):
+    from tussock.operators.quality import not_null_report
+    return not_null_report(_mart(spark, sf_dir), ["report_date", "suburb", "avg_sale_price"])
+
+
+@register("dq_duplicate_keys", O.build("""
+SELECT suburb, report_date, count(*) AS row_count FROM stg_prices
+GROUP BY suburb, report_date HAVING count(*) > 1""", ["stg_prices"]))
+def q_dq_dupes(spark, sf_dir):
+    from tussock.operators.quality import duplicate_keys
+    return duplicate_keys(stg.stg_prices(td.a_prices(spark, sf_dir)), ["suburb", "report_date"])
+
+
+@register("dq_mart_unique", O.build("""
+SELECT suburb, report_date, count(*) AS row_count FROM mart_aff
+GROUP BY suburb, report_date HAVING count(*) > 1""", ["mart_aff"]))
+def q_dq_mart_unique(spark, sf_dir):
+    from tussock.operators.quality import duplicate_keys
+    return duplicate_keys(_mart(spark, sf_dir), ["suburb", "report_date"])
+
+
+def _coverage_inputs(spark, sf_dir):
+    from tussock.functions.names import suburb_key
+    l = landing(spark, sf_dir)
+    keys = marts.property_by_suburb_month(stg.stg_prices(l.prices)).select(suburb_key(F.col("suburb")).alias("k"))
+    sources = {
+        "census": (stg.stg_census_income(l.census), "suburb"),
+        "schools": (stg.stg_schools(l.schools), "suburb"),
+        "supermarkets": (stg.stg_supermarkets(l.supermarkets), "suburb"),
+    }
+    return l, keys, sources
+
+
+@register("coverage_unmatched", O.build("SELECT * FROM coverage_unmatched", ["coverage_unmatched"]))
+def q_coverage_unmatched(spark, sf_dir):
+    from tussock.operators.quality import unmatched_keys
+    _, keys, sources = _coverage_inputs(spark, sf_dir)
+    return unmatched_keys(keys, "k", sources)
+
+
+@register("coverage_rate", O.build(f"""
+SELECT s.source, n.n_keys, n.n_keys - coalesce(u.n_unmatched, 0) AS n_matched,
+       coalesce(u.n_unmatched, 0) AS n_unmatched,
+       {O.rnd('(n.n_keys - coalesce(u.n_unmatched, 0)) / NULLIF(n.n_keys, 0)', 4)} AS match_rate
+FROM (VALUES ('census'), ('schools'), ('supermarkets')) s(source)
+CROSS JOIN (SELECT count(*) AS n_keys FROM mart_keys) n
+LEFT JOIN (SELECT source, count(*) AS n_unmatched FROM coverage_unmatched GROUP BY source) u
+  ON u.source = s.source""", ["mart_keys", "coverage_unmatched"]))
+def q_coverage_rate(spark, sf_dir):
+    from tussock.operators.quality import match_rates
+    _, keys, sources = _coverage_inputs(spark, sf_dir)
+    return match_rates(keys, "k", sources)
+
+
+@register("keyword_probe", O.build("""
+SELECT k.suburb_key AS keyword, coalesce(m.descriptor, 'NOT FOUND') AS match
+FROM (SELECT DISTINCT suburb_key FROM coverage_unmatched WHERE source = 'census') k
+LEFT JOIN (SELECT DISTINCT descriptor FROM a_census
+           WHERE classification_label = 'Statistical area 2' AND period = 2023
+             AND section_title = 'Median household income' AND value_type_description = 'Median'
+             AND descriptor IS NOT NULL) m
+  ON contains(lower(m.descriptor), lower(k.suburb_key))""", ["coverage_unmatched", "a_census"]))
+def q_keyword_probe(spark, sf_dir):
+    from tussock.operators.quality import keyword_probe, unmatched_keys
+    _, keys, sources = _coverage_inputs(spark, sf_dir)
+    missing = unmatched_keys(keys, "k", sources).filter(F.col("source") == "census")
+    census = td.a_census(spark, sf_dir).filter(
+        (F.col("classification_label") == "Statistical area 2") & (F.col("period") == 2023)
+        & (F.col("section_title") == "Median household income") & (F.col("value_type_description") == "Median"))
+    return keyword_probe(census, "descriptor", missing, "suburb_key")
+
+
+@register("table_profile", O.build("""
+SELECT 'prices' AS table_name, count(*) AS row_count, 6 AS column_count FROM a_prices
+UNION ALL SELECT 'rates', count(*), 5 FROM a_rates
+UNION ALL SELECT 'census', count(*), 6 FROM l_census
+UNION ALL SELECT 'schools', count(*), 18 FROM a_schools
+UNION ALL SELECT 'supermarkets', count(*), 4 FROM l_supermarkets
+UNION ALL SELECT 'stops', count(*), 7 FROM a_stops""",
+    ["a_prices", "a_rates", "l_census", "a_schools", "l_supermarkets", "a_stops"]))
+def q_table_profile(spark, sf_dir):
+    from tussock.operators.quality import table_profile
+    l = landing(spark, sf_dir)
+    return table_profile({"prices": l.prices, "rates": l.rates, "census": l.census, "schools": l.schools,
+                          "supermarkets": l.supermarkets, "stops": l.stops})
+
+
+# ------------------------------------------------------------- spatial ---
+
+@register("stops_near_schools", O.build(f"""
+SELECT c.school_id, count(s.stop_id) AS stops_800m
+FROM (SELECT school_id, lat, lon FROM stg_schools
+      WHERE lat BETWEEN -37.5 AND -36.0 AND lon BETWEEN 174.0 AND 175.5) c
+LEFT JOIN stg_stops s ON {haversine_sql('c.lat', 'c.lon', 's.lat', 's.lon')} < 0.8
+GROUP BY c.school_id""", ["stg_schools", "stg_stops"]))
+def q_stops_near_schools(spark, sf_dir):
+    """One walking-distance centre per school (many more centres than suburbs)."""
+    from tussock.functions.scores import WALK_RADIUS_KM
+    from tussock.operators.spatial import count_within_distance
+    l = landing(spark, sf_dir)
+    schools = stg.stg_schools(l.schools).filter(
+        F.col("lat").between(*stg.CENTROID_LAT_RANGE) & F.col("lon").between(*stg.CENTROID_LON_RANGE))
+    centres = schools.select("school_id", F.col("lat").alias("centroid_lat"), F.col("lon").alias("centroid_lon"))
+    return count_within_distance(centres, stg.stg_stops(l.stops), WALK_RADIUS_KM, centre_key="school_id",
+                                 point_id="stop_id", out_col="stops_800m")

@@ -284,8 +284,79 @@ def build(final_select: str, needs: list[str]) -> str:
 
     for n in needs:
         visit(n)
+    if not order:
+        return final_select.strip()
     ctes = ",\n".join(f"{n} AS ({BLOCKS[n][1].strip()})" for n in order)
     return f"WITH {ctes}\n{final_select.strip()}"
 
 
 __all__ = ["BLOCKS", "build", "rnd", "AUCKLAND_PLACE_NAMES", "RATE_PATCH_ROWS"]
+
+
+# ----------------------------------------------------- source-job blocks ---
+block("a_rate_sheet", [], """
+SELECT CASE WHEN n % 23 = 0 THEN 'Series' ELSE CAST(last_day(CAST(m AS DATE)) AS VARCHAR) END AS _c0,
+       CASE WHEN n % 19 = 0 THEN 'n/a' ELSE CAST(CAST(n % 13 AS DOUBLE) / 2 AS VARCHAR) END AS _c1,
+       CAST(CAST(n % 11 AS DOUBLE) / 4 AS VARCHAR) AS _c7,
+       CAST(CAST(n % 7 AS DOUBLE) / 4 AS VARCHAR) AS _c9,
+       CAST(CAST(n % 17 AS DOUBLE) / 4 AS VARCHAR) AS _c17
+FROM (SELECT date_trunc('month', l_shipdate) AS m, count(*) AS n FROM lineitem GROUP BY 1) t""")
+
+block("rates_positional", ["a_rate_sheet"], """
+SELECT CAST(TRY_CAST(_c0 AS TIMESTAMP) AS DATE) AS date,
+       TRY_CAST(trim(_c1) AS DOUBLE) AS ocr_rate,
+       TRY_CAST(trim(_c7) AS DOUBLE) AS bank_bill_90d,
+       TRY_CAST(trim(_c9) AS DOUBLE) AS govt_bond_2yr,
+       TRY_CAST(trim(_c17) AS DOUBLE) AS swap_rate_2yr
+FROM a_rate_sheet
+WHERE TRY_CAST(_c0 AS TIMESTAMP) IS NOT NULL""")
+
+block("rate_patch", [], "SELECT * FROM (VALUES " + ", ".join(
+    f"(DATE '{d}', CAST({a} AS DOUBLE), CAST({b} AS DOUBLE), CAST({c} AS DOUBLE), CAST({e} AS DOUBLE))"
+    for d, a, b, c, e in RATE_PATCH_ROWS) + ") AS t(date, ocr_rate, bank_bill_90d, govt_bond_2yr, swap_rate_2yr)")
+
+block("rates_patched", ["rates_positional", "rate_patch"], """
+SELECT * FROM rates_positional WHERE date < (SELECT min(date) FROM rate_patch)
+UNION ALL
+SELECT * FROM rate_patch""")
+
+block("a_supermarket_file", ["a_supermarkets"], """
+SELECT s.objectid AS "OBJECTID", p_name AS "Name", s.suburb AS "Suburb", p_brand AS "Town - City",
+       s.territorial_authority AS "Territorial Authority", p_retailprice AS "Shape__Area",
+       CAST(p_size AS DOUBLE) AS "Shape__Length"
+FROM part JOIN a_supermarkets s ON p_partkey = s.objectid""")
+
+block("mart_keys", ["property"], f"""
+SELECT DISTINCT replace(lower(trim(suburb)), 'mt ', 'mount ') AS suburb_key FROM property
+WHERE suburb IS NOT NULL""")
+
+block("coverage_unmatched", ["mart_keys", "stg_census_income", "stg_schools", "stg_supermarkets"], """
+SELECT 'census' AS source, suburb_key FROM mart_keys
+WHERE suburb_key NOT IN (SELECT suburb FROM stg_census_income WHERE suburb IS NOT NULL)
+UNION ALL
+SELECT 'schools' AS source, suburb_key FROM mart_keys
+WHERE suburb_key NOT IN (SELECT suburb FROM stg_schools WHERE suburb IS NOT NULL)
+UNION ALL
+SELECT 'supermarkets' AS source, suburb_key FROM mart_keys
+WHERE suburb_key NOT IN (SELECT suburb FROM stg_supermarkets WHERE suburb IS NOT NULL)""")
+
+block("rate_cycle", ["mart_aff"], """
+SELECT report_date, avg(avg_sale_price) AS avg_sale_price, avg(ocr_rate) AS ocr_rate
+FROM mart_aff WHERE report_date IS NOT NULL GROUP BY report_date""")
+
+block("recent", ["mart_aff"], """
+SELECT * FROM mart_aff
+WHERE report_date >= CAST((SELECT max(report_date) FROM mart_aff) - INTERVAL 2 MONTH AS DATE)""")
+
+block("census_marked", ["a_census", "place_keywords"], f"""
+SELECT coalesce(classification_label = 'Statistical area 2' AND period = 2023, false) AS s1,
+       coalesce(section_title IN {_in_list(CENSUS_TARGET_METRICS)}, false) AS s2,
+       EXISTS (SELECT 1 FROM place_keywords k WHERE contains(lower(descriptor), lower(k.keyword))) AS s3,
+       coalesce(value_type_description IN ('Median', 'Count'), false) AS s4,
+       coalesce(TRY_CAST(trim(value) AS DOUBLE) IS NOT NULL AND NOT isnan(TRY_CAST(trim(value) AS DOUBLE)), false) AS s5
+FROM a_census""")
+
+block("mart_null_counts", ["mart_aff"], """
+SELECT 'report_date' AS column_name, count(*) FILTER (WHERE report_date IS NULL) AS failing_rows FROM mart_aff
+UNION ALL SELECT 'suburb', count(*) FILTER (WHERE suburb IS NULL) FROM mart_aff
+UNION ALL SELECT 'avg_sale_price', count(*) FILTER (WHERE avg_sale_price IS NULL) FROM mart_aff""")

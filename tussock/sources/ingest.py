@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tussock.functions.cleaning import coerce_double, rename_columns, try_landing_date, with_audit
-from tussock.operators.textmatch import contains_any, semi_join_contains
+from tussock.operators.textmatch import contains_any, mark_contains, semi_join_contains
 
 # --- Fixed values (source filters; must equal the source pipeline) ---
 CENSUS_LEVEL = "Statistical area 2"
@@ -111,10 +111,15 @@ def ingest_census(raw: DataFrame, places: list[str] | DataFrame = AUCKLAND_PLACE
     return with_audit(df) if audit else df
 
 
-def census_funnel(raw: DataFrame, places: list[str] = AUCKLAND_PLACE_NAMES) -> DataFrame:
+def census_funnel(raw: DataFrame, places: list[str] | DataFrame = AUCKLAND_PLACE_NAMES) -> DataFrame:
     """Row counts after each ingest step, computed in ONE pass with count_if over
     cumulative predicates (instead of one count job per step)."""
-    preds = census_stage_predicates(contains_any(F.col("descriptor"), places))
+    if isinstance(places, DataFrame):
+        raw = mark_contains(raw, "descriptor", places, "keyword", "_place_ok")
+        place_match = F.col("_place_ok")
+    else:
+        place_match = contains_any(F.col("descriptor"), places)
+    preds = census_stage_predicates(place_match)
     aggs = [F.count(F.lit(1)).alias("loaded")]
     acc = None
     for name, p in preds:
@@ -170,6 +175,15 @@ def ingest_supermarkets(raw: DataFrame, authority: str = SUPERMARKET_AUTHORITY,
 
 def value_frequency(df: DataFrame, col: str, top: int | None = None) -> DataFrame:
     """Value counts, most frequent first (NULL group removed); ties by value."""
-    out = (df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("count"))
-           .orderBy(F.desc("count"), F.asc(col)))
+    out = (df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("row_count"))
+           .orderBy(F.desc("row_count"), F.asc(col)))
     return out.limit(top) if top else out
+
+
+def ingest_supermarket_file(raw: DataFrame, authority: str = SUPERMARKET_AUTHORITY, audit: bool = False) -> DataFrame:
+    """Supermarket file with its original headers: keep one authority, rename
+    the awkward headers, fold names to upper case for landing."""
+    df = raw.filter(F.col("`Territorial Authority`") == authority)
+    df = rename_columns(df, SUPERMARKET_RENAMES)
+    df = with_audit(df) if audit else df
+    return df.toDF(*[c.upper() for c in df.columns])

@@ -147,3 +147,36 @@ def a_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("page_id") % 10 == 0, 404).otherwise(200).alias("status"),
         "html",
     )
+
+
+def a_rate_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headerless 18-column rate spreadsheet export (all text): date in column 0,
+    OCR in 1, 90-day bill in 7, 2-year bond in 9, 2-year swap in 17, filler
+    elsewhere; some rows carry a text label instead of a date."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_shipdate")
+    per_month = li.groupBy(F.trunc("l_shipdate", "month").alias("m")).agg(F.count(F.lit(1)).alias("n"))
+    n = F.col("n")
+    cells = {
+        0: F.when(n % 23 == 0, F.lit("Series")).otherwise(F.last_day(F.col("m")).cast("string")),
+        1: F.when(n % 19 == 0, F.lit("n/a")).otherwise(((n % 13).cast("double") / 2).cast("string")),
+        7: ((n % 11).cast("double") / 4).cast("string"),
+        9: ((n % 7).cast("double") / 4).cast("string"),
+        17: ((n % 17).cast("double") / 4).cast("string"),
+    }
+    return per_month.select(*[cells.get(i, n.cast("string")).alias(f"_c{i}") for i in range(18)])
+
+
+def a_supermarket_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supermarket file with its original (awkward) headers."""
+    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice")
+    base = a_supermarkets(spark, sf_dir).select("objectid", "suburb", "territorial_authority")
+    j = p.join(base, p.p_partkey == base.objectid)
+    return j.select(
+        F.col("objectid").alias("OBJECTID"),
+        F.col("p_name").alias("Name"),
+        F.col("suburb").alias("Suburb"),
+        F.col("p_brand").alias("Town - City"),
+        F.col("territorial_authority").alias("Territorial Authority"),
+        F.col("p_retailprice").alias("Shape__Area"),
+        F.col("p_size").cast("double").alias("Shape__Length"),
+    )
