@@ -94,10 +94,8 @@ def mark_contains(df: DataFrame, text_col: str, keywords: DataFrame, kw_col: str
     Matching runs once per DISTINCT text; the matched texts are joined back on
     the text value (an equi-join), so repeated texts cost nothing extra.
     """
-    from tussock.operators.joins import bounded_broadcast
-
     texts = df.select(F.col(text_col)).filter(F.col(text_col).isNotNull()).distinct()
     matched = semi_join_contains(texts, text_col, keywords, kw_col, max_broadcast_keywords)
     matched = matched.withColumn(flag_col, F.lit(True))
-    out = df.join(bounded_broadcast(matched), on=text_col, how="left")
+    out = df.join(matched, on=text_col, how="left")
     return out.withColumn(flag_col, F.coalesce(F.col(flag_col), F.lit(False)))

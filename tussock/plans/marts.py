@@ -2,9 +2,13 @@
 
 Plan shape (affordability): prices are filtered to plausible values at the
 scan, reduced to (suburb, month) with partial + final aggregation, then
-left-joined to four one-row-per-key dimensions. Each dimension is broadcast
-only when a row-count check proves it small; otherwise the join shuffles on
-the materialised key. The suburb key expression is computed once.
+left-joined to four one-row-per-key dimensions (themselves aggregates).
+No raw price row crosses a join: the fact side is already the (suburb, month)
+aggregate. The dimension joins are plain equi-joins; adaptive execution
+measures each dimension's materialised size and broadcasts it only when it is
+below ``spark.sql.adaptive.autoBroadcastJoinThreshold``, otherwise the join
+stays a sort-merge join with skew splitting. The suburb key expression is
+computed once.
 """
 
 from __future__ import annotations
@@ -17,7 +21,6 @@ from tussock.functions.names import suburb_key
 from tussock.functions.scores import (
     WALK_RADIUS_KM, amenity_score, liveability_score, school_score, transit_score,
 )
-from tussock.operators.joins import bounded_broadcast
 from tussock.operators.spatial import count_within_distance
 from tussock.plans import staging as stg
 
@@ -63,10 +66,10 @@ def affordability_mart(landing: stg.Landing) -> DataFrame:
     amenity = supermarket_summary(stg.stg_supermarkets(landing.supermarkets)).withColumnRenamed("suburb", "_key")
 
     j = (
-        prop.join(bounded_broadcast(census), "_key", "left")
-        .join(bounded_broadcast(rates), "report_month", "left")
-        .join(bounded_broadcast(schools), "_key", "left")
-        .join(bounded_broadcast(amenity), "_key", "left")
+        prop.join(census, "_key", "left")
+        .join(rates, "report_month", "left")
+        .join(schools, "_key", "left")
+        .join(amenity, "_key", "left")
     )
     return j.select(
         "suburb", "report_date", "avg_sale_price", "avg_weekly_rent", "gross_yield_pct",
@@ -109,9 +112,9 @@ def liveability_mart(landing: stg.Landing) -> DataFrame:
     amenity = amenity_scores(stg.stg_supermarkets(landing.supermarkets))
     c = centroids.select("suburb", "centroid_lat", "centroid_lon")
     j = (
-        c.join(bounded_broadcast(transit), "suburb", "left")
-        .join(bounded_broadcast(schools), "suburb", "left")
-        .join(bounded_broadcast(amenity), "suburb", "left")
+        c.join(transit, "suburb", "left")
+        .join(schools, "suburb", "left")
+        .join(amenity, "suburb", "left")
     )
     return j.select(
         "suburb", "centroid_lat", "centroid_lon", "transit_stops_800m", "transit_score",

@@ -49,8 +49,18 @@ CENSUS_FILE_COLUMNS = [
 ]
 
 
+_READ_CACHE: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Parquet table ``<sf_dir>/<name>.parquet``. The (lazy) DataFrame is reused
+    per session and path so the footer/schema is resolved once on the driver."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (id(spark._jsparkSession), path)
+    df = _READ_CACHE.get(key)
+    if df is None:
+        df = _READ_CACHE[key] = spark.read.parquet(path)
+    return df
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
