@@ -39,3 +39,40 @@ def test_view_and_table(spark):
     assert as_view(df, "v_test").count() == 1
     assert as_table(df, "t_test", partition_by=["y"]).count() == 1
     assert as_table(df, "t_skip", enabled=False) is None
+
+
+def test_source_registry_reads_landed_tables(spark, tmp_dir):
+    from tussock.sources.landing import LANDING_SCHEMAS, SourceRegistry, conform
+    df = spark.createDataFrame([("2001-01-31 00:00:00", 5.5, 1.0, 2.0, 3.0)],
+                               "date string, ocr_rate double, bank_bill_90d double, govt_bond_2yr double, "
+                               "swap_rate_2yr double")
+    write_landing(conform(df, LANDING_SCHEMAS["interest_rates"]).drop("ingested_at"),
+                  os.path.join(tmp_dir, "interest_rates"))
+    reg = SourceRegistry(spark, tmp_dir)
+    got = reg.source("interest_rates").first()
+    assert got.ocr_rate == 5.5 and got.ingested_at is not None
+
+
+def test_keep_columns_fails_loudly(spark):
+    import pytest
+
+    from tussock.functions.cleaning import keep_columns
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    assert keep_columns(df, ["b"]).columns == ["b"]
+    with pytest.raises(KeyError):
+        keep_columns(df, ["a", "zzz"])
+
+
+def test_rejects_and_labels(spark):
+    from pyspark.sql import functions as F
+
+    from tussock.functions.cleaning import coerce_double, money_label, month_label, number_label, try_landing_date
+    from tussock.operators.quality import split_rejects
+    df = spark.createDataFrame([("2001-01-31", "5.5"), ("junk", "1"), ("2001-02-28", "n/a")], "d string, v string")
+    good, bad = split_rejects(df, {"bad_date": try_landing_date("d").isNotNull(),
+                                   "bad_value": coerce_double("v").isNotNull()})
+    assert [r.d for r in good.collect()] == ["2001-01-31"]
+    assert sorted((r.d, r.reject_reason) for r in bad.collect()) == [("2001-02-28", "bad_value"), ("junk", "bad_date")]
+    row = spark.range(1).select(money_label(F.lit(1234000.4)).alias("m"), number_label(F.lit(3.14159)).alias("n"),
+                                month_label(F.to_date(F.lit("2026-03-01"))).alias("l")).first()
+    assert (row.m, row.n, row.l) == ("$1,234,000", "3.1", "Mar 2026")

@@ -144,3 +144,13 @@ def test_calendar_grid(spark):
                                                                         "2018/january")
     back = g.select(month_start(F.col("year"), F.col("month")).alias("d"), "month_start")
     assert back.filter(F.col("d") != F.col("month_start")).count() == 0
+
+
+def test_window_heading_carry_equals_tokeniser(spark):
+    pages = spark.createDataFrame([(1, REPORT_HTML), (2, "<p>x</p><h3>A</h3><p>y</p><h3></h3><table><tr><td>z</td></tr></table>")],
+                                  "page_id long, html string")
+    el = H.page_elements(pages, ["page_id"])
+    win = H.with_current_heading(el, "page_id")
+    a = sorted((r.page_id, r.pos, r.heading) for r in el.collect())
+    b = sorted((r.page_id, r.pos, r.heading) for r in win.collect())
+    assert a == b

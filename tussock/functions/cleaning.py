@@ -122,3 +122,18 @@ def datetimes_as_text(df: DataFrame) -> DataFrame:
         else:
             out.append(F.col(f"`{f.name}`"))
     return df.select(*out)
+
+
+def money_label(c: Column | str) -> Column:
+    """Display form '$1,234,000' (no decimals)."""
+    return F.concat(F.lit("$"), F.format_number(_col(c), 0))
+
+
+def number_label(c: Column | str, decimals: int = 1) -> Column:
+    """Display form with a fixed number of decimals, e.g. 3.1."""
+    return F.format_string(f"%.{decimals}f", _col(c))
+
+
+def month_label(d: Column | str) -> Column:
+    """Display form 'Mar 2026'."""
+    return F.date_format(_col(d), "MMM yyyy")

@@ -79,11 +79,30 @@ def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def distinct_profile(df: DataFrame, key_col: str, date_col: str, label_format: str = "MMM yyyy") -> DataFrame:
-    """Rows, distinct keys, first/last date and the latest-month label, one pass."""
+def distinct_profile(df: DataFrame, key_col: str, date_col: str, label_format: str = "MMM yyyy",
+                     approx: bool = False) -> DataFrame:
+    """Rows, distinct keys, first/last date and the latest-month label, one pass.
+    ``approx=True`` uses a HyperLogLog sketch for the distinct count (profiling
+    very large tables without a shuffle of the distinct values)."""
+    distinct = F.approx_count_distinct(key_col) if approx else F.countDistinct(key_col)
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.countDistinct(key_col).alias("n_distinct"),
+        distinct.alias("n_distinct"),
         F.min(date_col).alias("first_date"),
         F.max(date_col).alias("last_date"),
     ).withColumn("latest_label", F.date_format("last_date", label_format))
+
+
+def split_rejects(df: DataFrame, checks: dict[str, "F.Column"]) -> tuple[DataFrame, DataFrame]:
+    """Coerce-or-reject: ``checks`` maps a reason to a predicate that must hold.
+
+    Returns (accepted rows, rejected rows with the FIRST failing reason in
+    ``reject_reason``). One pass; predicates evaluating to NULL count as failed.
+    """
+    reason = None
+    for name, ok in checks.items():
+        failed = ~F.coalesce(ok, F.lit(False))
+        reason = F.when(failed, F.lit(name)) if reason is None else reason.when(failed, F.lit(name))
+    tagged = df.withColumn("reject_reason", reason)
+    return (tagged.filter(F.col("reject_reason").isNull()).drop("reject_reason"),
+            tagged.filter(F.col("reject_reason").isNotNull()))

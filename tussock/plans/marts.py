@@ -54,7 +54,9 @@ def supermarket_summary(supermarkets_stg: DataFrame) -> DataFrame:
     return supermarkets_stg.groupBy("suburb").agg(F.count(F.lit(1)).alias("supermarket_count"))
 
 
-def affordability_mart(landing: stg.Landing) -> DataFrame:
+def affordability_mart(landing: stg.Landing, schools_stg: DataFrame | None = None) -> DataFrame:
+    if schools_stg is None:
+        schools_stg = stg.stg_schools(landing.schools)
     prop = property_by_suburb_month(stg.stg_prices(landing.prices))
     prop = prop.withColumn("_key", suburb_key(F.col("suburb")))
 
@@ -62,7 +64,7 @@ def affordability_mart(landing: stg.Landing) -> DataFrame:
         F.col("suburb").alias("_key"), "median_household_income")
     rates = stg.stg_rates(landing.rates).select(
         F.col("rate_month").alias("report_month"), "ocr_rate", "swap_rate_2yr")
-    schools = school_summary(stg.stg_schools(landing.schools)).withColumnRenamed("suburb", "_key")
+    schools = school_summary(schools_stg).withColumnRenamed("suburb", "_key")
     amenity = supermarket_summary(stg.stg_supermarkets(landing.supermarkets)).withColumnRenamed("suburb", "_key")
 
     j = (
@@ -104,8 +106,9 @@ def transit_scores(centroids: DataFrame, stops_stg: DataFrame, radius_km: float
     return counts.select("suburb", "transit_stops_800m", transit_score(F.col("transit_stops_800m")).alias("transit_score"))
 
 
-def liveability_mart(landing: stg.Landing) -> DataFrame:
-    schools_stg = stg.stg_schools(landing.schools)
+def liveability_mart(landing: stg.Landing, schools_stg: DataFrame | None = None) -> DataFrame:
+    if schools_stg is None:
+        schools_stg = stg.stg_schools(landing.schools)
     centroids = stg.suburb_centroids(schools_stg)
     transit = transit_scores(centroids, stg.stg_stops(landing.stops))
     schools = school_scores(schools_stg)

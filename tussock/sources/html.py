@@ -6,12 +6,16 @@ Split of work:
   into a flat, ordered list of elements: headings, text blocks or table rows
   with their cell texts. This is the one piece Spark's built-ins cannot do
   faithfully (entity decoding, nested inline tags, CDATA in scripts).
-* Spark does the rest: the "current heading" is carried forward with a window
-  (``last(..., ignorenulls)`` over element position within the page), then
-  row filters, positional cell picks and numeric parsing are built-ins.
-
-Pages are independent, so the job partitions by page and never shuffles
-the HTML itself.
+  The tokeniser also carries the last heading seen forward: a page is
+  streamed in document order inside one task anyway, so doing it there avoids
+  a shuffle of every extracted element that a window over (page, position)
+  would need.
+* Spark does the rest: row filters, positional cell picks and numeric parsing
+  are built-in expressions.
+
+Pages are independent, so the whole job is a narrow (map-only) stage: no
+shuffle of HTML or of extracted rows. ``with_current_heading`` keeps the
+window form for element tables that did not come from the tokeniser.
 """
 
 from __future__ import annotations
@@ -34,6 +38,7 @@ JUNK_SUBURB_NAMES = ["suburb", "area", ""]
 
 ELEMENT_FIELDS = [
     T.StructField("pos", T.IntegerType(), False),
+    T.StructField("heading", T.StringType(), True),
     T.StructField("kind", T.StringType(), False),
     T.StructField("table_no", T.IntegerType(), True),
     T.StructField("row_no", T.IntegerType(), True),
@@ -56,6 +61,7 @@ class _Tokeniser(HTMLParser):
         self.heading_tag, self.block_tag = heading_tag, block_tag
         self.out: list[tuple] = []
         self.pos = 0
+        self.current: str | None = None
         self.heading: list[str] | None = None
         self.block: list[str] | None = None
         self.table_no = -1
@@ -64,7 +70,9 @@ class _Tokeniser(HTMLParser):
         self.cell: list[str] | None = None
 
     def _emit(self, kind, text=None, cells=None, table_no=None, row_no=None):
-        self.out.append((self.pos, kind, table_no, row_no, text, cells))
+        if kind == "heading":
+            self.current = text
+        self.out.append((self.pos, self.current, kind, table_no, row_no, text, cells))
         self.pos += 1
 
     def handle_starttag(self, tag, attrs):
@@ -130,7 +138,8 @@ def tokenise(html: str | None, heading_tag: str, block_tag: str | None) -> list[
 def page_elements(pages: DataFrame, key_cols: list[str], html_col: str = "html",
                   heading_tag: str = REPORT_HEADING_TAG, block_tag: str | None = None) -> DataFrame:
     """One row per element (heading / block / table row) with its position in
-    the page, plus the page key columns. ``block_tag=None`` = table mode."""
+    the page, the last heading seen at that point (``heading``), and the page
+    key columns. ``block_tag=None`` = table mode."""
     key_fields = [f for f in pages.schema.fields if f.name in key_cols]
     schema = T.StructType(key_fields + ELEMENT_FIELDS)
     names = [f.name for f in schema.fields]
@@ -149,9 +158,10 @@ def page_elements(pages: DataFrame, key_cols: list[str], html_col: str = "html",
 
 
 def with_current_heading(elements: DataFrame, page_key: str) -> DataFrame:
-    """Attach the last heading seen before each element (WIN-1)."""
+    """Window form of the heading carry: last heading text at or before each
+    element in (page, pos) order. Equals the tokeniser's ``heading`` column."""
     h = elements.withColumn("_h", F.when(F.col("kind") == "heading", F.col("text")))
-    return forward_fill(h, "_h", page_key, "pos", "heading").drop("_h")
+    return forward_fill(h.drop("heading"), "_h", page_key, "pos", "heading").drop("_h")
 
 
 def report_rows(pages: DataFrame, page_key: str, carry: list[str] | None = None,
@@ -163,7 +173,7 @@ def report_rows(pages: DataFrame, page_key: str, carry: list[str] | None = None,
     four cells; header-like suburb names are skipped.
     """
     keys = [page_key] + (carry or [])
-    el = with_current_heading(page_elements(pages, keys, heading_tag=heading_tag, block_tag=None), page_key)
+    el = page_elements(pages, keys, heading_tag=heading_tag, block_tag=None)
     rows = el.filter(
         (F.col("kind") == "row") & F.col("heading").isNotNull() & (F.col("heading") != "")
         & (F.col("row_no") >= 1) & (F.size("cells") >= MIN_CELLS)
@@ -184,7 +194,7 @@ def heading_blocks(pages: DataFrame, page_key: str, heading_tag: str, block_tag:
                    carry: list[str] | None = None) -> DataFrame:
     """Text blocks with the heading they fall under; blocks before any heading are dropped."""
     keys = [page_key] + (carry or [])
-    el = with_current_heading(page_elements(pages, keys, heading_tag=heading_tag, block_tag=block_tag), page_key)
+    el = page_elements(pages, keys, heading_tag=heading_tag, block_tag=block_tag)
     return el.filter((F.col("kind") == "block") & F.col("heading").isNotNull() & (F.col("heading") != "")).select(
         *keys, "heading", F.col("pos").alias("block_pos"), "text")
 
