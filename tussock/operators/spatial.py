@@ -38,12 +38,27 @@ def _cell_index(lon: Column, n: Column, width: Column) -> Column:
     return F.pmod(F.floor((lon + F.lit(180.0)) / width), n)
 
 
+# Key for points without coordinates: never produced by a centre.
+_NO_CELL = -(2 ** 62)
+
+
 def point_cells(points: DataFrame, lat: str, lon: str, radius_km: float) -> DataFrame:
-    """Add ``_band`` and ``_cell`` (one key per point)."""
+    """Add ``_band`` and ``_cell`` (one key per point).
+
+    Points without coordinates can never be within range and are dropped first.
+    The keys are declared non-nullable (``coalesce`` with an unreachable key),
+    otherwise the optimizer infers ``isnotnull(<key expression>)`` join filters
+    and evaluates the trigonometry twice per point.
+    """
     h = band_height_deg(radius_km)
+    valid = points.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
     band = _band(F.col(lat), h)
     n, width = _cells(band, h, radius_km)
-    return points.withColumn("_band", band).withColumn("_cell", _cell_index(F.col(lon), n, width))
+    return valid.select(
+        "*",
+        F.coalesce(band, F.lit(_NO_CELL)).alias("_band"),
+        F.coalesce(_cell_index(F.col(lon), n, width), F.lit(_NO_CELL)).alias("_cell"),
+    )
 
 
 def centre_cells(centres: DataFrame, lat: str, lon: str, radius_km: float) -> DataFrame:
