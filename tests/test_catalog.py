@@ -28,9 +28,8 @@ def test_query_matches_oracle(spark, con, name):
     assert r["status"] in ("exact", "close", "rows-only"), r
 
 
-def test_every_query_has_oracle_but_html():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
-    assert missing == {"html_blocks_with_heading"}
+def test_every_query_has_oracle():
+    assert set(entry.queries()) == set(entry.oracle_sql())
 
 
 def test_entry_smoke(spark):

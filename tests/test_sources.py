@@ -154,3 +154,10 @@ def test_window_heading_carry_equals_tokeniser(spark):
     a = sorted((r.page_id, r.pos, r.heading) for r in el.collect())
     b = sorted((r.page_id, r.pos, r.heading) for r in win.collect())
     assert a == b
+
+
+def test_unclosed_paragraphs_close_implicitly(spark):
+    html = "<h1>T</h1><p><b>lede &amp more<br><p>next</p><div>x</div><p>tail</article>"
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    got = [r.text for r in H.heading_blocks(pages, "page_id", "h1", "p").orderBy("block_pos").collect()]
+    assert got == ["lede & more", "next", "tail"]

@@ -261,7 +261,9 @@ def q_json(spark, sf_dir):
     return flat.select("event_id", "id", F.col("attributes.k").alias("k"))
 
 
-@register("html_blocks_with_heading")
+@register("html_blocks_with_heading", O.build("""
+SELECT page_id, url, heading, pos AS block_pos, text FROM page_blocks
+WHERE kind = 'block' AND heading IS NOT NULL AND heading <> ''""", ["page_blocks"]))
 def q_html_blocks(spark, sf_dir):
     from tussock.sources.html import heading_blocks
     pages = td.a_pages(spark, sf_dir).filter(F.col("status") == 200)

@@ -360,3 +360,36 @@ block("mart_null_counts", ["mart_aff"], """
 SELECT 'report_date' AS column_name, count(*) FILTER (WHERE report_date IS NULL) AS failing_rows FROM mart_aff
 UNION ALL SELECT 'suburb', count(*) FILTER (WHERE suburb IS NULL) FROM mart_aff
 UNION ALL SELECT 'avg_sale_price', count(*) FILTER (WHERE avg_sale_price IS NULL) FROM mart_aff""")
+
+# Text blocks under headings, by regular expressions: every block boundary
+# (start of p/h1-h6/div/..., end of div/article/...) first gets an explicit
+# '</p>' so an unclosed <p> ends where HTML would end it; then headings and
+# paragraphs are extracted in document order, tags split out, the entities that
+# occur decoded, pieces stripped and concatenated (get_text(strip=True)).
+_BOUNDARY = (r"(<(?:p|h[1-6]|div|article|section|footer|header|nav|ul|ol|table|main|aside)[\s>/]"
+             r"|</(?:div|article|section|footer|header|nav|ul|ol|table|main|aside|body|html)>)")
+# Legacy named references decode with or without the trailing ';', as in an
+# HTML parser; '&amp' goes last so '&amp;lt;' stays '&lt;'.
+_ENTITIES = [("lt", "'<'"), ("gt", "'>'"), ("quot", "chr(34)"), ("#39", "chr(39)"), ("nbsp", "chr(160)"),
+             ("copy", "chr(169)"), ("middot", "chr(183)"), ("amp", "'&'")]
+_DECODE = "x"
+for _name, _char in _ENTITIES:
+    _DECODE = f"regexp_replace({_DECODE}, '&{_name};?', {_char}, 'g')"
+_STRIP = r"regexp_replace(" + _DECODE + r", '^[\s\x{00a0}]+|[\s\x{00a0}]+$', '', 'g')"
+block("page_blocks", ["a_pages"], f"""
+SELECT page_id, url, pos, kind, heading, text FROM (
+  SELECT page_id, url, pos, kind, text,
+         last_value(CASE WHEN kind = 'heading' THEN text END IGNORE NULLS)
+           OVER (PARTITION BY page_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS heading
+  FROM (
+    SELECT page_id, url, pos - 1 AS pos,
+           CASE WHEN lower(e) LIKE '<h1%' THEN 'heading' ELSE 'block' END AS kind,
+           array_to_string(list_filter(list_transform(
+               regexp_split_to_array(regexp_extract(e, '(?s)^<[^>]*>(.*)</[^>]*>$', 1), '<[^>]*>'),
+               lambda x: {_STRIP}), lambda x: x <> ''), '') AS text
+    FROM (
+      SELECT page_id, url, unnest(l) AS e, generate_subscripts(l, 1) AS pos
+      FROM (SELECT page_id, url,
+                   regexp_extract_all(regexp_replace(html, '{_BOUNDARY}', '</p>\\1', 'g'),
+                                      '(?is)<h1(?:\\s[^>]*)?>.*?</h1>|<p(?:\\s[^>]*)?>.*?</p>') AS l
+            FROM a_pages WHERE status = 200) x) y) z) w""")

@@ -36,6 +36,14 @@ MIN_CELLS = 4
 JUNK_SUBURB_NAMES = ["suburb", "area", ""]
 # --- end of fixed values ---
 
+# An open text block (e.g. an unclosed <p>) ends where HTML would close it
+# implicitly: at the start of another block or heading, or at the start or end
+# of an enclosing block container.
+BLOCK_BOUNDARY_START = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "div", "article", "section", "footer",
+                        "header", "nav", "ul", "ol", "table", "main", "aside"}
+BLOCK_BOUNDARY_END = {"div", "article", "section", "footer", "header", "nav", "ul", "ol", "table", "main",
+                      "aside", "body", "html"}
+
 ELEMENT_FIELDS = [
     T.StructField("pos", T.IntegerType(), False),
     T.StructField("heading", T.StringType(), True),
@@ -75,7 +83,14 @@ class _Tokeniser(HTMLParser):
         self.out.append((self.pos, self.current, kind, table_no, row_no, text, cells))
         self.pos += 1
 
+    def _close_block(self):
+        if self.block is not None:
+            self._emit("block", text=_strip_join(self.block))
+            self.block = None
+
     def handle_starttag(self, tag, attrs):
+        if self.block_tag is not None and (tag in BLOCK_BOUNDARY_START or tag in (self.block_tag, self.heading_tag)):
+            self._close_block()
         if tag == self.heading_tag:
             self.heading = []
         elif self.block_tag is not None and tag == self.block_tag:
@@ -107,9 +122,8 @@ class _Tokeniser(HTMLParser):
         if tag == self.heading_tag and self.heading is not None:
             self._emit("heading", text=_strip_join(self.heading))
             self.heading = None
-        elif self.block_tag is not None and tag == self.block_tag and self.block is not None:
-            self._emit("block", text=_strip_join(self.block))
-            self.block = None
+        elif self.block_tag is not None and (tag == self.block_tag or tag in BLOCK_BOUNDARY_END):
+            self._close_block()
         elif self.block_tag is None:
             if tag == "td":
                 self._close_cell()
@@ -124,6 +138,8 @@ class _Tokeniser(HTMLParser):
     def finish(self) -> list[tuple]:
         self.close()
         self._close_row()
+        if self.block_tag is not None:
+            self._close_block()
         return self.out
 
 
