@@ -284,7 +284,10 @@ def q_triage(spark, sf_dir):
 # -------------------------------------------------------------- reports ---
 
 def _mart(spark, sf_dir):
-    return marts.affordability_mart(landing(spark, sf_dir))
+    """The mart, computed once: reports read it from a scalar subquery (latest
+    date) and from the main query, which would otherwise recompute it."""
+    from tussock.session import materialize
+    return materialize(marts.affordability_mart(landing(spark, sf_dir)))
 
 
 REPORT_SELECTION = ["Ponsonby", "Remuera", "Avondale", "Manurewa", "Mt 1", "Mt 4", "Mt 12"]
@@ -401,7 +404,10 @@ def q_dq_mart_unique(spark, sf_dir):
 def _coverage_inputs(spark, sf_dir):
     from tussock.functions.names import suburb_key
     l = landing(spark, sf_dir)
-    keys = marts.property_by_suburb_month(stg.stg_prices(l.prices)).select(suburb_key(F.col("suburb")).alias("k"))
+    from tussock.session import materialize
+    # Distinct price-side keys feed one anti join per source: compute them once.
+    keys = materialize(marts.property_by_suburb_month(stg.stg_prices(l.prices))
+                       .select(suburb_key(F.col("suburb")).alias("k")).distinct())
     sources = {
         "census": (stg.stg_census_income(l.census), "suburb"),
         "schools": (stg.stg_schools(l.schools), "suburb"),

@@ -56,11 +56,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only when it is unset (local tests) is a scratch folder created and
     registered, so ``DataFrame.checkpoint()`` has somewhere to write.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        spark.sparkContext.setCheckpointDir(current)
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(current)
         return current
     path = tempfile.mkdtemp(prefix="tussock-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage (reliable ``checkpoint`` into the
+    shared checkpoint folder). Use when one result feeds several branches of a
+    plan (e.g. a mart read by a scalar subquery and by the main query), so the
+    upstream work runs once and a lost executor re-reads instead of recomputing."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
