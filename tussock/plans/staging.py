@@ -6,8 +6,6 @@ Each function is ``landing DataFrame -> DataFrame`` and uses a single
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -130,16 +128,34 @@ def suburb_centroids(schools: DataFrame) -> DataFrame:
     )
 
 
-@dataclass
 class Landing:
-    """The six landing frames a pipeline run starts from."""
-
-    prices: DataFrame
-    rates: DataFrame
-    census: DataFrame
-    schools: DataFrame
-    supermarkets: DataFrame
-    stops: DataFrame
+    """The six landing frames a pipeline run starts from.
+
+    Each frame is built on first access from a zero-argument factory, so a
+    query that needs one source never plans (or runs checks for) the others.
+    """
+
+    NAMES = ("prices", "rates", "census", "schools", "supermarkets", "stops")
+
+    def __init__(self, **frames):
+        unknown = set(frames) - set(self.NAMES)
+        if unknown:
+            raise TypeError(f"unknown landing frames: {sorted(unknown)}")
+        self._factories = {}
+        self._frames = {}
+        for name, value in frames.items():
+            if callable(value) and not isinstance(value, DataFrame):
+                self._factories[name] = value
+            else:
+                self._frames[name] = value
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in Landing.NAMES:
+            raise AttributeError(name)
+        frames = self.__dict__["_frames"]
+        if name not in frames:
+            frames[name] = self.__dict__["_factories"][name]()
+        return frames[name]
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Landing":
@@ -147,34 +163,38 @@ class Landing:
         from tussock.sources.ingest import ingest_census, ingest_supermarkets
         from tussock.sources.landing import LANDING_SCHEMAS, conform, read_table
 
-        nation = read_table(spark, sf_dir, "nation")
-        places = nation.select(F.replace(F.col("n_name"), F.lit("NATION_"), F.lit("Mount ")).alias("keyword"))
-        stops = td.a_stops(spark, sf_dir)
-        stops = stops.select(
-            "stop_id",
-            F.lit(None).cast("string").alias("stop_code"),
-            F.lit(None).cast("string").alias("stop_name"),
-            "stop_lat",
-            "stop_lon",
-            "location_type",
-            F.lit(None).cast("string").alias("parent_station"),
-        )
+        def census():
+            nation = read_table(spark, sf_dir, "nation")
+            places = nation.select(F.replace(F.col("n_name"), F.lit("NATION_"), F.lit("Mount ")).alias("keyword"))
+            return ingest_census(td.a_census(spark, sf_dir), places=places)
+
+        def stops():
+            return td.a_stops(spark, sf_dir).select(
+                "stop_id",
+                F.lit(None).cast("string").alias("stop_code"),
+                F.lit(None).cast("string").alias("stop_name"),
+                "stop_lat",
+                "stop_lon",
+                "location_type",
+                F.lit(None).cast("string").alias("parent_station"),
+            )
+
         return cls(
-            prices=td.a_prices(spark, sf_dir),
-            rates=td.a_rates(spark, sf_dir),
-            census=ingest_census(td.a_census(spark, sf_dir), places=places),
-            schools=conform(td.a_schools(spark, sf_dir), LANDING_SCHEMAS["schools"]),
-            supermarkets=ingest_supermarkets(td.a_supermarkets(spark, sf_dir)),
+            prices=lambda: td.a_prices(spark, sf_dir),
+            rates=lambda: td.a_rates(spark, sf_dir),
+            census=census,
+            schools=lambda: conform(td.a_schools(spark, sf_dir), LANDING_SCHEMAS["schools"]),
+            supermarkets=lambda: ingest_supermarkets(td.a_supermarkets(spark, sf_dir)),
             stops=stops,
         )
 
     @classmethod
     def from_registry(cls, registry) -> "Landing":
-        return cls(
-            prices=registry.source("suburb_prices"),
-            rates=registry.source("interest_rates"),
-            census=registry.source("census"),
-            schools=registry.source("schools"),
-            supermarkets=registry.source("supermarkets"),
-            stops=registry.source("transit_stops"),
-        )
+        return cls(**{
+            "prices": lambda: registry.source("suburb_prices"),
+            "rates": lambda: registry.source("interest_rates"),
+            "census": lambda: registry.source("census"),
+            "schools": lambda: registry.source("schools"),
+            "supermarkets": lambda: registry.source("supermarkets"),
+            "stops": lambda: registry.source("transit_stops"),
+        })
