@@ -55,3 +55,9 @@ def test_keyword_probe_not_found(spark):
     kw = spark.createDataFrame([("mount 3",), ("nowhere",)], "k string")
     got = sorted((r.keyword, r.match) for r in keyword_probe(_texts(spark), "descriptor", kw, "k").collect())
     assert got == [("mount 3", "Mount 33 North"), ("mount 3", "mount 3"), ("nowhere", "NOT FOUND")]
+
+
+def test_suburb_choices_sorted_distinct(spark):
+    from tussock.plans.reports import suburb_choices
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "suburb string")
+    assert [r.suburb for r in suburb_choices(df).collect()] == ["a", "b"]

@@ -20,6 +20,11 @@ TOP_N = 30
 # --- end of fixed values ---
 
 
+def suburb_choices(mart: DataFrame) -> DataFrame:
+    """Sorted distinct non-null suburbs (the selector's option list)."""
+    return mart.select("suburb").dropna().distinct().orderBy("suburb")
+
+
 def selected_suburbs(mart: DataFrame, wanted: DataFrame) -> DataFrame:
     """Requested suburbs that exist in the mart (semi join), as column ``suburb``."""
     available = mart.select("suburb").filter(F.col("suburb").isNotNull()).distinct()
