@@ -382,7 +382,7 @@ SELECT page_id, url, pos, kind, heading, text FROM (
          last_value(CASE WHEN kind = 'heading' THEN text END IGNORE NULLS)
            OVER (PARTITION BY page_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS heading
   FROM (
-    SELECT page_id, url, pos - 1 AS pos,
+    SELECT page_id, url, CAST(pos - 1 AS INTEGER) AS pos,
            CASE WHEN lower(e) LIKE '<h1%' THEN 'heading' ELSE 'block' END AS kind,
            array_to_string(list_filter(list_transform(
                regexp_split_to_array(regexp_extract(e, '(?s)^<[^>]*>(.*)</[^>]*>$', 1), '<[^>]*>'),

@@ -37,6 +37,8 @@ def get_spark(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(ADAPTIVE_BROADCAST_BYTES),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Rows sent to Python workers per Arrow batch; pages are large records.
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
         "spark.sql.parquet.filterPushdown": "true",
     }
     if shuffle_partitions:

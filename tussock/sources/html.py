@@ -41,6 +41,8 @@ JUNK_SUBURB_NAMES = ["suburb", "area", ""]
 # of an enclosing block container.
 BLOCK_BOUNDARY_START = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "div", "article", "section", "footer",
                         "header", "nav", "ul", "ol", "table", "main", "aside"}
+OUTPUT_CHUNK_ROWS = 20_000
+
 BLOCK_BOUNDARY_END = {"div", "article", "section", "footer", "header", "nav", "ul", "ol", "table", "main",
                       "aside", "body", "html"}
 
@@ -161,6 +163,8 @@ def page_elements(pages: DataFrame, key_cols: list[str], html_col: str = "html",
     names = [f.name for f in schema.fields]
 
     def run(batches):
+        # Emit in bounded chunks: a batch of large pages can expand to many
+        # elements, and holding them all would grow the worker's memory.
         for pdf in batches:
             rows = []
             for rec in pdf.itertuples(index=False):
@@ -168,7 +172,11 @@ def page_elements(pages: DataFrame, key_cols: list[str], html_col: str = "html",
                 keys = [d[k] for k in key_cols]
                 for el in tokenise(d[html_col], heading_tag, block_tag):
                     rows.append((*keys, *el))
-            yield pd.DataFrame(rows, columns=names)
+                if len(rows) >= OUTPUT_CHUNK_ROWS:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
+            if rows:
+                yield pd.DataFrame(rows, columns=names)
 
     return pages.select(*key_cols, html_col).mapInPandas(run, schema)
 
