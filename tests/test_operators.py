@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tussock.operators.quality import duplicate_keys, keyword_probe, not_null_report
 from tussock.operators.textmatch import contains_matches, mark_contains, semi_join_contains
-from tussock.operators.windows import keep_first, latest_window, top_k
+from tussock.operators.windows import keep_first, keep_greatest, latest_window, top_k
 
 
 def test_latest_window(spark):
@@ -61,3 +61,11 @@ def test_suburb_choices_sorted_distinct(spark):
     from tussock.plans.reports import suburb_choices
     df = spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "suburb string")
     assert [r.suburb for r in suburb_choices(df).collect()] == ["a", "b"]
+
+
+def test_keep_greatest_equals_keep_first(spark):
+    rows = [("a", 5.0, 1), ("a", 5.0, 3), ("a", 4.0, 9), ("b", None, 1), ("b", 2.0, 0), ("c", 1.0, None)]
+    df = spark.createDataFrame(rows, "suburb string, m double, n int")
+    agg = sorted(tuple(r) for r in keep_greatest(df, "suburb", ["m", "n"]).collect())
+    win = sorted(tuple(r) for r in keep_first(df, "suburb", [F.desc_nulls_last("m"), F.desc_nulls_last("n")]).collect())
+    assert agg == win == [("a", 5.0, 3), ("b", 2.0, 0), ("c", 1.0, None)]

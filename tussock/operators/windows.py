@@ -29,6 +29,20 @@ def keep_first(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
+def keep_greatest(df: DataFrame, key: str, by: list[str]) -> DataFrame:
+    """One row per key: the row with the greatest ``by`` values (compared in
+    order), remaining columns breaking ties, so the pick is deterministic.
+
+    Same result as ``keep_first`` with a descending order, but expressed as an
+    aggregate (max of a struct): it aggregates partially before the shuffle,
+    so a key holding a large share of the rows never lands whole in one task.
+    NULL ``by`` values rank lowest.
+    """
+    rest = [c for c in df.columns if c != key and c not in by]
+    best = F.max(F.struct(*[F.col(c) for c in by + rest])).alias("_best")
+    return df.groupBy(key).agg(best).select(key, *[F.col(f"_best.{c}").alias(c) for c in df.columns if c != key])
+
+
 def top_k(df: DataFrame, measure: str, k: int, tie_break: str) -> DataFrame:
     """Top-k by measure descending with a tie-break (plans as TakeOrderedAndProject)."""
     return df.orderBy(F.desc(measure), F.asc(tie_break)).limit(k)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tussock.operators.windows import keep_first, latest_snapshot, latest_window, top_k
+from tussock.operators.windows import keep_greatest, latest_snapshot, latest_window, top_k
 
 # --- Fixed values (dashboard defaults) ---
 DEFAULT_SUBURBS = ["Ponsonby", "Remuera", "Avondale", "Manurewa"]
@@ -54,7 +54,8 @@ def rate_cycle(mart: DataFrame) -> DataFrame:
 def _latest_top(mart: DataFrame, measure: str, extra: list[str], k: int) -> DataFrame:
     snap = latest_snapshot(mart, "report_date").select("suburb", measure, *extra)
     snap = snap.dropna(subset=[measure])
-    first = keep_first(snap, "suburb", [F.desc(measure), *[F.desc(c) for c in extra]])
+    # Keep-first per suburb as an aggregate (partial aggregation, no window).
+    first = keep_greatest(snap, "suburb", [measure, *extra])
     return top_k(first, measure, k, "suburb")
 
 
