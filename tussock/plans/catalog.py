@@ -283,11 +283,14 @@ def q_triage(spark, sf_dir):
 
 # -------------------------------------------------------------- reports ---
 
-def _mart(spark, sf_dir):
-    """The mart, computed once: reports read it from a scalar subquery (latest
-    date) and from the main query, which would otherwise recompute it."""
+def _mart(spark, sf_dir, shared: bool = True):
+    """The mart. ``shared=True`` when the query reads it more than once (a
+    scalar subquery for the latest date plus the main query, or a semi join
+    against itself): it is then computed once and checkpointed. Single-use
+    queries read the plan directly."""
     from tussock.session import materialize
-    return materialize(marts.affordability_mart(landing(spark, sf_dir)))
+    mart = marts.affordability_mart(landing(spark, sf_dir))
+    return materialize(mart) if shared else mart
 
 
 REPORT_SELECTION = ["Ponsonby", "Remuera", "Avondale", "Manurewa", "Mt 1", "Mt 4", "Mt 12"]
@@ -316,7 +319,7 @@ def q_pti_3m(spark, sf_dir):
 @register("report_rate_cycle", O.build("SELECT * FROM rate_cycle", ["rate_cycle"]))
 def q_rate_cycle(spark, sf_dir):
     from tussock.plans.reports import rate_cycle
-    return rate_cycle(_mart(spark, sf_dir))
+    return rate_cycle(_mart(spark, sf_dir, shared=False))
 
 
 @register("report_top_schools", O.build("""
@@ -364,7 +367,10 @@ LEFT JOIN (SELECT report_date AS trough_date, avg_sale_price AS trough_value FRO
       ORDER BY avg_sale_price, report_date LIMIT 1) t ON true""", ["rate_cycle"]))
 def q_peak_to_trough(spark, sf_dir):
     from tussock.plans.reports import peak_to_trough, rate_cycle
-    return peak_to_trough(rate_cycle(_mart(spark, sf_dir)))
+    from tussock.session import materialize
+    # The per-date series feeds three scalar subqueries: checkpoint the small
+    # series (one row per month) rather than the mart.
+    return peak_to_trough(materialize(rate_cycle(_mart(spark, sf_dir, shared=False))))
 
 
 @register("distinct_profile", O.build("""
@@ -373,7 +379,7 @@ SELECT count(*) AS n_rows, count(DISTINCT suburb) AS n_distinct, min(report_date
 FROM mart_aff""", ["mart_aff"]))
 def q_distinct_profile(spark, sf_dir):
     from tussock.operators.quality import distinct_profile
-    return distinct_profile(_mart(spark, sf_dir), "suburb", "report_date")
+    return distinct_profile(_mart(spark, sf_dir, shared=False), "suburb", "report_date")
 
 
 # -------------------------------------------------------------- quality ---
@@ -382,7 +388,7 @@ def q_distinct_profile(spark, sf_dir):
     "SELECT column_name, failing_rows, failing_rows = 0 AS passed FROM mart_null_counts", ["mart_null_counts"]))
 def q_dq_not_null(spark, sf_dir):
     from tussock.operators.quality import not_null_report
-    return not_null_report(_mart(spark, sf_dir), ["report_date", "suburb", "avg_sale_price"])
+    return not_null_report(_mart(spark, sf_dir, shared=False), ["report_date", "suburb", "avg_sale_price"])
 
 
 @register("dq_duplicate_keys", O.build("""
@@ -398,7 +404,7 @@ SELECT suburb, report_date, count(*) AS row_count FROM mart_aff
 GROUP BY suburb, report_date HAVING count(*) > 1""", ["mart_aff"]))
 def q_dq_mart_unique(spark, sf_dir):
     from tussock.operators.quality import duplicate_keys
-    return duplicate_keys(_mart(spark, sf_dir), ["suburb", "report_date"])
+    return duplicate_keys(_mart(spark, sf_dir, shared=False), ["suburb", "report_date"])
 
 
 def _coverage_inputs(spark, sf_dir):
