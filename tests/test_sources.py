@@ -161,3 +161,23 @@ def test_unclosed_paragraphs_close_implicitly(spark):
     pages = spark.createDataFrame([(1, html)], "page_id long, html string")
     got = [r.text for r in H.heading_blocks(pages, "page_id", "h1", "p").orderBy("block_pos").collect()]
     assert got == ["lede & more", "next", "tail"]
+
+
+def test_price_pages_to_landing(spark):
+    from tussock.sources.ingest import ingest_price_pages
+    from tussock.plans.staging import stg_prices
+    bounds = spark.createDataFrame([(2025, 2025)], "start_year int, end_year int")
+    cal = calendar_grid(bounds)
+    pages = spark.createDataFrame([
+        ("https://x.example/market-reports/2025/march/suburb-report", 200, REPORT_HTML),
+        ("https://x.example/market-reports/2025/april/suburb-report", 404, REPORT_HTML),
+        ("https://x.example/market-reports/2025/may/suburb-report", 200, "<p>no tables</p>"),
+    ], "url string, status int, html string")
+    path = F.regexp_extract("url", r"(\d{4}/[a-z]+)/suburb-report", 1)
+    landed = ingest_price_pages(pages, cal, path)
+    got = sorted((r.year, r.month, r.report_date, r.district, r.suburb) for r in landed.collect())
+    assert got == [(2025, "march", "2025-03-01 00:00:00", "North Shore", "Albany"),
+                   (2025, "march", "2025-03-01 00:00:00", "North Shore", "Milford"),
+                   (2025, "march", "2025-03-01 00:00:00", "West", "Swanson")]
+    flags = sorted(r.data_quality_flag for r in stg_prices(landed).collect())
+    assert flags == ["missing_price", "ok", "ok"]

@@ -187,3 +187,27 @@ def ingest_supermarket_file(raw: DataFrame, authority: str = SUPERMARKET_AUTHORI
     df = rename_columns(df, SUPERMARKET_RENAMES)
     df = with_audit(df) if audit else df
     return df.toDF(*[c.upper() for c in df.columns])
+
+
+# ------------------------------------------------------------ price pages ---
+
+def ingest_price_pages(pages: DataFrame, calendar: DataFrame, path_of_url, audit: bool = False) -> DataFrame:
+    """Captured monthly report pages -> price landing rows, all months in one job.
+
+    ``pages`` has (url, status, html); ``calendar`` is a calendar grid (one row
+    per month with ``path``, ``year``, ``month``, ``report_date``);
+    ``path_of_url`` is a Column expression extracting that path from ``url``.
+    Non-200 responses are dropped (triage), each page is matched to its month
+    by path (the calendar is small and bounded: 12 rows per year), and the
+    report tables of every page are extracted in one distributed pass, which
+    replaces a per-month request loop and a concatenation of the results.
+    """
+    from tussock.sources.html import report_rows
+
+    ok = pages.filter(F.col("status") == 200).withColumn("path", path_of_url)
+    months = F.broadcast(calendar.select("path", "year", "month", "report_date"))
+    dated = ok.join(months, "path", "inner")
+    rows = report_rows(dated, "url", carry=["year", "month", "report_date"])
+    out = rows.select("year", "month", "report_date", "district", "suburb",
+                      "avg_sale_price", "avg_weekly_rent", "gross_yield_pct")
+    return with_audit(out) if audit else out
