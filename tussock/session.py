@@ -51,21 +51,27 @@ def get_spark(
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names shared storage and is always honoured.
     Only when it is unset (local tests) is a scratch folder created and
-    registered, so ``DataFrame.checkpoint()`` has somewhere to write.
+    registered, so ``DataFrame.checkpoint()`` has somewhere to write. With a
+    remote (Connect) session the server's own setting applies and nothing is
+    changed here.
     """
-    current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side context
+        return spark.conf.get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
         return current
     path = tempfile.mkdtemp(prefix="tussock-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
 
 
