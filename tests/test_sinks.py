@@ -76,3 +76,12 @@ def test_rejects_and_labels(spark):
     row = spark.range(1).select(money_label(F.lit(1234000.4)).alias("m"), number_label(F.lit(3.14159)).alias("n"),
                                 month_label(F.to_date(F.lit("2026-03-01"))).alias("l")).first()
     assert (row.m, row.n, row.l) == ("$1,234,000", "3.1", "Mar 2026")
+
+
+def test_cluster_conf_scales_partitions():
+    from tussock.session import cluster_conf
+    small = cluster_conf(10 * 2**30)
+    big = cluster_conf(100 * 2**40)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert big["spark.sql.shuffle.partitions"] == "200000"
+    assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(128 * 2**20)

@@ -18,6 +18,28 @@ from pyspark.sql import SparkSession
 ADAPTIVE_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 128 * 1024 * 1024,
+                 max_partitions: int = 200_000) -> dict[str, str]:
+    """Partition sizing for a run over ``input_bytes`` of source data.
+
+    Shuffles start with enough partitions that the largest possible shuffle
+    (every input byte) still lands at about ``target_partition_bytes`` per
+    partition; adaptive execution then coalesces small shuffles (most here are
+    aggregates) back down to the advisory size and splits skewed ones. Scans
+    read splits of the same size. Example: 100 TiB -> 200,000 initial
+    partitions (capped), 128 MiB advisory size.
+    """
+    n = max(200, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    size = str(target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": size,
+    }
+
+
 def get_spark(
     master: str | None = None,
     app_name: str = "tussock",
