@@ -25,3 +25,15 @@ def test_pipeline_writes_marts_and_checks_pass(spark, tmp_dir):
 def test_disabled_model_is_skipped(spark, tmp_dir):
     res = pipeline.build(spark, Landing.from_testdata(spark, SF_SMALL), tmp_dir, enabled={"liveability": False})
     assert "liveability" not in res.paths
+
+
+def test_stored_mart_reports_prune_year_partitions(spark, tmp_dir):
+    res = pipeline.build(spark, Landing.from_testdata(spark, SF_SMALL), tmp_dir, enabled={"liveability": False})
+    with_part = pipeline.read_affordability(spark, res.paths["affordability"], keep_partition=True)
+    plain = pipeline.read_affordability(spark, res.paths["affordability"])
+    a = pipeline.dashboard(with_part)
+    b = pipeline.dashboard(plain)
+    for name in ("price_to_income_3m", "top_schools", "top_amenity", "yield_3m"):
+        assert sorted(map(tuple, a[name].collect())) == sorted(map(tuple, b[name].collect())), name
+    plan = a["yield_3m"]._jdf.queryExecution().executedPlan().toString()
+    assert "report_year" in plan and "PartitionFilters: [isnotnull(report_year" in plan

@@ -6,20 +6,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def latest_window(df: DataFrame, date_col: str, months: int = 3) -> DataFrame:
+def latest_window(df: DataFrame, date_col: str, months: int = 3, year_partition: str | None = None) -> DataFrame:
     """Rows from the latest ``months`` months: ``date >= add_months(max(date), -(months-1))``.
 
     The max is a scalar subquery (one value computed once, then a plain filter),
     so the frame is neither shuffled nor collected. NULL dates never qualify.
+    ``year_partition`` names a year partition column of a stored table; the
+    same bound is then also applied to it so only recent partitions are read.
     """
     latest = df.agg(F.max(date_col)).scalar()
-    return df.filter(F.col(date_col) >= F.add_months(latest, -(months - 1)))
+    start = F.add_months(latest, -(months - 1))
+    cond = F.col(date_col) >= start
+    if year_partition:
+        cond = (F.col(year_partition) >= F.year(start)) & cond
+    return df.filter(cond)
 
 
-def latest_snapshot(df: DataFrame, date_col: str) -> DataFrame:
-    """Rows at the latest date: ``date = max(date)``."""
+def latest_snapshot(df: DataFrame, date_col: str, year_partition: str | None = None) -> DataFrame:
+    """Rows at the latest date: ``date = max(date)`` (optionally pruning a year partition)."""
     latest = df.agg(F.max(date_col)).scalar()
-    return df.filter(F.col(date_col) == latest)
+    cond = F.col(date_col) == latest
+    if year_partition:
+        cond = (F.col(year_partition) == F.year(latest)) & cond
+    return df.filter(cond)
 
 
 def keep_first(df: DataFrame, key: str, order: list[Column]) -> DataFrame:

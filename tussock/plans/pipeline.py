@@ -60,9 +60,12 @@ def build(spark: SparkSession, landing: stg.Landing, out_root: str,
     return res
 
 
-def read_affordability(spark: SparkSession, path: str) -> DataFrame:
-    """Stored mart with lower-case names and the partition column dropped."""
-    df = spark.read.parquet(path).drop("report_year")
+def read_affordability(spark: SparkSession, path: str, keep_partition: bool = False) -> DataFrame:
+    """Stored mart with lower-case names; the ``report_year`` partition column
+    is dropped unless ``keep_partition`` (reports use it to prune files)."""
+    df = spark.read.parquet(path)
+    if not keep_partition:
+        df = df.drop("report_year")
     return df.toDF(*[c.lower() for c in df.columns])
 
 
@@ -70,14 +73,15 @@ def dashboard(mart: DataFrame, selection: list[str] | None = None) -> dict[str,
     """All report frames for one stored mart."""
     spark = mart.sparkSession
     wanted = spark.createDataFrame([(s,) for s in (selection or reports.DEFAULT_SUBURBS)], "suburb string")
+    part = "report_year" if "report_year" in mart.columns else None
     cycle = reports.rate_cycle(mart)
     return {
         "header": reports.latest_label(mart),
         "index_over_time": reports.index_over_time(mart, wanted),
-        "price_to_income_3m": reports.price_to_income_recent(mart),
+        "price_to_income_3m": reports.price_to_income_recent(mart, year_partition=part),
         "rate_cycle": cycle,
-        "top_schools": reports.top_schools(mart),
-        "top_amenity": reports.top_amenity(mart),
-        "yield_3m": reports.yield_recent(mart),
+        "top_schools": reports.top_schools(mart, year_partition=part),
+        "top_amenity": reports.top_amenity(mart, year_partition=part),
+        "yield_3m": reports.yield_recent(mart, year_partition=part),
         "peak_to_trough": reports.peak_to_trough(cycle),
     }

@@ -38,9 +38,9 @@ def index_over_time(mart: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.groupBy("report_date", "suburb").agg(F.avg("affordability_index").alias("affordability_index"))
 
 
-def price_to_income_recent(mart: DataFrame, months: int = RECENT_MONTHS) -> DataFrame:
+def price_to_income_recent(mart: DataFrame, months: int = RECENT_MONTHS, year_partition: str | None = None) -> DataFrame:
     """RPT-2: latest-window mean price-to-income per suburb, NULL means dropped, ranked."""
-    recent = latest_window(mart, "report_date", months).filter(F.col("suburb").isNotNull())
+    recent = latest_window(mart, "report_date", months, year_partition).filter(F.col("suburb").isNotNull())
     agg = recent.groupBy("suburb").agg(F.avg("price_to_income_ratio").alias("price_to_income_ratio"))
     return agg.dropna(subset=["price_to_income_ratio"]).orderBy(F.desc("price_to_income_ratio"), "suburb")
 
@@ -51,27 +51,27 @@ def rate_cycle(mart: DataFrame) -> DataFrame:
             .agg(F.avg("avg_sale_price").alias("avg_sale_price"), F.avg("ocr_rate").alias("ocr_rate")))
 
 
-def _latest_top(mart: DataFrame, measure: str, extra: list[str], k: int) -> DataFrame:
-    snap = latest_snapshot(mart, "report_date").select("suburb", measure, *extra)
+def _latest_top(mart: DataFrame, measure: str, extra: list[str], k: int, year_partition: str | None = None) -> DataFrame:
+    snap = latest_snapshot(mart, "report_date", year_partition).select("suburb", measure, *extra)
     snap = snap.dropna(subset=[measure])
     # Keep-first per suburb as an aggregate (partial aggregation, no window).
     first = keep_greatest(snap, "suburb", [measure, *extra])
     return top_k(first, measure, k, "suburb")
 
 
-def top_schools(mart: DataFrame, k: int = TOP_N) -> DataFrame:
+def top_schools(mart: DataFrame, k: int = TOP_N, year_partition: str | None = None) -> DataFrame:
     """RPT-4: latest snapshot, one row per suburb, top k by mean school EQI."""
-    return _latest_top(mart, "avg_eqi_index", ["school_count"], k)
+    return _latest_top(mart, "avg_eqi_index", ["school_count"], k, year_partition)
 
 
-def top_amenity(mart: DataFrame, k: int = TOP_N) -> DataFrame:
+def top_amenity(mart: DataFrame, k: int = TOP_N, year_partition: str | None = None) -> DataFrame:
     """RPT-5: latest snapshot, one row per suburb, top k by supermarket count."""
-    return _latest_top(mart, "supermarket_count", [], k)
+    return _latest_top(mart, "supermarket_count", [], k, year_partition)
 
 
-def yield_recent(mart: DataFrame, months: int = RECENT_MONTHS) -> DataFrame:
+def yield_recent(mart: DataFrame, months: int = RECENT_MONTHS, year_partition: str | None = None) -> DataFrame:
     """RPT-6: latest-window mean yield and price per suburb, NULL yield dropped, ranked."""
-    recent = latest_window(mart, "report_date", months).filter(F.col("suburb").isNotNull())
+    recent = latest_window(mart, "report_date", months, year_partition).filter(F.col("suburb").isNotNull())
     agg = recent.groupBy("suburb").agg(
         F.avg("gross_yield_pct").alias("gross_yield_pct"), F.avg("avg_sale_price").alias("avg_sale_price"))
     return agg.dropna(subset=["gross_yield_pct"]).orderBy(F.desc("gross_yield_pct"), "suburb")
