@@ -430,13 +430,12 @@ def q_coverage_unmatched(spark, sf_dir):
 
 
 @register("coverage_rate", O.build(f"""
-SELECT s.source, n.n_keys, n.n_keys - coalesce(u.n_unmatched, 0) AS n_matched,
-       coalesce(u.n_unmatched, 0) AS n_unmatched,
-       {O.rnd('(n.n_keys - coalesce(u.n_unmatched, 0)) / NULLIF(n.n_keys, 0)', 4)} AS match_rate
-FROM (VALUES ('census'), ('schools'), ('supermarkets')) s(source)
-CROSS JOIN (SELECT count(*) AS n_keys FROM mart_keys) n
-LEFT JOIN (SELECT source, count(*) AS n_unmatched FROM coverage_unmatched GROUP BY source) u
-  ON u.source = s.source""", ["mart_keys", "coverage_unmatched"]))
+SELECT source, n_keys, n_keys - n_unmatched AS n_matched, n_unmatched,
+       {O.rnd('(n_keys - n_unmatched) / NULLIF(n_keys, 0)', 4)} AS match_rate
+FROM (SELECT s.source, (SELECT count(*) FROM mart_keys) AS n_keys, coalesce(u.n_unmatched, 0) AS n_unmatched
+      FROM (VALUES ('census'), ('schools'), ('supermarkets')) s(source)
+      LEFT JOIN (SELECT source, count(*) AS n_unmatched FROM coverage_unmatched GROUP BY source) u
+        ON u.source = s.source) t""", ["mart_keys", "coverage_unmatched"]))
 def q_coverage_rate(spark, sf_dir):
     from tussock.operators.quality import match_rates
     _, keys, sources = _coverage_inputs(spark, sf_dir)
