@@ -85,3 +85,29 @@ def dashboard(mart: DataFrame, selection: list[str] | None = None) -> dict[str,
         "yield_3m": reports.yield_recent(mart, year_partition=part),
         "peak_to_trough": reports.peak_to_trough(cycle),
     }
+
+
+def land_testdata(spark: SparkSession, sf_dir: str, landing_root: str) -> dict[str, int]:
+    """Write the test-data landing frames as landing tables (explicit schemas,
+    audit column, full replace). Returns rows written per source."""
+    from tussock.sources.landing import LANDING_SCHEMAS, conform
+    from tussock.sources.sinks import write_landing
+
+    names = {"prices": "suburb_prices", "rates": "interest_rates", "census": "census", "schools": "schools",
+             "supermarkets": "supermarkets", "stops": "transit_stops"}
+    landing = stg.Landing.from_testdata(spark, sf_dir)
+    counts = {}
+    for attr, table in names.items():
+        frame = conform(getattr(landing, attr), LANDING_SCHEMAS[table]).drop("ingested_at")
+        counts[table] = write_landing(frame, os.path.join(landing_root, table))
+    return counts
+
+
+def write_reports(mart: DataFrame, out_root: str, selection: list[str] | None = None) -> dict[str, str]:
+    """Materialise every report frame as a small serving table."""
+    paths = {}
+    for name, frame in dashboard(mart, selection).items():
+        path = os.path.join(out_root, f"report_{name}")
+        frame.write.mode("overwrite").parquet(path)
+        paths[name] = path
+    return paths
