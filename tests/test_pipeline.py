@@ -52,3 +52,15 @@ def test_cli_land_build_report_matches_direct_mart(spark, tmp_dir):
         sorted(map(tuple, direct.collect()), key=str)
     reports = main(["report", "--out", out, "--suburb", "Mt 1"], spark=spark)
     assert spark.read.parquet(reports["index_over_time"]).count() > 0
+
+
+def test_price_filter_and_pruning_reach_the_landing_scan(spark, tmp_dir):
+    from tussock.sources.landing import SourceRegistry
+    pipeline.land_testdata(spark, SF_SMALL, tmp_dir)
+    mart = marts.affordability_mart(Landing.from_registry(SourceRegistry(spark, tmp_dir)))
+    plan = mart._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "suburb_prices" in line)
+    assert "GreaterThanOrEqual(avg_sale_price,200000.0)" in scan
+    assert "LessThanOrEqual(avg_sale_price,5000000.0)" in scan
+    read_schema = scan[scan.index("ReadSchema"):]
+    assert "district" not in read_schema and "ingested_at" not in read_schema
