@@ -58,7 +58,11 @@ def test_price_filter_and_pruning_reach_the_landing_scan(spark, tmp_dir):
     from tussock.sources.landing import SourceRegistry
     pipeline.land_testdata(spark, SF_SMALL, tmp_dir)
     mart = marts.affordability_mart(Landing.from_registry(SourceRegistry(spark, tmp_dir)))
-    plan = mart._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        plan = mart._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
     scan = next(line for line in plan.splitlines() if "FileScan" in line and "suburb_prices" in line)
     assert "GreaterThanOrEqual(avg_sale_price,200000.0)" in scan
     assert "LessThanOrEqual(avg_sale_price,5000000.0)" in scan
