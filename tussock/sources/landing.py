@@ -108,28 +108,32 @@ def read_census_file(spark: SparkSession, path: str, keep: list[str] | None = No
     return df.select(*(keep or CENSUS_FILE_COLUMNS))
 
 
-def read_headerless(spark: SparkSession, path: str, n_cols: int, skip_rows: int = 0) -> DataFrame:
+def read_headerless(spark: SparkSession, path: str, n_cols: int) -> DataFrame:
     """Headerless spreadsheet export as text columns ``_c0 .. _c{n-1}``.
 
     Preamble rows are not dropped by position (that would need an ordered,
     single-reader scan); callers drop them by content, e.g. rows whose first
-    column is not a date. ``skip_rows`` is accepted for documentation only.
+    column does not parse as a date.
     """
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(n_cols)])
     return spark.read.schema(schema).option("header", False).csv(path)
 
 
 def preamble_dictionary(spark: SparkSession, path: str, n_rows: int = 5) -> DataFrame:
-    """Column dictionary from the first rows of a headerless file:
-    (column index, first-row label, second-row label)."""
-    lines = spark.read.text(path).limit(n_rows)
-    cells = lines.select(F.posexplode(F.split(F.col("value"), ",")).alias("col_idx", "cell"),
-                         F.monotonically_increasing_id().alias("row_id"))
-    first = cells.groupBy("col_idx").agg(F.min_by("cell", "row_id").alias("label_0"))
-    second = (cells.join(cells.groupBy("col_idx").agg(F.min("row_id").alias("r0")), "col_idx")
-              .filter(F.col("row_id") > F.col("r0"))
-              .groupBy("col_idx").agg(F.min_by("cell", "row_id").alias("label_1")))
-    return first.join(second, "col_idx", "left").orderBy("col_idx")
+    """Column dictionary from the first lines of a headerless file:
+    (column index, first-line label, second-line label).
+
+    Only the first ``n_rows`` lines are read (a limit on one file keeps file
+    order), so the per-column lists are bounded by ``n_rows``.
+    """
+    lines = spark.read.text(path).limit(n_rows).withColumn("line_no", F.monotonically_increasing_id())
+    cells = lines.select("line_no", F.posexplode(F.split(F.col("value"), ",")).alias("col_idx", "cell"))
+    per_col = cells.groupBy("col_idx").agg(F.sort_array(F.collect_list(F.struct("line_no", "cell"))).alias("c"))
+    return per_col.select(
+        "col_idx",
+        F.col("c")[0]["cell"].alias("label_0"),
+        F.try_element_at(F.col("c"), F.lit(2))["cell"].alias("label_1"),
+    ).orderBy("col_idx")
 
 
 def read_json_records(spark: SparkSession, path: str, array_path: str, schema: T.StructType | None = None,
