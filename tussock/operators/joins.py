@@ -11,8 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimensions in this domain are one row per suburb, month or grid cell.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# Dimensions in this domain are one row per suburb, month or grid cell. Rows
+# broadcast here are narrow (keys, two coordinates, a name: ~100 bytes), so
+# 500k rows is ~50 MB per executor copy, in line with the adaptive broadcast
+# threshold set in ``session.py``.
+DEFAULT_MAX_BROADCAST_ROWS = 500_000
 
 
 def is_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
