@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tussock.functions.metrics import FLAG_OK, affordability_index, price_is_ok, price_to_income_ratio
+from tussock.functions.metrics import affordability_index, price_is_ok, price_to_income_ratio
 from tussock.functions.names import suburb_key
 from tussock.functions.scores import (
     WALK_RADIUS_KM, amenity_score, liveability_score, school_score, transit_score,

@@ -13,9 +13,7 @@ from __future__ import annotations
 
 from tussock.functions.geo import haversine_sql
 from tussock.functions.names import PARENT_NAME_SUFFIXES, SUPERMARKET_SUBURB_ALIASES
-from tussock.sources.ingest import (
-    AUCKLAND_PLACE_NAMES, CENSUS_TARGET_METRICS, RATE_PATCH_ROWS,
-)
+from tussock.sources.ingest import CENSUS_TARGET_METRICS, RATE_PATCH_ROWS
 
 
 def rnd(expr: str, n: int) -> str:
@@ -36,7 +34,6 @@ _ALIAS_CASE = (
     + " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in SUPERMARKET_SUBURB_ALIASES.items())
     + " ELSE lower(trim(suburb)) END"
 )
-_KEY = "replace(lower(trim(suburb)), 'mt ', 'mount ')"
 
 # name -> (dependencies, SELECT body)
 BLOCKS: dict[str, tuple[list[str], str]] = {}
@@ -290,7 +287,6 @@ def build(final_select: str, needs: list[str]) -> str:
     return f"WITH {ctes}\n{final_select.strip()}"
 
 
-__all__ = ["BLOCKS", "build", "rnd", "AUCKLAND_PLACE_NAMES", "RATE_PATCH_ROWS"]
 
 
 # ----------------------------------------------------- source-job blocks ---
