@@ -493,3 +493,44 @@ def q_stops_near_schools(spark, sf_dir):
     centres = schools.select("school_id", F.col("lat").alias("centroid_lat"), F.col("lon").alias("centroid_lon"))
     return count_within_distance(centres, stg.stg_stops(l.stops), WALK_RADIUS_KM, centre_key="school_id",
                                  point_id="stop_id", out_col="stops_800m")
+
+
+# ------------------------------------------------------ more reports / DQ ---
+
+@register("report_suburb_choices", O.build(
+    "SELECT DISTINCT suburb FROM mart_aff WHERE suburb IS NOT NULL ORDER BY suburb", ["mart_aff"]))
+def q_suburb_choices(spark, sf_dir):
+    from tussock.plans.reports import suburb_choices
+    return suburb_choices(_mart(spark, sf_dir, shared=False))
+
+
+@register("report_header", O.build("""
+SELECT count(DISTINCT suburb) AS n_suburbs, strftime(max(report_date), '%b %Y') AS latest_month
+FROM mart_aff""", ["mart_aff"]))
+def q_header(spark, sf_dir):
+    from tussock.plans.reports import latest_label
+    return latest_label(_mart(spark, sf_dir, shared=False))
+
+
+@register("dq_null_price_rows", O.build("""
+SELECT * FROM stg_prices WHERE avg_sale_price IS NULL""", ["stg_prices"]))
+def q_null_price_rows(spark, sf_dir):
+    from tussock.operators.quality import null_rows
+    return null_rows(stg.stg_prices(td.a_prices(spark, sf_dir)), ["avg_sale_price"])
+
+
+@register("rate_sheet_rejects", O.build("""
+SELECT _c0, _c1, _c7, _c9, _c17,
+       CASE WHEN TRY_CAST(_c0 AS TIMESTAMP) IS NULL THEN 'bad_date'
+            WHEN TRY_CAST(trim(_c1) AS DOUBLE) IS NULL THEN 'bad_ocr_rate' END AS reject_reason
+FROM a_rate_sheet
+WHERE TRY_CAST(_c0 AS TIMESTAMP) IS NULL OR TRY_CAST(trim(_c1) AS DOUBLE) IS NULL""", ["a_rate_sheet"]))
+def q_rate_rejects(spark, sf_dir):
+    """Rate-sheet rows that fail coercion, with the first failing reason (the
+    accepted rows are what ``positional_projection`` keeps)."""
+    from tussock.functions.cleaning import coerce_double, try_landing_date
+    from tussock.operators.quality import split_rejects
+    sheet = td.a_rate_sheet(spark, sf_dir).select("_c0", "_c1", "_c7", "_c9", "_c17")
+    _, rejects = split_rejects(sheet, {"bad_date": try_landing_date("_c0").isNotNull(),
+                                       "bad_ocr_rate": coerce_double("_c1").isNotNull()})
+    return rejects
