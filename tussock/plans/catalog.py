@@ -297,7 +297,7 @@ REPORT_SELECTION = ["Ponsonby", "Remuera", "Avondale", "Manurewa", "Mt 1", "Mt 4
 
 
 @register("report_index_over_time", O.build(f"""
-SELECT report_date, suburb, avg(affordability_index) AS affordability_index
+SELECT report_date, suburb, {O.dmean('affordability_index')} AS affordability_index
 FROM mart_aff
 WHERE suburb IN {O._in_list(REPORT_SELECTION)} AND report_date IS NOT NULL
 GROUP BY report_date, suburb""", ["mart_aff"]))
@@ -307,8 +307,8 @@ def q_index_over_time(spark, sf_dir):
     return index_over_time(_mart(spark, sf_dir), wanted)
 
 
-@register("report_price_to_income_3m", O.build("""
-SELECT suburb, avg(price_to_income_ratio) AS price_to_income_ratio
+@register("report_price_to_income_3m", O.build(f"""
+SELECT suburb, {O.dmean('price_to_income_ratio')} AS price_to_income_ratio
 FROM recent WHERE suburb IS NOT NULL GROUP BY suburb
 HAVING avg(price_to_income_ratio) IS NOT NULL""", ["recent"]))
 def q_pti_3m(spark, sf_dir):
@@ -346,8 +346,8 @@ def q_top_amenity(spark, sf_dir):
     return top_amenity(_mart(spark, sf_dir))
 
 
-@register("report_yield_3m", O.build("""
-SELECT suburb, avg(gross_yield_pct) AS gross_yield_pct, avg(avg_sale_price) AS avg_sale_price
+@register("report_yield_3m", O.build(f"""
+SELECT suburb, {O.dmean('gross_yield_pct')} AS gross_yield_pct, avg(avg_sale_price) AS avg_sale_price
 FROM recent WHERE suburb IS NOT NULL GROUP BY suburb
 HAVING avg(gross_yield_pct) IS NOT NULL""", ["recent"]))
 def q_yield_3m(spark, sf_dir):

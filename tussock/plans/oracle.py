@@ -20,6 +20,11 @@ def rnd(expr: str, n: int) -> str:
     return f"CAST(round(CAST({expr} AS DECIMAL(38,9)), {n}) AS DOUBLE)"
 
 
+def dmean(expr: str) -> str:
+    """Mean over exact decimals, ten decimals, as double (see reports.exact_mean)."""
+    return f"CAST(round(avg(CAST({expr} AS DECIMAL(38,6))), 10) AS DOUBLE)"
+
+
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -336,8 +341,8 @@ UNION ALL
 SELECT 'supermarkets' AS source, suburb_key FROM mart_keys
 WHERE suburb_key NOT IN (SELECT suburb FROM stg_supermarkets WHERE suburb IS NOT NULL)""")
 
-block("rate_cycle", ["mart_aff"], """
-SELECT report_date, avg(avg_sale_price) AS avg_sale_price, avg(ocr_rate) AS ocr_rate
+block("rate_cycle", ["mart_aff"], f"""
+SELECT report_date, avg(avg_sale_price) AS avg_sale_price, {dmean('ocr_rate')} AS ocr_rate
 FROM mart_aff WHERE report_date IS NOT NULL GROUP BY report_date""")
 
 block("recent", ["mart_aff"], """

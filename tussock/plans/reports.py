@@ -13,6 +13,15 @@ from pyspark.sql import functions as F
 
 from tussock.operators.windows import keep_greatest, latest_snapshot, latest_window, top_k
 
+def exact_mean(col: str) -> F.Column:
+    """Mean of a measure with at most six decimals (ratios, rates, percents),
+    summed as DECIMAL: the sum is exact, so the result does not depend on the
+    order in which partial sums arrive from tasks (a distributed double sum
+    does, in the last bit). Returned as double with ten decimals. Means of
+    integer-valued measures (rounded prices) are exact as doubles already."""
+    return F.avg(F.col(col).cast("decimal(38,6)")).cast("double")
+
+
 # --- Fixed values (dashboard defaults) ---
 DEFAULT_SUBURBS = ["Ponsonby", "Remuera", "Avondale", "Manurewa"]
 RECENT_MONTHS = 3
@@ -35,20 +44,20 @@ def index_over_time(mart: DataFrame, wanted: DataFrame) -> DataFrame:
     """RPT-1: mean affordability index per (date, suburb) for the selected suburbs."""
     sel = selected_suburbs(mart, wanted)
     rows = mart.join(F.broadcast(sel), "suburb", "left_semi").filter(F.col("report_date").isNotNull())
-    return rows.groupBy("report_date", "suburb").agg(F.avg("affordability_index").alias("affordability_index"))
+    return rows.groupBy("report_date", "suburb").agg(exact_mean("affordability_index").alias("affordability_index"))
 
 
 def price_to_income_recent(mart: DataFrame, months: int = RECENT_MONTHS, year_partition: str | None = None) -> DataFrame:
     """RPT-2: latest-window mean price-to-income per suburb, NULL means dropped, ranked."""
     recent = latest_window(mart, "report_date", months, year_partition).filter(F.col("suburb").isNotNull())
-    agg = recent.groupBy("suburb").agg(F.avg("price_to_income_ratio").alias("price_to_income_ratio"))
+    agg = recent.groupBy("suburb").agg(exact_mean("price_to_income_ratio").alias("price_to_income_ratio"))
     return agg.dropna(subset=["price_to_income_ratio"]).orderBy(F.desc("price_to_income_ratio"), "suburb")
 
 
 def rate_cycle(mart: DataFrame) -> DataFrame:
     """RPT-3: mean sale price and mean policy rate per date."""
     return (mart.filter(F.col("report_date").isNotNull()).groupBy("report_date")
-            .agg(F.avg("avg_sale_price").alias("avg_sale_price"), F.avg("ocr_rate").alias("ocr_rate")))
+            .agg(F.avg("avg_sale_price").alias("avg_sale_price"), exact_mean("ocr_rate").alias("ocr_rate")))
 
 
 def _latest_top(mart: DataFrame, measure: str, extra: list[str], k: int, year_partition: str | None = None) -> DataFrame:
@@ -73,7 +82,7 @@ def yield_recent(mart: DataFrame, months: int = RECENT_MONTHS, year_partition: s
     """RPT-6: latest-window mean yield and price per suburb, NULL yield dropped, ranked."""
     recent = latest_window(mart, "report_date", months, year_partition).filter(F.col("suburb").isNotNull())
     agg = recent.groupBy("suburb").agg(
-        F.avg("gross_yield_pct").alias("gross_yield_pct"), F.avg("avg_sale_price").alias("avg_sale_price"))
+        exact_mean("gross_yield_pct").alias("gross_yield_pct"), F.avg("avg_sale_price").alias("avg_sale_price"))
     return agg.dropna(subset=["gross_yield_pct"]).orderBy(F.desc("gross_yield_pct"), "suburb")
 
 
