@@ -181,3 +181,13 @@ def test_price_pages_to_landing(spark):
                    (2025, "march", "2025-03-01 00:00:00", "West", "Swanson")]
     flags = sorted(r.data_quality_flag for r in stg_prices(landed).collect())
     assert flags == ["missing_price", "ok", "ok"]
+
+
+def test_text_envelope_result_records(spark):
+    from tussock.sources.payloads import envelope_schema, flatten_envelope
+    record = T.StructType([T.StructField("School_Id", T.LongType()), T.StructField("Org_Name", T.StringType())])
+    df = spark.createDataFrame([(1, '{"result":{"records":[{"School_Id":7,"Org_Name":"A"},{"School_Id":8,"Org_Name":"B"}]}}'),
+                                (2, '{"result":{"records":[]}}')], "batch int, payload string")
+    out = flatten_envelope(df, "payload", envelope_schema(record, "records", outer="result"), "result.records",
+                           keep=["batch"])
+    assert sorted((r.batch, r.School_Id, r.Org_Name) for r in out.collect()) == [(1, 7, "A"), (1, 8, "B")]
