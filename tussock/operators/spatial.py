@@ -120,14 +120,15 @@ def count_within_distance(
 ) -> DataFrame:
     """Per centre, COUNT(point_id) of points within the radius; 0 when none.
 
-    Counts are aggregated per centre (partial aggregation before the shuffle)
-    and joined back to the centres, which keeps centres without points.
+    No join back to the centres: every matching pair contributes 1 (0 for a
+    NULL point id, as COUNT(col) skips NULLs), every centre contributes one 0
+    row, and a single aggregation sums them. Partial aggregation runs before
+    the shuffle, and a NULL centre key is its own group, as in GROUP BY.
     """
     keys = centres.select(centre_key, kw.get("centre_lat", "centroid_lat"), kw.get("centre_lon", "centroid_lon"))
     pairs = within_distance(keys, points.select(point_id, kw.get("point_lat", "lat"), kw.get("point_lon", "lon")),
                             radius_km, **kw)
-    counts = pairs.groupBy(F.col(centre_key).alias("_k")).agg(F.count(point_id).alias(out_col))
-    base = centres.select(centre_key)
-    # Null-safe key match so a NULL-named centre keeps its count, as GROUP BY does.
-    joined = base.join(counts, base[centre_key].eqNullSafe(counts["_k"]), how="left")
-    return joined.select(centre_key, F.coalesce(F.col(out_col), F.lit(0)).alias(out_col))
+    hits = pairs.select(centre_key, F.when(F.col(point_id).isNotNull(), F.lit(1)).otherwise(F.lit(0)).alias("_n"))
+    zeros = centres.select(centre_key, F.lit(0).alias("_n"))
+    return (hits.unionByName(zeros).groupBy(centre_key)
+            .agg(F.sum("_n").cast("long").alias(out_col)))
