@@ -62,6 +62,8 @@ def get_spark(
         # Rows sent to Python workers per Arrow batch; pages are large records.
         "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
         "spark.sql.parquet.filterPushdown": "true",
+        # Remove checkpoint files once the checkpointed DataFrame is unreachable.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
