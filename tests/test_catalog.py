@@ -52,3 +52,14 @@ def test_mart_final_plan_broadcasts_dimensions(spark):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") >= 4
+
+
+SPARK_TO_DUCKDB = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                   "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_column_types_match_oracle(spark, con, name):
+    got = {f.name: f.dataType.simpleString() for f in entry.queries()[name](spark, SF).schema.fields}
+    want = {r[0]: r[1] for r in con.execute(f"DESCRIBE {entry.oracle_sql()[name]}").fetchall()}
+    assert {c: SPARK_TO_DUCKDB.get(t, t) for c, t in got.items()} == want
