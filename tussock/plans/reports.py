@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tussock.operators.joins import bounded_broadcast
 from tussock.operators.windows import keep_greatest, latest_snapshot, latest_window, top_k
 
 def exact_mean(col: str) -> F.Column:
@@ -43,7 +44,8 @@ def selected_suburbs(mart: DataFrame, wanted: DataFrame) -> DataFrame:
 def index_over_time(mart: DataFrame, wanted: DataFrame) -> DataFrame:
     """RPT-1: mean affordability index per (date, suburb) for the selected suburbs."""
     sel = selected_suburbs(mart, wanted)
-    rows = mart.join(F.broadcast(sel), "suburb", "left_semi").filter(F.col("report_date").isNotNull())
+    # The selection is broadcast only after a row-count check (it is a user list).
+    rows = mart.join(bounded_broadcast(sel), "suburb", "left_semi").filter(F.col("report_date").isNotNull())
     return rows.groupBy("report_date", "suburb").agg(exact_mean("affordability_index").alias("affordability_index"))
 
 

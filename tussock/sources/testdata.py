@@ -34,7 +34,7 @@ def a_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("o_totalprice") * 12
     return (
         o.join(c, o.o_custkey == c.c_custkey)
-        .join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey)
+        .join(n, F.col("c_nationkey") == n.n_nationkey)
         .select(
             F.replace(F.col("n_name"), F.lit("NATION_"), F.lit("Mt ")).alias("suburb"),
             F.col("c_mktsegment").alias("district"),
