@@ -59,8 +59,10 @@ def contains_matches(df: DataFrame, text_col: str, keywords: DataFrame, kw_col:
     kw = (keywords.select(F.col(kw_col)).filter(F.col(kw_col).isNotNull() & (F.length(kw_col) > 0))
           .distinct())
     if is_bounded(kw, max_broadcast_keywords):
-        cond = F.lower(F.col(text_col)).contains(F.lower(F.col(kw_col)))
-        return df.join(F.broadcast(kw), cond, "inner")
+        # Lower-case each side once, not once per (row, keyword) pair.
+        low = df.withColumn("_low", F.lower(F.col(text_col)))
+        kwl = kw.withColumn("_kwl", F.lower(F.col(kw_col)))
+        return low.join(F.broadcast(kwl), F.col("_low").contains(F.col("_kwl")), "inner").drop("_low", "_kwl")
     kwl = kw.withColumn("_sub", F.lower(F.col(kw_col))).withColumn("_len", F.length("_sub"))
     lengths = kwl.agg(F.array_sort(F.collect_set("_len"))).scalar()
     # Match each distinct text once, then join the (text, keyword) pairs back on the text.
@@ -76,8 +78,9 @@ def semi_join_contains(df: DataFrame, text_col: str, keywords: DataFrame, kw_col
     kw = (keywords.select(F.col(kw_col)).filter(F.col(kw_col).isNotNull() & (F.length(kw_col) > 0))
           .distinct())
     if is_bounded(kw, max_broadcast_keywords):
-        cond = F.lower(F.col(text_col)).contains(F.lower(F.col(kw_col)))
-        return df.join(F.broadcast(kw), cond, "left_semi")
+        low = df.withColumn("_low", F.lower(F.col(text_col)))
+        kwl = kw.select(F.lower(F.col(kw_col)).alias("_kwl")).distinct()
+        return low.join(F.broadcast(kwl), F.col("_low").contains(F.col("_kwl")), "left_semi").drop("_low")
     kwl = kw.select(F.lower(F.col(kw_col)).alias("_sub")).distinct().withColumn("_len", F.length("_sub"))
     lengths = kwl.agg(F.array_sort(F.collect_set("_len"))).scalar()
     # Match each distinct text once, then semi-join the rows on the matched texts.
