@@ -60,13 +60,17 @@ def build(spark: SparkSession, landing: stg.Landing, out_root: str,
     return res
 
 
-def read_affordability(spark: SparkSession, path: str, keep_partition: bool = False) -> DataFrame:
+def read_affordability(spark: SparkSession, path: str, keep_partition: bool = False,
+                       cache: bool = False) -> DataFrame:
     """Stored mart with lower-case names; the ``report_year`` partition column
-    is dropped unless ``keep_partition`` (reports use it to prune files)."""
+    is dropped unless ``keep_partition`` (reports use it to prune files).
+    ``cache=True`` keeps it in executor memory for a session serving many
+    reports (a lost block is re-read from the parquet files)."""
     df = spark.read.parquet(path)
     if not keep_partition:
         df = df.drop("report_year")
-    return df.toDF(*[c.lower() for c in df.columns])
+    df = df.toDF(*[c.lower() for c in df.columns])
+    return df.cache() if cache else df
 
 
 def dashboard(mart: DataFrame, selection: list[str] | None = None) -> dict[str, DataFrame]:
