@@ -70,3 +70,34 @@ def test_patch_union_invariants(spark, base, patch):
     rows = [(r.date, r.v) for r in patch_union(b, p).collect()]
     cut = min(patch)
     assert sorted(rows) == sorted([(d, 0) for d in base if d < cut] + [(d, 1) for d in patch])
+
+
+short_text = st.text(alphabet="abAB c-", min_size=0, max_size=12)
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), short_text), min_size=1, max_size=25),
+       st.lists(st.text(alphabet="abAB c-", min_size=1, max_size=4), min_size=1, max_size=6))
+def test_contains_paths_match_model(spark, texts, keywords):
+    from tussock.operators.textmatch import contains_matches, semi_join_contains
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    kw = spark.createDataFrame([(k,) for k in keywords], "k string")
+    want_pairs = {(i, k) for i, t in enumerate(texts) if t is not None for k in set(keywords)
+                  if k.lower() in t.lower()}
+    want_ids = sorted({i for i, _ in want_pairs})
+    for bound in (10_000, 0):                     # broadcast path, then exact equi-join path
+        pairs = {(r.id, r.k) for r in contains_matches(df, "t", kw, "k", max_broadcast_keywords=bound).collect()}
+        ids = sorted(r.id for r in semi_join_contains(df, "t", kw, "k", max_broadcast_keywords=bound).collect())
+        assert pairs == want_pairs, bound
+        assert ids == want_ids, bound
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.one_of(st.none(), st.integers(0, 3)),
+                          st.integers(0, 3)), min_size=1, max_size=30))
+def test_keep_greatest_matches_window_form(spark, rows):
+    from tussock.operators.windows import keep_first, keep_greatest
+    df = spark.createDataFrame(rows, "k string, m int, n int")
+    agg = sorted(tuple(r) for r in keep_greatest(df, "k", ["m", "n"]).collect())
+    win = sorted(tuple(r) for r in keep_first(df, "k", [F.desc_nulls_last("m"), F.desc_nulls_last("n")]).collect())
+    assert agg == win
