@@ -191,3 +191,10 @@ def test_text_envelope_result_records(spark):
     out = flatten_envelope(df, "payload", envelope_schema(record, "records", outer="result"), "result.records",
                            keep=["batch"])
     assert sorted((r.batch, r.School_Id, r.Org_Name) for r in out.collect()) == [(1, 7, "A"), (1, 8, "B")]
+
+
+def test_rate_sheet_with_day_first_dates(spark):
+    row = ["31/01/2001", "6.5"] + ["0"] * 5 + ["6.1", "0", "5.9"] + ["0"] * 7 + ["6.3"]
+    raw = spark.createDataFrame([row, ["Series"] + ["x"] * 17], ", ".join(f"_c{i} string" for i in range(18)))
+    got = [tuple(r) for r in rates_from_positions(raw, "dd/MM/yyyy").collect()]
+    assert got == [(dt.date(2001, 1, 31), 6.5, 6.1, 5.9, 6.3)]

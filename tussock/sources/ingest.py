@@ -131,19 +131,16 @@ def census_funnel(raw: DataFrame, places: list[str] | DataFrame = AUCKLAND_PLACE
     return wide.selectExpr(f"stack({len(names)}, {stack}) as (step_no, step, row_count)")
 
 
-def place_keywords_from_table(names: DataFrame, col: str) -> DataFrame:
-    return names.select(F.col(col).alias("keyword")).filter(F.col("keyword").isNotNull()).distinct()
-
-
 # ----------------------------------------------------------------- rates ---
 
-def rates_from_positions(raw: DataFrame) -> DataFrame:
+def rates_from_positions(raw: DataFrame, date_format: str | None = None) -> DataFrame:
     """Headerless rate file: pick columns by position, coerce the date (preamble
-    and footnote rows become NULL and are dropped), coerce the numbers."""
+    and footnote rows become NULL and are dropped), coerce the numbers.
+    ``date_format`` (e.g. ``'dd/MM/yyyy'``) when the export does not use ISO dates."""
     cols = raw.columns
     picked = raw.select(*[F.col(f"`{cols[i]}`").alias(n) for i, n in zip(RATE_FILE_POSITIONS, RATE_COLUMNS)])
     return picked.select(
-        try_landing_date("date").alias("date"),
+        try_landing_date("date", date_format).alias("date"),
         *[coerce_double(c).alias(c) for c in RATE_COLUMNS[1:]],
     ).filter(F.col("date").isNotNull())
 
