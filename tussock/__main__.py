@@ -1,5 +1,7 @@
 """Command line: land test data, build marts from landing tables, write reports.
 
+  python -m tussock ingest SOURCE --file PATH --landing ROOT [...]
+      SOURCE: rates | census | supermarkets | stops | schools | prices
   python -m tussock land   --sf /root/testdata/sf0.01 --landing ROOT
   python -m tussock build  --landing ROOT --out ROOT [--disable liveability]
   python -m tussock report --out ROOT [--suburb NAME ...]
@@ -25,6 +27,13 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
 
     ap = argparse.ArgumentParser(prog="tussock")
     sub = ap.add_subparsers(dest="cmd", required=True)
+    p_ing = sub.add_parser("ingest")
+    p_ing.add_argument("source", choices=["rates", "census", "supermarkets", "stops", "schools", "prices"])
+    p_ing.add_argument("--file", required=True)
+    p_ing.add_argument("--landing", required=True)
+    p_ing.add_argument("--date-format", default=None)
+    p_ing.add_argument("--start-year", type=int, default=None)
+    p_ing.add_argument("--end-year", type=int, default=None)
     p_land = sub.add_parser("land")
     p_land.add_argument("--sf", required=True)
     p_land.add_argument("--landing", required=True)
@@ -38,7 +47,20 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     args = ap.parse_args(argv)
 
     spark = spark or get_spark()
-    if args.cmd == "land":
+    if args.cmd == "ingest":
+        from tussock.sources import jobs
+        if args.source == "rates":
+            n = jobs.ingest_rates_file(spark, args.file, args.landing, args.date_format)
+        elif args.source == "prices":
+            if args.start_year is None or args.end_year is None:
+                ap.error("prices needs --start-year and --end-year")
+            n = jobs.ingest_price_pages_file(spark, args.file, args.landing, args.start_year, args.end_year)
+        else:
+            fn = {"census": jobs.ingest_census_file, "supermarkets": jobs.ingest_supermarkets_file,
+                  "stops": jobs.ingest_stops_file, "schools": jobs.ingest_schools_file}[args.source]
+            n = fn(spark, args.file, args.landing)
+        result = {args.source: n}
+    elif args.cmd == "land":
         result = pipeline.land_testdata(spark, args.sf, args.landing)
     elif args.cmd == "build":
         landing = Landing.from_registry(SourceRegistry(spark, args.landing))
