@@ -198,3 +198,12 @@ def test_rate_sheet_with_day_first_dates(spark):
     raw = spark.createDataFrame([row, ["Series"] + ["x"] * 17], ", ".join(f"_c{i} string" for i in range(18)))
     got = [tuple(r) for r in rates_from_positions(raw, "dd/MM/yyyy").collect()]
     assert got == [(dt.date(2001, 1, 31), 6.5, 6.1, 5.9, 6.3)]
+
+
+def test_json_lines_envelopes(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "pages.jsonl")
+    with open(path, "w") as f:
+        for batch in range(3):
+            f.write(json.dumps({"data": [{"attributes": {"stop_id": f"s{batch}{i}"}} for i in range(2)]}) + "\n")
+    rows = read_json_records(spark, path, "data", inner="attributes", multiline=False)
+    assert sorted(r.stop_id for r in rows.collect()) == ["s00", "s01", "s10", "s11", "s20", "s21"]

@@ -137,14 +137,17 @@ def preamble_dictionary(spark: SparkSession, path: str, n_rows: int = 5) -> Data
 
 
 def read_json_records(spark: SparkSession, path: str, array_path: str, schema: T.StructType | None = None,
-                      inner: str | None = None) -> DataFrame:
+                      inner: str | None = None, multiline: bool = True) -> DataFrame:
     """JSON API payload -> one row per record.
 
     ``array_path`` is the dotted path of the record array (``data`` or
     ``result.records``); ``inner`` the member holding the fields
-    (``attributes``) if records are wrapped.
+    (``attributes``) if records are wrapped. A multi-line JSON file cannot be
+    split, so each file is one task: right for API responses (one envelope per
+    file, many files in parallel). Bulk exports should be JSON Lines, one
+    envelope per line (``multiline=False``), which splits like any text file.
     """
-    reader = spark.read.option("multiLine", True)
+    reader = spark.read.option("multiLine", multiline)
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.json(path)
