@@ -56,7 +56,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet table ``<sf_dir>/<name>.parquet``. The (lazy) DataFrame is reused
     per session and path so the footer/schema is resolved once on the driver."""
     path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (id(spark._jsparkSession), path)
+    key = (id(getattr(spark, "_jsparkSession", spark)), path)
     df = _READ_CACHE.get(key)
     if df is None:
         df = _READ_CACHE[key] = spark.read.parquet(path)
