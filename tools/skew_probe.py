@@ -10,6 +10,9 @@ of the largest stage (from the event log in a scratch folder):
   shuffle        both sides shuffled on the cell; adaptive skew splitting only
   shuffle_salt   as above plus salting of the point side
 
+and, separately, the (suburb, month) price aggregation with a third of all
+(replicated) price rows in one suburb.
+
 usage: python tools/skew_probe.py [sf_dir] [--copies N] [--salt S]
 """
 
@@ -61,6 +64,25 @@ def stage_skew(log_dir):
     return {g: v[:3] for g, v in out.items()}
 
 
+def shuffle_records(log_dir):
+    """group -> shuffle records written by each of its shuffle-writing stages, in order."""
+    stage_group, per_stage = {}, {}
+    for ev in _events(log_dir):
+        if ev.get("Event") == "SparkListenerJobStart":
+            for sid in ev.get("Stage IDs", []):
+                stage_group[sid] = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+        elif ev.get("Event") == "SparkListenerTaskEnd":
+            m = (ev.get("Task Metrics") or {}).get("Shuffle Write Metrics") or {}
+            sid = ev.get("Stage ID")
+            per_stage[sid] = per_stage.get(sid, 0) + m.get("Shuffle Records Written", 0)
+    out = {}
+    for sid in sorted(per_stage):
+        g = stage_group.get(sid)
+        if g and per_stage[sid]:
+            out.setdefault(g, []).append(per_stage[sid])
+    return out
+
+
 def stage_tasks(log_dir):
     stage_group, tasks = {}, {}
     for ev in _events(log_dir):
@@ -116,7 +138,27 @@ def main():
             total = df.agg(F.sum("n").alias("s"), F.count(F.lit(1)).alias("c")).first()
             result[name] = {"sec": round(time.perf_counter() - t0, 2), "pairs": total.s, "centres": total.c}
     result["points"] = points.count()
+
+    # Hot suburb: a third of all price rows (prices replicated --copies times)
+    # in one suburb; the (suburb, month) aggregation combines map-side first.
+    from tussock.plans.marts import property_by_suburb_month
+    prices = stg.stg_prices(land.prices)
+    many = prices.select(F.explode(F.sequence(F.lit(0), F.lit(args.copies - 1))).alias("copy"), "*")
+    hot_suburb = (F.xxhash64("district", "report_date", "avg_sale_price", "copy") % 3) == 0
+    many = many.withColumn("suburb", F.when(hot_suburb, F.lit("Hot Suburb")).otherwise(F.col("suburb"))).drop("copy")
+    many = many.repartition(16)           # stands in for 16 input files (the test table is one file)
+    for attempt in ("warm", "timed"):
+        spark.sparkContext.setJobGroup(f"hot_suburb_aggregate-{attempt}", "hot suburb")
+        t0 = time.perf_counter()
+        agg = property_by_suburb_month(many)
+        n = agg.count()
+        result["hot_suburb_aggregate"] = {"sec": round(time.perf_counter() - t0, 2), "groups": n,
+                                          "price_rows": None}
+    result["hot_suburb_aggregate"]["price_rows"] = many.count()
     spark.stop()
+    written = shuffle_records(log_dir)
+    # [rows redistributed into 16 splits, rows leaving the partial aggregation, count()]
+    result["hot_suburb_aggregate"]["shuffle_records_by_stage"] = written.get("hot_suburb_aggregate-timed")
     for group, (mx, med, n) in stage_skew(log_dir).items():
         name = group.rsplit("-", 1)[0]
         if group.endswith("-timed") and name in result:
