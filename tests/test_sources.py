@@ -207,3 +207,16 @@ def test_json_lines_envelopes(spark, tmp_dir):
             f.write(json.dumps({"data": [{"attributes": {"stop_id": f"s{batch}{i}"}} for i in range(2)]}) + "\n")
     rows = read_json_records(spark, path, "data", inner="attributes", multiline=False)
     assert sorted(r.stop_id for r in rows.collect()) == ["s00", "s01", "s10", "s11", "s20", "s21"]
+
+
+def test_census_name_probe_default_list(spark):
+    from tussock.sources.ingest import census_name_probe
+    rows = [("Median household income", "Statistical area 2", "Otara East", 2023, "Median", "1"),
+            ("Median household income", "Statistical area 2", "Te Atatu South-McLeod", 2023, "Median", "1"),
+            ("Median household income", "Statistical area 2", "Mangere Bridge", 2018, "Median", "1")]
+    raw = spark.createDataFrame(rows, "section_title string, classification_label string, descriptor string, "
+                                      "period int, value_type_description string, value string")
+    got = {(r.keyword, r.match) for r in census_name_probe(raw).collect()}
+    assert ("Otara", "Otara East") in got and ("Te Atatu South", "Te Atatu South-McLeod") in got
+    assert ("Mangere Bridge", "NOT FOUND") in got and ("Ranui", "NOT FOUND") in got
+    assert len(got) == 9

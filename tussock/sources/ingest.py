@@ -55,6 +55,12 @@ AUCKLAND_PLACE_NAMES = [
     "Torbay", "Tuakau", "Warkworth", "Waterview", "Wattle Downs",
     "West Harbour", "Westmere", "Weymouth",
 ]
+# Place names without an income match, probed against the census area names.
+MISSING_PLACE_NAMES = [
+    "Flat Bush", "Mangere", "Mangere Bridge",
+    "Otahuhu", "Otara", "Ranui",
+    "St Heliers", "Te Atatu Peninsula", "Te Atatu South",
+]
 SUPERMARKET_AUTHORITY = "Auckland"
 SUPERMARKET_RENAMES = {"Town - City": "Town_City", "Shape__Area": "Shape_Area", "Shape__Length": "Shape_Length"}
 # Rate-file positions: date, OCR, 90-day bill, 2-year bond, 2-year swap.
@@ -211,3 +217,16 @@ def ingest_price_pages(pages: DataFrame, calendar: DataFrame, path_of_url, audit
     out = rows.select("year", "month", "report_date", "district", "suburb",
                       "avg_sale_price", "avg_weekly_rent", "gross_yield_pct")
     return with_audit(out) if audit else out
+
+
+def census_name_probe(raw: DataFrame, names: list[str] | DataFrame = MISSING_PLACE_NAMES) -> DataFrame:
+    """For each place name, the distinct SA2 2023 median-income area names that
+    contain it (case-insensitive), or 'NOT FOUND' (keyword probe over the census)."""
+    from tussock.operators.quality import keyword_probe
+
+    areas = raw.filter(
+        (F.col("classification_label") == CENSUS_LEVEL) & (F.col("period") == CENSUS_PERIOD)
+        & (F.col("section_title") == "Median household income") & (F.col("value_type_description") == "Median"))
+    if not isinstance(names, DataFrame):
+        names = raw.sparkSession.createDataFrame([(n,) for n in names], "keyword string")
+    return keyword_probe(areas, "descriptor", names, names.columns[0])
