@@ -21,9 +21,12 @@ def test_quality_flag(spark):
 
 
 def test_nan_never_flags_high(spark):
-    # NaN > 5e6 is true in Spark; the cleaning path must turn it into NULL first.
-    assert _col(spark, [float("nan")], lambda c: quality_flag(c), "double") == ["suspect_high"]
+    # NaN > 5e6 is true in Spark; the flag treats NaN as missing, and the
+    # range predicate used by the mart rejects it.
+    from tussock.functions.metrics import price_is_ok
+    assert _col(spark, [float("nan")], lambda c: quality_flag(c), "double") == ["missing_price"]
     assert _col(spark, [float("nan")], lambda c: quality_flag(null_nan(c)), "double") == ["missing_price"]
+    assert _col(spark, [float("nan"), 300000.0], price_is_ok, "double") == [False, True]
 
 
 def test_stop_type(spark):

@@ -21,10 +21,14 @@ def _col(c: Column | str) -> Column:
 
 
 def quality_flag(price: Column | str, low: float = PRICE_LOW, high: float = PRICE_HIGH) -> Column:
-    """NULL -> missing_price, < low -> suspect_low, > high -> suspect_high, else ok."""
+    """NULL -> missing_price, < low -> suspect_low, > high -> suspect_high, else ok.
+
+    NaN counts as missing too: in Spark NaN sorts above every number, so a NaN
+    price that slipped into a landing table would otherwise read as suspect_high.
+    """
     p = _col(price)
     return (
-        F.when(p.isNull(), FLAG_MISSING)
+        F.when(p.isNull() | F.isnan(p), FLAG_MISSING)
         .when(p < low, FLAG_LOW)
         .when(p > high, FLAG_HIGH)
         .otherwise(FLAG_OK)
@@ -33,7 +37,7 @@ def quality_flag(price: Column | str, low: float = PRICE_LOW, high: float = PRIC
 
 def price_is_ok(price: Column | str, low: float = PRICE_LOW, high: float = PRICE_HIGH) -> Column:
     """Same rows as ``quality_flag(price) == 'ok'`` but a plain range predicate,
-    which parquet can use for row-group skipping."""
+    which parquet can use for row-group skipping (NaN fails ``<= high``)."""
     return _col(price).between(low, high)
 
 
