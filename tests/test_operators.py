@@ -69,3 +69,10 @@ def test_keep_greatest_equals_keep_first(spark):
     agg = sorted(tuple(r) for r in keep_greatest(df, "suburb", ["m", "n"]).collect())
     win = sorted(tuple(r) for r in keep_first(df, "suburb", [F.desc_nulls_last("m"), F.desc_nulls_last("n")]).collect())
     assert agg == win == [("a", 5.0, 3), ("b", 2.0, 0), ("c", 1.0, None)]
+
+
+def test_nan_report(spark):
+    from tussock.operators.quality import nan_report
+    df = spark.createDataFrame([(1.0, float("nan")), (None, 2.0)], "a double, b double")
+    got = {r.column_name: (r.nan_rows, r.passed) for r in nan_report(df, ["a", "b"]).collect()}
+    assert got == {"a": (0, True), "b": (1, False)}

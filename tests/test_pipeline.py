@@ -45,7 +45,7 @@ def test_cli_land_build_report_matches_direct_mart(spark, tmp_dir):
     counts = main(["land", "--sf", SF_SMALL, "--landing", landing_root], spark=spark)
     assert counts["suburb_prices"] > 0 and counts["census"] > 0
     built = main(["build", "--landing", landing_root, "--out", out], spark=spark)
-    assert built["failing"] == {"unique": 0, "not_null": 0}
+    assert built["failing"] == {"unique": 0, "not_null": 0, "nan": 0}
     stored = pipeline.read_affordability(spark, built["paths"]["affordability"])
     direct = marts.affordability_mart(Landing.from_testdata(spark, SF_SMALL))
     assert sorted(map(tuple, stored.select(*direct.columns).collect()), key=str) == \

@@ -67,6 +67,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         res = pipeline.build(spark, landing, args.out, enabled={m: False for m in args.disable})
         failed = {k: v.count() for k, v in res.checks.items() if k == "unique"}
         failed["not_null"] = sum(r.failing_rows for r in res.checks["not_null"].collect()) if "not_null" in res.checks else 0
+        failed["nan"] = sum(r.nan_rows for r in res.checks["nan_prices"].collect())
         result = {"paths": res.paths, "failing": failed}
     else:
         mart = pipeline.read_affordability(spark, os.path.join(args.out, "mart_affordability_index"),

@@ -20,6 +20,15 @@ def not_null_report(df: DataFrame, columns: list[str]) -> DataFrame:
     return long.withColumn("passed", F.col("failing_rows") == 0)
 
 
+def nan_report(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One pass: (column_name, nan_rows, passed). NaN must not reach averages
+    (one NaN turns a Spark mean into NaN); coercions turn it into NULL."""
+    wide = df.agg(*[F.count_if(F.isnan(F.col(c))).alias(c) for c in columns])
+    stack = ", ".join(f"'{c}', `{c}`" for c in columns)
+    long = wide.selectExpr(f"stack({len(columns)}, {stack}) as (column_name, nan_rows)")
+    return long.withColumn("passed", F.col("nan_rows") == 0)
+
+
 def null_rows(df: DataFrame, columns: list[str]) -> DataFrame:
     """The failing rows themselves (any listed column NULL)."""
     cond = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])

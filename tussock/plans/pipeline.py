@@ -21,13 +21,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tussock.operators.quality import duplicate_keys, not_null_report
+from tussock.operators.quality import duplicate_keys, nan_report, not_null_report
 from tussock.plans import marts, reports
 from tussock.plans import staging as stg
 from tussock.session import checkpoint_dir
 
 NOT_NULL_COLUMNS = ["report_date", "suburb", "avg_sale_price"]
 UNIQUE_KEY = ["suburb", "report_date"]
+PRICE_MEASURES = ["avg_sale_price", "avg_weekly_rent", "gross_yield_pct"]
 
 
 @dataclass
@@ -43,6 +44,7 @@ def build(spark: SparkSession, landing: stg.Landing, out_root: str,
     res = RunResult()
     schools_stg = stg.stg_schools(landing.schools).checkpoint(eager=True)
 
+    res.checks["nan_prices"] = nan_report(stg.stg_prices(landing.prices), PRICE_MEASURES)
     if enabled["affordability"]:
         path = os.path.join(out_root, "mart_affordability_index")
         aff = marts.affordability_mart(landing, schools_stg)
