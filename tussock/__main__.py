@@ -7,8 +7,9 @@
   python -m tussock report --out ROOT [--suburb NAME ...]
 
 The session comes from ``SparkSession.builder.getOrCreate()`` with the library
-defaults, so cluster settings (master, ``spark.checkpoint.dir``, sizing) are
-taken from the submitting environment.
+defaults, so cluster settings (master, ``spark.checkpoint.dir``) are taken from
+the submitting environment; ``--input-bytes N`` sizes shuffle and scan
+partitions for N bytes of input (see ``session.cluster_conf``).
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     from tussock.sources.landing import SourceRegistry
 
     ap = argparse.ArgumentParser(prog="tussock")
+    ap.add_argument("--input-bytes", type=int, default=None,
+                    help="size the session's shuffle and scan partitions for this much input (cluster runs)")
     sub = ap.add_subparsers(dest="cmd", required=True)
     p_ing = sub.add_parser("ingest")
     p_ing.add_argument("source", choices=["rates", "census", "supermarkets", "stops", "schools", "prices"])
@@ -46,7 +49,9 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     p_rep.add_argument("--suburb", action="append", default=None)
     args = ap.parse_args(argv)
 
-    spark = spark or get_spark()
+    if spark is None:
+        from tussock.session import cluster_conf
+        spark = get_spark(extra_conf=cluster_conf(args.input_bytes) if args.input_bytes else None)
     if args.cmd == "ingest":
         from tussock.sources import jobs
         if args.source == "rates":
