@@ -76,3 +76,15 @@ def test_nan_report(spark):
     df = spark.createDataFrame([(1.0, float("nan")), (None, 2.0)], "a double, b double")
     got = {r.column_name: (r.nan_rows, r.passed) for r in nan_report(df, ["a", "b"]).collect()}
     assert got == {"a": (0, True), "b": (1, False)}
+
+
+def test_select_positions_and_approx_profile(spark):
+    from tussock.functions.cleaning import select_positions
+    from tussock.operators.quality import distinct_profile
+    df = spark.createDataFrame([(1, "a", 2.0, "x")], "c0 int, c1 string, c2 double, c3 string")
+    assert select_positions(df, [0, 2], ["id", "v"]).collect()[0].asDict() == {"id": 1, "v": 2.0}
+    rows = spark.createDataFrame([(f"s{i % 7}", dt.date(2020, 1 + i % 12, 1)) for i in range(100)],
+                                 "suburb string, report_date date")
+    exact = distinct_profile(rows, "suburb", "report_date").first()
+    approx = distinct_profile(rows, "suburb", "report_date", approx=True).first()
+    assert exact.n_distinct == approx.n_distinct == 7 and exact.latest_label == "Dec 2020"
