@@ -63,3 +63,20 @@ def test_column_types_match_oracle(spark, con, name):
     got = {f.name: f.dataType.simpleString() for f in entry.queries()[name](spark, SF).schema.fields}
     want = {r[0]: r[1] for r in con.execute(f"DESCRIBE {entry.oracle_sql()[name]}").fetchall()}
     assert {c: SPARK_TO_DUCKDB.get(t, t) for c, t in got.items()} == want
+
+
+def test_mart_dimension_joins_are_decided_at_run_time(spark):
+    """With no static broadcast (as with large size estimates), the mart plans
+    sort-merge joins; adaptive execution measures the small dimensions and
+    switches them to broadcast hash joins at run time."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = entry.queries()["affordability_mart"](spark, SF)
+        qe = df._jdf.queryExecution()
+        initial = qe.executedPlan().toString()
+        qe.executedPlan().execute().count()
+        final = qe.executedPlan().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in initial
+    assert final.count("BroadcastHashJoin") >= 4
