@@ -5,15 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontam import find_leaks
 from .mixing import mix
 from .sharding import shard
 from .topk import top_k
+from .toxicity import score
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark, sf_dir):
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_sharding(spark, sf_dir):
     out = shard(table(spark, sf_dir, "documents"), n_shards=24)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -28,10 +34,20 @@ def op8_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_toxicity(spark, sf_dir):
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = score(docs, labels, usable=fold != 2)
+    return out.select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "score",
+                      (F.col("score") >= 0.3).cast("int").alias("predicted"), "threshold", "rejected")
+
+
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op3_sharding": op3_sharding,
     "op4_topk": op4_topk,
     "op8_mixing": op8_mixing,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE = {

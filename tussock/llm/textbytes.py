@@ -117,3 +117,15 @@ def ngram_hashes(words, n):
     for i in range(n):
         out = mix(out * np.uint64(BASE) + words[i:i + m])
     return out
+
+
+def letter_bounds(data, offsets):
+    """Starts and ends of the runs of ASCII letters, digits and non-ASCII bytes; punctuation separates."""
+    word = (data >= 128) | ((data >= 97) & (data <= 122)) | ((data >= 65) & (data <= 90)) | ((data >= 48) & (data <= 57))
+    n = len(data)
+    edge = np.zeros(n + 1, dtype=bool)
+    edge[offsets] = True
+    first, last = word.copy(), word.copy()
+    first[1:] &= ~word[:-1] | edge[1:n]
+    last[:-1] &= ~word[1:] | edge[1:n]
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
