@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontam import find_leaks
+from .jaccard import near_duplicates
 from .mixing import mix
 from .sharding import shard
 from .topk import top_k
@@ -34,6 +35,10 @@ def op8_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_jaccard(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=80, n=5)
+
+
 def op10_toxicity(spark, sf_dir):
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -47,6 +52,7 @@ QUERIES = {
     "op3_sharding": op3_sharding,
     "op4_topk": op4_topk,
     "op8_mixing": op8_mixing,
+    "op9_jaccard": op9_jaccard,
     "op10_toxicity": op10_toxicity,
 }
 
@@ -87,4 +93,24 @@ ORACLE = {
                     ELSE 0 END) AS BIGINT) AS taken
         FROM base b JOIN goal g ON b.source IS NOT DISTINCT FROM g.source
         JOIN run r ON r.source IS NOT DISTINCT FROM b.source AND r.h = b.h""",
+    "op9_jaccard": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS w FROM documents),
+        sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                   ELSE list_distinct(list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+            FROM words),
+        items AS (SELECT doc_id, unnest(s) AS g FROM sets),
+        common AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM items a JOIN items b ON a.g = b.g AND a.doc_id <> b.doc_id
+            GROUP BY 1, 2),
+        links AS (
+            SELECT x, y FROM common JOIN sets p ON p.doc_id = x JOIN sets q ON q.doc_id = y
+            WHERE 100 * c >= 80 * (len(p.s) + len(q.s) - c)),
+        reach AS (
+            SELECT doc_id, doc_id AS other FROM sets
+            UNION SELECT reach.doc_id, links.y FROM reach JOIN links ON links.x = reach.other)
+        SELECT doc_id, CAST(any_value(len(s)) AS BIGINT) AS n_shingles, min(other) AS component_id
+        FROM reach JOIN sets USING (doc_id) GROUP BY doc_id""",
 }
