@@ -5,14 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .brown import class_scores
 from .decontam import find_leaks
+from .html import main_text
 from .jaccard import near_duplicates
 from .mixing import mix
 from .sharding import shard
+from .suffix import remove_repeats
+from .tokencount import token_counts
 from .topk import top_k
 from .toxicity import score
 
 
+#: Vocabulary of the token counts; a parameter of the operator.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -21,6 +29,10 @@ def op1_decontamination(spark, sf_dir):
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_repeats(spark, sf_dir):
+    return remove_repeats(table(spark, sf_dir, "documents"), length=200)
+
+
 def op3_sharding(spark, sf_dir):
     out = shard(table(spark, sf_dir, "documents"), n_shards=24)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -31,6 +43,19 @@ def op4_topk(spark, sf_dir):
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op5_class_lm(spark, sf_dir):
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10
+    return class_scores(table(spark, sf_dir, "documents"), learn=fold != 0)
+
+
+def op6_main_text(spark, sf_dir):
+    return main_text(table(spark, sf_dir, "pages"))
+
+
+def op7_token_counts(spark, sf_dir):
+    return token_counts(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 def op8_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -49,8 +74,12 @@ def op10_toxicity(spark, sf_dir):
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_repeats": op2_repeats,
     "op3_sharding": op3_sharding,
     "op4_topk": op4_topk,
+    "op5_class_lm": op5_class_lm,
+    "op6_main_text": op6_main_text,
+    "op7_token_counts": op7_token_counts,
     "op8_mixing": op8_mixing,
     "op9_jaccard": op9_jaccard,
     "op10_toxicity": op10_toxicity,
