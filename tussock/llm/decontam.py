@@ -155,6 +155,38 @@ def _chunks(benchmark: DataFrame, item_col: str, text_col: str):
         yield chunk
 
 
+def _clean(items, error_rate, min_words, text_col):
+    def run(batches):
+        import pyarrow as pa
+
+        hasher, known = Hasher(), Index(items.value, error_rate, min_words)
+        for b in batches:
+            data, offsets = buffers(b.column(text_col))
+            keep = np.ones(len(offsets) - 1, bool)
+            for i, j in slices(offsets):
+                first, hashes = words(hasher, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                for d in range(i, j):
+                    keep[d] = next(known.matches(hashes[first[d - i]:first[d - i + 1]]), None) is None
+            yield b.filter(pa.array(keep))
+    return run
+
+
+def _items(spark, chunk):
+    """Broadcast (item id, word hashes) of a chunk."""
+    raw = np.frombuffer(b"".join(t for _, t in chunk), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for _, t in chunk])]).astype(np.int64)
+    first, hashes = words(Hasher(), raw, offsets)
+    return spark.sparkContext.broadcast([(k, hashes[a:b]) for (k, _), a, b in zip(chunk, first, first[1:])])
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, min_words: int = MIN_WORDS,
+                  text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows in which ``find_leaks`` finds an item; all columns stay, and no row moves."""
+    for chunk in _chunks(benchmark, item_col, item_text_col):
+        docs = docs.mapInArrow(_clean(_items(docs.sparkSession, chunk), error_rate, min_words, text_col), docs.schema)
+    return docs
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, min_words: int = MIN_WORDS,
                id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                item_text_col: str = "text") -> DataFrame:
@@ -175,13 +207,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = f"id {rows.schema['id'].dataType.simpleString()}, item_id long, edits int, first_word long, end_word long"
-    out, hasher = None, Hasher()
+    out = None
     for chunk in _chunks(benchmark, item_col, item_text_col):
-        raw = np.frombuffer(b"".join(t for _, t in chunk), np.uint8)
-        offsets = np.concatenate([[0], np.cumsum([len(t) for _, t in chunk])]).astype(np.int64)
-        first, hashes = words(hasher, raw, offsets)
-        items = spark.sparkContext.broadcast([(k, hashes[a:b]) for (k, _), a, b in zip(chunk, first, first[1:])])
-        found = rows.mapInArrow(_match(items, error_rate, min_words), schema)
+        found = rows.mapInArrow(_match(_items(spark, chunk), error_rate, min_words), schema)
         out = found if out is None else out.unionByName(found)
     out = spark.createDataFrame([], schema) if out is None else out
     return out.withColumnRenamed("id", id_col)

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
+from .counters import PIECES, merged, packed
 from .store import shared_folder, stored
 from .textbytes import Hasher, buffers, mix, ngram_hashes, slices, word_hashes
 
-#: Counters of the shingle frequencies (a fixed table, 4 MB), cut into pieces for merging.
-COUNTERS, PIECES, FAN = 1 << 20, 16, 32
+#: Counters of the shingle frequencies (a fixed table, 4 MB).
+COUNTERS = 1 << 20
 #: Longest extension of a prefix: a pair must share as many prefix tokens.
 MAX_MATCHES = 4
 #: Checking a pair costs about as much as reading so many postings.
@@ -90,44 +89,17 @@ def _survey(n):
                 counts += np.bincount((np.concatenate(sets) & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
             k = len(size)
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array(size, pa.int64()), pa.array(fp, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
-                names=["id", "n", "fp", "task", "piece", "counts"])
+                [b.column("id"), b.column("key"), pa.array(size, pa.int64()), pa.array(fp, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
+                names=["id", "key", "n", "fp", "task", "piece", "counts"])
         if kind is not None:
             task = TaskContext.get().partitionId()
-            raw = [zlib.compress(p.tobytes(), 1) for p in np.split(counts, PIECES)]
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(PIECES, kind), pa.nulls(PIECES, pa.int64()), pa.nulls(PIECES, pa.int64()), pa.array([task] * PIECES, pa.int64()),
-                 pa.array(range(PIECES), pa.int32()), pa.array(raw, pa.binary())],
-                names=["id", "n", "fp", "task", "piece", "counts"])
+                [pa.nulls(PIECES, kind), pa.nulls(PIECES, pa.int64()), pa.nulls(PIECES, pa.int64()), pa.nulls(PIECES, pa.int64()), pa.array([task] * PIECES, pa.int64()),
+                 pa.array(range(PIECES), pa.int32()), pa.array(packed(counts), pa.binary())],
+                names=["id", "key", "n", "fp", "task", "piece", "counts"])
     return run
 
 
-def _add_counts(table):
-    import pyarrow as pa
-
-    total = np.zeros(COUNTERS // PIECES, np.uint64)
-    for raw in table.column("counts").to_pylist():
-        total += np.frombuffer(zlib.decompress(raw), np.uint32)
-    total = np.minimum(total, np.uint64(2 ** 32 - 1)).astype(np.uint32)
-    return pa.table({"piece": table.column("piece")[:1], "task": table.column("task")[:1],
-                     "counts": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
-
-
-def _merged_counts(parts: DataFrame, tasks: int) -> np.ndarray:
-    """Sum of all counters: merged FAN partitions at a time in tasks; 16 pieces reach the driver."""
-    parts = parts.select("piece", "task", "counts")
-    while True:
-        parts = (parts.withColumn("task", F.floor(F.col("task") / FAN)).groupBy("piece", "task")
-                 .applyInArrow(_add_counts, "piece int, task long, counts binary"))
-        tasks = -(-tasks // FAN)
-        if tasks <= 1:
-            break
-    out = np.zeros((PIECES, COUNTERS // PIECES), np.uint32)
-    for r in parts.collect():
-        out[r.piece] += np.frombuffer(zlib.decompress(bytes(r.counts)), np.uint32)
-    return out.ravel()
-
-
 def _prefixes(counts, usual, percent, n, parts):
     """Postings (token, set, matches) of the prefixes, packed by part; tokens over HOT_TOKEN one by one."""
     def run(batches):
@@ -136,7 +108,7 @@ def _prefixes(counts, usual, percent, n, parts):
         hasher, table = Hasher(), counts.value
         kept, size, seen = [], 0, set()
 
-        def packed():
+        def postings():
             tokens, fps, ms = (np.concatenate([k[i] for k in kept]) for i in range(3))
             hot = table[tokens & np.uint64(COUNTERS - 1)] > HOT_TOKEN
             part = (mix(tokens) % np.uint64(parts)).astype(np.int64)
@@ -165,10 +137,10 @@ def _prefixes(counts, usual, percent, n, parts):
                     kept.append((tokens, np.full(len(tokens), fp, np.int64), np.full(len(tokens), m, np.int8)))
                     size += len(tokens)
                     if size >= 5 * GROUP_POSTINGS:
-                        yield packed()
+                        yield postings()
                         kept, size, seen = [], 0, set()
         if kept:
-            yield packed()
+            yield postings()
     return run
 
 
@@ -246,7 +218,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, n: int = 5, id_col: str
     4. Pairs of a list that are still in different components are all checked, if they have
        enough common prefix tokens and fitting sizes. So no link between components is lost.
 
-    Returns id, ``n_shingles`` and ``component_id`` (smallest id of the component) for every row.
+    Returns id, ``n_shingles``, ``component_id`` (smallest id of the component) and ``text_key`` (hash of the text) for every row.
     Null and empty texts have size 0 and are linked with nothing (their own id). Null ids take part and
     are never the smallest; a component of null ids only has null. Repeated rows are copies of
     each other. An empty table gives no rows; further columns are not read.
@@ -255,8 +227,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, n: int = 5, id_col: str
     shared_folder(spark)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    survey = stored(rows.mapInArrow(_survey(n), f"id {kind}, n long, fp long, task long, piece int, counts binary"), "nd-survey")
-    base = survey.filter("piece is null").select("id", "n", "fp")
+    survey = stored(rows.withColumn("key", F.xxhash64("text")).mapInArrow(
+        _survey(n), f"id {kind}, key long, n long, fp long, task long, piece int, counts binary"), "nd-survey")
+    base = survey.filter("piece is null").select("id", F.col("key").alias("text_key"), "n", "fp")
     tasks = survey.agg(F.max("task")).first()[0]
     total, postings = base.agg(F.sum("n"), F.sum(F.ceil(F.col("n") * (100 - percent) / 100) + 1)).first()
     sets = stored(base.filter("n > 0").groupBy("fp").agg(F.min("id").alias("id"), F.min("n").alias("n")), "nd-sets")
@@ -272,19 +245,47 @@ def near_duplicates(docs: DataFrame, percent: int = 80, n: int = 5, id_col: str
     return (base.withColumn("key", F.when(F.col("n") > 0, F.col("fp")))
             .join(merged.withColumnRenamed("fp", "key"), "key", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")))
+                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), "text_key"))
+
+
+def one_of_each(docs: DataFrame, percent: int = 80, n: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component of near duplicates: the one with the smallest id (of
+    several texts with that id, the one with the smallest hash; of equal rows, one).
+
+    Empty texts are duplicates of rows with their id only. Rows of components without any id all stay.
+    All columns are kept. What goes is looked up by id and text hash, broadcast if it is small.
+    """
+    found = stored(near_duplicates(docs, percent, n, id_col, text_col)
+                   .select(F.col(id_col).alias("r_id"), F.col("text_key").alias("r_key"), "component_id"), "nd-result")
+    first = found.groupBy("component_id").agg(
+        F.min_by(F.struct("r_id", "r_key"), F.struct(F.col("r_id").isNull(), "r_id", "r_key")).alias("first"))
+    spare = stored(found.join(first, "component_id").filter(~(F.col("r_id").eqNullSafe(F.col("first.r_id")) & (F.col("r_key") == F.col("first.r_key"))))
+                   .select("r_id", "r_key").distinct(), "nd-spare")
+    again = stored(found.filter("component_id is not null").groupBy("r_id", "r_key").count().filter("count > 1").select("r_id", "r_key"), "nd-again")
+    columns = docs.columns
+    rows = docs.withColumn("text_key_", F.xxhash64(F.col(text_col).cast("string")))
+    same = F.col(id_col).eqNullSafe(F.col("r_id")) & (F.col("text_key_") == F.col("r_key"))
+
+    def sided(t):
+        return F.broadcast(t) if t.count() <= BROADCAST_IDS else t
+
+    rows = rows.join(sided(spare), same, "left_anti")
+    if not again.isEmpty():
+        once = rows.join(sided(again), same, "left_semi").dropDuplicates([id_col, "text_key_"])
+        rows = rows.join(sided(again), same, "left_anti").unionByName(once)
+    return rows.select(*columns)
 
 
 def _all_links(rows, survey, sets, tasks, total, postings, percent, n):
     """Checked pairs (a, b) of sets that connect every component."""
     spark = rows.sparkSession
-    counts = _merged_counts(survey.filter("piece is not null"), tasks)
+    counts = merged(survey.filter("piece is not null"), tasks, COUNTERS)
     parts = max(1, -(-postings // GROUP_POSTINGS))
-    packed = stored(rows.select("text").mapInArrow(
+    prefixes = stored(rows.select("text").mapInArrow(
         _prefixes(spark.sparkContext.broadcast(counts), total / COUNTERS, percent, n, parts),
         "part long, tokens binary, fps binary, ms binary"), "nd-prefixes")
-    lists = packed.filter("part >= 0").groupBy("part").applyInArrow(_shared, "token long, fp long, m int")
-    hot = packed.filter("part < 0").select("tokens", "fps", "ms").mapInArrow(_unpack_hot, "token long, fp long, m int").distinct()
+    lists = prefixes.filter("part >= 0").groupBy("part").applyInArrow(_shared, "token long, fp long, m int")
+    hot = prefixes.filter("part < 0").select("tokens", "fps", "ms").mapInArrow(_unpack_hot, "token long, fp long, m int").distinct()
     lists = stored(lists.unionByName(hot).join(sets.select("fp", "id", "n"), "fp").select("token", "fp", "m", "id", "n"), "nd-lists")
     fits = 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
     links, labels, last = None, None, None

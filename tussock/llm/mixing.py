@@ -40,6 +40,35 @@ def targets(sources: DataFrame, weights=(5, 2, 1), cap: int = 3) -> DataFrame:
                     F.least(cap * F.col("source_size").cast("double"), F.col("lam") * F.col("weight")).alias("target"))
 
 
+def _size(text_col):
+    return F.regexp_count(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(WORD)).cast("long")
+
+
+def _hash(id_col):
+    digits = F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), 1, BITS * LEVELS // 4)
+    return F.conv(digits, 16, 10).cast("long")
+
+
+def _copies(cap, suffix=""):
+    h, at, before, inside, rest, whole = (F.col(c + suffix) for c in ("h", "at", "before", "inside", "rest", "whole"))
+    more = (h < at) | ((h == at) & (before + inside / 2 <= rest))
+    return F.least(whole + more.cast("long"), F.lit(cap).cast("long"))
+
+
+def mixed_rows(docs: DataFrame, weights=(5, 2, 1), cap: int = 3, id_col: str = "doc_id", text_col: str = "text",
+               source_col: str = "source") -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as ``mix`` takes it, with all its columns.
+
+    Rows without words are taken as often as words of their hash would be. Rows find their
+    threshold by a lookup and do not move.
+    """
+    _, edge, few = _thresholds(docs, weights, cap, id_col, text_col, source_col)
+    edge = edge.select(*(F.col(c).alias(f"{c}_") for c in edge.columns))
+    rows = docs.withColumn("h_", _hash(id_col)).join(F.broadcast(edge) if few else edge, F.col(source_col).eqNullSafe(F.col("s_")))
+    return (rows.withColumn("copies_", _copies(cap, "_")).filter("copies_ > 0")
+            .withColumn("copy_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies_")))).select(*docs.columns))
+
+
 def mix(docs: DataFrame, weights=(5, 2, 1), cap: int = 3, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source") -> DataFrame:
     """How many words of each row the mix takes: 0 to ``cap`` whole copies.
@@ -56,12 +85,17 @@ def mix(docs: DataFrame, weights=(5, 2, 1), cap: int = 3, id_col: str = "doc_id"
     ids, share a hash and are taken alike. Empty table: no rows. Further columns of
     ``docs`` are not read. The hash is md5 of the id as text, so reruns agree.
     """
-    digits = BITS * LEVELS // 4
-    base = stored(docs.select(
-        F.col(id_col).alias("id"), F.col(source_col).alias("source"),
-        F.regexp_count(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
-        F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), 1, digits), 16, 10)
-        .cast("long").alias("h")), "mix-rows")
+    base, edge, few = _thresholds(docs, weights, cap, id_col, text_col, source_col)
+    copies = _copies(cap)
+    return (base.join(F.broadcast(edge) if few else edge, F.col("source").eqNullSafe(F.col("s")))
+            .select(F.col("id").alias(id_col), "source", "size", "source_size", "target", copies.alias("copies"),
+                    (copies * F.col("size")).alias("taken")))
+
+
+def _thresholds(docs, weights, cap, id_col, text_col, source_col):
+    """(id, source, size, h of every row; the threshold of every source; whether it may be broadcast)."""
+    base = stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), _size(text_col).alias("size"),
+                              _hash(id_col).alias("h")), "mix-rows")
     goal = targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     edge = stored(goal.withColumn("whole", whole.cast("long"))
@@ -92,9 +126,4 @@ def mix(docs: DataFrame, weights=(5, 2, 1), cap: int = 3, id_col: str = "doc_id"
                     F.coalesce("cut.bucket", F.shiftleft("at", BITS)).alias("at"),
                     F.coalesce(F.col("before") + F.col("cut.past") - F.col("cut.words"), F.col("before")).alias("before"),
                     F.coalesce("cut.words", F.lit(0)).cast("long").alias("inside")), f"mix-edge{level}")
-    more = (F.col("h") < F.col("at")) | (
-        (F.col("h") == F.col("at")) & (F.col("before") + F.col("inside") / 2 <= F.col("rest")))
-    copies = F.least(F.col("whole") + more.cast("long"), F.lit(cap).cast("long"))
-    return (base.join(sided(edge), F.col("source").eqNullSafe(F.col("s")))
-            .select(F.col("id").alias(id_col), "source", "size", "source_size", "target", copies.alias("copies"),
-                    (copies * F.col("size")).alias("taken")))
+    return base, edge, few

@@ -61,7 +61,7 @@ def op8_mixing(spark, sf_dir):
 
 
 def op9_jaccard(spark, sf_dir):
-    return near_duplicates(table(spark, sf_dir, "documents"), percent=80, n=5)
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=80, n=5).drop("text_key")
 
 
 def op10_toxicity(spark, sf_dir):
