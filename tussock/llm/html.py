@@ -67,7 +67,8 @@ def blocks(page: str) -> list[tuple[tuple, str, float]]:
     def close(tag, until=()):
         for k in range(len(stack) - 1, -1, -1):
             if stack[k][0] == tag:
-                flush()
+                if any(t in BLOCKS for t, _ in stack[k:]):
+                    flush()
                 del stack[k:]
                 return
             if stack[k][0] in until:
