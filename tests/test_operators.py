@@ -36,17 +36,17 @@ def _texts(spark):
                                  "id int, descriptor string")
 
 
-def test_contains_forms_agree(spark):
+def test_contains_forms(spark):
     texts = _texts(spark)
     kw = spark.createDataFrame([("Mount 3",), ("EPSOM",), ("zzz",)], "keyword string")
-    small = {(r.id, r.keyword) for r in contains_matches(texts, "descriptor", kw, "keyword").collect()}
-    large = {(r.id, r.keyword) for r in contains_matches(texts, "descriptor", kw, "keyword",
-                                                          max_broadcast_keywords=0).collect()}
-    assert small == large == {(1, "Mount 3"), (2, "EPSOM"), (4, "Mount 3")}
-    semi_small = sorted(r.id for r in semi_join_contains(texts, "descriptor", kw, "keyword").collect())
-    semi_large = sorted(r.id for r in semi_join_contains(texts, "descriptor", kw, "keyword",
-                                                         max_broadcast_keywords=0).collect())
-    assert semi_small == semi_large == [1, 2, 4]
+    pairs = contains_matches(texts, "descriptor", kw, "keyword")
+    assert pairs.columns == ["id", "descriptor", "keyword"]
+    assert {(r.id, r.keyword) for r in pairs.collect()} == {(1, "Mount 3"), (2, "EPSOM"), (4, "Mount 3")}
+    semi = semi_join_contains(texts, "descriptor", kw, "keyword")
+    assert semi.columns == ["id", "descriptor"] and sorted(r.id for r in semi.collect()) == [1, 2, 4]
+    assert mark_contains(texts, "descriptor", kw, "keyword", "f").columns == ["id", "descriptor", "f"]
+    none = contains_matches(texts, "descriptor", kw.limit(0), "keyword")
+    assert none.collect() == [] and semi_join_contains(texts, "descriptor", kw.limit(0), "keyword").collect() == []
     flags = {r.id: r.f for r in mark_contains(texts, "descriptor", kw, "keyword", "f").collect()}
     assert flags == {1: True, 2: True, 3: False, 4: True}
 

@@ -2,13 +2,12 @@
 
 Points: the stops of ``sf_dir`` replicated ``--copies`` times with small
 offsets, then a third of all rows moved into one dense spot (a single grid
-cell). Centres: one per school plus one at the dense spot. The join runs three
+cell). Centres: one per school plus one at the dense spot. The join runs two
 ways and reports wall time, result checksum, and the slowest vs median task
 of the largest stage (from the event log in a scratch folder):
 
-  broadcast      centres broadcast (points not shuffled)
-  shuffle        both sides shuffled on the cell; adaptive skew splitting only
-  shuffle_salt   as above plus salting of the point side
+  unsalted       both sides joined on the cell; adaptive skew splitting only
+  salted         as above plus salting of the point side
 
 and, separately, the (suburb, month) price aggregation with a third of all
 (replicated) price rows in one suburb.
@@ -127,8 +126,7 @@ def main():
                              F.col("lat").alias("centroid_lat"), F.col("lon").alias("centroid_lon"))
     centres = centres.unionByName(spark.createDataFrame([("dense", -36.85, 174.76)],
                                                         "cid string, centroid_lat double, centroid_lon double"))
-    variants = {"broadcast": {}, "shuffle": {"max_broadcast_rows": 0},
-                "shuffle_salt": {"max_broadcast_rows": 0, "salt": args.salt}}
+    variants = {"unsalted": {"salt": 1}, "salted": {"salt": args.salt}}
     result = {"points": None}
     for attempt in ("warm", "timed"):       # the first pass only warms the JVM
         for name, kw in variants.items():

@@ -8,7 +8,6 @@ operators/  DataFrame -> DataFrame operators (distance join, patch union,
 sources/    landing readers (CSV, JSON envelopes, HTML pages, rate patches,
             census extract, calendar grid), sinks, and the test-data adapter
 plans/      staging views, marts, dashboard reports and the query catalogue
-streaming/  nothing: every load in this domain is a full batch replace
 """
 
 from tussock.session import get_spark, checkpoint_dir

@@ -20,7 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tussock.functions.geo import band_height_deg, haversine_km, lon_cell_width_deg
-from tussock.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, is_bounded
+
+# Tasks a dense grid cell is spread over; the few centre cells are repeated as often.
+SALT = 4
 
 
 def _band(lat: Column, height: float) -> Column:
@@ -81,29 +83,24 @@ def within_distance(
     centre_lon: str = "centroid_lon",
     point_lat: str = "lat",
     point_lon: str = "lon",
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-    salt: int = 1,
+    salt: int = SALT,
 ) -> DataFrame:
     """Inner join of centres and points with haversine distance < radius_km (strict).
 
-    Column names of the two inputs must not collide. The exploded centre side is
-    broadcast when its row count is within the bound, so the point side is not
-    shuffled at all. Otherwise both sides shuffle on the cell key; a dense cell
-    (say a third of all points in one city block) is spread over ``salt``
-    tasks by salting the point side and replicating the (few) centre cells
-    ``salt`` times, and adaptive skew-join splitting covers what remains.
+    Column names of the two inputs must not collide. One equi-join on the cell
+    key at every size; the engine broadcasts the centre side when its own size
+    estimate or the measured size allows. A dense cell (say a third of all
+    points in one city block) is spread over ``salt`` tasks by salting the point
+    side and repeating the (few) centre cells ``salt`` times, and adaptive
+    skew-join splitting covers what remains.
     """
     c = centre_cells(centres, centre_lat, centre_lon, radius_km)
     p = point_cells(points, point_lat, point_lon, radius_km)
-    keys = ["_band", "_cell"]
-    if is_bounded(centres, max_broadcast_rows // 9):
-        c = F.broadcast(c)
-    elif salt > 1:
-        # Deterministic salt (a hash of the point's own columns): a retried task
-        # after an executor loss assigns every point to the same salt again.
-        p = p.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in points.columns]), F.lit(salt)))
-        c = c.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>")))
-        keys = keys + ["_salt"]
+    keys = ["_band", "_cell", "_salt"]
+    # Deterministic salt (a hash of the point's own columns): a retried task
+    # after an executor loss assigns every point to the same salt again.
+    p = p.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in points.columns]), F.lit(salt)))
+    c = c.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>")))
     pairs = p.join(c, on=keys, how="inner")
     dist = haversine_km(F.col(centre_lat), F.col(centre_lon), F.col(point_lat), F.col(point_lon))
     return pairs.filter(dist < F.lit(radius_km)).drop(*keys)

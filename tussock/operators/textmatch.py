@@ -4,11 +4,11 @@ Two forms:
 
 * a literal keyword list compiles to ONE case-insensitive regex alternation,
   evaluated JVM-side per row (``rlike``), NULL text -> no match;
-* a keyword table is matched with an exact equi-join: every substring of the
-  text whose length equals some keyword length is a join candidate. The set of
-  keyword lengths comes in as a scalar subquery, so nothing is collected, and
-  the join is an ordinary hash/sort-merge equi-join that scales with both sides.
-  When the keyword table is provably small the join is a broadcast instead.
+* a keyword table is matched with one plan at every size: each distinct text
+  gives its distinct short grams, which are equi-joined with the first
+  characters of the keywords, and ``contains`` checks the candidates. The
+  gram lengths come in as a scalar subquery, so nothing is collected, and the
+  join is an ordinary equi-join that scales with both sides.
 """
 
 from __future__ import annotations
@@ -18,10 +18,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tussock.operators.joins import is_bounded
-
-# Keyword tables up to this many rows are broadcast to a nested-loop semi join.
-MAX_BROADCAST_KEYWORDS = 10_000
+# Characters of a keyword that are joined on; shorter keywords join on all of theirs.
+GRAM = 6
 
 
 def keyword_pattern(keywords: list[str], escape: bool = False) -> str:
@@ -38,67 +36,44 @@ def contains_any(text: Column, keywords: list[str], escape: bool = False) -> Col
     return F.coalesce(text.rlike(keyword_pattern(keywords, escape)), F.lit(False))
 
 
-def _substring_candidates(df: DataFrame, text_col: str, lengths: Column) -> DataFrame:
-    """One row per (row, length, start) with the lower-cased substring ``_sub``."""
-    low = F.lower(F.col(text_col))
-    with_len = df.withColumn("_len", F.explode(lengths))
-    starts = F.sequence(F.lit(1), F.greatest(F.length(low) - F.col("_len") + 1, F.lit(0)))
-    return (with_len.filter(F.length(low) >= F.col("_len"))
-            .withColumn("_pos", F.explode(starts))
-            .filter(F.col("_pos") >= 1)
-            .withColumn("_sub", F.substring(low, F.col("_pos"), F.col("_len")))
-            .drop("_pos", "_len"))
+def _pairs(df: DataFrame, text_col: str, keywords: DataFrame, kw_col: str) -> DataFrame:
+    """(``_text``, ``_kw``): each distinct text with every keyword it contains."""
+    kw = (keywords.select(F.col(kw_col).alias("_kw")).filter(F.col("_kw").isNotNull() & (F.length("_kw") > 0))
+          .distinct().withColumn("_low_kw", F.lower("_kw")))
+    kw = kw.withColumn("_gram", F.substring("_low_kw", 1, GRAM))
+    lengths = kw.agg(F.collect_set(F.length("_gram"))).scalar()
+    texts = df.select(F.col(text_col).alias("_text")).filter(F.col("_text").isNotNull()).distinct()
+    texts = texts.withColumn("_low", F.lower("_text"))
+    starts = F.sequence(F.lit(1), F.greatest(F.length("_low"), F.lit(1)))
+    texts = texts.withColumn("_len", F.explode(lengths))
+    grams = F.transform(starts, lambda i: F.substring(F.col("_low"), i, F.col("_len")))
+    cand = texts.withColumn("_gram", F.explode(F.array_distinct(grams))).drop("_len")
+    return (cand.join(kw, "_gram").filter(F.col("_low").contains(F.col("_low_kw")))
+            .select("_text", "_kw").distinct())
 
 
-def contains_matches(df: DataFrame, text_col: str, keywords: DataFrame, kw_col: str,
-                     max_broadcast_keywords: int = MAX_BROADCAST_KEYWORDS) -> DataFrame:
-    """Distinct (row of ``df``, keyword) pairs where lower(text) contains lower(keyword).
+def contains_matches(df: DataFrame, text_col: str, keywords: DataFrame, kw_col: str) -> DataFrame:
+    """(Row of ``df``, distinct keyword) pairs where lower(text) contains lower(keyword).
 
-    Output: all columns of ``df`` plus ``kw_col``. Empty keywords never match.
+    Output: all columns of ``df``, then ``kw_col``. Empty keywords never match.
     """
-    kw = (keywords.select(F.col(kw_col)).filter(F.col(kw_col).isNotNull() & (F.length(kw_col) > 0))
-          .distinct())
-    if is_bounded(kw, max_broadcast_keywords):
-        # Lower-case each side once, not once per (row, keyword) pair.
-        low = df.withColumn("_low", F.lower(F.col(text_col)))
-        kwl = kw.withColumn("_kwl", F.lower(F.col(kw_col)))
-        return low.join(F.broadcast(kwl), F.col("_low").contains(F.col("_kwl")), "inner").drop("_low", "_kwl")
-    kwl = kw.withColumn("_sub", F.lower(F.col(kw_col))).withColumn("_len", F.length("_sub"))
-    lengths = kwl.agg(F.array_sort(F.collect_set("_len"))).scalar()
-    # Match each distinct text once, then join the (text, keyword) pairs back on the text.
-    texts = df.select(text_col).filter(F.col(text_col).isNotNull()).distinct()
-    cand = _substring_candidates(texts, text_col, lengths)
-    pairs = cand.join(kwl.drop("_len"), on="_sub", how="inner").select(text_col, kw_col).distinct()
-    return df.join(pairs, on=text_col, how="inner")
-
-
-def semi_join_contains(df: DataFrame, text_col: str, keywords: DataFrame, kw_col: str,
-                       max_broadcast_keywords: int = MAX_BROADCAST_KEYWORDS) -> DataFrame:
+    pairs = _pairs(df, text_col, keywords, kw_col)
+    return (df.join(pairs, F.col(text_col) == F.col("_text"))
+            .select(*df.columns, F.col("_kw").alias(kw_col)))
+
+
+def semi_join_contains(df: DataFrame, text_col: str, keywords: DataFrame, kw_col: str) -> DataFrame:
     """Rows of ``df`` whose text contains at least one keyword (case-insensitive)."""
-    kw = (keywords.select(F.col(kw_col)).filter(F.col(kw_col).isNotNull() & (F.length(kw_col) > 0))
-          .distinct())
-    if is_bounded(kw, max_broadcast_keywords):
-        low = df.withColumn("_low", F.lower(F.col(text_col)))
-        kwl = kw.select(F.lower(F.col(kw_col)).alias("_kwl")).distinct()
-        return low.join(F.broadcast(kwl), F.col("_low").contains(F.col("_kwl")), "left_semi").drop("_low")
-    kwl = kw.select(F.lower(F.col(kw_col)).alias("_sub")).distinct().withColumn("_len", F.length("_sub"))
-    lengths = kwl.agg(F.array_sort(F.collect_set("_len"))).scalar()
-    # Match each distinct text once, then semi-join the rows on the matched texts.
-    texts = df.select(text_col).filter(F.col(text_col).isNotNull()).distinct()
-    cand = _substring_candidates(texts, text_col, lengths)
-    hit_texts = cand.join(kwl.select("_sub"), on="_sub", how="left_semi").select(text_col).distinct()
-    return df.join(hit_texts, on=text_col, how="left_semi")
-
-
-def mark_contains(df: DataFrame, text_col: str, keywords: DataFrame, kw_col: str, flag_col: str,
-                  max_broadcast_keywords: int = MAX_BROADCAST_KEYWORDS) -> DataFrame:
+    pairs = _pairs(df, text_col, keywords, kw_col)
+    return df.join(pairs, F.col(text_col) == F.col("_text"), "left_semi").select(*df.columns)
+
+
+def mark_contains(df: DataFrame, text_col: str, keywords: DataFrame, kw_col: str, flag_col: str) -> DataFrame:
     """Add a boolean ``flag_col``: text contains any keyword (NULL text -> False).
 
     Matching runs once per DISTINCT text; the matched texts are joined back on
     the text value (an equi-join), so repeated texts cost nothing extra.
     """
-    texts = df.select(F.col(text_col)).filter(F.col(text_col).isNotNull()).distinct()
-    matched = semi_join_contains(texts, text_col, keywords, kw_col, max_broadcast_keywords)
-    matched = matched.withColumn(flag_col, F.lit(True))
-    out = df.join(matched, on=text_col, how="left")
-    return out.withColumn(flag_col, F.coalesce(F.col(flag_col), F.lit(False)))
+    matched = _pairs(df, text_col, keywords, kw_col).select("_text").distinct()
+    return (df.join(matched, F.col(text_col) == F.col("_text"), "left")
+            .select(*df.columns, F.col("_text").isNotNull().alias(flag_col)))

@@ -283,14 +283,9 @@ def q_triage(spark, sf_dir):
 
 # -------------------------------------------------------------- reports ---
 
-def _mart(spark, sf_dir, shared: bool = True):
-    """The mart. ``shared=True`` when the query reads it more than once (a
-    scalar subquery for the latest date plus the main query, or a semi join
-    against itself): it is then computed once and checkpointed. Single-use
-    queries read the plan directly."""
-    from tussock.session import materialize
-    mart = marts.affordability_mart(landing(spark, sf_dir))
-    return materialize(mart) if shared else mart
+def _mart(spark, sf_dir):
+    """The mart as a plan; reports over a stored mart are in ``plans.pipeline``."""
+    return marts.affordability_mart(landing(spark, sf_dir))
 
 
 REPORT_SELECTION = ["Ponsonby", "Remuera", "Avondale", "Manurewa", "Mt 1", "Mt 4", "Mt 12"]
@@ -319,7 +314,7 @@ def q_pti_3m(spark, sf_dir):
 @register("report_rate_cycle", O.build("SELECT * FROM rate_cycle", ["rate_cycle"]))
 def q_rate_cycle(spark, sf_dir):
     from tussock.plans.reports import rate_cycle
-    return rate_cycle(_mart(spark, sf_dir, shared=False))
+    return rate_cycle(_mart(spark, sf_dir))
 
 
 @register("report_top_schools", O.build("""
@@ -367,10 +362,7 @@ LEFT JOIN (SELECT report_date AS trough_date, avg_sale_price AS trough_value FRO
       ORDER BY avg_sale_price, report_date LIMIT 1) t ON true""", ["rate_cycle"]))
 def q_peak_to_trough(spark, sf_dir):
     from tussock.plans.reports import peak_to_trough, rate_cycle
-    from tussock.session import materialize
-    # The per-date series feeds three scalar subqueries: checkpoint the small
-    # series (one row per month) rather than the mart.
-    return peak_to_trough(materialize(rate_cycle(_mart(spark, sf_dir, shared=False))))
+    return peak_to_trough(rate_cycle(_mart(spark, sf_dir)))
 
 
 @register("distinct_profile", O.build("""
@@ -379,7 +371,7 @@ SELECT count(*) AS n_rows, count(DISTINCT suburb) AS n_distinct, min(report_date
 FROM mart_aff""", ["mart_aff"]))
 def q_distinct_profile(spark, sf_dir):
     from tussock.operators.quality import distinct_profile
-    return distinct_profile(_mart(spark, sf_dir, shared=False), "suburb", "report_date")
+    return distinct_profile(_mart(spark, sf_dir), "suburb", "report_date")
 
 
 # -------------------------------------------------------------- quality ---
@@ -388,7 +380,7 @@ def q_distinct_profile(spark, sf_dir):
     "SELECT column_name, failing_rows, failing_rows = 0 AS passed FROM mart_null_counts", ["mart_null_counts"]))
 def q_dq_not_null(spark, sf_dir):
     from tussock.operators.quality import not_null_report
-    return not_null_report(_mart(spark, sf_dir, shared=False), ["report_date", "suburb", "avg_sale_price"])
+    return not_null_report(_mart(spark, sf_dir), ["report_date", "suburb", "avg_sale_price"])
 
 
 @register("dq_duplicate_keys", O.build("""
@@ -404,16 +396,14 @@ SELECT suburb, report_date, count(*) AS row_count FROM mart_aff
 GROUP BY suburb, report_date HAVING count(*) > 1""", ["mart_aff"]))
 def q_dq_mart_unique(spark, sf_dir):
     from tussock.operators.quality import duplicate_keys
-    return duplicate_keys(_mart(spark, sf_dir, shared=False), ["suburb", "report_date"])
+    return duplicate_keys(_mart(spark, sf_dir), ["suburb", "report_date"])
 
 
 def _coverage_inputs(spark, sf_dir):
     from tussock.functions.names import suburb_key
     l = landing(spark, sf_dir)
-    from tussock.session import materialize
-    # Distinct price-side keys feed one anti join per source: compute them once.
-    keys = materialize(marts.property_by_suburb_month(stg.stg_prices(l.prices))
-                       .select(suburb_key(F.col("suburb")).alias("k")).distinct())
+    keys = (marts.property_by_suburb_month(stg.stg_prices(l.prices))
+            .select(suburb_key(F.col("suburb")).alias("k")).distinct())
     sources = {
         "census": (stg.stg_census_income(l.census), "suburb"),
         "schools": (stg.stg_schools(l.schools), "suburb"),
@@ -501,7 +491,7 @@ def q_stops_near_schools(spark, sf_dir):
     "SELECT DISTINCT suburb FROM mart_aff WHERE suburb IS NOT NULL ORDER BY suburb", ["mart_aff"]))
 def q_suburb_choices(spark, sf_dir):
     from tussock.plans.reports import suburb_choices
-    return suburb_choices(_mart(spark, sf_dir, shared=False))
+    return suburb_choices(_mart(spark, sf_dir))
 
 
 @register("report_header", O.build("""
@@ -509,7 +499,7 @@ SELECT count(DISTINCT suburb) AS n_suburbs, strftime(max(report_date), '%b %Y')
 FROM mart_aff""", ["mart_aff"]))
 def q_header(spark, sf_dir):
     from tussock.plans.reports import latest_label
-    return latest_label(_mart(spark, sf_dir, shared=False))
+    return latest_label(_mart(spark, sf_dir))
 
 
 @register("dq_null_price_rows", O.build("""

@@ -70,15 +70,15 @@ FROM (SELECT date_trunc('month', l_shipdate) AS m, count(*) AS n FROM lineitem G
 block("a_census", [], """
 SELECT CASE WHEN c_custkey % 2 = 0 THEN 'Median household income' ELSE 'Population' END AS section_title,
        CASE WHEN c_custkey % 11 = 0 THEN 'Territorial authority' ELSE 'Statistical area 2' END AS classification_label,
-       concat('Mount ', CAST(c_nationkey AS VARCHAR),
+       concat(CASE c_nationkey WHEN 3 THEN 'Lower Mount ' WHEN 7 THEN 'Harbour ' ELSE 'Mount ' END,
+              CAST(c_nationkey AS VARCHAR),
               CASE c_custkey % 5 WHEN 0 THEN '' WHEN 1 THEN ' North' WHEN 2 THEN ' (Auckland)'
                                  WHEN 3 THEN ' South East' ELSE ' Central (Auckland)' END) AS descriptor,
        CASE WHEN c_custkey % 13 = 0 THEN 2018 ELSE 2023 END AS period,
        CASE WHEN c_custkey % 7 = 0 THEN 'Percent' ELSE 'Median' END AS value_type_description,
        CASE WHEN c_custkey % 50 = 0 THEN '..C'
             ELSE CAST(30000 + (c_custkey * 7919) % 90000 AS VARCHAR) END AS value
-FROM customer
-WHERE c_nationkey NOT IN (3, 7)""")
+FROM customer""")
 
 block("a_schools", [], """
 SELECT s_suppkey AS school_id,

@@ -11,16 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tussock.operators.joins import bounded_broadcast
 from tussock.operators.windows import keep_greatest, latest_snapshot, latest_window, top_k
 
-def exact_mean(col: str) -> F.Column:
-    """Mean of a measure with at most six decimals (ratios, rates, percents),
+
+def exact_mean(col: str, scale: int = 6) -> F.Column:
+    """Mean of a measure with at most ``scale`` decimals (ratios, rates, percents),
     summed as DECIMAL: the sum is exact, so the result does not depend on the
     order in which partial sums arrive from tasks (a distributed double sum
-    does, in the last bit). Returned as double with ten decimals. Means of
+    does, in the last bit). Digits beyond ``scale`` are rounded off first: the
+    mart's measures have two. Returned as double with ``scale`` + 4 decimals. Means of
     integer-valued measures (rounded prices) are exact as doubles already."""
-    return F.avg(F.col(col).cast("decimal(38,6)")).cast("double")
+    return F.avg(F.col(col).cast(f"decimal(38,{scale})")).cast("double")
 
 
 # --- Fixed values (dashboard defaults) ---
@@ -44,8 +45,7 @@ def selected_suburbs(mart: DataFrame, wanted: DataFrame) -> DataFrame:
 def index_over_time(mart: DataFrame, wanted: DataFrame) -> DataFrame:
     """RPT-1: mean affordability index per (date, suburb) for the selected suburbs."""
     sel = selected_suburbs(mart, wanted)
-    # The selection is broadcast only after a row-count check (it is a user list).
-    rows = mart.join(bounded_broadcast(sel), "suburb", "left_semi").filter(F.col("report_date").isNotNull())
+    rows = mart.join(sel, "suburb", "left_semi").filter(F.col("report_date").isNotNull())
     return rows.groupBy("report_date", "suburb").agg(exact_mean("affordability_index").alias("affordability_index"))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tussock.functions.cleaning import landing_date, month_key, try_int
+from tussock.functions.cleaning import coerce_double, landing_date, month_key, try_int
 from tussock.functions.metrics import quality_flag
 from tussock.functions.names import canonical_supermarket_suburb, parent_suburb, plain_suburb
 
@@ -77,9 +77,9 @@ def stg_schools(raw: DataFrame) -> DataFrame:
         plain_suburb(F.col("add1_suburb")).alias("suburb"),
         F.col("add1_city").alias("city"),
         "territorial_authority",
-        F.trim(F.col("latitude")).try_cast("double").alias("lat"),
-        F.trim(F.col("longitude")).try_cast("double").alias("lon"),
-        F.trim(F.col("eqi_index")).try_cast("double").alias("eqi_index"),
+        coerce_double("latitude").alias("lat"),
+        coerce_double("longitude").alias("lon"),
+        coerce_double("eqi_index").alias("eqi_index"),
         try_int(F.col("total")).alias("roll"),
         "status",
     )

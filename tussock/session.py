@@ -18,18 +18,17 @@ from pyspark.sql import SparkSession
 ADAPTIVE_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def cluster_conf(input_bytes: int, target_partition_bytes: int = 128 * 1024 * 1024,
-                 max_partitions: int = 200_000) -> dict[str, str]:
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 128 * 1024 * 1024) -> dict[str, str]:
     """Partition sizing for a run over ``input_bytes`` of source data.
 
     Shuffles start with enough partitions that the largest possible shuffle
     (every input byte) still lands at about ``target_partition_bytes`` per
     partition; adaptive execution then coalesces small shuffles (most here are
     aggregates) back down to the advisory size and splits skewed ones. Scans
-    read splits of the same size. Example: 100 TiB -> 200,000 initial
-    partitions (capped), 128 MiB advisory size.
+    read splits of the same size. Example: 100 TiB -> 819,200 initial
+    partitions, 128 MiB advisory size.
     """
-    n = max(200, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    n = max(200, -(-input_bytes // target_partition_bytes))
     size = str(target_partition_bytes)
     return {
         "spark.sql.shuffle.partitions": str(n),
@@ -79,8 +78,10 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names shared storage and is always honoured.
-    Only when it is unset (local tests) is a scratch folder created and
-    registered, so ``DataFrame.checkpoint()`` has somewhere to write. With a
+    Only when it is unset in a session on one machine (``local[...]``, as in
+    tests) is a scratch folder created and registered, so
+    ``DataFrame.checkpoint()`` has somewhere to write; on a cluster that is an
+    error, as executors would not see the driver's folder. With a
     remote (Connect) session the server's own setting applies and nothing is
     changed here.
     """
@@ -93,16 +94,9 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="tussock-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
     return path
-
-
-def materialize(df):
-    """Compute ``df`` once and cut its lineage (reliable ``checkpoint`` into the
-    shared checkpoint folder). Use when one result feeds several branches of a
-    plan (e.g. a mart read by a scalar subquery and by the main query), so the
-    upstream work runs once and a lost executor re-reads instead of recomputing."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -201,17 +201,16 @@ def ingest_price_pages(pages: DataFrame, calendar: DataFrame, path_of_url, audit
     per month with ``path``, ``year``, ``month``, ``report_date``);
     ``path_of_url`` is a Column expression extracting that path from ``url``.
     Non-200 responses are dropped (triage), each page is matched to its month
-    by path (the calendar is broadcast after a row-count check), and the
+    by path (the calendar is broadcast: 12 rows per year), and the
     report tables of every page are extracted in one distributed pass, which
     replaces a per-month request loop and a concatenation of the results.
     """
     from tussock.sources.html import report_rows
 
     ok = pages.filter(F.col("status") == 200).withColumn("path", path_of_url)
-    # Checked broadcast of the calendar (12 rows per year), so the pages, which
-    # carry the HTML, are never shuffled for this join.
-    from tussock.operators.joins import bounded_broadcast
-    months = bounded_broadcast(calendar.select("path", "year", "month", "report_date"))
+    # The calendar has 12 rows per year, whatever the pages, so it is broadcast
+    # and the pages, which carry the HTML, are never shuffled for this join.
+    months = F.broadcast(calendar.select("path", "year", "month", "report_date"))
     dated = ok.join(months, "path", "inner")
     rows = report_rows(dated, "url", carry=["year", "month", "report_date"])
     out = rows.select("year", "month", "report_date", "district", "suburb",

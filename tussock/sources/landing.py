@@ -49,23 +49,36 @@ CENSUS_FILE_COLUMNS = [
 ]
 
 
-_READ_CACHE: dict[tuple[int, str], DataFrame] = {}
+# Schemas of the given tables (column names and types of their files).
+TABLE_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "pages": "page_id long, url string, html string",
+}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet table ``<sf_dir>/<name>.parquet``. The (lazy) DataFrame is reused
-    per session and path so the footer/schema is resolved once on the driver."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (id(getattr(spark, "_jsparkSession", spark)), path)
-    df = _READ_CACHE.get(key)
-    if df is None:
-        df = _READ_CACHE[key] = spark.read.parquet(path)
-    return df
-
-
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Project onto a landing schema: cast present columns, add absent ones as typed NULLs."""
+    """Given table ``<sf_dir>/<name>.parquet``; its schema is known, so no footer is read to plan."""
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def conform(df: DataFrame, schema: T.StructType, required: list[str] | None = None) -> DataFrame:
+    """Project onto a landing schema: cast present columns, add absent ones as typed NULLs.
+
+    ``required`` names columns that must be there; a missing one raises ``KeyError``.
+    """
     present = {c.lower(): c for c in df.columns}
+    absent = [c for c in required or () if c not in present]
+    if absent:
+        raise KeyError(f"columns not found in the source: {absent}")
     cols = []
     for f in schema.fields:
         if f.name in present:
@@ -127,7 +140,10 @@ def preamble_dictionary(spark: SparkSession, path: str, n_rows: int = 5) -> Data
     order), so the per-column lists are bounded by ``n_rows``.
     """
     lines = spark.read.text(path).limit(n_rows).withColumn("line_no", F.monotonically_increasing_id())
-    cells = lines.select("line_no", F.posexplode(F.split(F.col("value"), ",")).alias("col_idx", "cell"))
+    # Quoted cells keep their commas: split outside quotes only, then drop the quotes.
+    parts = F.split(F.col("value"), r',(?=(?:[^"]*"[^"]*")*[^"]*$)')
+    cells = lines.select("line_no", F.posexplode(
+        F.transform(parts, lambda c: F.replace(F.regexp_replace(c, r'^"(.*)"$', "$1"), F.lit('""'), F.lit('"')))).alias("col_idx", "cell"))
     per_col = cells.groupBy("col_idx").agg(F.sort_array(F.collect_list(F.struct("line_no", "cell"))).alias("c"))
     return per_col.select(
         "col_idx",

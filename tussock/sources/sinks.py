@@ -6,7 +6,8 @@ the source files are never deleted while still being read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tussock.functions.cleaning import datetimes_as_text, fold_columns, with_audit
 
@@ -14,14 +15,16 @@ from tussock.functions.cleaning import datetimes_as_text, fold_columns, with_aud
 def write_landing(df: DataFrame, path: str, overwrite: bool = True, audit: bool = True,
                   upper_case: bool = False, partition_by: list[str] | None = None) -> int:
     """Land a frame as parquet (overwrite = replace the table, else append) and
-    return the row count of what was written, read back from the sink."""
+    return the number of rows written, observed during the write."""
     out = with_audit(df) if audit else df
+    written = Observation()
+    out = out.observe(written, F.count(F.lit(1)).alias("rows"))
     out = fold_columns(out, upper=True) if upper_case else out
     w = out.write.mode("overwrite" if overwrite else "append")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return out.sparkSession.read.parquet(path).count()
+    return written.get["rows"]
 
 
 def replace_in_place(spark: SparkSession, df: DataFrame, path: str, staging_path: str) -> DataFrame:
