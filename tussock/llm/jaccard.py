@@ -14,7 +14,7 @@ from .textbytes import Hasher, buffers, mix, ngram_hashes, slices, word_hashes
 #: Counters of the shingle frequencies (a fixed table, 4 MB).
 COUNTERS = 1 << 20
 #: Longest extension of a prefix: a pair must share as many prefix tokens.
-MAX_MATCHES = 4
+MAX_MATCHES = 16
 #: Checking a pair costs about as much as reading so many postings.
 CHECK_COST = 20
 #: Postings of a reduce group; tokens counted more often than this by the counters skip those groups.
@@ -55,9 +55,10 @@ def least_overlap(n: int, percent: int) -> int:
 def prefix(s: np.ndarray, counts: np.ndarray, usual: float, percent: int):
     """(prefix tokens, matches asked for): the rarest tokens of a set, rarest first.
 
-    A pair linked at ``percent`` shares at least m tokens within prefixes of
-    n - overlap + m tokens. Longer prefixes read more postings and ask for more matches, so fewer
-    pairs are checked; m is chosen by the estimated cost from the token counts above the usual ones.
+    A pair that must share ``need`` tokens shares at least m within the first n - need + m of
+    each, and a set's own least overlap is the lowest ``need`` of its pairs. Longer prefixes read more
+    postings and ask for more matches, so fewer pairs are checked; m is chosen by the estimated cost
+    from the token counts above the usual ones.
     """
     n = len(s)
     seen = counts[s & np.uint64(COUNTERS - 1)]
@@ -109,21 +110,22 @@ def _prefixes(counts, usual, percent, n, parts):
         kept, size, seen = [], 0, set()
 
         def postings():
-            tokens, fps, ms = (np.concatenate([k[i] for k in kept]) for i in range(3))
+            cols = [np.concatenate([k[i] for k in kept]) for i in range(4)]
+            tokens = cols[0]
             hot = table[tokens & np.uint64(COUNTERS - 1)] > HOT_TOKEN
             part = (mix(tokens) % np.uint64(parts)).astype(np.int64)
             rows = []
             for i in np.flatnonzero(hot):
-                rows.append((-1, tokens[i:i + 1], fps[i:i + 1], ms[i:i + 1]))
+                rows.append((-1, *(c[i:i + 1] for c in cols)))
             cold = np.flatnonzero(~hot)
             cold = cold[np.argsort(part[cold], kind="stable")]
             cuts = np.flatnonzero(np.diff(part[cold], prepend=-1, append=-2))
             for a, b in zip(cuts, cuts[1:]):
                 at = cold[a:b]
-                rows.append((int(part[at[0]]), tokens[at], fps[at], ms[at]))
+                rows.append((int(part[at[0]]), *(c[at] for c in cols)))
             cols = list(zip(*rows))
             return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *(pa.array([x.tobytes() for x in c], pa.binary()) for c in cols[1:])],
-                                              names=["part", "tokens", "fps", "ms"])
+                                              names=["part", *PACKED])
 
         for b in batches:
             data, offsets = buffers(b.column("text"))
@@ -134,7 +136,8 @@ def _prefixes(counts, usual, percent, n, parts):
                         continue
                     seen.add(fp)
                     tokens, m = prefix(s, table, usual, percent)
-                    kept.append((tokens, np.full(len(tokens), fp, np.int64), np.full(len(tokens), m, np.int8)))
+                    kept.append((tokens, np.full(len(tokens), fp, np.int64), np.full(len(tokens), m, np.int8),
+                                 np.arange(len(tokens), dtype=np.uint32)))
                     size += len(tokens)
                     if size >= 5 * GROUP_POSTINGS:
                         yield postings()
@@ -144,58 +147,77 @@ def _prefixes(counts, usual, percent, n, parts):
     return run
 
 
+PACKED = ("tokens", "fps", "ms", "places")
+KINDS = (np.int64, np.int64, np.int8, np.uint32)
+POSTING = "token long, fp long, m int, place int"
+
+
+def _unpacked(table):
+    return [np.concatenate([np.frombuffer(x, t) for x in table.column(c).to_pylist()] or [np.zeros(0, t)]) for c, t in zip(PACKED, KINDS)]
+
+
 def _shared(table):
     """Of one part, the postings of tokens that at least two sets have."""
     import pyarrow as pa
 
-    tokens, fps, ms = (np.concatenate([np.frombuffer(x, t) for x in table.column(c).to_pylist()])
-                       for c, t in (("tokens", np.int64), ("fps", np.int64), ("ms", np.int8)))
+    tokens, fps, ms, places = _unpacked(table)
     order = np.lexsort((fps, tokens))
-    tokens, fps, ms = tokens[order], fps[order], ms[order]
+    tokens, fps = tokens[order], fps[order]
     new = np.ones(len(tokens), bool)
     new[1:] = (tokens[1:] != tokens[:-1]) | (fps[1:] != fps[:-1])
-    tokens, fps, ms = tokens[new], fps[new], ms[new]
+    order, tokens, fps = order[new], tokens[new], fps[new]
     same = tokens[1:] == tokens[:-1]
     keep = np.zeros(len(tokens), bool)
     keep[1:] |= same
     keep[:-1] |= same
-    return pa.table({"token": tokens[keep], "fp": fps[keep], "m": ms[keep].astype(np.int32)})
+    at = order[keep]
+    return pa.table({"token": tokens[keep], "fp": fps[keep], "m": ms[at].astype(np.int32), "place": places[at].astype(np.int32)})
 
 
 def _unpack_hot(batches):
     import pyarrow as pa
 
     for b in batches:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([np.frombuffer(x, t) for x in b.column(c).to_pylist()] or [np.zeros(0, t)]).astype(o))
-             for c, t, o in (("tokens", np.int64, np.int64), ("fps", np.int64, np.int64), ("ms", np.int8, np.int32))],
-            names=["token", "fp", "m"])
+        cols = _unpacked(b)
+        yield pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(cols, (np.int64, np.int64, np.int32, np.int32))],
+                                         names=["token", "fp", "m", "place"])
 
 
-def _sets(n):
+def _by_set(n):
+    """(fingerprint of the set, text); of equal sets of a task, one."""
     def run(batches):
         import pyarrow as pa
 
-        hasher = Hasher()
+        hasher, seen = Hasher(), set()
         for b in batches:
             data, offsets = buffers(b.column("text"))
-            fps, raw = [], []
+            fps = []
             for i, j in slices(offsets):
-                for s in shingle_sets(hasher, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], n):
-                    fps.append(fingerprint(s))
-                    raw.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), pa.array(raw, pa.binary())], names=["fp", "shingles"])
+                fps += [fingerprint(s) for s in shingle_sets(hasher, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], n)]
+            keep = [k for k, fp in enumerate(fps) if not (fp in seen or seen.add(fp))]
+            yield pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), b.column("text")], names=["fp", "text"]).take(pa.array(keep, pa.int64()))
     return run
 
 
-def _check(percent):
+def _check(percent, n):
+    """The pairs whose sets, made from the whole texts, reach the similarity."""
     def run(batches):
         import pyarrow as pa
 
+        hasher, known = Hasher(), {}
+
+        def shingles(key, column, i):
+            if key not in known:
+                if len(known) > 200:
+                    known.clear()
+                data, offsets = buffers(column.slice(i, 1))
+                known[key] = next(shingle_sets(hasher, data, offsets, n))
+            return known[key]
+
         for b in batches:
             ok = []
-            for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for i, (k, l) in enumerate(zip(b.column("a").to_pylist(), b.column("b").to_pylist())):
+                x, y = shingles(k, b.column("x"), i), shingles(l, b.column("y"), i)
                 both = len(x) + len(y) - len(np.union1d(x, y))
                 ok.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
@@ -283,11 +305,14 @@ def _all_links(rows, survey, sets, tasks, total, postings, percent, n):
     parts = max(1, -(-postings // GROUP_POSTINGS))
     prefixes = stored(rows.select("text").mapInArrow(
         _prefixes(spark.sparkContext.broadcast(counts), total / COUNTERS, percent, n, parts),
-        "part long, tokens binary, fps binary, ms binary"), "nd-prefixes")
-    lists = prefixes.filter("part >= 0").groupBy("part").applyInArrow(_shared, "token long, fp long, m int")
-    hot = prefixes.filter("part < 0").select("tokens", "fps", "ms").mapInArrow(_unpack_hot, "token long, fp long, m int").distinct()
-    lists = stored(lists.unionByName(hot).join(sets.select("fp", "id", "n"), "fp").select("token", "fp", "m", "id", "n"), "nd-lists")
-    fits = 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
+        "part long, " + ", ".join(f"{c} binary" for c in PACKED)), "nd-prefixes")
+    lists = prefixes.filter("part >= 0").groupBy("part").applyInArrow(_shared, POSTING)
+    hot = prefixes.filter("part < 0").select(*PACKED).mapInArrow(_unpack_hot, POSTING).distinct()
+    lists = stored(lists.unionByName(hot).join(sets.select("fp", "id", "n"), "fp").select("token", "fp", "m", "place", "id", "n"), "nd-lists")
+    # A linked pair shares ``need`` tokens, and so ``asked`` of them within the first n - need + asked of either set.
+    need, asked = F.ceil(percent * (F.col("n") + F.col("n2")) / (100 + percent)), F.least("m", "m2")
+    fits = ((F.col("label") != F.col("label2")) & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
+            & (F.col("place") < F.col("n") - need + asked) & (F.col("place2") < F.col("n2") - need + asked))
     links, labels, last = None, None, None
     for turn in range(PIVOT_ROUNDS):
         own = lists.withColumn("label", F.col("fp")) if labels is None else (
@@ -302,18 +327,18 @@ def _all_links(rows, survey, sets, tasks, total, postings, percent, n):
         if not pairs or (turn and (pairs <= 2 * size or last is not None and pairs > 0.7 * last and turn >= 2)):
             break
         last = pairs
-        pivots = live.groupBy("token").agg(F.min_by(F.struct("fp", "n", "label"), order).alias("p"))
-        pivots = stored(pivots.select("token", F.col("p.fp").alias("a"), F.col("p.n").alias("n2"), F.col("p.label").alias("label2")), "nd-pivots")
-        pairs_ = live.join(pivots, "token").filter((F.col("label") != F.col("label2")) & fits)
+        pivots = live.groupBy("token").agg(F.min_by(F.struct("fp", "n", "m", "place", "label"), order).alias("p"))
+        pivots = stored(pivots.select("token", F.col("p.fp").alias("a"), *(F.col(f"p.{c}").alias(f"{c}2") for c in ("n", "m", "place", "label"))), "nd-pivots")
+        pairs_ = live.join(pivots, "token").filter(fits)
         found = _checked(rows, pairs_.select("a", F.col("fp").alias("b")).distinct(), sets, percent, n)
         links = found if links is None else stored(links.unionByName(found), "nd-links")
         labels = connected_components(links)
     if not pairs:
         return links
-    x = live.select("token", F.col("fp").alias("a"), "n", "m", F.col("label").alias("label_a"))
-    y = live.select("token", F.col("fp").alias("b"), F.col("n").alias("n2"), F.col("m").alias("m2"), F.col("label").alias("label_b"))
-    meet = x.join(y, "token").filter((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & fits)
-    enough = meet.groupBy("a", "b").agg(F.count("*").alias("common"), F.min(F.least("m", "m2")).alias("asked")).filter("common >= asked")
+    x = live.select("token", F.col("fp").alias("a"), "n", "m", "place", "label")
+    y = live.select("token", F.col("fp").alias("b"), *(F.col(c).alias(f"{c}2") for c in ("n", "m", "place", "label")))
+    meet = x.join(y, (x["token"] == y["token"]) & (F.col("a") < F.col("b")) & fits)
+    enough = meet.groupBy("a", "b").agg(F.count("*").alias("common"), F.min(asked).alias("asked")).filter("common >= asked")
     found = _checked(rows, enough.select("a", "b"), sets, percent, n)
     return found if links is None else links.unionByName(found)
 
@@ -327,8 +352,8 @@ def _checked(rows, pairs, sets, percent, n):
     some = ids.filter("id is not null").distinct()
     texts = rows.join(F.broadcast(some) if few else some, "id", "left_semi").select("text")
     texts = texts.unionByName(rows.filter("id is null").select("text"))
-    full = texts.mapInArrow(_sets(n), "fp long, shingles binary").join(wanted, "fp", "left_semi")
-    full = stored(full.groupBy("fp").agg(F.first("shingles").alias("shingles")), "nd-full")
-    x = full.select(F.col("fp").alias("a"), F.col("shingles").alias("x"))
-    y = full.select(F.col("fp").alias("b"), F.col("shingles").alias("y"))
-    return stored(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_check(percent), "a long, b long"), "nd-found")
+    texts = stored(texts.mapInArrow(_by_set(n), "fp long, text string"), "nd-texts")
+    x = texts.select(F.col("fp").alias("a"), F.col("text").alias("x"))
+    y = texts.select(F.col("fp").alias("b"), F.col("text").alias("y"))
+    return stored(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
+                  .mapInArrow(_check(percent, n), "a long, b long").distinct(), "nd-found")
