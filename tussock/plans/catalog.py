@@ -524,3 +524,62 @@ def q_rate_rejects(spark, sf_dir):
     _, rejects = split_rejects(sheet, {"bad_date": try_landing_date("_c0").isNotNull(),
                                        "bad_ocr_rate": coerce_double("_c1").isNotNull()})
     return rejects
+
+
+# ------------------------------------------------------ text-fed scans ---
+
+def _csv_rows(lines, columns):
+    """Rows of comma-separated lines, every column as text."""
+    schema = ", ".join(f"`{c}` string" for c in columns)
+    return lines.select(F.from_csv("line", schema).alias("r")).select("r.*")
+
+
+@register("census_file_places", """
+SELECT CASE WHEN k % 3 = 0 THEN 'Median age' ELSE 'Median household income' END AS section_title,
+       ['Ponsonby', 'Remuera East', 'GREY LYNN', 'mission bay, upper', 'Old Mount Eden North (Auckland)'][k % 10 + 1] AS descriptor,
+       CASE WHEN k % 5 = 1 THEN 'Count' ELSE 'Median' END AS value_type_description,
+       CAST(k AS DOUBLE) AS value
+FROM (SELECT c_custkey AS k FROM customer) c
+WHERE k % 3 <> 2 AND k % 7 <> 0 AND k % 11 <> 0 AND k % 13 <> 0 AND k % 5 <> 0 AND k % 17 <> 0 AND k % 19 <> 0 AND k % 10 < 5""")
+def q_census_file(spark, sf_dir):
+    """The census export read as lines: header replaced, columns kept by name, areas
+    matched with the literal list of place names."""
+    from tussock.functions.cleaning import keep_columns
+    from tussock.sources.ingest import ingest_census
+    from tussock.sources.jobs import CENSUS_KEEP_COLUMNS
+    from tussock.sources.landing import CENSUS_FILE_COLUMNS
+    raw = keep_columns(_csv_rows(td.a_census_lines(spark, sf_dir), CENSUS_FILE_COLUMNS), CENSUS_KEEP_COLUMNS)
+    raw = raw.withColumn("period", F.col("period").try_cast("int"))
+    return ingest_census(raw).select("section_title", "descriptor", "value_type_description", "value")
+
+
+@register("rate_sheet_lines", O.build("SELECT * FROM rates_positional", ["rates_positional"]))
+def q_rate_lines(spark, sf_dir):
+    """The headerless rate sheet read as lines, then picked by position."""
+    from tussock.sources.ingest import rates_from_positions
+    return rates_from_positions(_csv_rows(td.a_rate_lines(spark, sf_dir), [f"_c{i}" for i in range(18)]))
+
+
+@register("school_records_envelope", O.build("""
+SELECT s.school_id * 10 + o AS "School_Id", org_name AS "Org_Name", latitude AS "Latitude", status AS "Status"
+FROM a_schools s, (VALUES (1), (2)) t(o) WHERE s.school_id % 9 <> 0""", ["a_schools"]))
+def q_school_records(spark, sf_dir):
+    from pyspark.sql import types as T
+
+    from tussock.sources.payloads import envelope_schema, flatten_envelope
+    record = T.StructType([T.StructField("School_Id", T.LongType()),
+                           *[T.StructField(c, T.StringType()) for c in ("Org_Name", "Latitude", "Status")]])
+    return flatten_envelope(td.a_school_payloads(spark, sf_dir), "payload",
+                            envelope_schema(record, "records", outer="result"), "result.records")
+
+
+@register("prices_text_export", O.build("""
+SELECT suburb, district, strftime(report_date, '%Y-%m-%d %H:%M:%S') AS report_date,
+       strftime(report_month, '%Y-%m-%d %H:%M:%S') AS report_month,
+       avg_sale_price, avg_weekly_rent, gross_yield_pct, data_quality_flag, 'landed' AS source_name
+FROM stg_prices""", ["stg_prices"]))
+def q_prices_text(spark, sf_dir):
+    """The text form of an export: every date as landing text, plus an audit column."""
+    from tussock.functions.cleaning import datetimes_as_text, with_audit
+    p = stg.stg_prices(td.a_prices(spark, sf_dir))
+    return datetimes_as_text(with_audit(p, "source_name", F.lit("landed")))

@@ -28,6 +28,8 @@ from tussock.session import checkpoint_dir
 
 NOT_NULL_COLUMNS = ["report_date", "suburb", "avg_sale_price"]
 UNIQUE_KEY = ["suburb", "report_date"]
+# Files that a year of the stored mart is spread over, at most.
+FILES_A_YEAR = 8
 PRICE_MEASURES = ["avg_sale_price", "avg_weekly_rent", "gross_yield_pct"]
 
 
@@ -48,7 +50,9 @@ def build(spark: SparkSession, landing: stg.Landing, out_root: str,
     if enabled["affordability"]:
         path = os.path.join(out_root, "mart_affordability_index")
         aff = marts.affordability_mart(landing, schools_stg)
+        # Rows of a year meet in a few tasks (spread by suburb), so a year has few files.
         (aff.withColumn("report_year", F.year("report_date"))
+         .repartition("report_year", F.pmod(F.xxhash64("suburb"), F.lit(FILES_A_YEAR)))
          .write.mode("overwrite").partitionBy("report_year").parquet(path))
         res.paths["affordability"] = path
         stored = read_affordability(spark, path)

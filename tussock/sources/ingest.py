@@ -103,7 +103,7 @@ def ingest_census(raw: DataFrame, places: list[str] | DataFrame = AUCKLAND_PLACE
     """SA2 + 2023 -> target metrics -> place-name substring match -> Median/Count
     -> coercing numeric parse with NULL/NaN dropped.
 
-    ``places`` is either a literal list (one case-insensitive regex alternation)
+    ``places`` is either a list of literal names (one case-insensitive alternation)
     or a DataFrame with one ``keyword`` column (a table-driven semi join).
     """
     df = raw.filter((F.col("classification_label") == CENSUS_LEVEL) & (F.col("period") == CENSUS_PERIOD))
@@ -111,7 +111,7 @@ def ingest_census(raw: DataFrame, places: list[str] | DataFrame = AUCKLAND_PLACE
     if isinstance(places, DataFrame):
         df = semi_join_contains(df, "descriptor", places, "keyword")
     else:
-        df = df.filter(contains_any(F.col("descriptor"), places))
+        df = df.filter(contains_any(F.col("descriptor"), places, escape=True))
     df = df.filter(F.col("value_type_description").isin(CENSUS_VALUE_TYPES))
     df = df.withColumn("value", coerce_double("value")).filter(F.col("value").isNotNull())
     return with_audit(df) if audit else df
@@ -124,7 +124,7 @@ def census_funnel(raw: DataFrame, places: list[str] | DataFrame = AUCKLAND_PLACE
         raw = mark_contains(raw, "descriptor", places, "keyword", "_place_ok")
         place_match = F.col("_place_ok")
     else:
-        place_match = contains_any(F.col("descriptor"), places)
+        place_match = contains_any(F.col("descriptor"), places, escape=True)
     preds = census_stage_predicates(place_match)
     aggs = [F.count(F.lit(1)).alias("loaded")]
     acc = None

@@ -184,3 +184,45 @@ def a_supermarket_file(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_retailprice").alias("Shape__Area"),
         F.col("p_size").cast("double").alias("Shape__Length"),
     )
+
+
+# Area names of the census file: the first five hold a listed place name, the rest don't.
+CENSUS_FILE_AREAS = ["Ponsonby", "Remuera East", "GREY LYNN", "mission bay, upper", "Old Mount Eden North (Auckland)",
+                     "Taupo Central", "Hamilton", "Lake Te Anau", "Wellington", "Ponsonb"]
+
+
+def a_census_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the 22-column census export, as text (one column ``line``); the area name is
+    quoted and may hold a comma, and every 11th is empty."""
+    c = read_table(spark, sf_dir, "customer").select("c_custkey")
+    k = F.col("c_custkey")
+    area = F.element_at(F.array(*[F.lit(a) for a in CENSUS_FILE_AREAS]), (k % 10 + 1).cast("int"))
+    cells = {
+        "section_title": F.when(k % 3 == 0, "Median age").when(k % 3 == 1, "Median household income").otherwise("Dogs"),
+        "classification_label": F.when(k % 7 == 0, "Region").otherwise("Statistical area 2"),
+        "descriptor": F.when(k % 11 == 0, F.lit("")).otherwise(F.concat(F.lit('"'), area, F.lit('"'))),
+        "period": F.when(k % 13 == 0, "2018").otherwise("2023"),
+        "value_type_description": F.when(k % 5 == 0, "Percent").when(k % 5 == 1, "Count").otherwise("Median"),
+        "value": F.when(k % 17 == 0, F.lit("..C")).when(k % 19 == 0, F.lit("NaN")).otherwise(k.cast("string")),
+        "code": k.cast("string"),
+    }
+    from tussock.sources.landing import CENSUS_FILE_COLUMNS
+    return c.select(F.concat_ws(",", *[cells.get(n, F.lit("x")) for n in CENSUS_FILE_COLUMNS]).alias("line"))
+
+
+def a_rate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rate sheet as comma-separated lines without a header."""
+    sheet = a_rate_sheet(spark, sf_dir)
+    return sheet.select(F.concat_ws(",", *sheet.columns).alias("line"))
+
+
+def a_school_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``{"result": {"records": [...]}}`` texts with two records each, or none."""
+    s = a_schools(spark, sf_dir)
+
+    def record(offset):
+        return F.concat(F.lit('{"School_Id":'), (F.col("school_id") * 10 + offset).cast("string"), F.lit(',"Org_Name":"'),
+                        F.col("org_name"), F.lit('","Latitude":"'), F.col("latitude"), F.lit('","Status":'),
+                        F.coalesce(F.concat(F.lit('"'), F.col("status"), F.lit('"')), F.lit("null")), F.lit(',"Extra":[1]}'))
+    records = F.when(F.col("school_id") % 9 == 0, F.lit("")).otherwise(F.concat(record(1), F.lit(","), record(2)))
+    return s.select("school_id", F.concat(F.lit('{"help":"x","result":{"records":['), records, F.lit("]}}")).alias("payload"))
