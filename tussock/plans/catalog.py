@@ -110,7 +110,7 @@ def q_liveability(spark, sf_dir):
 @register("gross_yield_check", O.build(f"""
 SELECT suburb, district, report_date, avg_sale_price, avg_weekly_rent, gross_yield_pct,
        avg_weekly_rent * 52 / NULLIF(avg_sale_price, 0) * 100 AS computed_yield_pct,
-       {O.rnd('abs(gross_yield_pct - avg_weekly_rent * 52 / NULLIF(avg_sale_price, 0) * 100)', 6)} AS yield_gap
+       {O.rnd('abs(gross_yield_pct - avg_weekly_rent * 52 / NULLIF(avg_sale_price, 0) * 100)', 6, 14)} AS yield_gap
 FROM stg_prices""", ["stg_prices"]))
 def q_gross_yield(spark, sf_dir):
     from tussock.functions.metrics import gross_yield_pct

@@ -16,8 +16,8 @@ from tussock.functions.names import PARENT_NAME_SUFFIXES, SUPERMARKET_SUBURB_ALI
 from tussock.sources.ingest import CENSUS_TARGET_METRICS, RATE_PATCH_ROWS
 
 
-def rnd(expr: str, n: int) -> str:
-    return f"CAST(round(CAST({expr} AS DECIMAL(38,9)), {n}) AS DOUBLE)"
+def rnd(expr: str, n: int, digits: int = 9) -> str:
+    return f"CAST(round(CAST({expr} AS DECIMAL(38,{digits})), {n}) AS DOUBLE)"
 
 
 def dmean(expr: str) -> str:
@@ -50,13 +50,14 @@ def block(name: str, deps: list[str], body: str) -> None:
 
 # ------------------------------------------------------------ adapters ---
 block("a_prices", [], """
-SELECT replace(n_name, 'NATION_', 'Mt ') AS suburb,
+SELECT concat('Mt ', CAST(CAST(replace(n_name, 'NATION_', '') AS INTEGER) + CASE WHEN c_custkey % 3 = 0 THEN 25 ELSE 0 END AS VARCHAR)) AS suburb,
        c_mktsegment AS district,
-       concat(CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR), ' 00:00:00') AS report_date,
+       concat(CASE WHEN o_orderkey % 16 = 0 THEN '2001-08-01'
+                   ELSE CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) END, ' 00:00:00') AS report_date,
        CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_totalprice * 12 END AS avg_sale_price,
        CAST(300 + o_orderkey % 700 AS DOUBLE) AS avg_weekly_rent,
        CASE WHEN o_orderkey % 97 = 0 THEN NULL
-            ELSE CAST(300 + o_orderkey % 700 AS DOUBLE) * 52 / (o_totalprice * 12) * 100 END AS gross_yield_pct
+            ELSE CAST(300 + o_orderkey % 700 AS DOUBLE) * 52 / (o_totalprice * 12) * CAST(100 + o_orderkey % 5 AS DOUBLE) END AS gross_yield_pct
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""")
 
 block("a_rates", [], """
@@ -71,7 +72,7 @@ block("a_census", [], """
 SELECT CASE WHEN c_custkey % 2 = 0 THEN 'Median household income' ELSE 'Population' END AS section_title,
        CASE WHEN c_custkey % 11 = 0 THEN 'Territorial authority' ELSE 'Statistical area 2' END AS classification_label,
        concat(CASE c_nationkey WHEN 3 THEN 'Lower Mount ' WHEN 7 THEN 'Harbour ' ELSE 'Mount ' END,
-              CAST(c_nationkey AS VARCHAR),
+              CAST(c_nationkey + CASE WHEN c_custkey % 3 = 0 THEN 25 ELSE 0 END AS VARCHAR),
               CASE c_custkey % 5 WHEN 0 THEN '' WHEN 1 THEN ' North' WHEN 2 THEN ' (Auckland)'
                                  WHEN 3 THEN ' South East' ELSE ' Central (Auckland)' END) AS descriptor,
        CASE WHEN c_custkey % 13 = 0 THEN 2018 ELSE 2023 END AS period,
@@ -83,11 +84,12 @@ FROM customer""")
 block("a_schools", [], """
 SELECT s_suppkey AS school_id,
        s_name AS org_name,
-       concat('  Mount ', CAST(s_nationkey AS VARCHAR), ' ') AS add1_suburb,
-       CASE WHEN s_suppkey % 23 = 0 THEN 'n/a'
+       concat('  Mount ', CAST(s_nationkey + CASE WHEN s_suppkey % 3 = 0 THEN 25 ELSE 0 END AS VARCHAR), ' ') AS add1_suburb,
+       CASE WHEN s_suppkey % 23 = 0 THEN 'n/a' WHEN s_suppkey % 7 = 0 THEN '-38.100'
             ELSE CAST(CAST((-37500 + (s_suppkey * 7919) % 1499) / CAST(1000 AS DOUBLE) AS DECIMAL(9,3)) AS VARCHAR) END AS latitude,
-       CAST(CAST((174000 + (s_suppkey * 104729) % 1493) / CAST(1000 AS DOUBLE) AS DECIMAL(9,3)) AS VARCHAR) AS longitude,
-       CASE WHEN s_suppkey % 11 = 0 THEN 'N/A' ELSE CAST(344 + (s_suppkey * 37) % 226 AS VARCHAR) END AS eqi_index,
+       CASE WHEN s_suppkey % 8 = 0 THEN '176.250'
+            ELSE CAST(CAST((174000 + (s_suppkey * 104729) % 1493) / CAST(1000 AS DOUBLE) AS DECIMAL(9,3)) AS VARCHAR) END AS longitude,
+       CASE WHEN s_suppkey % 6 = 0 THEN 'NaN' WHEN s_suppkey % 11 = 0 THEN 'N/A' ELSE CAST(344 + (s_suppkey * 37) % 226 AS VARCHAR) END AS eqi_index,
        concat(CAST(100 + s_suppkey % 900 AS VARCHAR), CASE WHEN s_suppkey % 4 = 0 THEN '.0' ELSE '' END) AS total,
        CASE WHEN s_suppkey % 13 = 0 THEN 'Closed' WHEN s_suppkey % 17 = 0 THEN NULL ELSE 'Open' END AS status
 FROM supplier""")
@@ -97,7 +99,7 @@ SELECT p_partkey AS objectid,
        concat(' ', p_name, ' ') AS name,
        CASE WHEN p_size % 5 = 0 THEN 'Hamilton' ELSE 'Auckland' END AS territorial_authority,
        CASE p_partkey % 6 WHEN 0 THEN 'Mt Albert' WHEN 1 THEN 'Oteha ' WHEN 2 THEN 'Pinehill' WHEN 3 THEN NULL
-                          ELSE concat('Mount ', CAST(p_partkey % 25 AS VARCHAR)) END AS suburb
+                          ELSE concat('Mount ', CAST(p_partkey % 25 * 2 AS VARCHAR)) END AS suburb
 FROM part""")
 
 block("a_stops", [], """
@@ -183,7 +185,7 @@ SELECT school_id,
        CAST(NULL AS VARCHAR) AS territorial_authority,
        TRY_CAST(latitude AS DOUBLE) AS lat,
        TRY_CAST(longitude AS DOUBLE) AS lon,
-       TRY_CAST(eqi_index AS DOUBLE) AS eqi_index,
+       CASE WHEN eqi_index <> 'NaN' THEN TRY_CAST(eqi_index AS DOUBLE) END AS eqi_index,
        TRY_CAST(round(TRY_CAST(total AS DOUBLE)) AS INTEGER) AS roll,
        status
 FROM a_schools
@@ -296,7 +298,7 @@ def build(final_select: str, needs: list[str]) -> str:
 
 # ----------------------------------------------------- source-job blocks ---
 block("a_rate_sheet", [], """
-SELECT CASE WHEN n % 23 = 0 THEN 'Series' ELSE CAST(last_day(CAST(m AS DATE)) AS VARCHAR) END AS _c0,
+SELECT CASE WHEN n % 23 = 0 THEN 'Series' ELSE CAST(last_day(CAST(m AS DATE) + CASE WHEN n % 5 = 0 THEN INTERVAL 300 MONTH ELSE INTERVAL 0 MONTH END) AS VARCHAR) END AS _c0,
        CASE WHEN n % 19 = 0 THEN 'n/a' ELSE CAST(CAST(n % 13 AS DOUBLE) / 2 AS VARCHAR) END AS _c1,
        CAST(CAST(n % 11 AS DOUBLE) / 4 AS VARCHAR) AS _c7,
        CAST(CAST(n % 7 AS DOUBLE) / 4 AS VARCHAR) AS _c9,

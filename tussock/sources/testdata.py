@@ -20,6 +20,11 @@ def _fixed3(expr: Column) -> Column:
     return (expr / F.lit(1000.0)).cast("decimal(9,3)").cast("string")
 
 
+def _half(key: str) -> Column:
+    """25 for every third key, else 0: splits the 25 nations into 50 suburbs."""
+    return F.when(F.col(key) % 3 == 0, F.lit(25)).otherwise(F.lit(0))
+
+
 def _midnight_text(d: Column) -> Column:
     return F.concat(d.cast("string"), F.lit(" 00:00:00"))
 
@@ -32,16 +37,21 @@ def a_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     missing = (k % 97) == 0
     rent = (F.lit(300) + k % 700).cast("double")
     price = F.col("o_totalprice") * 12
+    # One order in 16 is reported in the last month, so the latest snapshot has every suburb.
+    month = F.when(k % 16 == 0, F.lit("2001-08-01").cast("date")).otherwise(F.trunc(F.col("o_orderdate"), "month"))
     return (
         o.join(c, o.o_custkey == c.c_custkey)
         .join(n, F.col("c_nationkey") == n.n_nationkey)
         .select(
-            F.replace(F.col("n_name"), F.lit("NATION_"), F.lit("Mt ")).alias("suburb"),
+            F.concat(F.lit("Mt "), (F.replace("n_name", F.lit("NATION_"), F.lit("")).cast("int") + _half("c_custkey")).cast("string"))
+            .alias("suburb"),
             F.col("c_mktsegment").alias("district"),
-            _midnight_text(F.trunc(F.col("o_orderdate"), "month")).alias("report_date"),
+            _midnight_text(month).alias("report_date"),
             F.when(missing, F.lit(None).cast("double")).otherwise(price).alias("avg_sale_price"),
             rent.alias("avg_weekly_rent"),
-            F.when(missing, F.lit(None).cast("double")).otherwise(rent * 52 / price * 100).alias("gross_yield_pct"),
+            # The published yield differs from the computed one by 0 to 4 percent.
+            F.when(missing, F.lit(None).cast("double"))
+            .otherwise(rent * 52 / price * (F.lit(100) + k % 5).cast("double")).alias("gross_yield_pct"),
         )
     )
 
@@ -74,7 +84,7 @@ def a_census(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(
         F.when(k % 2 == 0, "Median household income").otherwise("Population").alias("section_title"),
         F.when(k % 11 == 0, "Territorial authority").otherwise("Statistical area 2").alias("classification_label"),
-        F.concat(area, F.col("c_nationkey").cast("string"), suffix).alias("descriptor"),
+        F.concat(area, (F.col("c_nationkey") + _half("c_custkey")).cast("string"), suffix).alias("descriptor"),
         F.when(k % 13 == 0, 2018).otherwise(2023).alias("period"),
         F.when(k % 7 == 0, "Percent").otherwise("Median").alias("value_type_description"),
         F.when(k % 50 == 0, F.lit("..C"))
@@ -88,10 +98,12 @@ def a_schools(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select(
         k.alias("school_id"),
         F.col("s_name").alias("org_name"),
-        F.concat(F.lit("  Mount "), F.col("s_nationkey").cast("string"), F.lit(" ")).alias("add1_suburb"),
-        F.when(k % 23 == 0, F.lit("n/a")).otherwise(_fixed3(F.lit(-37500) + (k * 7919) % 1499)).alias("latitude"),
-        _fixed3(F.lit(174000) + (k * 104729) % 1493).alias("longitude"),
-        F.when(k % 11 == 0, F.lit("N/A")).otherwise((F.lit(344) + (k * 37) % 226).cast("string")).alias("eqi_index"),
+        F.concat(F.lit("  Mount "), (F.col("s_nationkey") + _half("s_suppkey")).cast("string"), F.lit(" ")).alias("add1_suburb"),
+        # Some schools lie outside the box for centroids, and some scores read NaN.
+        F.when(k % 23 == 0, F.lit("n/a")).when(k % 7 == 0, F.lit("-38.100"))
+        .otherwise(_fixed3(F.lit(-37500) + (k * 7919) % 1499)).alias("latitude"),
+        F.when(k % 8 == 0, F.lit("176.250")).otherwise(_fixed3(F.lit(174000) + (k * 104729) % 1493)).alias("longitude"),
+        F.when(k % 6 == 0, F.lit("NaN")).when(k % 11 == 0, F.lit("N/A")).otherwise((F.lit(344) + (k * 37) % 226).cast("string")).alias("eqi_index"),
         F.concat((F.lit(100) + k % 900).cast("string"), F.when(k % 4 == 0, F.lit(".0")).otherwise(F.lit(""))).alias("total"),
         F.when(k % 13 == 0, F.lit("Closed")).when(k % 17 == 0, F.lit(None).cast("string"))
         .otherwise(F.lit("Open")).alias("status"),
@@ -107,7 +119,8 @@ def a_supermarkets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("p_size") % 5 == 0, "Hamilton").otherwise("Auckland").alias("territorial_authority"),
         F.when(k % 6 == 0, F.lit("Mt Albert")).when(k % 6 == 1, F.lit("Oteha "))
         .when(k % 6 == 2, F.lit("Pinehill")).when(k % 6 == 3, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("Mount "), (k % 25).cast("string"))).alias("suburb"),
+        # Only even suburbs have a supermarket.
+        .otherwise(F.concat(F.lit("Mount "), (k % 25 * 2).cast("string"))).alias("suburb"),
     )
 
 
@@ -156,12 +169,14 @@ def a_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def a_rate_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Headerless 18-column rate spreadsheet export (all text): date in column 0,
     OCR in 1, 90-day bill in 7, 2-year bond in 9, 2-year swap in 17, filler
-    elsewhere; some rows carry a text label instead of a date."""
+    elsewhere; some rows carry a text label instead of a date, and every fifth
+    count of rows a date 25 years on, so that some lie past the patch."""
     li = read_table(spark, sf_dir, "lineitem").select("l_shipdate")
     per_month = li.groupBy(F.trunc("l_shipdate", "month").alias("m")).agg(F.count(F.lit(1)).alias("n"))
     n = F.col("n")
     cells = {
-        0: F.when(n % 23 == 0, F.lit("Series")).otherwise(F.last_day(F.col("m")).cast("string")),
+        0: F.when(n % 23 == 0, F.lit("Series")).otherwise(
+            F.last_day(F.add_months(F.col("m"), F.when(n % 5 == 0, F.lit(300)).otherwise(F.lit(0)))).cast("string")),
         1: F.when(n % 19 == 0, F.lit("n/a")).otherwise(((n % 13).cast("double") / 2).cast("string")),
         7: ((n % 11).cast("double") / 4).cast("string"),
         9: ((n % 7).cast("double") / 4).cast("string"),
