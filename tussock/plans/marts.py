@@ -31,14 +31,21 @@ AFFORDABILITY_COLUMNS = [
 ]
 
 
+def rounded_mean(col: str, decimals: int, scale: int = 6) -> F.Column:
+    """Rounded mean whose sum is exact (DECIMAL with ``scale`` places, more than the measure
+    has): a sum of doubles depends, in its last bits, on the order of the tasks, which shows
+    where the mean lies on a half."""
+    return F.round(F.avg(F.col(col).cast(f"decimal(38,{scale})")), decimals).cast("double").alias(col)
+
+
 def property_by_suburb_month(prices_stg: DataFrame) -> DataFrame:
     """'ok' prices averaged to (suburb, month); district-level rows weigh equally."""
     ok = prices_stg.filter(price_is_ok(F.col("avg_sale_price")))
     return ok.groupBy("suburb", "report_month").agg(
         F.max("report_date").alias("report_date"),
-        F.round(F.avg("avg_sale_price"), 0).alias("avg_sale_price"),
-        F.round(F.avg("avg_weekly_rent"), 0).alias("avg_weekly_rent"),
-        F.round(F.avg("gross_yield_pct"), 2).alias("gross_yield_pct"),
+        rounded_mean("avg_sale_price", 0),
+        rounded_mean("avg_weekly_rent", 0),
+        rounded_mean("gross_yield_pct", 2, 12),
         F.min("data_quality_flag").alias("data_quality_flag"),
     )
 

@@ -221,7 +221,7 @@ HAVING count(*) >= 1""")
 block("property", ["stg_prices"], f"""
 SELECT suburb, report_month,
        max(report_date) AS report_date,
-       {rnd('avg(avg_sale_price)', 0)} AS avg_sale_price,
+       {rnd('avg(CAST(avg_sale_price AS DECIMAL(38,6)))', 0)} AS avg_sale_price,
        {rnd('avg(avg_weekly_rent)', 0)} AS avg_weekly_rent,
        {rnd('avg(gross_yield_pct)', 2)} AS gross_yield_pct,
        min(data_quality_flag) AS data_quality_flag
