@@ -23,15 +23,6 @@ def haversine_km(lat1, lon1, lat2, lon2, radius_km: float = EARTH_RADIUS_KM) ->
     return F.lit(2 * radius_km) * F.asin(F.sqrt(a))
 
 
-def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str, radius_km: float = EARTH_RADIUS_KM) -> str:
-    """The same formula as SQL text (used by the oracle)."""
-    return (
-        f"({2 * radius_km!r} * asin(sqrt(pow(sin((radians({lat2}) - radians({lat1})) / 2), 2)"
-        f" + cos(radians({lat1})) * cos(radians({lat2}))"
-        f" * pow(sin((radians({lon2}) - radians({lon1})) / 2), 2))))"
-    )
-
-
 def band_height_deg(radius_km: float, earth_km: float = EARTH_RADIUS_KM) -> float:
     """Latitude band height such that two points closer than ``radius_km`` are at
     most one band apart: great-circle distance >= R * |dphi|."""

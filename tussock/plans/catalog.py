@@ -10,7 +10,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tussock.functions.geo import haversine_sql
 from tussock.plans import marts
 from tussock.plans import oracle as O
 from tussock.plans import staging as stg
@@ -471,7 +470,7 @@ def q_table_profile(spark, sf_dir):
 SELECT c.school_id, count(s.stop_id) AS stops_800m
 FROM (SELECT school_id, lat, lon FROM stg_schools
       WHERE lat BETWEEN -37.5 AND -36.0 AND lon BETWEEN 174.0 AND 175.5) c
-LEFT JOIN stg_stops s ON {haversine_sql('c.lat', 'c.lon', 's.lat', 's.lon')} < 0.8
+LEFT JOIN stg_stops s ON {O.distance_km('c.lat', 'c.lon', 's.lat', 's.lon')} < 0.8
 GROUP BY c.school_id""", ["stg_schools", "stg_stops"]))
 def q_stops_near_schools(spark, sf_dir):
     """One walking-distance centre per school (many more centres than suburbs)."""

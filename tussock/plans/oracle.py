@@ -11,9 +11,52 @@ to DECIMAL first so both engines round the same decimal number.
 
 from __future__ import annotations
 
-from tussock.functions.geo import haversine_sql
-from tussock.functions.names import PARENT_NAME_SUFFIXES, SUPERMARKET_SUBURB_ALIASES
-from tussock.sources.ingest import CENSUS_TARGET_METRICS, RATE_PATCH_ROWS
+# --- Fixed values, restated here so that a slip in the engine's lists shows ---
+CENSUS_METRICS = [
+    "Median household income", "Median personal income of adults", "Population",
+    "Households who own their home or hold in a family trust", "Median weekly rent paid by households",
+    "Number of private dwellings", "Median age", "New Zealand index of socioeconomic deprivation",
+    "Work and labour force status",
+]
+LOCALITY_SUFFIXES = [
+    "central", "north", "south", "east", "west", "central-north", "central-south",
+    "north east", "south east", "north west", "south west", "central east",
+    "central north", "central south", "nirvana", "konini", "rosier", "woodglen",
+    "larnoch", "keegan", "red hills", "seabrook", "tuff crater", "royal road west",
+    "valley park", "abbotts park", "waiata", "waiatarua", "waitaramoa", "rosebank",
+    "eastridge", "amaru", "oranga", "ferndale", "hamlin", "heights east",
+    "heights north west", "heights south west", "mclennan", "massey park",
+    "hospital", "eastburn", "south crossing", "hill east", "hill west",
+    "parrs park", "industrial",
+]
+MARKET_ALIASES = {
+    "mt albert": "mount albert", "mt roskill": "mount roskill", "mt wellington": "mount wellington",
+    "mt eden": "mount eden", "auckland cbd": "city centre", "manukau city": "manukau",
+    "manukau central": "manukau", "mangere central": "mangere", "botany downs": "botany",
+    "takapuna north": "takapuna", "te atatu": "te atatu peninsula", "te atatu north": "te atatu peninsula",
+    "murrays bay": "murrays bay", "the gardens": "flat bush", "dannemora": "east tamaki", "oteha": "albany",
+    "pinehill": "albany", "clendon": "manurewa", "randwick park": "manurewa", "wattle downs": "manurewa",
+}
+PATCH = [
+    ("2025-08-31", 2.75, 2.90, 3.30, 3.20),
+    ("2025-09-30", 2.75, 2.85, 3.25, 3.10),
+    ("2025-10-31", 2.75, 2.80, 3.20, 3.00),
+    ("2025-11-30", 2.25, 2.50, 3.50, 3.45),
+    ("2025-12-31", 2.25, 2.55, 3.70, 3.75),
+    ("2026-01-31", 2.25, 2.60, 3.65, 3.70),
+    ("2026-02-28", 2.25, 2.60, 3.60, 3.65),
+    ("2026-03-31", 2.25, 2.60, 3.60, 3.65),
+]
+EARTH_KM = 6371.0
+# --- end of fixed values ---
+
+
+def distance_km(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    """Great-circle distance from the chord between two points of the unit sphere."""
+    def xyz(lat, lon):
+        return (f"cos(radians({lat})) * cos(radians({lon}))", f"cos(radians({lat})) * sin(radians({lon}))", f"sin(radians({lat}))")
+    chord2 = " + ".join(f"pow({a} - {b}, 2)" for a, b in zip(xyz(lat1, lon1), xyz(lat2, lon2)))
+    return f"({2 * EARTH_KM} * asin(least(1, sqrt({chord2}) / 2)))"
 
 
 def rnd(expr: str, n: int, digits: int = 9) -> str:
@@ -33,10 +76,10 @@ def _in_list(values) -> str:
     return "(" + ", ".join(_q(v) for v in values) + ")"
 
 
-_SUFFIX_RE = r"\s+(" + "|".join(PARENT_NAME_SUFFIXES) + r")$"
+_SUFFIX_RE = r"\s+(" + "|".join(LOCALITY_SUFFIXES) + r")$"
 _ALIAS_CASE = (
     "CASE lower(trim(suburb)) "
-    + " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in SUPERMARKET_SUBURB_ALIASES.items())
+    + " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in MARKET_ALIASES.items())
     + " ELSE lower(trim(suburb)) END"
 )
 
@@ -135,7 +178,7 @@ SELECT section_title, classification_label, descriptor, period, value_type_descr
        TRY_CAST(trim(value) AS DOUBLE) AS value
 FROM a_census
 WHERE classification_label = 'Statistical area 2' AND period = 2023
-  AND section_title IN {_in_list(CENSUS_TARGET_METRICS)}
+  AND section_title IN {_in_list(CENSUS_METRICS)}
   AND EXISTS (SELECT 1 FROM place_keywords k WHERE contains(lower(descriptor), lower(k.keyword)))
   AND value_type_description IN ('Median', 'Count')
   AND TRY_CAST(trim(value) AS DOUBLE) IS NOT NULL
@@ -218,61 +261,60 @@ GROUP BY suburb
 HAVING count(*) >= 1""")
 
 # --------------------------------------------------------------- marts ---
+# Plausible prices by the range itself (a plausible price has the flag 'ok').
 block("property", ["stg_prices"], f"""
-SELECT suburb, report_month,
-       max(report_date) AS report_date,
+SELECT suburb, report_month, max(report_date) AS report_date,
        {rnd('avg(CAST(avg_sale_price AS DECIMAL(38,6)))', 0)} AS avg_sale_price,
        {rnd('avg(avg_weekly_rent)', 0)} AS avg_weekly_rent,
        {rnd('avg(gross_yield_pct)', 2)} AS gross_yield_pct,
-       min(data_quality_flag) AS data_quality_flag
-FROM stg_prices
-WHERE data_quality_flag = 'ok'
-GROUP BY suburb, report_month""")
-
-block("school_summary", ["stg_schools"], f"""
-SELECT suburb, count(*) AS school_count, {rnd('avg(eqi_index)', 1)} AS avg_eqi_index
-FROM stg_schools GROUP BY suburb""")
-
-block("supermarket_summary", ["stg_supermarkets"], """
-SELECT suburb, count(*) AS supermarket_count FROM stg_supermarkets GROUP BY suburb""")
-
-block("mart_aff", ["property", "stg_census_income", "stg_rates", "school_summary", "supermarket_summary"], f"""
-SELECT p.suburb, p.report_date, p.avg_sale_price, p.avg_weekly_rent, p.gross_yield_pct,
-       c.median_household_income, r.ocr_rate, r.swap_rate_2yr, sc.school_count, sc.avg_eqi_index,
-       am.supermarket_count,
-       {rnd('p.avg_sale_price / NULLIF(c.median_household_income, 0)', 2)} AS price_to_income_ratio,
-       {rnd('(p.avg_sale_price / NULLIF(c.median_household_income, 0)) * (1 + r.swap_rate_2yr / 100)', 2)} AS affordability_index
-FROM property p
-LEFT JOIN stg_census_income c ON replace(lower(trim(p.suburb)), 'mt ', 'mount ') = c.suburb
-LEFT JOIN stg_rates r ON r.rate_month = p.report_month
-LEFT JOIN school_summary sc ON replace(lower(trim(p.suburb)), 'mt ', 'mount ') = sc.suburb
-LEFT JOIN supermarket_summary am ON replace(lower(trim(p.suburb)), 'mt ', 'mount ') = am.suburb""")
-
-block("int_school_scores", ["stg_schools"], f"""
-SELECT suburb, count(*) AS school_count, {rnd('avg(eqi_index)', 2)} AS avg_eqi_index,
-       CASE WHEN avg(eqi_index) IS NULL THEN NULL
-            ELSE {rnd('least(greatest(avg(eqi_index) - 344, 0) / 22.5, 10)', 2)} END AS school_score
-FROM stg_schools GROUP BY suburb""")
-
-block("int_supermarket_scores", ["stg_supermarkets"], """
-SELECT suburb, count(*) AS supermarket_count, CAST(least(count(*) * 2.0, 10) AS DOUBLE) AS amenity_score
-FROM stg_supermarkets GROUP BY suburb""")
+       'ok' AS data_quality_flag
+FROM stg_prices WHERE avg_sale_price >= 200000 AND avg_sale_price <= 5000000 GROUP BY ALL""")
+
+# Everything known of a suburb, one row a key: three sources stacked, then folded.
+block("suburb_facts", ["stg_census_income", "stg_schools", "stg_supermarkets"], """
+SELECT place, max(income) AS income, max(schools) AS schools, max(eqi) AS eqi, max(markets) AS markets
+FROM (SELECT suburb AS place, median_household_income AS income,
+             CAST(NULL AS BIGINT) AS schools, CAST(NULL AS DOUBLE) AS eqi, CAST(NULL AS BIGINT) AS markets
+      FROM stg_census_income
+      UNION ALL BY NAME SELECT suburb AS place, count(*) AS schools, avg(eqi_index) AS eqi FROM stg_schools GROUP BY suburb
+      UNION ALL BY NAME SELECT suburb AS place, count(*) AS markets FROM stg_supermarkets GROUP BY suburb) AS stacked
+GROUP BY place""")
+
+block("mart_aff", ["property", "suburb_facts", "stg_rates"], f"""
+WITH keyed AS (SELECT *, replace(lower(trim(suburb)), 'mt ', 'mount ') AS place FROM property),
+     told AS (SELECT keyed.*, income, schools, eqi, markets, avg_sale_price / NULLIF(income, 0) AS years_of_income
+              FROM keyed LEFT JOIN suburb_facts USING (place))
+SELECT told.suburb, told.report_date, avg_sale_price, avg_weekly_rent, gross_yield_pct,
+       income AS median_household_income, ocr_rate, swap_rate_2yr,
+       schools AS school_count, {rnd('eqi', 1)} AS avg_eqi_index, markets AS supermarket_count,
+       {rnd('years_of_income', 2)} AS price_to_income_ratio,
+       {rnd('years_of_income * (1 + swap_rate_2yr / 100)', 2)} AS affordability_index
+FROM told LEFT JOIN stg_rates ON rate_month = report_month""")
+
+block("int_school_scores", ["suburb_facts"], f"""
+SELECT place AS suburb, schools AS school_count, {rnd('eqi', 2)} AS avg_eqi_index,
+       CASE WHEN eqi IS NOT NULL THEN {rnd('CASE WHEN eqi < 344 THEN 0 WHEN eqi > 569 THEN 10 ELSE (eqi - 344) / 22.5 END', 2)} END AS school_score
+FROM suburb_facts WHERE schools IS NOT NULL""")
+
+block("int_supermarket_scores", ["suburb_facts"], """
+SELECT place AS suburb, markets AS supermarket_count,
+       CAST(CASE WHEN markets >= 5 THEN 10 ELSE 2 * markets END AS DOUBLE) AS amenity_score
+FROM suburb_facts WHERE markets IS NOT NULL""")
 
 block("int_transit_scores", ["suburb_centroids", "stg_stops"], f"""
-SELECT c.suburb, count(s.stop_id) AS transit_stops_800m,
-       CAST(least(round(CAST(count(s.stop_id) AS DECIMAL(20,0)) / 3.0, 6), 10) AS DOUBLE) AS transit_score
-FROM suburb_centroids c
-LEFT JOIN stg_stops s ON {haversine_sql('c.centroid_lat', 'c.centroid_lon', 's.lat', 's.lon')} < 0.8
-GROUP BY c.suburb""")
+SELECT suburb, n AS transit_stops_800m, CAST(CASE WHEN n >= 30 THEN 10 ELSE round(CAST(n AS DECIMAL(20,0)) / 3.0, 6) END AS DOUBLE) AS transit_score
+FROM (SELECT suburb, (SELECT count(stop_id) FROM stg_stops
+                      WHERE {distance_km('centroid_lat', 'centroid_lon', 'lat', 'lon')} < 0.8) AS n
+      FROM suburb_centroids) AS walked""")
 
 block("mart_live", ["suburb_centroids", "int_transit_scores", "int_school_scores", "int_supermarket_scores"], f"""
-SELECT c.suburb, c.centroid_lat, c.centroid_lon, t.transit_stops_800m, t.transit_score,
-       s.school_count, s.avg_eqi_index, s.school_score, a.supermarket_count, a.amenity_score,
-       {rnd('coalesce(t.transit_score, 0) * 0.45 + coalesce(s.school_score, 0) * 0.40 + coalesce(a.amenity_score, 0) * 0.15', 2)} AS liveability_score
-FROM suburb_centroids c
-LEFT JOIN int_transit_scores t ON t.suburb = c.suburb
-LEFT JOIN int_school_scores s ON s.suburb = c.suburb
-LEFT JOIN int_supermarket_scores a ON a.suburb = c.suburb""")
+WITH scored AS (
+    SELECT suburb, centroid_lat, centroid_lon, transit_stops_800m, transit_score, school_count, avg_eqi_index, school_score,
+           supermarket_count, amenity_score
+    FROM suburb_centroids LEFT JOIN int_transit_scores USING (suburb) LEFT JOIN int_school_scores USING (suburb)
+         LEFT JOIN int_supermarket_scores USING (suburb))
+SELECT *, {rnd('ifnull(0.45 * transit_score, 0) + ifnull(0.40 * school_score, 0) + ifnull(0.15 * amenity_score, 0)', 2)} AS liveability_score
+FROM scored""")
 
 
 def build(final_select: str, needs: list[str]) -> str:
@@ -316,7 +358,7 @@ WHERE TRY_CAST(_c0 AS TIMESTAMP) IS NOT NULL""")
 
 block("rate_patch", [], "SELECT * FROM (VALUES " + ", ".join(
     f"(DATE '{d}', CAST({a} AS DOUBLE), CAST({b} AS DOUBLE), CAST({c} AS DOUBLE), CAST({e} AS DOUBLE))"
-    for d, a, b, c, e in RATE_PATCH_ROWS) + ") AS t(date, ocr_rate, bank_bill_90d, govt_bond_2yr, swap_rate_2yr)")
+    for d, a, b, c, e in PATCH) + ") AS t(date, ocr_rate, bank_bill_90d, govt_bond_2yr, swap_rate_2yr)")
 
 block("rates_patched", ["rates_positional", "rate_patch"], """
 SELECT * FROM rates_positional WHERE date < (SELECT min(date) FROM rate_patch)
@@ -353,7 +395,7 @@ WHERE report_date >= CAST((SELECT max(report_date) FROM mart_aff) - INTERVAL 2 M
 
 block("census_marked", ["a_census", "place_keywords"], f"""
 SELECT coalesce(classification_label = 'Statistical area 2' AND period = 2023, false) AS s1,
-       coalesce(section_title IN {_in_list(CENSUS_TARGET_METRICS)}, false) AS s2,
+       coalesce(section_title IN {_in_list(CENSUS_METRICS)}, false) AS s2,
        EXISTS (SELECT 1 FROM place_keywords k WHERE contains(lower(descriptor), lower(k.keyword))) AS s3,
        coalesce(value_type_description IN ('Median', 'Count'), false) AS s4,
        coalesce(TRY_CAST(trim(value) AS DOUBLE) IS NOT NULL AND NOT isnan(TRY_CAST(trim(value) AS DOUBLE)), false) AS s5
