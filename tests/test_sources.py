@@ -220,3 +220,15 @@ def test_census_name_probe_default_list(spark):
     assert ("Otara", "Otara East") in got and ("Te Atatu South", "Te Atatu South-McLeod") in got
     assert ("Mangere Bridge", "NOT FOUND") in got and ("Ranui", "NOT FOUND") in got
     assert len(got) == 9
+
+
+def test_nested_tables_give_all_descendant_rows():
+    """Hand-worked: rows and cells of nested tables belong to the outer table too."""
+    from tussock.sources.html import tokenise
+    page = ("<h3>A</h3><table><tr><td>h</td></tr><tr><td>r1</td><td>x<table><tr><td>n0</td></tr><tr><td>n1</td><td>n2</td></tr></table>y</td></tr>"
+            "<tr><td>r2</table><h3>B</h3><table><tr><td>z</table><p>tail")
+    rows = [(heading, table, row, cells) for _, heading, kind, table, row, _, cells in tokenise(page, "h3", None) if kind == "row"]
+    assert rows == [
+        ("A", 0, 0, ["h"]), ("A", 0, 1, ["r1", "xn0n1n2y", "n0", "n1", "n2"]), ("A", 0, 2, ["n0"]), ("A", 0, 3, ["n1", "n2"]), ("A", 0, 4, ["r2"]),
+        ("A", 1, 0, ["n0"]), ("A", 1, 1, ["n1", "n2"]),
+        ("B", 2, 0, ["z"])]

@@ -582,3 +582,39 @@ def q_prices_text(spark, sf_dir):
     from tussock.functions.cleaning import datetimes_as_text, with_audit
     p = stg.stg_prices(td.a_prices(spark, sf_dir))
     return datetimes_as_text(with_audit(p, "source_name", F.lit("landed")))
+
+
+# -------------------------------------------------------- report pages ---
+
+@register("price_pages_extract", O.build("""
+SELECT year, month, report_date, 'District ' || CAST(part % 4 AS VARCHAR) || ' & Co' AS district, 'Mt ' || CAST(k % 50 AS VARCHAR) AS suburb,
+       CASE WHEN k % 19 <> 0 THEN CAST(1000000 + (100 + k % 900) * 1000 AS DOUBLE) END AS avg_sale_price,
+       CAST(300 + k % 700 AS DOUBLE) AS avg_weekly_rent, CAST(k % 9 AS DOUBLE) + 0.5 AS gross_yield_pct
+FROM report_orders JOIN report_page USING (year, month, report_date, part, idx)
+WHERE state = 'ok' AND k % 13 <> 0 AND k % 17 <> 0
+UNION ALL
+SELECT year, month, report_date, 'Nest', suburb, price, rent, yield
+FROM report_page, (VALUES ('Outer', 1.0::DOUBLE, 2.0::DOUBLE, 3.0::DOUBLE), ('Inner', 4.0::DOUBLE, 5.0::DOUBLE, 6.0::DOUBLE),
+                          ('Inner', 4.0::DOUBLE, 5.0::DOUBLE, 6.0::DOUBLE)) n(suburb, price, rent, yield)
+WHERE state = 'ok' AND idx % 3 = 0""", ["report_orders", "report_page"]))
+def q_price_pages(spark, sf_dir):
+    """Every month's report pages in one job, joined with the calendar of the orders' years."""
+    from tussock.sources.calendar import calendar_grid
+    from tussock.sources.ingest import ingest_price_pages
+    from tussock.sources.jobs import REPORT_PATH_PATTERN
+    from tussock.sources.landing import read_table
+    o = read_table(spark, sf_dir, "orders")
+    years = o.agg(F.year(F.min("o_orderdate")).alias("start_year"), F.year(F.max("o_orderdate")).alias("end_year"))
+    return ingest_price_pages(td.a_report_pages(spark, sf_dir), calendar_grid(years), F.regexp_extract("url", REPORT_PATH_PATTERN, 1))
+
+
+@register("price_pages_rejects", O.build("""
+SELECT 'https://reports.example/' || CAST(year AS VARCHAR) || '/' || month || '/suburb-report?part=' || CAST(part AS VARCHAR) AS url,
+       CASE WHEN state = 'ok' THEN 'no_rows' ELSE state END AS reason
+FROM report_page p
+WHERE state <> 'ok' OR idx % 3 <> 0 AND NOT EXISTS (
+    SELECT 1 FROM report_orders o WHERE o.year = p.year AND o.month = p.month AND o.part = p.part AND k % 13 <> 0 AND k % 17 <> 0)""",
+    ["report_orders", "report_page"]))
+def q_price_rejects(spark, sf_dir):
+    from tussock.sources.html import page_rejects
+    return page_rejects(td.a_report_pages(spark, sf_dir), "url")

@@ -438,3 +438,16 @@ SELECT page_id, url, pos, kind, heading, text FROM (
                    regexp_extract_all(regexp_replace(html, '{_BOUNDARY}', '</p>\\1', 'g'),
                                       '(?is)<h1(?:\\s[^>]*)?>.*?</h1>|<p(?:\\s[^>]*)?>.*?</p>') AS l
             FROM a_pages WHERE status = 200) x) y) z) w""")
+
+
+# Report pages: what the derived pages must give, straight from the orders.
+block("report_orders", [], """
+SELECT o_orderkey AS k, o_orderkey // 2000 AS part, CAST(year(o_orderdate) AS INTEGER) AS year, lower(monthname(o_orderdate)) AS month,
+       strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') || ' 00:00:00' AS report_date,
+       year(o_orderdate) * 12 + month(o_orderdate) + o_orderkey // 2000 AS idx
+FROM orders""")
+
+block("report_page", ["report_orders"], """
+SELECT DISTINCT year, month, report_date, part, idx,
+       CASE WHEN idx % 7 = 0 THEN 'http_404' WHEN idx % 11 = 0 THEN 'no_content' WHEN idx % 5 = 0 THEN 'no_rows' ELSE 'ok' END AS state
+FROM report_orders""")

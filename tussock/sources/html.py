@@ -20,9 +20,11 @@ window form for element tables that did not come from the tokeniser.
 
 from __future__ import annotations
 
+import sys
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +32,9 @@ from pyspark.sql import types as T
 from tussock.functions.cleaning import parse_money, parse_percent
 from tussock.operators.windows import forward_fill
 
+# The tokeniser travels to the tasks by value: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # --- Fixed values (report layout and junk-row names) ---
 REPORT_HEADING_TAG = "h3"
 MIN_CELLS = 4
@@ -64,32 +69,33 @@ def _strip_join(parts: list[str]) -> str:
 
 
 class _Tokeniser(HTMLParser):
-    """Ordered headings and blocks (or table rows) of one document."""
+    """Ordered headings and blocks (or table rows) of one document.
+
+    A table's rows are all rows inside it and a row's cells all cells inside it, those of
+    nested tables included; a nested table is a table of its own as well. A table stands
+    at its start, under the heading last seen there.
+    """
 
     def __init__(self, heading_tag: str, block_tag: str | None):
         super().__init__(convert_charrefs=True)
         self.heading_tag, self.block_tag = heading_tag, block_tag
-        self.out: list[tuple] = []
-        self.pos = 0
-        self.current: str | None = None
+        self.found: list[tuple] = []        # (kind, text or rows), in document order
         self.heading: list[str] | None = None
         self.block: list[str] | None = None
-        self.table_no = -1
-        self.row_no = -1
-        self.row: list[str] | None = None
-        self.cell: list[str] | None = None
-
-    def _emit(self, kind, text=None, cells=None, table_no=None, row_no=None):
-        if kind == "heading":
-            self.current = text
-        self.out.append((self.pos, self.current, kind, table_no, row_no, text, cells))
-        self.pos += 1
+        self.tables: list[list] = []        # open tables, outermost first
+        self.rows: list[tuple] = []         # open (table, row)
+        self.cells: list[tuple] = []        # open (row, cell)
 
     def _close_block(self):
         if self.block is not None:
-            self._emit("block", text=_strip_join(self.block))
+            self.found.append(("block", _strip_join(self.block)))
             self.block = None
 
+    def _close_row(self):
+        _, row = self.rows.pop()
+        while self.cells and self.cells[-1][0] is row:
+            self.cells.pop()
+
     def handle_starttag(self, tag, attrs):
         if self.block_tag is not None and (tag in BLOCK_BOUNDARY_START or tag in (self.block_tag, self.heading_tag)):
             self._close_block()
@@ -99,50 +105,55 @@ class _Tokeniser(HTMLParser):
             self.block = []
         elif self.block_tag is None:
             if tag == "table":
-                self.table_no += 1
-                self.row_no = -1
-            elif tag == "tr":
-                self._close_row()
-                self.row_no += 1
-                self.row = []
-            elif tag == "td" and self.row is not None:
-                self._close_cell()
-                self.cell = []
-
-    def _close_cell(self):
-        if self.cell is not None and self.row is not None:
-            self.row.append(_strip_join(self.cell))
-        self.cell = None
-
-    def _close_row(self):
-        self._close_cell()
-        if self.row is not None:
-            self._emit("row", cells=self.row, table_no=self.table_no, row_no=self.row_no)
-        self.row = None
+                self.tables.append([])
+                self.found.append(("table", self.tables[-1]))
+            elif tag == "tr" and self.tables:
+                if self.rows and self.rows[-1][0] is self.tables[-1]:
+                    self._close_row()
+                self.rows.append((self.tables[-1], []))
+                for table in self.tables:
+                    table.append(self.rows[-1][1])
+            elif tag == "td" and self.rows:
+                if self.cells and self.cells[-1][0] is self.rows[-1][1]:
+                    self.cells.pop()
+                self.cells.append((self.rows[-1][1], []))
+                for _, row in self.rows:
+                    row.append(self.cells[-1][1])
 
     def handle_endtag(self, tag):
         if tag == self.heading_tag and self.heading is not None:
-            self._emit("heading", text=_strip_join(self.heading))
+            self.found.append(("heading", _strip_join(self.heading)))
             self.heading = None
         elif self.block_tag is not None and (tag == self.block_tag or tag in BLOCK_BOUNDARY_END):
             self._close_block()
-        elif self.block_tag is None:
-            if tag == "td":
-                self._close_cell()
+        elif self.block_tag is None and self.tables:
+            if tag == "td" and self.rows and self.cells and self.cells[-1][0] is self.rows[-1][1]:
+                self.cells.pop()
             elif tag in ("tr", "table"):
-                self._close_row()
+                if self.rows and self.rows[-1][0] is self.tables[-1]:
+                    self._close_row()
+                if tag == "table":
+                    self.tables.pop()
 
     def handle_data(self, data):
-        for buf in (self.heading, self.block, self.cell):
+        for buf in (self.heading, self.block, *(cell for _, cell in self.cells)):
             if buf is not None:
                 buf.append(data)
 
     def finish(self) -> list[tuple]:
         self.close()
-        self._close_row()
         if self.block_tag is not None:
             self._close_block()
-        return self.out
+        out, current, table_no = [], None, -1
+        for kind, what in self.found:
+            if kind == "table":
+                table_no += 1
+                for row_no, row in enumerate(what):
+                    out.append((len(out), current, "row", table_no, row_no, None, [_strip_join(c) for c in row]))
+            else:
+                current = what if kind == "heading" else current
+                out.append((len(out), current, kind, None, None, what, None))
+        return out
 
 
 def tokenise(html: str | None, heading_tag: str, block_tag: str | None) -> list[tuple]:
@@ -214,6 +225,17 @@ def report_rows(pages: DataFrame, page_key: str, carry: list[str] | None = None,
     )
 
 
+def page_rejects(pages: DataFrame, page_key: str, status_col: str = "status", html_col: str = "html") -> DataFrame:
+    """(key, reason) of the pages that give no row: a status other than 200, no table, or
+    tables without a usable row."""
+    told = triage(pages, status_col, html_col)
+    ok = told.filter(F.col("reason") == "ok")
+    used = report_rows(ok, page_key).select(F.col(page_key).alias("_used")).distinct()
+    empty = ok.select(page_key).join(used, F.col(page_key) == F.col("_used"), "left_anti")
+    return (told.filter(F.col("reason") != "ok").select(page_key, "reason")
+            .unionByName(empty.select(page_key, F.lit("no_rows").alias("reason"))))
+
+
 def heading_blocks(pages: DataFrame, page_key: str, heading_tag: str, block_tag: str,
                    carry: list[str] | None = None) -> DataFrame:
     """Text blocks with the heading they fall under; blocks before any heading are dropped."""

@@ -241,3 +241,33 @@ def a_school_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.coalesce(F.concat(F.lit('"'), F.col("status"), F.lit('"')), F.lit("null")), F.lit(',"Extra":[1]}'))
     records = F.when(F.col("school_id") % 9 == 0, F.lit("")).otherwise(F.concat(record(1), F.lit(","), record(2)))
     return s.select("school_id", F.concat(F.lit('{"help":"x","result":{"records":['), records, F.lit("]}}")).alias("payload"))
+
+
+def a_report_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report pages (url, status, html), one a month and block of 2,000 order keys: a heading, then a table
+    with a header row and a row an order. Some rows are short, some repeat the header's name and some have no
+    price; some pages have a table before any heading, a nested table, no table, no row, or another status."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    k = F.col("o_orderkey")
+    cells = (F.when(k % 17 == 0, F.lit("Suburb")).otherwise(F.concat(F.lit(" Mt "), (k % 50).cast("string"), F.lit(" "))),
+             F.when(k % 19 == 0, F.lit("-")).otherwise(F.concat(F.lit("$1,"), (F.lit(100) + k % 900).cast("string"), F.lit(",000"))),
+             F.concat(F.lit("<b>$"), (F.lit(300) + k % 700).cast("string"), F.lit("</b>")),
+             F.concat((k % 9).cast("string"), F.lit(".5%")))
+    row = F.when(k % 13 == 0, F.lit("<tr><td>Short</td><td>1</td></tr>")).otherwise(
+        F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), c, F.lit("</td>")) for c in cells], F.lit("</tr>")))
+    rows = o.select(F.trunc("o_orderdate", "month").alias("m"), F.floor(k / 2000).alias("part"), k.alias("k"), row.alias("row"))
+    pages = rows.groupBy("m", "part").agg(F.array_sort(F.collect_list(F.struct("k", "row"))).alias("rows"))
+    at = (F.year("m") * 12 + F.month("m") + F.col("part")).cast("long")
+    body = F.array_join(F.transform("rows", lambda r: r["row"]), "")
+    header = "<table><tr><td>Suburb</td><td>Price</td><td>Rent</td><td>Yield</td></tr>"
+    early = "<table><tr><td>h</td></tr><tr><td>Lost</td><td>1</td><td>2</td><td>3</td></tr></table>"
+    nested = ("<h3>Nest</h3><table><tr><td>head</td></tr><tr><td>Outer</td><td>$1</td><td>$2</td><td>3%</td><td><table>"
+              "<tr><td>x</td></tr><tr><td>Inner</td><td>$4</td><td>$5</td><td>6%</td></tr></table></td></tr></table>")
+    html = F.when(at % 11 == 0, F.lit("<html><body><p>none</p></body></html>")).otherwise(F.concat(
+        F.lit("<html><body>"), F.when(at % 2 == 0, F.lit(early)).otherwise(F.lit("")),
+        F.lit("<h3> District "), (F.col("part") % 4).cast("string"), F.lit(" &amp; Co</h3>" + header),
+        F.when(at % 5 == 0, F.lit("")).otherwise(body), F.lit("</table>"),
+        F.when((at % 3 == 0) & (at % 5 != 0), F.lit(nested)).otherwise(F.lit("")), F.lit("</body></html>")))
+    url = F.concat(F.lit("https://reports.example/"), F.year("m").cast("string"), F.lit("/"), F.lower(F.date_format("m", "MMMM")),
+                   F.lit("/suburb-report?part="), F.col("part").cast("string"))
+    return pages.select(url.alias("url"), F.when(at % 7 == 0, 404).otherwise(200).alias("status"), html.alias("html"))
