@@ -12,7 +12,7 @@ from tussock.llm.jaccard import one_of_each
 from tussock.llm.mixing import mixed_rows
 from tussock.llm.sharding import shard
 from tussock.llm.store import stored
-from tussock.llm.toxicity import score
+from tussock.llm.toxicity import clean_rows
 
 N_SHARDS = 24
 
@@ -20,7 +20,7 @@ N_SHARDS = 24
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose toxicity score stays below the threshold of their language."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return score(docs, labels, keep=tuple(docs.columns)).filter("not rejected").select(*docs.columns)
+    return clean_rows(docs, labels)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

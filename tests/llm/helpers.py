@@ -6,7 +6,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns whose names the operators use themselves.
-CLASHING = "id key n fp h s size shard slot score label text_key grp block copies_ k0 row part score_".split()
+CLASHING = "id key n fp h s size shard slot score label text_key grp block copies_ k0 row part rejected threshold kind".split()
 
 
 def words(text):

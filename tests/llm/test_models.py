@@ -111,9 +111,13 @@ def test_classifier_on_odd_rows_and_without_labels(spark):
     odd = [(None if r[0] is None else r[0] + 1000, *r[1:]) for r in odd_rows()]
     labelled = spark.createDataFrame([*labels, (None, 1, 1), (1, 1, None), (2, 1, 1), (2, 1, 0)], "doc_id long, quality int, toxic int")
     docs = documents(spark, rows + odd)
-    out = toxicity.score(docs, labelled, keep=tuple(docs.columns))
-    assert out.count() == len(rows) + len(odd) and set(docs.columns) <= set(out.columns)
+    own = [c for c in docs.columns if c not in ("score", "threshold", "rejected")]
+    out = toxicity.score(docs, labelled, keep=tuple(own))
+    assert out.count() == len(rows) + len(odd) and out.columns == [*own, "score", "threshold", "rejected"]
     assert toxicity.score(docs.limit(0), labelled).count() == 0
+    clean = toxicity.clean_rows(docs, labelled)
+    assert clean.columns == docs.columns and clean.count() == out.filter("not rejected").count()
+    assert {r.score for r in clean.collect()} == {"x"}
     none = toxicity.score(docs, labelled.limit(0)).collect()
     assert {r.rejected for r in none} == {False}
 

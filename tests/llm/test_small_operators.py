@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tests.llm.helpers import documents, odd_rows, words
+from tests.llm.helpers import CLASHING, documents, odd_rows, words
 from tussock.llm import mixing, sharding, textbytes, tokencount, topk
 
 SF = "/root/testdata/sf0.001"
@@ -110,6 +110,7 @@ def test_mix_meets_its_targets(spark):
         assert abs(taken[s] - goal[s]) <= 9
     rows_out = mixing.mixed_rows(df)
     assert rows_out.columns == df.columns
+    assert rows_out.select(*CLASHING).distinct().collect() == [("x",) * len(CLASHING)]
     assert rows_out.groupBy("doc_id").count().agg(F.sum("count")).first()[0] == out.copies.sum()
     assert sorted(map(str, mixing.mix(df).collect())) == sorted(map(str, mixing.mix(df.repartition(7)).collect()))
 

@@ -157,6 +157,7 @@ def test_one_of_each(spark):
     kept = jaccard.one_of_each(docs)
     assert kept.columns == docs.columns
     got = Counter((r.doc_id, r.text) for r in kept.collect())
+    assert {tuple(r[5:]) for r in kept.collect()} == {("x",) * (len(docs.columns) - 5)}
     assert got == Counter([(2, "a b c d e f g h"), (9, "other words are here now"), (None, None), (5, None), (6, ""), (7, "x")])
     assert jaccard.one_of_each(docs.limit(0)).count() == 0
     assert jaccard.near_duplicates(docs.limit(0)).count() == 0

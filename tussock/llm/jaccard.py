@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .counters import PIECES, merged, packed
-from .store import shared_folder, stored
+from .store import shared_folder, stored, whole_row
 from .textbytes import Hasher, buffers, mix, ngram_hashes, slices, word_hashes
 
 #: Counters of the shingle frequencies (a fixed table, 4 MB).
@@ -284,18 +284,17 @@ def one_of_each(docs: DataFrame, percent: int = 80, n: int = 5, id_col: str = "d
     spare = stored(found.join(first, "component_id").filter(~(F.col("r_id").eqNullSafe(F.col("first.r_id")) & (F.col("r_key") == F.col("first.r_key"))))
                    .select("r_id", "r_key").distinct(), "nd-spare")
     again = stored(found.filter("component_id is not null").groupBy("r_id", "r_key").count().filter("count > 1").select("r_id", "r_key"), "nd-again")
-    columns = docs.columns
-    rows = docs.withColumn("text_key_", F.xxhash64(F.col(text_col).cast("string")))
-    same = F.col(id_col).eqNullSafe(F.col("r_id")) & (F.col("text_key_") == F.col("r_key"))
+    rows = docs.select(whole_row(docs).alias("row"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("key"))
+    same = F.col("id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key"))
 
     def sided(t):
         return F.broadcast(t) if t.count() <= BROADCAST_IDS else t
 
     rows = rows.join(sided(spare), same, "left_anti")
     if not again.isEmpty():
-        once = rows.join(sided(again), same, "left_semi").dropDuplicates([id_col, "text_key_"])
+        once = rows.join(sided(again), same, "left_semi").dropDuplicates(["id", "key"])
         rows = rows.join(sided(again), same, "left_anti").unionByName(once)
-    return rows.select(*columns)
+    return rows.select("row.*")
 
 
 def _all_links(rows, survey, sets, tasks, total, postings, percent, n):

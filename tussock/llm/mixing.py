@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import stored
+from .store import stored, whole_row
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Each level splits a bucket in 2 ** 12; three levels use 36 bits of the hash.
@@ -49,8 +49,8 @@ def _hash(id_col):
     return F.conv(digits, 16, 10).cast("long")
 
 
-def _copies(cap, suffix=""):
-    h, at, before, inside, rest, whole = (F.col(c + suffix) for c in ("h", "at", "before", "inside", "rest", "whole"))
+def _copies(cap):
+    h, at, before, inside, rest, whole = (F.col(c) for c in ("h", "at", "before", "inside", "rest", "whole"))
     more = (h < at) | ((h == at) & (before + inside / 2 <= rest))
     return F.least(whole + more.cast("long"), F.lit(cap).cast("long"))
 
@@ -63,10 +63,10 @@ def mixed_rows(docs: DataFrame, weights=(5, 2, 1), cap: int = 3, id_col: str = "
     threshold by a lookup and do not move.
     """
     _, edge, few = _thresholds(docs, weights, cap, id_col, text_col, source_col)
-    edge = edge.select(*(F.col(c).alias(f"{c}_") for c in edge.columns))
-    rows = docs.withColumn("h_", _hash(id_col)).join(F.broadcast(edge) if few else edge, F.col(source_col).eqNullSafe(F.col("s_")))
-    return (rows.withColumn("copies_", _copies(cap, "_")).filter("copies_ > 0")
-            .withColumn("copy_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies_")))).select(*docs.columns))
+    rows = docs.select(whole_row(docs).alias("row"), F.col(source_col).alias("source"), _hash(id_col).alias("h"))
+    rows = rows.join(F.broadcast(edge) if few else edge, F.col("source").eqNullSafe(F.col("s")))
+    return (rows.select("row", _copies(cap).alias("copies")).filter("copies > 0")
+            .select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*"))
 
 
 def mix(docs: DataFrame, weights=(5, 2, 1), cap: int = 3, id_col: str = "doc_id", text_col: str = "text",

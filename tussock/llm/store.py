@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,6 +27,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct column, so that working columns beside it can't clash with them."""
+    return F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in df.columns))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and return it reread.
 
