@@ -15,7 +15,9 @@ MARK = "▁"
 #: A character outside the vocabulary costs this much more than the worst piece.
 UNKNOWN_PENALTY = 10.0
 #: Distinct pre-tokens whose counts a task remembers between slices.
-REMEMBERED = 2_000_000
+REMEMBERED = 1_000_000
+#: Bytes of text whose pre-tokens share a trie.
+TRIE_BYTES = 2 << 20
 
 
 def read_pieces(path: str) -> dict[str, float]:
@@ -72,7 +74,7 @@ def _counted(vocabulary):
         for b in batches:
             data, offsets = buffers(b.column("text"))
             tokens, words = np.zeros(len(offsets) - 1, np.int64), np.zeros(len(offsets) - 1, np.int64)
-            for i, j in slices(offsets):
+            for i, j in slices(offsets, TRIE_BYTES):
                 part, offs = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
                 starts, ends = word_bounds(part, offs)
                 if not len(starts):
