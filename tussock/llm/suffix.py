@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .counters import PIECES, merged, packed
 from .store import stored
 from .textbytes import Hasher, buffers, mix, slices
 
@@ -19,6 +20,9 @@ PLACE_BITS = 28
 GROUP_STRETCHES, INDEX_BYTES = 200_000, 1 << 20
 #: Keys of texts to be read again are broadcast up to this number, and joined by key beyond.
 BROADCAST_KEYS = 500_000
+#: Anchors are counted in a fixed table (4 MB). One with so many more stretches than twice the usual count would make
+#: a task's group or index grow with the data, so its strings of ``length`` bytes are counted one by one instead.
+COUNTERS, HOT_STRETCHES = 1 << 20, 20_000
 
 
 def sliding_least(v: np.ndarray, width: int) -> np.ndarray:
@@ -72,18 +76,21 @@ def _stretches(length, parts):
     """The stretches of every distinct text of a task, packed by part (a hash of the anchor)."""
     def run(batches):
         import pyarrow as pa
+        from pyspark import TaskContext
 
-        hasher, kept, size, seen = Hasher(), [], 0, set()
+        hasher, kept, size, seen, counts = Hasher(), [], 0, set(), np.zeros(COUNTERS, np.int64)
 
-        def packed():
+        def flushed():
             cols = [np.concatenate([k[i] for k in kept]) for i in range(5)]
+            np.add(counts, np.bincount(_counter(cols[0]), minlength=COUNTERS), out=counts)
             part = (mix(cols[0].view(np.uint64)) % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             cuts = np.flatnonzero(np.diff(part[order], prepend=-1, append=-2))
             cols = [c[order] for c in cols]
+            k = len(cuts) - 1
             return pa.RecordBatch.from_arrays(
-                [pa.array(part[order[cuts[:-1]]]), *(pa.array([c[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()) for c in cols)],
-                names=["part", *PACKED])
+                [pa.array(part[order[cuts[:-1]]]), *(pa.array([c[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()) for c in cols),
+                 pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary())], names=["part", *PACKED, "piece", "task", "counts"])
 
         for b in batches:
             data, offsets = buffers(b.column("text"))
@@ -101,10 +108,68 @@ def _stretches(length, parts):
             if len(seen) > 2_000_000:
                 seen = set()
             if size >= 5 * GROUP_STRETCHES:
-                yield packed()
+                yield flushed()
                 kept, size = [], 0
         if size:
-            yield packed()
+            yield flushed()
+        if counts.any():
+            task = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(PIECES, pa.int64()), *(pa.nulls(PIECES, pa.binary()) for _ in PACKED), pa.array(range(PIECES), pa.int32()),
+                 pa.array([task] * PIECES, pa.int64()), pa.array(packed(counts), pa.binary())], names=["part", *PACKED, "piece", "task", "counts"])
+    return run
+
+
+def _counter(anchor):
+    return (mix(anchor.view(np.uint64)) & np.uint64(COUNTERS - 1)).astype(np.int64)
+
+
+def _cold(counts, most):
+    """Packed stretches without those of hot anchors."""
+    def run(batches):
+        import pyarrow as pa
+
+        table = counts.value
+        for b in batches:
+            cols = [[np.frombuffer(x, t) for x in b.column(c).to_pylist()] for c, t in zip(PACKED, KINDS)]
+            keep = [table[_counter(a)] <= most for a in cols[0]]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("part"), *(pa.array([x[k].tobytes() for x, k in zip(c, keep)], pa.binary()) for c in cols)], names=["part", *PACKED])
+    return run
+
+
+def _hot(counts, most):
+    """The stretches of hot anchors, one by one (kind 3)."""
+    def run(batches):
+        import pyarrow as pa
+
+        table = counts.value
+        for b in batches:
+            cols = [np.concatenate([np.frombuffer(x, t) for x in b.column(c).to_pylist()] or [np.zeros(0, t)]) for c, t in zip(PACKED, KINDS)]
+            hot = table[_counter(cols[0])] > most
+            anchor, key, start, size = (c[hot] for c in cols[:4])
+            start = start.astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(key), 3, np.int32)), pa.array(anchor), pa.array(key), pa.array(start), pa.array(start + size)],
+                names=["kind", "anchor", "key", "start", "stop"])
+    return run
+
+
+def _strings(length):
+    """Hash and place of every ``length``-byte string of a stretch."""
+    def run(batches):
+        import pyarrow as pa
+
+        hasher = Hasher()
+        for b in batches:
+            keys, places, hashes = [], [], []
+            for raw, key, start in zip(b.column("bytes").to_pylist(), b.column("key").to_pylist(), b.column("start").to_pylist()):
+                at = np.arange(len(raw) - length + 1)
+                hashes.append(hasher.spans(hasher.prefix(np.frombuffer(raw, np.uint8)), at, at + length).view(np.int64))
+                places.append(at + start)
+                keys.append(np.full(len(at), key, np.int64))
+            cols = [np.concatenate(c or [np.zeros(0, np.int64)]) for c in (keys, places, hashes)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["key", "start", "string"])
     return run
 
 
@@ -279,6 +344,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     2. Where an anchor has different stretches, they are indexed together: a suffix array per about
        1 MB of stretches gives the Burrows-Wheeler transform, kept as runs. Matches are compared at the
        ends of runs only and streamed along the text; places with matches of ``length`` are marked.
+       An anchor with very many stretches (``HOT_STRETCHES``) is not gathered: its strings are counted by hash.
     3. Spans are joined with their texts and taken out.
 
     Equal strings have equal anchors, so every repeat is found, and all are decided on bytes (stretches and
@@ -296,8 +362,19 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
         F.count("*").alias("copies"), F.min("id").alias("first_id"), F.min("n_bytes").alias("n_bytes")), "rep-classes")
     total = classes.agg(F.sum("n_bytes")).first()[0] or 0
     parts = int(max(1, total * 2 / (length - ANCHOR + 2) // GROUP_STRETCHES + 1))
-    packed = long_rows.select("key", "text").mapInArrow(_stretches(length, parts), "part long, " + ", ".join(f"{c} binary" for c in PACKED))
-    met = stored(packed.groupBy("part").applyInArrow(_meet, "kind int, anchor long, key long, start long, stop long"), "rep-met")
+    kind = "part long, " + ", ".join(f"{c} binary" for c in PACKED)
+    stretch = "kind int, anchor long, key long, start long, stop long"
+    told = stored(long_rows.select("key", "text").mapInArrow(_stretches(length, parts), f"{kind}, piece int, task long, counts binary"), "rep-stretches")
+    groups, tables = told.filter("piece is null").select("part", *PACKED), told.filter("piece is not null")
+    tasks = tables.agg(F.max("task")).first()[0]
+    counts = merged(tables, tasks + 1, COUNTERS) if tasks is not None else np.zeros(COUNTERS, np.uint32)
+    most = HOT_STRETCHES + 2 * int(counts.sum(dtype=np.int64)) // COUNTERS
+    hot = bool((counts > most).any())
+    if hot:
+        shared = docs.sparkSession.sparkContext.broadcast(counts)
+        one_by_one, groups = groups.mapInArrow(_hot(shared, most), stretch), groups.mapInArrow(_cold(shared, most), kind)
+    met = groups.groupBy("part").applyInArrow(_meet, stretch)
+    met = stored(met.unionByName(one_by_one) if hot else met, "rep-met")
     spans = met.filter("kind = 0").select("key", "start", "stop")
     size = met.filter("kind > 0").agg(F.sum(F.col("stop") - F.col("start"))).first()[0]
     if size:
@@ -306,8 +383,13 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
         one = _texts(long_rows, stored(asks, "rep-asks"), ["key", "asks"], F.col("id").eqNullSafe(F.col("first_id")))
         indexes = size // INDEX_BYTES + 1
         found = one.mapInArrow(_cut_out, "anchor long, kind int, key long, start long, bytes binary")
-        marks = (found.withColumn("part", F.pmod(F.xxhash64("anchor"), F.lit(indexes))).groupBy("part")
+        marks = (found.filter("kind < 3").withColumn("part", F.pmod(F.xxhash64("anchor"), F.lit(indexes))).groupBy("part")
                  .applyInArrow(_index(length), "key long, start long, stop long"))
+        if hot:
+            strings = stored(found.filter("kind = 3").select("key", "start", "bytes").distinct()
+                             .mapInArrow(_strings(length), "key long, start long, string long"), "rep-strings")
+            often = strings.groupBy("string").count().filter("count > 1").select("string")
+            marks = marks.unionByName(strings.join(often, "string").select("key", "start", (F.col("start") + length).alias("stop")))
         spans = spans.unionByName(stored(marks, "rep-marks"))
     single = classes.filter("copies = 1").select("key")
     lists = stored(spans.join(single, "key", "left_semi").groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "rep-spans")
