@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import documents, odd_rows, words
-from tussock.llm import decontam, jaccard, suffix
+from tussock.llm import decontam, jaccard, store, suffix
 from tussock.llm.components import connected_components
 
 SF = "/root/testdata/sf0.001"
@@ -178,9 +178,15 @@ def test_prefixes_ask_for_matches_that_linked_sets_have(values, seed):
     assert len(np.intersect1d(px[:len(x) - need + asked], py[:len(y) - need + asked])) >= asked
 
 
-@given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=40))
-@settings(max_examples=5, deadline=None)
-def test_components_equal_union_find(spark, edges):
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=40), st.sampled_from([0, 500_000]))
+@settings(max_examples=6, deadline=None)
+def test_components_equal_union_find(spark, edges, most):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(store, "BROADCAST_ROWS", most)
+        _check_components(spark, edges)
+
+
+def _check_components(spark, edges):
     got = {r.node: r.label for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     group = {n: {n} for e in edges for n in e}
     for a, b in edges:
@@ -241,8 +247,9 @@ def _without_repeats(rows, length):
     return Counter(out)
 
 
-@pytest.mark.parametrize("groups,index", [(200_000, 1 << 20), (40, 3000)])
-def test_repeats_equal_brute_force(spark, monkeypatch, groups, index):
+@pytest.mark.parametrize("groups,index,hot", [(200_000, 1 << 20, 20_000), (40, 3000, 20_000), (40, 3000, 6)])
+def test_repeats_equal_brute_force(spark, monkeypatch, groups, index, hot):
+    monkeypatch.setattr(suffix, "HOT_STRETCHES", hot)
     monkeypatch.setattr(suffix, "GROUP_STRETCHES", groups)
     monkeypatch.setattr(suffix, "INDEX_BYTES", index)
     rng = np.random.default_rng(groups)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import stored
+from .store import sided, stored
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -14,15 +14,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Each round every node joins the smallest of itself and its neighbours, and the edges
     are rewritten between what is left, until none joins two different nodes. A round keeps at
     most the nodes that have no smaller neighbour. No edges give no rows; loops and
-    repeated edges are harmless. All tables stay distributed.
+    repeated edges are harmless. Edges and labels stay distributed; a round's moves are looked up by
+    broadcast while they are few, and joined by key beyond that.
     """
     live = stored(edges.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "cc-edges")
     nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     labels = stored(nodes.withColumn("label", F.col("node")), "cc-labels")
     while not live.isEmpty():
         both = live.unionByName(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        parent = stored(both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("v"))
-                        .filter("v < u"), "cc-parent")
+        parent = sided(stored(both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("v"))
+                              .filter("v < u"), "cc-parent"))
         labels = stored(labels.join(parent, F.col("label") == F.col("u"), "left")
                         .select("node", F.coalesce("v", "label").alias("label")), "cc-labels")
         p, q = parent, parent.select(F.col("u").alias("u2"), F.col("v").alias("v2"))

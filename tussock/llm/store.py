@@ -32,6 +32,15 @@ def whole_row(df: DataFrame) -> Column:
     return F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in df.columns))
 
 
+#: Rows of a narrow stored table (ids, edges, hashes: some 20 bytes a row) up to which it may be broadcast.
+BROADCAST_ROWS = 500_000
+
+
+def sided(table: DataFrame, most: int | None = None) -> DataFrame:
+    """``table``, a narrow stored one, marked for broadcast if it has at most ``BROADCAST_ROWS`` rows."""
+    return F.broadcast(table) if table.count() <= (BROADCAST_ROWS if most is None else most) else table
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and return it reread.
 
