@@ -8,17 +8,19 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .counters import PIECES, merged, packed
-from .store import shared_folder, stored, whole_row
+from .store import shared_folder, sided, stored, whole_row
 from .textbytes import Hasher, buffers, mix, ngram_hashes, slices, word_hashes
 
 #: Counters of the shingle frequencies (a fixed table, 4 MB).
 COUNTERS = 1 << 20
 #: Longest extension of a prefix: a pair must share as many prefix tokens.
-MAX_MATCHES = 16
+MAX_MATCHES = 4
 #: Checking a pair costs about as much as reading so many postings.
 CHECK_COST = 20
 #: Postings of a reduce group; tokens counted more often than this by the counters skip those groups.
 GROUP_POSTINGS, HOT_TOKEN = 200_000, 20_000
+#: Cells of a set's profile: how many of its shingles fall into each, up to 255.
+PROFILE = 256
 #: Ids of texts to be checked are broadcast up to this number, and joined by key beyond.
 BROADCAST_IDS = 500_000
 #: Rounds of links to one pivot a list before the remaining pairs are listed; more only while they pay.
@@ -47,6 +49,11 @@ def fingerprint(s: np.ndarray) -> int:
     return int((x * np.array([3, 5, 1], np.uint64)).sum(dtype=np.uint64).astype(np.int64))
 
 
+def profile(s: np.ndarray) -> bytes:
+    """Shingles of a set by cell of their hash; two sets share at most the sum of the smaller counts."""
+    return np.minimum(np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=PROFILE), 255).astype(np.uint8).tobytes()
+
+
 def least_overlap(n: int, percent: int) -> int:
     """Shingles that a set of n must share with any set linked to it."""
     return -(-percent * n // 100)
@@ -82,22 +89,23 @@ def _survey(n):
         for b in batches:
             data, offsets = buffers(b.column("text"))
             kind = b.schema.field("id").type
-            size, fp = [], []
+            size, fp, cells = [], [], []
             for i, j in slices(offsets):
                 sets = list(shingle_sets(hasher, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], n))
                 size += [len(s) for s in sets]
                 fp += [fingerprint(s) for s in sets]
+                cells += [profile(s) for s in sets]
                 counts += np.bincount((np.concatenate(sets) & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
             k = len(size)
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("key"), pa.array(size, pa.int64()), pa.array(fp, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
-                names=["id", "key", "n", "fp", "task", "piece", "counts"])
+                [b.column("id"), b.column("key"), pa.array(size, pa.int64()), pa.array(fp, pa.int64()), pa.array(cells, pa.binary()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
+                names=["id", "key", "n", "fp", "cells", "task", "piece", "counts"])
         if kind is not None:
             task = TaskContext.get().partitionId()
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(PIECES, kind), pa.nulls(PIECES, pa.int64()), pa.nulls(PIECES, pa.int64()), pa.nulls(PIECES, pa.int64()), pa.array([task] * PIECES, pa.int64()),
+                [pa.nulls(PIECES, kind), pa.nulls(PIECES, pa.int64()), pa.nulls(PIECES, pa.int64()), pa.nulls(PIECES, pa.int64()), pa.nulls(PIECES, pa.binary()), pa.array([task] * PIECES, pa.int64()),
                  pa.array(range(PIECES), pa.int32()), pa.array(packed(counts), pa.binary())],
-                names=["id", "key", "n", "fp", "task", "piece", "counts"])
+                names=["id", "key", "n", "fp", "cells", "task", "piece", "counts"])
     return run
 
 
@@ -199,6 +207,21 @@ def _by_set(n):
     return run
 
 
+def _possible(percent):
+    """The pairs whose profiles leave room for enough shared shingles; full cells leave any room."""
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, PROFILE) for c in ("x", "y"))
+            full = ((x == 255) & (y == 255)).any(1)
+            both = np.minimum(x, y).sum(1, dtype=np.int64)
+            total = b.column("n").to_numpy(zero_copy_only=False) + b.column("n2").to_numpy(zero_copy_only=False)
+            keep = full | (100 * both >= percent * (total - both))
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep))
+    return run
+
+
 def _check(percent, n):
     """The pairs whose sets, made from the whole texts, reach the similarity."""
     def run(batches):
@@ -237,6 +260,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, n: int = 5, id_col: str
        token; those of a single set are dropped.
     3. In every posting list the sets are checked against one pivot, exactly, and linked ones
        contracted. A large group of near copies so costs one check a member. Rounds go on while they pay.
+       Before that, profiles (256 counts a set) rule out pairs that can't share enough.
     4. Pairs of a list that are still in different components are all checked, if they have
        enough common prefix tokens and fitting sizes. So no link between components is lost.
 
@@ -250,11 +274,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80, n: int = 5, id_col: str
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     survey = stored(rows.withColumn("key", F.xxhash64("text")).mapInArrow(
-        _survey(n), f"id {kind}, key long, n long, fp long, task long, piece int, counts binary"), "nd-survey")
+        _survey(n), f"id {kind}, key long, n long, fp long, cells binary, task long, piece int, counts binary"), "nd-survey")
     base = survey.filter("piece is null").select("id", F.col("key").alias("text_key"), "n", "fp")
     tasks = survey.agg(F.max("task")).first()[0]
     total, postings = base.agg(F.sum("n"), F.sum(F.ceil(F.col("n") * (100 - percent) / 100) + 1)).first()
-    sets = stored(base.filter("n > 0").groupBy("fp").agg(F.min("id").alias("id"), F.min("n").alias("n")), "nd-sets")
+    sets = survey.filter("piece is null and n > 0").groupBy("fp").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min("cells").alias("cells"))
+    sets = stored(sets, "nd-sets")
     links = _all_links(rows, survey, sets, (tasks or 0) + 1, total or 0, postings or 0, percent, n) if total else None
     if links is None:
         merged = sets.select("fp", F.col("id").alias("component_id"))
@@ -286,10 +311,6 @@ def one_of_each(docs: DataFrame, percent: int = 80, n: int = 5, id_col: str = "d
     again = stored(found.filter("component_id is not null").groupBy("r_id", "r_key").count().filter("count > 1").select("r_id", "r_key"), "nd-again")
     rows = docs.select(whole_row(docs).alias("row"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("key"))
     same = F.col("id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key"))
-
-    def sided(t):
-        return F.broadcast(t) if t.count() <= BROADCAST_IDS else t
-
     rows = rows.join(sided(spare), same, "left_anti")
     if not again.isEmpty():
         once = rows.join(sided(again), same, "left_semi").dropDuplicates(["id", "key"])
@@ -315,7 +336,7 @@ def _all_links(rows, survey, sets, tasks, total, postings, percent, n):
     links, labels, last = None, None, None
     for turn in range(PIVOT_ROUNDS):
         own = lists.withColumn("label", F.col("fp")) if labels is None else (
-            lists.join(labels.select(F.col("node").alias("fp"), "label"), "fp", "left").withColumn("label", F.coalesce("label", "fp")))
+            lists.join(sided(labels.select(F.col("node").alias("fp"), "label")), "fp", "left").withColumn("label", F.coalesce("label", "fp")))
         mixed = own.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("token")
         live = stored(own.join(mixed, "token", "left_semi"), "nd-live")
         order = F.struct(F.col("id").isNull(), "id", "fp") if turn % 2 == 0 else F.struct(F.xxhash64("fp", F.lit(turn)), "fp")
@@ -343,8 +364,11 @@ def _all_links(rows, survey, sets, tasks, total, postings, percent, n):
 
 
 def _checked(rows, pairs, sets, percent, n):
-    """The pairs (a, b) whose sets reach the similarity, by their full sets."""
-    pairs = stored(pairs, "nd-pairs")
+    """The pairs (a, b) whose sets reach the similarity: by their profiles first, then by their full sets."""
+    x = sets.select(F.col("fp").alias("a"), "n", F.col("cells").alias("x"))
+    y = sets.select(F.col("fp").alias("b"), F.col("n").alias("n2"), F.col("cells").alias("y"))
+    pairs = pairs.join(x, "a").join(y, "b").select("a", "b", "n", "n2", "x", "y")
+    pairs = stored(pairs.mapInArrow(_possible(percent), "a long, b long"), "nd-pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
     ids = stored(wanted.join(sets, "fp").select("id"), "nd-ids")
     few = ids.count() <= BROADCAST_IDS
