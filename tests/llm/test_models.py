@@ -140,6 +140,30 @@ def test_blocks_of_a_page():
     assert paths[0] == ("div", ".site", ".nav", ".top", ".bar", ".x", "table", "tr", "td") and paths[1] == paths[0]
 
 
+@pytest.mark.parametrize("page", [
+    "<head><title>t</title><body><article><p>Real text.</p></article>",
+    "<head><meta charset=utf-8><title>t</title><p>Real text.</p><script>var s = '</head>'</script>",
+    "<article><svg-icon></svg-icon><p>Real text.</p></article>",
+    "<article><template-x>Real <object-x>text.</object-x></template-x></article>",
+    "<svg width=1/><p>Real text.</p>",
+    "<svg width=1/><p>Real text.</p><svg><text>No</text></svg>",
+    "<article><object data=x><p>Real text.</p></article>",
+    "<article><object data=x><p>Real text.</p><object>No</object></article>",
+    "<article><iframe src=x><p>Real text.</p><iframe>No</iframe></article>",
+    "<article><noscript><p>Real text.</p></article>",
+    "<svg><title/><svg><title>No</title></svg>No</svg><p>Real text.</p><svg><title>No</title></svg>",
+    "<script>document.write('<script>No</p>')</script><p>Real text.</p><iframe srcdoc='<p>No'></iframe>",
+    "<textarea>No <script> no</textarea><p>Real text.</p><script>No</script>",
+])
+def test_raw_elements_take_no_text_behind_them(page):
+    assert [t for _, t, _ in html.blocks(page)] == ["Real text."]
+
+
+def test_many_open_raw_elements_take_linear_time():
+    page = "<iframe><svg><script>" * 20000 + "<p>Real text.</p>"
+    assert [t for _, t, _ in html.blocks(page)] == ["Real text."]
+
+
 def test_main_text_of_odd_pages(spark):
     df = spark.createDataFrame(PAGES, "page_id long, url string, html string").withColumn("text", F.lit("x")).withColumn("n_chars", F.lit(1))
     out = html.main_text(df).collect()

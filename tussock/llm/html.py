@@ -19,9 +19,11 @@ EPOCHS, BATCH, RATE = 8, 32, 0.02
 #: Padded cells (pages times blocks) that are classified at once.
 CELLS = 1 << 14
 
-# Fixed values of HTML: elements whose content is no text, elements without content, and block elements.
-RAW = "script|style|noscript|template|iframe|object|svg|math|head|select|textarea"
-VOID = set("area base br col embed hr img input link meta param source track wbr".split())
+# Fixed values of HTML: elements whose content is no text (markup of its own, or characters up to the end tag), elements
+# without content, and block elements. A head is left to its elements, as its end tag, and even a start, may be missing.
+NESTED = set("template object svg math select".split())
+OPAQUE = set("script style noscript iframe textarea title".split())
+VOID = set("area base br col embed head hr img input link meta param source track wbr".split())
 BLOCKS = set("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption "
              "figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html label legend li main menu nav ol optgroup "
              "option p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -29,19 +31,50 @@ CLOSED_BY = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "tr"
              "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 NOT_IN_P = BLOCKS - {"button", "label", "option"}
 
+COMMENT = r"<!--.*?(?:-->|\Z)"
+RAW_TAG = (r"<(?P<close>/?)(?P<raw>" + "|".join(sorted(NESTED | OPAQUE))
+           + r")(?=[\s/>])(?>(?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|\Z)")
+RAW = re.compile(COMMENT + "|" + RAW_TAG, re.S | re.I)
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + RAW + r")\b(?>[^>]*)>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?>[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)",
+    COMMENT + "|" + RAW_TAG
+    + r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?>[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)",
     re.S | re.I)
+#: What ends an opaque element, or tells that it has no end: a script may name its own start tag, the others may not.
+ENDS = {t: re.compile(rf"<(/?){t}(?=[\s/>])[^>]*>" if t not in ("script", "style") else rf"<(/){t}(?=[\s/>])[^>]*>", re.I) for t in OPAQUE}
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
+def raw_ends(page: str) -> dict[int, int]:
+    """Start and end of every element whose content is no text. Elements that nothing closes are left out."""
+    ends, at, gone = {}, 0, set()
+    open_: dict[str, list[int]] = {t: [] for t in NESTED}
+    while m := RAW.search(page, at):
+        at = m.end()
+        if m["raw"] is None:
+            continue
+        tag, empty = m["raw"].lower(), m[0].endswith("/>")
+        if tag in NESTED:
+            if m["close"]:
+                if open_[tag]:
+                    ends[open_[tag].pop()] = at
+            elif not (empty and tag in ("svg", "math")):
+                open_[tag].append(m.start())
+        elif not m["close"] and tag not in gone and not (empty and (open_["svg"] or open_["math"])):
+            end = ENDS[tag].search(page, at)
+            if end is None:
+                gone.add(tag)
+            elif end[1]:
+                ends[m.start()] = at = end.end()
+    return ends
+
+
 def blocks(page: str) -> list[tuple[tuple, str, float]]:
     """(path, text, share of its characters in links) of every block with text, in page order.
 
     A block is text between starts and ends of block elements; inline elements and line breaks don't
-    end it. The path holds, from the root, tag names and the parts of their class, id and role.
+    end it. The path holds, from the root, tag names and the parts of their class, id and role. Of scripts, images and
+    other elements without text the whole content is left out; of one that nothing closes, the tag alone.
     """
     out, stack, text, linked, size, start = [], [], [], 0, 0, 0
 
@@ -74,9 +107,10 @@ def blocks(page: str) -> list[tuple[tuple, str, float]]:
             if stack[k][0] in until:
                 return
 
-    for m in TOKEN.finditer(page):
+    raw = raw_ends(page)
+    while m := TOKEN.search(page, start):
         add(page[start:m.start()])
-        start = m.end()
+        start = raw.get(m.start(), m.end())
         tag = m["tag"]
         if tag is None:
             continue
