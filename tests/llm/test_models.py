@@ -67,6 +67,37 @@ def test_exchange_finds_the_classes_of_a_made_language():
     assert len({(of[i], label[i]) for i in range(n - 1)}) == kinds and label[-1] == 0
 
 
+def test_best_classes_are_those_of_the_exchange_step():
+    rng = np.random.default_rng(3)
+    n, k = 30, 5
+    pairs, label = rng.poisson(2, (n, n)).astype(float) * rng.integers(0, 2, (n, n)), rng.integers(1, k, n)
+
+    def likelihood(of):
+        member = np.eye(k)[of]
+        return brown.likelihood(member.T @ pairs @ member)
+
+    member = np.eye(k)[label]
+    full = np.concatenate([pairs @ member, (member.T @ pairs).T, np.diagonal(pairs)[:, None]], axis=1)
+    at, slot = np.nonzero(full)
+    got = brown.best_classes(member.T @ pairs @ member, label, at, slot, full[at, slot])
+    for w in range(n):
+        want = [likelihood(np.where(np.arange(n) == w, c, label)) for c in range(1, k)]
+        assert math.isclose(want[got[w] - 1], max(want), rel_tol=1e-12)
+
+
+def test_words_beyond_the_most_frequent_get_their_own_class(spark):
+    rng = np.random.default_rng(5)
+    kinds = 4
+    names = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(4000)]
+    rows = []
+    for i in range(1200):
+        at = int(rng.integers(kinds))
+        rows.append((i, " ".join(names[kinds * int(rng.integers(len(names) // kinds)) + (at + p) % kinds] for p in range(120))))
+    out = brown.class_scores(documents(spark, rows), F.col("doc_id") % 10 != 0).filter("held_out").collect()
+    gain = sum(r.score - r.base_score for r in out) / sum(r.n_tokens for r in out)
+    assert gain > 0.5
+
+
 TOXIC = ["grumbolt", "snarvik", "plodder", "vexnar"]
 
 

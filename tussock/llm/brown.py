@@ -15,6 +15,10 @@ TOP_WORDS, ENDINGS, ENDING_BYTES = 1247, 800, 3
 TYPES = TOP_WORDS + ENDINGS + 1
 END_TYPE = TYPES - 1
 CLASSES, SWEEPS = 96, 5
+#: Every other word that occurs so often gets a class of its own, in so many sweeps over the learning texts.
+OWN_COUNT, WORD_SWEEPS = 10, 2
+#: Counts a word has at most: each class after it, each class before it, itself after it.
+SLOTS = 2 * CLASSES + 1
 #: The most frequent words' counts are broadcast to the scoring pass; all others are joined by key.
 LEXICON = 400_000
 #: Distinct words that a task holds before it passes their counts on.
@@ -75,10 +79,10 @@ def find(keys: np.ndarray, words: np.ndarray):
     return at, (keys[at] == words) if len(keys) else np.zeros(len(words), bool)
 
 
-def sequence(first, types):
+def sequence(first, types, end=END_TYPE):
     """Types of all texts in one row: an end mark before the first text and after each."""
     n = len(first) - 1
-    out = np.full(len(types) + n + 1, END_TYPE, np.int64)
+    out = np.full(len(types) + n + 1, end, np.int64)
     out[np.arange(len(types)) + 1 + np.repeat(np.arange(n), np.diff(first))] = types
     return out
 
@@ -165,6 +169,171 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
     return label
 
 
+def classed(m, words, ending):
+    """(class, place in the words with a class of their own or -1) of each word."""
+    at, own = find(m["words"], words)
+    return np.where(own, m["classes"][at] if len(m["words"]) else 0, m["label"][ending]), np.where(own, at, -1)
+
+
+def _count_classes(model):
+    """(cell, c): class bigrams of the learning texts, added up within the task."""
+    def run(batches):
+        import pyarrow as pa
+
+        m, hasher, counts = model.value, Hasher(), np.zeros(CLASSES * CLASSES, np.int64)
+        for b in batches:
+            data, offsets = buffers(b.column("text"))
+            for i, j in slices(offsets):
+                first, words, ending = tokens(hasher, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                row = sequence(first, classed(m, words, ending)[0], m["label"][END_TYPE])
+                counts += np.bincount(row[:-1] * CLASSES + row[1:], minlength=CLASSES * CLASSES)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["cell", "c"])
+    return run
+
+
+def _count_neighbours(model):
+    """(w, slot, c): counts of the classes around each word that may move, added up within the task."""
+    def run(batches):
+        import pyarrow as pa
+
+        m, hasher, held, kept = model.value, Hasher(), 0, []
+
+        def added():
+            cells, c = (np.concatenate([k[i] for k in kept]) for i in range(2))
+            u, inv = np.unique(cells, return_inverse=True)
+            return u, np.bincount(inv, weights=c).astype(np.int64)
+
+        def rows(x):
+            for i in range(0, len(x[0]), 200_000):
+                w, slot = np.divmod(x[0][i:i + 200_000], SLOTS)
+                yield pa.RecordBatch.from_arrays([pa.array(w.astype(np.int32)), pa.array(slot.astype(np.int16)),
+                                                  pa.array(x[1][i:i + 200_000])], names=["w", "slot", "c"])
+
+        for b in batches:
+            data, offsets = buffers(b.column("text"))
+            for i, j in slices(offsets):
+                first, words, ending = tokens(hasher, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                kind, w = classed(m, words, ending)
+                w = np.where((w >= 0) & m["free"][w], w, -1)
+                kind, w = sequence(first, kind, m["label"][END_TYPE]), sequence(first, w, -1)
+                at = np.flatnonzero(w >= 0)
+                if not len(at):
+                    continue
+                same = at[w[at] == w[at + 1]]
+                u, c = np.unique(np.concatenate([w[at] * SLOTS + kind[at + 1], w[at] * SLOTS + CLASSES + kind[at - 1],
+                                                 w[same] * SLOTS + 2 * CLASSES]), return_counts=True)
+                kept.append((u, c))
+                held += len(u)
+                if held >= 2 * FLUSH:
+                    kept = [added()]
+                    held = len(kept[0][0])
+                    if held >= FLUSH:
+                        yield from rows(kept[0])
+                        kept, held = [], 0
+        if kept:
+            yield from rows(added())
+    return run
+
+
+def best_classes(table: np.ndarray, old: np.ndarray, at: np.ndarray, slot: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Class where each word raises the likelihood most, by the step of ``exchange`` with all others in place.
+
+    ``old`` are the words' classes; ``at`` (the word's place in ``old``), ``slot`` and ``c`` their neighbour counts.
+    """
+    n, k = len(old), len(table)
+    every = np.arange(n)
+    full = np.zeros((n, 2 * k + 1))
+    full[at, slot] = c
+    r, l, own = full[:, :k], full[:, k:2 * k], full[:, -1]
+    r[every, old] -= own
+    l[every, old] -= own
+    gain = np.zeros((n, k))
+    for mine, other, cells in ((r, l, table), (l, r, table.T)):
+        w, near = np.nonzero(mine)
+        add = mine[w, near]
+        base = cells.T[near].copy()
+        base[np.arange(len(w)), old[w]] -= add
+        back = np.flatnonzero(near == old[w])
+        base[back] -= other[w[back]]
+        base[back, near[back]] -= own[w[back]]
+        more = _xlogx(base + add[:, None]) - _xlogx(base)
+        more[np.arange(len(w)), near] = 0
+        if len(w):
+            first = np.flatnonzero(np.diff(w, prepend=-1))
+            gain[w[first]] += np.add.reduceat(more, first)
+    cell = np.tile(np.diagonal(table), (n, 1))
+    cell[every, old] -= r[every, old] + l[every, old] + own
+    gain += _xlogx(cell + r + l + own[:, None]) - _xlogx(cell)
+    for total, part in ((table.sum(1), r), (table.sum(0), l)):
+        size = (part.sum(1) + own)[:, None]
+        rest = np.tile(total, (n, 1))
+        rest[every, old] -= size[:, 0]
+        gain -= _xlogx(rest + size) - _xlogx(rest)
+    gain[:, 0] = -np.inf
+    return gain.argmax(1)
+
+
+def _moved(model):
+    """(w, class) of rows (w, slot, c) sorted by w."""
+    def run(batches):
+        import pyarrow as pa
+
+        m, left = model.value, None
+
+        def rows(w, slot, c):
+            u, at = np.unique(w, return_inverse=True)
+            for i in range(0, len(u), 256):
+                a, b = np.searchsorted(at, [i, i + 256])
+                new = best_classes(m["table"], m["classes"][u[i:i + 256]].astype(int), at[a:b] - i, slot[a:b], c[a:b])
+                yield pa.RecordBatch.from_arrays([pa.array(u[i:i + 256].astype(np.int32)), pa.array(new.astype(np.int16))], names=["w", "class"])
+
+        for b in batches:
+            part = [b.column(x).to_numpy(zero_copy_only=False) for x in ("w", "slot", "c")]
+            if not len(part[0]):
+                continue
+            part = part if left is None else [np.concatenate(p) for p in zip(left, part)]
+            cut = np.searchsorted(part[0], part[0][-1])
+            left = [p[cut:] for p in part]
+            if cut:
+                yield from rows(*(p[:cut] for p in part))
+        if left is not None:
+            yield from rows(*left)
+    return run
+
+
+def likelihood(table: np.ndarray) -> float:
+    """What the class bigrams say about the texts, up to a constant of the words."""
+    return float(_xlogx(table).sum() - _xlogx(table.sum(0)).sum() - _xlogx(table.sum(1)).sum())
+
+
+def word_classes(lessons: DataFrame, words: np.ndarray, classes: np.ndarray, free: np.ndarray, label: np.ndarray, table: np.ndarray):
+    """(class of each of the sorted ``words``, class bigrams) after distributed sweeps of the ``free`` words.
+
+    In a sweep every free word goes where the likelihood is highest while all others stay; the sweep with the highest
+    likelihood is kept.
+    """
+    spark = lessons.sparkSession
+    best = likelihood(table), classes, table
+    for _ in range(WORD_SWEEPS if free.any() else 0):
+        m = spark.sparkContext.broadcast({"words": words, "classes": classes, "free": free, "label": label, "table": table})
+        near = lessons.mapInArrow(_count_neighbours(m), "w int, slot short, c long").repartition("w")
+        near = near.groupBy("w", "slot").agg(F.sum("c").alias("c")).sortWithinPartitions("w")
+        moved = stored(near.mapInArrow(_moved(m), "w int, class short"), "lm-moved").toArrow()
+        classes = classes.copy()
+        classes[moved["w"].to_numpy()] = moved["class"].to_numpy()
+        m = spark.sparkContext.broadcast({"words": words, "classes": classes, "label": label})
+        table = np.zeros(CLASSES * CLASSES)
+        for r in lessons.mapInArrow(_count_classes(m), "cell int, c long").groupBy("cell").agg(F.sum("c").alias("c")).collect():
+            table[r.cell] = r.c
+        table = table.reshape(CLASSES, CLASSES)
+        now = likelihood(table)
+        if now <= best[0]:
+            break
+        best = now, classes, table
+    return best[1:]
+
+
 def _score(model):
     """Per text: what the class transitions and the words of the lexicon give; per other word a row to be joined."""
     def run(batches):
@@ -172,7 +341,7 @@ def _score(model):
         from pyspark import TaskContext
 
         m, hasher = model.value, Hasher()
-        keys, counts, own, label, transition = m["keys"], m["counts"], m["types"], m["label"], m["transition"]
+        keys, counts, label, transition = m["keys"], m["counts"], m["label"], m["transition"]
         room, n_all, types_all, ends = m["room"], m["N"], m["V"], m["ends"]
         at_row = TaskContext.get().partitionId() << 36
         below = np.log10(n_all + ADD * (types_all + 1))
@@ -193,7 +362,7 @@ def _score(model):
                 first, words, ending = tokens(hasher, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 at, there = find(keys, words)
                 c = np.where(there, counts[at] if len(counts) else 0, 0)
-                kind = label[np.where(there, own[at] if len(own) else 0, ending)]
+                kind = classed(m, words, ending)[0]
                 row = np.full(len(words) + (j - i) + 1, label[END_TYPE])
                 row[np.arange(len(words)) + 1 + np.repeat(np.arange(j - i), np.diff(first))] = kind
                 step = transition[row[:-1], row[1:]]
@@ -244,10 +413,12 @@ def class_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_co
     """log10 probability of every whole text under a class bigram model learnt from the ``learn`` rows.
 
     Words are ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased; an end mark follows the last word.
-    P(w | w') = P(class(w) | class(w')) * P(w | class(w)). Exchange clustering puts the
+    P(w | w') = P(class(w) | class(w')) * P(w | class(w)). Exchange clustering first puts the
     1,247 most frequent words, and all others by their last three bytes (800 hashed endings), into 96 classes, by
-    a table of type bigrams of all learning texts (2,048 * 2,048, whatever the corpus). Transitions are
-    smoothed towards the class's share; emissions add 0.1 to every count, with one more
+    a table of type bigrams of all learning texts (2,048 * 2,048, whatever the corpus). Every other word that occurs
+    ten times or more then moves to the best class for its own neighbours, in distributed sweeps;
+    only rarer and unseen words keep the class of their ending. The classes of these words are broadcast, 9 bytes a word.
+    Transitions are smoothed towards the class's share; emissions add 0.1 to every count, with one more
     unseen word a class, so each class's words sum to one.
 
     All word counts are summed over all learning texts. The scoring pass has the 400,000 most
@@ -269,35 +440,36 @@ def class_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_co
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     common = _frequent(words, LEXICON)
     key = common["word"].to_numpy(np.int64)
-    types = common["ending"].to_numpy(np.int64).copy()
     top = min(TOP_WORDS, len(key))
-    types[:top] = np.arange(top)
     sort = np.argsort(key[:top], kind="stable")
     parts = stored(lessons.mapInArrow(_count_pairs(spark.sparkContext.broadcast((key[:top][sort], sort))),
                                       "piece int, task long, counts binary"), "lm-pairs")
     tasks = (parts.agg(F.max("task")).first()[0] or 0) + 1
     pairs = merged(parts, tasks, TYPES * TYPES).reshape(TYPES, TYPES)
     label = exchange(pairs)
-    endings = words.groupBy("ending").agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect()
-    size, kinds = np.zeros(TYPES), np.zeros(TYPES)
-    for r in endings:
-        size[r.ending] += r.c
-        kinds[r.ending] += r.v
-    for w in range(top):
-        size[common["ending"][w]] -= common["c"][w]
-        kinds[common["ending"][w]] -= 1
-        size[w], kinds[w] = common["c"][w], 1
-    by_class = np.bincount(label, size, CLASSES), np.bincount(label, kinds, CLASSES)
-    room = np.log10(by_class[0] + ADD * (by_class[1] + 1))
+    own = words.filter(F.col("c") >= OWN_COUNT).select("word", "ending", "c").toArrow()
+    own = [np.concatenate([common[x].to_numpy()[:top], own[x].to_numpy()]) for x in ("word", "ending", "c")]
+    _, at = np.unique(own[0], return_index=True)
+    own, ending, c = (x[at] for x in own)
+    classes, free = label[ending].astype(np.uint8), at >= top
+    classes[~free] = label[at[~free]]
     member = np.zeros((TYPES, CLASSES))
     member[np.arange(TYPES), label] = 1
-    step = member.T @ pairs @ member
+    classes, step = word_classes(lessons, own, classes, free, label, member.T @ pairs @ member)
+    size, kinds = np.bincount(classes, c, CLASSES), np.bincount(classes, minlength=CLASSES).astype(float)
+    rest = words.groupBy("ending").agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect()
+    for r in rest:
+        size[label[r.ending]] += r.c
+        kinds[label[r.ending]] += r.v
+    size -= np.bincount(label[ending], c, CLASSES)
+    kinds -= np.bincount(label[ending], minlength=CLASSES)
+    room = np.log10(size + ADD * (kinds + 1))
     share = (step.sum(0) + 1) / (step.sum() + CLASSES)
     step = np.log10((step + PRIOR * share) / (step.sum(1, keepdims=True) + PRIOR))
     order = np.argsort(key, kind="stable")
     total, kinds_all = float(n + n_docs), float(v + (n_docs > 0))
-    model = {"keys": key[order], "counts": common["c"].to_numpy(np.int64)[order], "types": types[order], "label": label,
-             "transition": step, "room": room, "N": total, "V": kinds_all, "ends": float(n_docs)}
+    model = {"keys": key[order], "counts": common["c"].to_numpy(np.int64)[order], "label": label,
+             "words": own, "classes": classes, "transition": step, "room": room, "N": total, "V": kinds_all, "ends": float(n_docs)}
     kind = rows.schema["id"].dataType.simpleString()
     scored = stored(rows.mapInArrow(_score(spark.sparkContext.broadcast(model)),
                                     f"row long, id {kind}, learn boolean, size long, known long, base double, score double, "
