@@ -193,6 +193,24 @@ def test_token_counts_equal_a_public_unigram_model():
     assert tokencount.trie_counts(texts, pieces, longest) == [len(model.tokenize(t)) for t in texts]
 
 
+def test_pieces_of_a_unigram_file_keep_their_scores(tmp_path):
+    sentencepiece = pytest.importorskip("sentencepiece")
+    rng = np.random.default_rng(0)
+    parts = ["an", "be", "ci", "de", "el", "fo", "ga", "he", "tion", "ing"]
+    texts = [" ".join("".join(rng.choice(parts, 3)) for _ in range(20)) for _ in range(300)]
+    for kind in ("unigram", "bpe"):
+        sentencepiece.SentencePieceTrainer.train(sentence_iterator=iter(texts), model_prefix=str(tmp_path / kind), vocab_size=60,
+                                                 model_type=kind, hard_vocab_limit=False, minloglevel=2)
+    model = sentencepiece.SentencePieceProcessor(model_file=str(tmp_path / "unigram.model"))
+    pieces = tokencount.read_pieces(str(tmp_path / "unigram.model"))
+    assert len(pieces) > 20 and all(s == model.get_score(model.piece_to_id(p)) for p, s in pieces.items())
+    words_ = sorted({tokencount.MARK + w for t in texts[:20] for w in t.split()})
+    got = tokencount.trie_counts(words_, pieces, max(map(len, pieces)))
+    assert got == [len(model.encode(w[1:])) for w in words_]
+    ranks = tokencount.read_pieces(str(tmp_path / "bpe.model"))
+    assert list(ranks.values()) == [-math.log(r + 10) for r in range(len(ranks))]
+
+
 def test_token_counts_of_odd_rows(spark):
     out = tokencount.token_counts(documents(spark, odd_rows()), VOCABULARY).collect()
     assert len(out) == len(odd_rows())

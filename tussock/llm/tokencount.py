@@ -20,18 +20,50 @@ REMEMBERED = 1_000_000
 TRIE_BYTES = 2 << 20
 
 
+def is_unigram(model: bytes) -> bool:
+    """Whether a sentencepiece model (its bytes) is a unigram one: field 3 of its trainer's settings, field 2; 1 if missing."""
+    def fields(raw):
+        at = 0
+
+        def number():
+            nonlocal at
+            n = shift = 0
+            while True:
+                n |= (raw[at] & 127) << shift
+                shift, at = shift + 7, at + 1
+                if raw[at - 1] < 128:
+                    return n
+
+        while at < len(raw):
+            key = number()
+            if key & 7 == 0:
+                yield key >> 3, number()
+                continue
+            size = number() if key & 7 == 2 else {1: 8, 5: 4}[key & 7]
+            yield key >> 3, raw[at:at + size]
+            at += size
+
+    kind = 1
+    for field, settings in fields(model):
+        if field == 2:
+            for name, value in fields(settings):
+                kind = value if name == 3 else kind
+    return kind == 1
+
+
 def read_pieces(path: str) -> dict[str, float]:
-    """Piece to log score, from a sentencepiece file: its normal pieces, by rank.
+    """Piece to log score, from a sentencepiece file: its normal pieces.
 
-    The file's own scores only order the pieces, so a piece of rank r scores -ln(r + 10), as word
-    frequencies fall with the rank.
+    A unigram file's scores are taken as they are. The scores of other files (BPE) only order the pieces, so there a
+    piece of rank r scores -ln(r + 10), as word frequencies fall with the rank.
     """
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     ids = [i for i in range(model.get_piece_size())
            if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
-    return {model.id_to_piece(i): -math.log(r + 10) for r, i in enumerate(ids)}
+    own = is_unigram(model.serialized_model_proto())
+    return {model.id_to_piece(i): model.get_score(i) if own else -math.log(r + 10) for r, i in enumerate(ids)}
 
 
 def trie_counts(words: list[str], pieces: dict[str, float], longest: int) -> list[int]:
