@@ -163,6 +163,15 @@ def test_one_of_each(spark):
     assert jaccard.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_one_of_each_group_without_ids(spark):
+    text = [" ".join(f"{x}{i}" for i in range(60)) for x in "abc"]
+    rows = [(None, text[0]), (None, text[0]), (None, text[0] + " more"), (None, text[1]), (None, None), (None, ""), (1, text[2]), (None, text[2])]
+    got = Counter((r.doc_id, r.text) for r in jaccard.one_of_each(documents(spark, rows)).collect())
+    near = [got.pop((None, t), 0) for t in (text[0], text[0] + " more")]
+    assert sorted(near) == [0, 1]
+    assert got == Counter([(None, text[1]), (None, None), (None, ""), (1, text[2])])
+
+
 @given(st.sets(st.integers(0, 5000), min_size=1, max_size=200), st.integers(0, 1000))
 @settings(max_examples=60, deadline=None)
 def test_prefixes_ask_for_matches_that_linked_sets_have(values, seed):

@@ -269,6 +269,11 @@ def near_duplicates(docs: DataFrame, percent: int = 80, n: int = 5, id_col: str
     are never the smallest; a component of null ids only has null. Repeated rows are copies of
     each other. An empty table gives no rows; further columns are not read.
     """
+    return _labelled(docs, percent, n, id_col, text_col).select(F.col("id").alias(id_col), "n_shingles", "component_id", "text_key")
+
+
+def _labelled(docs, percent, n, id_col, text_col):
+    """``near_duplicates`` with the id as ``id``, and the component's ``label`` (a hash; null for empty texts)."""
     spark = docs.sparkSession
     shared_folder(spark)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -282,33 +287,35 @@ def near_duplicates(docs: DataFrame, percent: int = 80, n: int = 5, id_col: str
     sets = stored(sets, "nd-sets")
     links = _all_links(rows, survey, sets, (tasks or 0) + 1, total or 0, postings or 0, percent, n) if total else None
     if links is None:
-        merged = sets.select("fp", F.col("id").alias("component_id"))
+        merged = sets.select("fp", F.col("fp").alias("label"), F.col("id").alias("component_id"))
     else:
         labels = connected_components(links).select(F.col("node").alias("fp"), "label")
         known = sets.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
         small = known.groupBy("label").agg(F.min("id").alias("component_id"))
-        merged = known.join(small, "label").select("fp", "component_id")
+        merged = known.join(small, "label").select("fp", "label", "component_id")
     merged = stored(merged, "nd-components")
     return (base.withColumn("key", F.when(F.col("n") > 0, F.col("fp")))
             .join(merged.withColumnRenamed("fp", "key"), "key", "left")
-            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), "text_key"))
+            .select("id", F.col("n").alias("n_shingles"),
+                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), "text_key", "label"))
 
 
 def one_of_each(docs: DataFrame, percent: int = 80, n: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each component of near duplicates: the one with the smallest id (of
+    """``docs`` with one row of each component of near duplicates: the one with the smallest id, nulls last (of
     several texts with that id, the one with the smallest hash; of equal rows, one).
 
-    Empty texts are duplicates of rows with their id only. Rows of components without any id all stay.
+    Empty texts are duplicates of rows with their id only; without an id they all stay.
     All columns are kept. What goes is looked up by id and text hash, broadcast if it is small.
     """
-    found = stored(near_duplicates(docs, percent, n, id_col, text_col)
-                   .select(F.col(id_col).alias("r_id"), F.col("text_key").alias("r_key"), "component_id"), "nd-result")
-    first = found.groupBy("component_id").agg(
+    found = stored(_labelled(docs, percent, n, id_col, text_col).select(
+        F.col("id").alias("r_id"), F.col("text_key").alias("r_key"), "component_id",
+        F.when(F.col("component_id").isNull(), F.col("label")).alias("label")), "nd-result")
+    found = found.filter("component_id is not null or label is not null").select("r_id", "r_key", F.struct("component_id", "label").alias("component"))
+    first = found.groupBy("component").agg(
         F.min_by(F.struct("r_id", "r_key"), F.struct(F.col("r_id").isNull(), "r_id", "r_key")).alias("first"))
-    spare = stored(found.join(first, "component_id").filter(~(F.col("r_id").eqNullSafe(F.col("first.r_id")) & (F.col("r_key") == F.col("first.r_key"))))
+    spare = stored(found.join(first, "component").filter(~(F.col("r_id").eqNullSafe(F.col("first.r_id")) & (F.col("r_key") == F.col("first.r_key"))))
                    .select("r_id", "r_key").distinct(), "nd-spare")
-    again = stored(found.filter("component_id is not null").groupBy("r_id", "r_key").count().filter("count > 1").select("r_id", "r_key"), "nd-again")
+    again = stored(found.groupBy("r_id", "r_key").count().filter("count > 1").select("r_id", "r_key"), "nd-again")
     rows = docs.select(whole_row(docs).alias("row"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("key"))
     same = F.col("id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key"))
     rows = rows.join(sided(spare), same, "left_anti")
