@@ -127,6 +127,16 @@ def test_classifier_separates_held_out_texts(spark):
     assert out[3].lang == rows[3][2] and all(0 <= r.score <= 1 for r in out.values())
 
 
+def test_an_id_that_repeats_is_learnt_once(spark, monkeypatch):
+    rows, labels = _toxic_rows(60, 4)
+    labelled = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    learnt, fit = [], toxicity.Network.fit
+    monkeypatch.setattr(toxicity.Network, "fit", lambda net, x, y, rng: (learnt.append(len(x)), fit(net, x, y, rng)))
+    toxicity.train(documents(spark, rows), labelled)
+    toxicity.train(documents(spark, rows + [(5, f"copy {i} of a hot id", "en") for i in range(300)] + [rows[7]] * 300), labelled)
+    assert learnt == [48, 48]
+
+
 def test_scores_depend_on_the_text_alone(spark):
     rows, labels = _toxic_rows(300, 2)
     labelled = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
