@@ -78,6 +78,15 @@ def test_leaks_with_edits_equal_brute_force(spark):
     assert clean.columns == documents(spark, rows).columns
 
 
+def test_short_items_and_scripts_without_spaces(spark):
+    chinese = "春天的早晨,孩子们在河边看见了一只白色的鸟。它慢慢地飞过了山。"
+    bench = spark.createDataFrame([(1, "Photosynthesis needs chlorophyll"), (2, chinese), (3, "ประเทศไทยสวยมาก"), (4, "tiny")], "item_id long, text string")
+    rows = [(1, "Why photosynthesis needs chlorophyll, they said"), (2, "photosynthesis needs no chlorophyll"), (3, "前言" + chinese.replace(",", "、").replace("白", "黑") + "后记"),
+            (4, "abcประเทศไทยสวยมากdef"), (5, "a tiny text"), (6, "孩子们在河边"), (7, "光、"), (8, chinese[:4] + "é x")]
+    got = {(r.doc_id, r.item_id, r.edits) for r in decontam.find_leaks(documents(spark, rows), bench).collect()}
+    assert got == {(1, 1, 0), (3, 2, 1), (4, 3, 0)}
+
+
 def test_leaks_in_chunks_and_odd_rows(spark, monkeypatch):
     bench = spark.createDataFrame([(1, "one two three four five six"), (2, "long text long text long text")], "item_id long, text string")
     docs = documents(spark, odd_rows())

@@ -10,15 +10,45 @@ from .textbytes import Hasher, buffers, letter_bounds, lower, slices
 
 #: Word edits allowed in a passage, as a share of its words.
 ERROR_RATE = 0.15
-#: Items of fewer words say too little to tell a leak from chance and take no part.
-MIN_WORDS = 6
+#: Items of fewer words must match without edits, and have so many bytes of words (four characters of Chinese) to tell a leak from chance.
+MIN_WORDS, MIN_BYTES = 6, 12
+#: First and last characters of scripts without spaces (Thai to Lao, Myanmar, Khmer, kana, Chinese), and of their punctuation.
+UNSPACED = ((0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+STOPS = ((0x3000, 0x303F), (0x30FB, 0x30FB), (0xFF00, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65))
 #: The benchmark is worked off in chunks of about so many bytes, each broadcast in one pass over the documents.
 CHUNK_BYTES = 8 << 20
 
 
-def words(hasher, data, offsets):
-    """(first word of each text plus the total, hashes of the words): runs of letters and digits, A-Z lower-cased."""
+def bounds(data, offsets):
+    """Starts and ends of the words: runs of letters and digits, but single characters in scripts without spaces."""
     starts, ends = letter_bounds(data, offsets)
+    at = np.flatnonzero(data >= 0xE0)
+    if not len(at):
+        return starts, ends
+    wide = np.concatenate([data, np.zeros(3, data.dtype)])
+    a, b, c, d = (wide[at + i].astype(np.int64) for i in range(4))
+    code = np.where(a >= 0xF0, (a & 7) << 18 | (b & 63) << 12 | (c & 63) << 6 | d & 63, (a & 15) << 12 | (b & 63) << 6 | c & 63)
+    alone, stop = (np.any([(code >= x) & (code <= y) for x, y in ranges], axis=0) for ranges in (UNSPACED, STOPS))
+    size = np.where(a >= 0xF0, 4, 3)
+    some = alone | stop
+    if not some.any():
+        return starts, ends
+    n = len(data)
+    begin, end = np.zeros(n + 1, bool), np.zeros(n + 1, bool)
+    begin[starts], end[ends] = True, True
+    inside = np.cumsum(np.bincount(starts, minlength=n + 1) - np.bincount(ends, minlength=n + 1)) > 0
+    for x in (at[some], at[some] + size[some]):
+        x = x[x < n]
+        x = x[inside[x] & ~begin[x]]
+        begin[x] = end[x] = True
+    starts, ends = np.flatnonzero(begin), np.flatnonzero(end)
+    keep = ~np.isin(starts, at[stop])
+    return starts[keep], ends[keep]
+
+
+def words(hasher, data, offsets):
+    """(first word of each text plus the total, hashes of the words), A-Z lower-cased."""
+    starts, ends = bounds(data, offsets)
     first = np.searchsorted(starts, offsets, side="left")
     return first, hasher.spans(hasher.prefix(lower(data)), starts, ends) if len(starts) else np.zeros(0, np.uint64)
 
@@ -62,7 +92,7 @@ class Index:
     """The pieces of a chunk of items, found by the hash of their first words."""
 
     def __init__(self, items: list[tuple[int, np.ndarray]], error_rate: float, min_words: int):
-        self.items = [(k, w, int(len(w) * error_rate)) for k, w in items if len(w) >= min_words]
+        self.items = [(k, w, int(len(w) * error_rate) if len(w) >= min_words else 0) for k, w in items]
         found: dict[int, list] = {}
         for at, (_, w, errors) in enumerate(self.items):
             for a, b in pieces(len(w), errors):
@@ -171,19 +201,22 @@ def _clean(items, error_rate, min_words, text_col):
     return run
 
 
-def _items(spark, chunk):
-    """Broadcast (item id, word hashes) of a chunk."""
+def _items(spark, chunk, min_words):
+    """Broadcast (item id, word hashes) of a chunk, of items with enough words or bytes."""
     raw = np.frombuffer(b"".join(t for _, t in chunk), np.uint8)
     offsets = np.concatenate([[0], np.cumsum([len(t) for _, t in chunk])]).astype(np.int64)
     first, hashes = words(Hasher(), raw, offsets)
-    return spark.sparkContext.broadcast([(k, hashes[a:b]) for (k, _), a, b in zip(chunk, first, first[1:])])
+    starts, ends = bounds(raw, offsets)
+    size = np.concatenate([[0], np.cumsum(ends - starts)])
+    return spark.sparkContext.broadcast([(k, hashes[a:b]) for (k, _), a, b in zip(chunk, first, first[1:])
+                                         if b > a and (b - a >= min_words or size[b] - size[a] >= MIN_BYTES)])
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, min_words: int = MIN_WORDS,
                   text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``docs`` without the rows in which ``find_leaks`` finds an item; all columns stay, and no row moves."""
     for chunk in _chunks(benchmark, item_col, item_text_col):
-        docs = docs.mapInArrow(_clean(_items(docs.sparkSession, chunk), error_rate, min_words, text_col), docs.schema)
+        docs = docs.mapInArrow(_clean(_items(docs.sparkSession, chunk, min_words), error_rate, min_words, text_col), docs.schema)
     return docs
 
 
@@ -192,8 +225,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_
                item_text_col: str = "text") -> DataFrame:
     """Benchmark items held by documents, up to a share of edited words.
 
-    Words are runs of letters and digits, A-Z lower-cased, so case, punctuation and line
-    breaks don't matter. An item of n words matches a part of a text within
+    Words are runs of letters and digits, A-Z lower-cased, and single characters in scripts without spaces, so case,
+    punctuation and line breaks don't matter. An item of n words matches a part of a text within
     e = floor(``error_rate`` * n) inserted, lost or changed words. It is split into e + 1 pieces,
     of which a match holds one whole; exact piece hits in the text name places, and Myers'
     bit-parallel distance checks them. Nothing is shuffled: each chunk of the benchmark
@@ -201,7 +234,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_
 
     Returns one row a document row and item: id, ``item_id``, ``edits``, ``first_word`` and
     ``end_word`` (the best match; the first of equals). Null and empty texts, items with a null id or text, and
-    items of fewer than ``min_words`` words match nothing; repeated rows match each by itself; items that
+    items of fewer than ``min_words`` words and 12 bytes match nothing, those of fewer words only without edits; repeated rows match each by itself; items that
     repeat an id are matched each. Empty tables give no rows.
     """
     spark = docs.sparkSession
@@ -209,7 +242,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_
     schema = f"id {rows.schema['id'].dataType.simpleString()}, item_id long, edits int, first_word long, end_word long"
     out = None
     for chunk in _chunks(benchmark, item_col, item_text_col):
-        found = rows.mapInArrow(_match(_items(spark, chunk), error_rate, min_words), schema)
+        found = rows.mapInArrow(_match(_items(spark, chunk, min_words), error_rate, min_words), schema)
         out = found if out is None else out.unionByName(found)
     out = spark.createDataFrame([], schema) if out is None else out
     return out.withColumnRenamed("id", id_col)
