@@ -10,11 +10,14 @@ from .decontam import find_leaks
 from .html import main_text
 from .jaccard import near_duplicates
 from .mixing import mix
+from .quantise import embedding_links
 from .sharding import shard
+from .spelling import spelling_variants
 from .suffix import remove_repeats
 from .tokencount import token_counts
 from .topk import top_k
 from .toxicity import score
+from .whiten import whiten
 
 
 #: Vocabulary of the token counts; a parameter of the operator.
@@ -72,6 +75,30 @@ def op10_toxicity(spark, sf_dir):
                       (F.col("score") >= 0.3).cast("int").alias("predicted"), "threshold", "rejected")
 
 
+def op11_embedding_near_dedup(spark, sf_dir):
+    return embedding_links(table(spark, sf_dir, "embeddings"), least=0.93)
+
+
+def op12_spelling_variants(spark, sf_dir):
+    return spelling_variants(table(spark, sf_dir, "documents"), ratio=5)
+
+
+def op13_whitening(spark, sf_dir):
+    return whiten(table(spark, sf_dir, "embeddings"), components=16)
+
+
+def _nibble(x: int) -> int:
+    """Four steps of the reflected CRC-32 (polynomial 0xEDB88320)."""
+    for _ in range(4):
+        x = x >> 1 ^ (0xEDB88320 if x & 1 else 0)
+    return x
+
+
+_STEPS = str([_nibble(x) for x in range(16)])
+_HALF = "xor({0} >> 4, " + _STEPS + "[1 + ({0} & 15)])"
+_CRC_STEP = _HALF.format(_HALF.format("xor(c, b)"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_repeats": op2_repeats,
@@ -83,6 +110,9 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_jaccard": op9_jaccard,
     "op10_toxicity": op10_toxicity,
+    "op11_embedding_near_dedup": op11_embedding_near_dedup,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE = {
@@ -142,4 +172,52 @@ ORACLE = {
             UNION SELECT reach.doc_id, links.y FROM reach JOIN links ON links.x = reach.other)
         SELECT doc_id, CAST(any_value(len(s)) AS BIGINT) AS n_shingles, min(other) AS component_id
         FROM reach JOIN sets USING (doc_id) GROUP BY doc_id""",
+    "op11_embedding_near_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (
+            SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+            WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.93),
+        reach AS (
+            SELECT vec_id, vec_id AS other FROM embeddings
+            UNION SELECT reach.vec_id, links.y FROM reach JOIN links ON links.x = reach.other),
+        least AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+        degree AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+        SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, e.vec_id = component_id AS kept
+        FROM embeddings e JOIN least USING (vec_id) LEFT JOIN degree ON x = e.vec_id""",
+    "op12_spelling_variants": rf"""
+        WITH RECURSIVE runs AS (
+            SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run
+            FROM documents),
+        low AS (
+            SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS c FROM runs
+            WHERE length(run) >= 6 GROUP BY 1, 2),
+        hashed AS (
+            SELECT w, c, xor(4294967295, list_reduce(
+                list_transform(generate_series(1, strlen(id || ':' || w)), lambda i: CAST('0x' || substr(hex(encode(id || ':' || w)), 2 * i - 1, 2) AS BIGINT)),
+                lambda c, b: {_CRC_STEP}, 4294967295::BIGINT)) AS h FROM low),
+        counted AS (
+            SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, CAST(sum(c) AS BIGINT) AS n
+            FROM hashed GROUP BY 1),
+        words AS (SELECT word, n FROM counted WHERE length(word) >= 6 AND n >= 5),
+        holes AS (SELECT word, n, unnest(generate_series(1, length(word))) AS i FROM words),
+        cut AS (SELECT DISTINCT word, n, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM holes),
+        masked AS (SELECT word, n, i, substr(word, 1, i - 1) || '_' || substr(word, i + 1) AS rest FROM holes),
+        near AS (
+            SELECT a.word, a.n, b.word AS other, b.n AS m FROM masked a JOIN masked b USING (i, rest) WHERE a.word <> b.word
+            UNION SELECT a.word, a.n, b.word, b.n FROM cut a JOIN words b ON b.word = a.rest
+            UNION SELECT b.word, b.n, a.word, a.n FROM cut a JOIN words b ON b.word = a.rest),
+        ranked AS (
+            SELECT word, n, other, m, count(*) OVER (PARTITION BY word) AS n_near,
+                   row_number() OVER (PARTITION BY word ORDER BY m DESC, other) AS place FROM near),
+        forms AS (
+            SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * w.n THEN other END AS form, CASE WHEN m >= 5 * w.n THEN m END AS form_n
+            FROM words w LEFT JOIN (SELECT * FROM ranked WHERE place = 1) r ON r.word = w.word),
+        follow AS (
+            SELECT word, form, word AS root, form AS up FROM forms
+            UNION ALL SELECT f.word, f.form, f.up, g.form FROM follow f JOIN forms g ON g.word = f.up)
+        SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM forms f JOIN follow r ON r.word = f.word AND r.up IS NULL""",
 }
