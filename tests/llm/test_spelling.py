@@ -80,15 +80,16 @@ def test_crowded_vectors_are_dealt_out(spark, monkeypatch):
     assert result(spelling_variants(documents(spark, rows))) == brute(rows)
 
 
-def test_trie_finds_every_word_one_edit_away():
+def test_tries_find_every_word_one_edit_away():
     rng = random.Random(3)
     words = list({"".join(rng.choice("abcd") for _ in range(rng.randint(3, 6))) for _ in range(400)})
-    trie = Trie()
+    trie, asking = Trie(), Trie()
     for w in words:
         trie.add(w, vector(w))
-    for a in words[:80]:
-        found = set(trie.near(vector(a)))
-        assert {b for b in words if levenshtein(a, b) == 1} == {b for b in found if one_edit(a, b)}
+    for w in words[:80]:
+        asking.add(w, vector(w))
+    found = {(a, b) for ones, others in trie.near(asking) for a in ones for b in others}
+    assert {(a, b) for a in words[:80] for b in words if levenshtein(a, b) == 1} == {(a, b) for a, b in found if one_edit(a, b)}
 
 
 def test_one_edit():

@@ -71,22 +71,24 @@ class Trie:
             node = node.setdefault(c, {})
         node.setdefault(counts[-1], []).append(word)
 
-    def near(self, counts):
-        """Words whose vector is within a surplus of one and a deficit of one, depth first."""
-        stack, last = [(self.root, 0, 1, 1)], len(counts) - 1
+    def near(self, asking: "Trie"):
+        """Leaves of ``asking`` with the leaves here whose vector is within a surplus of one and a deficit of one.
+
+        Both tries are searched together, depth first, so vectors with a common beginning share its steps.
+        """
+        stack = [(asking.root, self.root, 1, 1, 1)]
         while stack:
-            node, level, surplus, deficit = stack.pop()
-            c = counts[level]
-            for d in (0, 1, -1):
-                if (d > 0 and not surplus) or (d < 0 and not deficit):
-                    continue
-                child = node.get(c + d)
-                if child is None:
-                    continue
-                if level == last:
-                    yield from child
-                else:
-                    stack.append((child, level + 1, surplus - (d > 0), deficit - (d < 0)))
+            ask, node, level, surplus, deficit = stack.pop()
+            found = [(a, node[c], surplus, deficit) for c, a in ask.items() if c in node]
+            if surplus:
+                found += [(a, node[c + 1], 0, deficit) for c, a in ask.items() if c + 1 in node]
+            if deficit:
+                found += [(a, node[c - 1], surplus, 0) for c, a in ask.items() if c - 1 in node]
+            if level == GROUPS:
+                for a, b, _, _ in found:
+                    yield a, b
+            else:
+                stack += [(a, b, level + 1, up, down) for a, b, up, down in found]
 
 
 def _visits(batches):
@@ -103,24 +105,36 @@ def _visits(batches):
                                           pa.array(cols[3], pa.bool_())], names=["key", "word", "n", "own"])
 
 
+def _keys(batches):
+    """The coarse counts of every word."""
+    import pyarrow as pa
+
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([",".join(map(str, coarse(vector(w)))) for w in b.column("word").to_pylist()], pa.string())], names=["key"])
+
+
 def _near(table):
     """Pairs of near words of a part, each once: a word looks for residents that follow it by (coarse counts, word)."""
     import pyarrow as pa
 
-    trie, known, asks = Trie(), {}, {}
+    trie, asking, known, n_of = Trie(), Trie(), set(), {}
     for word, n, own in zip(table.column("word").to_pylist(), table.column("n").to_pylist(), table.column("own").to_pylist()):
         counts = vector(word)
+        if word not in n_of:
+            asking.add(word, counts)
+            n_of[word] = n
         if own and word not in known:
             trie.add(word, counts)
-            known[word] = n, coarse(counts)
-        asks[word] = n, counts
+            known.add(word)
     out = []
-    for word, (n, counts) in asks.items():
-        own = coarse(counts), word
-        for other in trie.near(counts):
-            m, key = known[other]
-            if (key, other) > own and one_edit(word, other):
-                out += [(word, other, m), (other, word, n)]
+    for words, others in trie.near(asking):
+        key, other_key = coarse(vector(words[0])), coarse(vector(others[0]))
+        if other_key < key:
+            continue
+        for a in words:
+            for b in others:
+                if (key < other_key or a < b) and one_edit(a, b):
+                    out += [(a, b, n_of[b]), (b, a, n_of[a])]
     cols = list(zip(*out)) or [[]] * 3
     return pa.table({"word": pa.array(cols[0], pa.string()), "other": pa.array(cols[1], pa.string()), "m": pa.array(cols[2], pa.int64())})
 
@@ -136,7 +150,7 @@ def near_words(words: DataFrame) -> DataFrame:
     """
     visits = words.mapInArrow(_visits, "key string, word string, n long, own boolean")
     size = words.count()
-    heavy = stored(visits.filter("own").groupBy("key").count().filter(F.col("count") > TRIE_WORDS)
+    heavy = stored(words.mapInArrow(_keys, "key string").groupBy("key").count().filter(F.col("count") > TRIE_WORDS)
                    .select("key", F.ceil(F.col("count") / TRIE_WORDS).alias("blocks")), "spell-heavy")
     dealt = visits.join(sided(heavy), "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("long")))
     mine = F.pmod(F.xxhash64("word"), F.col("blocks"))
