@@ -57,13 +57,31 @@ def test_transit_plan_has_no_nested_loop(spark):
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
-def test_salted_join_equals_unsalted(spark):
+def test_split_cells_equal_whole_ones(spark):
     rnd = random.Random(3)
     cs = [(f"c{i}", -36.85 + rnd.uniform(-0.02, 0.02), 174.76 + rnd.uniform(-0.02, 0.02)) for i in range(20)]
     ps = [(i, -36.85 + rnd.uniform(-0.03, 0.03), 174.76 + rnd.uniform(-0.03, 0.03)) for i in range(2000)]
+    ps += [(5000 + i, -36.85, 174.76) for i in range(1000)]
+    cs += [("near", -36.85, 174.76), ("edge", -36.85 + 0.0071, 174.76), ("pole", 89.9999, 10.0), ("line", -10.0, 179.9999)]
+    ps += [(9000 + i, 89.9999, 10.0 + i) for i in range(120)] + [(9500 + i, -10.0, -179.9999 if i % 2 else 179.9998) for i in range(120)]
     cdf = spark.createDataFrame(cs, "cid string, centroid_lat double, centroid_lon double")
     pdf = spark.createDataFrame(ps, "pid long, lat double, lon double")
-    base = {(r.cid, r.pid) for r in within_distance(cdf, pdf, 0.8, salt=1).collect()}
-    salted = within_distance(cdf, pdf, 0.8)
-    assert salted.columns == ["pid", "lat", "lon", "cid", "centroid_lat", "centroid_lon"]
-    assert base == {(r.cid, r.pid) for r in salted.collect()} and len(base) > 100
+    base = {(r.cid, r.pid) for r in within_distance(cdf, pdf, 0.8, cell_points=10 ** 9).collect()}
+    for cell_points in (4, 50, 400):
+        split = within_distance(cdf, pdf, 0.8, cell_points=cell_points)
+        assert split.columns == ["pid", "lat", "lon", "cid", "centroid_lat", "centroid_lon"]
+        rows = split.collect()
+        assert len(rows) == len(base) and base == {(r.cid, r.pid) for r in rows} and len(base) > 3000
+
+
+def test_crowded_cells_are_dealt_out(spark):
+    """A third of all points in one block: no key holds much more than the limit, and every point has a key."""
+    from tussock.operators.spatial import crowded_parts, point_cells
+
+    points = spark.range(9000).select(
+        F.col("id").alias("pid"), F.when(F.col("id") % 3 == 0, F.lit(-36.85)).otherwise(F.lit(-36.8) - (F.col("id") % 700) / 3000.0).alias("lat"),
+        F.when(F.col("id") % 3 == 0, F.lit(174.76)).otherwise(F.lit(174.6) + (F.col("id") % 531) / 3000.0).alias("lon"))
+    parts = crowded_parts(point_cells(points, "lat", "lon", 0.8), cell_points=100).collect()
+    assert max(p._salts for p in parts) == 30 and {p._level for p in parts} == {3}
+    centres = spark.createDataFrame([("c", -36.85, 174.76)], "cid string, centroid_lat double, centroid_lon double")
+    assert within_distance(centres, points, 0.8, cell_points=100).count() == within_distance(centres, points, 0.8).count() > 3000

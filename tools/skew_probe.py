@@ -6,13 +6,13 @@ cell). Centres: one per school plus one at the dense spot. The join runs two
 ways and reports wall time, result checksum, and the slowest vs median task
 of the largest stage (from the event log in a scratch folder):
 
-  unsalted       both sides joined on the cell; adaptive skew splitting only
-  salted         as above plus salting of the point side
+  whole          both sides joined on the cell; adaptive skew splitting only
+  split          as above with crowded cells split by place and hash
 
 and, separately, the (suburb, month) price aggregation with a third of all
 (replicated) price rows in one suburb.
 
-usage: python tools/skew_probe.py [sf_dir] [--copies N] [--salt S]
+usage: python tools/skew_probe.py [sf_dir] [--copies N] [--cell-points N]
 """
 
 from __future__ import annotations
@@ -104,7 +104,7 @@ def main():
     ap = argparse.ArgumentParser()
     ap.add_argument("sf_dir", nargs="?", default="/root/testdata/sf0.1")
     ap.add_argument("--copies", type=int, default=10)
-    ap.add_argument("--salt", type=int, default=16)
+    ap.add_argument("--cell-points", type=int, default=20_000)
     args = ap.parse_args()
 
     log_dir = tempfile.mkdtemp(prefix="tussock-skew-", dir="/tmp")
@@ -126,7 +126,7 @@ def main():
                              F.col("lat").alias("centroid_lat"), F.col("lon").alias("centroid_lon"))
     centres = centres.unionByName(spark.createDataFrame([("dense", -36.85, 174.76)],
                                                         "cid string, centroid_lat double, centroid_lon double"))
-    variants = {"unsalted": {"salt": 1}, "salted": {"salt": args.salt}}
+    variants = {"whole": {"cell_points": 1 << 60}, "split": {"cell_points": args.cell_points}}
     result = {"points": None}
     for attempt in ("warm", "timed"):       # the first pass only warms the JVM
         for name, kw in variants.items():

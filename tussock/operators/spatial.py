@@ -12,6 +12,12 @@
 Each point gets exactly one (band, cell) key, each centre the 3 x 3 (or fewer)
 neighbouring keys, so the large side is never duplicated. The exact haversine
 filter then removes false candidates; results equal the brute-force join.
+
+The grid has several levels. Cells are counted first, on a grid eight times
+finer; a cell with more than ``CELL_POINTS`` points is split into 4, 16 or 64
+parts, and a part that is still crowded (a block of equal places) is dealt out
+by a hash. A point's key has its own cell's level, and a centre expands over the
+parts of a crowded cell that lie within reach.
 """
 
 from __future__ import annotations
@@ -21,8 +27,10 @@ from pyspark.sql import functions as F
 
 from tussock.functions.geo import band_height_deg, haversine_km, lon_cell_width_deg
 
-# Tasks a dense grid cell is spread over; the few centre cells are repeated as often.
-SALT = 4
+# Points of a grid cell (or part of one) that meet in a task; a cell with more is split.
+CELL_POINTS = 20_000
+# Finest level: a cell is split into 2 ** LEVELS parts each way.
+LEVELS = 3
 
 
 def _band(lat: Column, height: float) -> Column:
@@ -45,7 +53,7 @@ _NO_CELL = -(2 ** 62)
 
 
 def point_cells(points: DataFrame, lat: str, lon: str, radius_km: float) -> DataFrame:
-    """Add ``_band`` and ``_cell`` (one key per point).
+    """Add ``_band`` and ``_cell`` (one key per point), and the place in the cell on the finest level (``_y``, ``_x``).
 
     Points without coordinates can never be within range and are dropped first.
     The keys are declared non-nullable (``coalesce`` with an unreachable key),
@@ -56,23 +64,62 @@ def point_cells(points: DataFrame, lat: str, lon: str, radius_km: float) -> Data
     valid = points.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
     band = _band(F.col(lat), h)
     n, width = _cells(band, h, radius_km)
+    fine = 1 << LEVELS
+
+    def part(at):
+        return F.coalesce(F.least(F.floor((at - F.floor(at)) * fine), F.lit(fine - 1)), F.lit(0)).cast("int")
+
     return valid.select(
         "*",
         F.coalesce(band, F.lit(_NO_CELL)).alias("_band"),
         F.coalesce(_cell_index(F.col(lon), n, width), F.lit(_NO_CELL)).alias("_cell"),
+        part((F.col(lat) + F.lit(90.0)) / F.lit(h)).alias("_y"),
+        part((F.col(lon) + F.lit(180.0)) / width).alias("_x"),
     )
 
 
+def _on_level(place: str) -> Column:
+    """A finest place in its cell, on the cell's level (0 in cells that are not split)."""
+    return F.expr(f"shiftright({place}, {LEVELS} - coalesce(_level, 0))").alias(place)
+
+
+def crowded_parts(cells: DataFrame, cell_points: int = CELL_POINTS) -> DataFrame:
+    """(_band, _cell, _level, _y, _x, _salts): the parts of the cells with more than ``cell_points`` points.
+
+    ``cells`` is the result of ``point_cells``. It is counted once, by cell and finest part; levels and salts follow
+    from those counts.
+    """
+    fine = cells.groupBy("_band", "_cell", "_y", "_x").agg(F.count(F.lit(1)).alias("_n"))
+    full = fine.groupBy("_band", "_cell").agg(F.sum("_n").alias("_all")).filter(F.col("_all") > cell_points)
+    level = F.least(F.ceil(F.log(4.0, F.col("_all") / F.lit(float(cell_points)))), F.lit(LEVELS)).cast("int")
+    full = full.select("_band", "_cell", level.alias("_level"))
+    parts = fine.join(full, ["_band", "_cell"]).select("_band", "_cell", "_level", _on_level("_y"), _on_level("_x"), "_n")
+    return parts.groupBy("_band", "_cell", "_level", "_y", "_x").agg(F.ceil(F.sum("_n") / cell_points).alias("_salts"))
+
+
 def centre_cells(centres: DataFrame, lat: str, lon: str, radius_km: float) -> DataFrame:
     """Explode each centre to the neighbouring (band, cell) keys that may hold
-    a point within ``radius_km``."""
+    a point within ``radius_km``; ``_at`` is the centre's place in cells of that band."""
     h = band_height_deg(radius_km)
     b0 = _band(F.col(lat), h)
     with_band = centres.withColumn("_band", F.explode(F.array(b0 - 1, b0, b0 + 1)))
     n, width = _cells(F.col("_band"), h, radius_km)
     idx = _cell_index(F.col(lon), n, width)
     neighbours = F.array_distinct(F.array(F.pmod(idx - 1, n), idx, F.pmod(idx + 1, n)))
-    return with_band.withColumn("_cell", F.explode(neighbours))
+    return with_band.withColumn("_cell", F.explode(neighbours)).withColumns(
+        {"_at": (F.col(lon) + F.lit(180.0)) / width, "_of": n.cast("double")})
+
+
+def _in_reach(lat: str, height: float) -> Column:
+    """Whether a part of a crowded cell may hold a point within one band height and one cell width of the centre."""
+    share = F.lit(1.0) / F.pow(F.lit(2.0), F.col("_level"))
+    low = (F.col("_band") + F.col("_y") * share) * F.lit(height) - F.lit(90.0)
+    up_down = F.greatest(low - F.col(lat), F.col(lat) - (low + share * F.lit(height)))
+    left = F.col("_cell") + F.col("_x") * share - F.col("_at")
+    left = F.pmod(left + F.col("_of") / 2, F.col("_of")) - F.col("_of") / 2
+    # Cells that go round the globe have too few neighbours for a side to be out of reach.
+    sideways = F.when(F.col("_of") < 4, F.lit(0.0)).otherwise(F.greatest(left, -(left + share)))
+    return (up_down <= F.lit(height * 1.000001)) & (sideways <= F.lit(1.000001))
 
 
 def within_distance(
@@ -83,25 +130,31 @@ def within_distance(
     centre_lon: str = "centroid_lon",
     point_lat: str = "lat",
     point_lon: str = "lon",
-    salt: int = SALT,
+    cell_points: int = CELL_POINTS,
 ) -> DataFrame:
     """Inner join of centres and points with haversine distance < radius_km (strict).
 
     Column names of the two inputs must not collide. One equi-join on the cell
     key at every size; the engine broadcasts the centre side when its own size
-    estimate or the measured size allows. A dense cell (say a third of all
-    points in one city block) is spread over ``salt`` tasks by salting the point
-    side and repeating the (few) centre cells ``salt`` times, and adaptive
-    skew-join splitting covers what remains.
+    estimate or the measured size allows. A crowded cell (say a third of all
+    points in one city block) is split by place, then by hash, into keys of at most about ``cell_points``
+    points each; the few centres near it are repeated for the parts in reach.
     """
-    c = centre_cells(centres, centre_lat, centre_lon, radius_km)
     p = point_cells(points, point_lat, point_lon, radius_km)
-    keys = ["_band", "_cell", "_salt"]
+    parts = crowded_parts(p.select("_band", "_cell", "_y", "_x"), cell_points)
+    levels = parts.select("_band", "_cell", "_level").distinct()
+    keys = ["_band", "_cell", "_y", "_x", "_salt"]
+    split = p.join(levels, ["_band", "_cell"], "left").withColumns({a: _on_level(a) for a in ("_y", "_x")})
+    split = split.join(parts.drop("_level"), ["_band", "_cell", "_y", "_x"], "left")
     # Deterministic salt (a hash of the point's own columns): a retried task
     # after an executor loss assigns every point to the same salt again.
-    p = p.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in points.columns]), F.lit(salt)))
-    c = c.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>")))
-    pairs = p.join(c, on=keys, how="inner")
+    salts = F.coalesce("_salts", F.lit(1).cast("long"))
+    split = split.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in points.columns]), salts)).drop("_level", "_salts")
+    c = centre_cells(centres, centre_lat, centre_lon, radius_km).join(parts, ["_band", "_cell"], "left")
+    c = c.filter(F.col("_level").isNull() | _in_reach(centre_lat, band_height_deg(radius_km)))
+    c = c.withColumns({"_y": F.coalesce("_y", F.lit(0)), "_x": F.coalesce("_x", F.lit(0))})
+    c = c.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("_level", "_salts", "_at", "_of")
+    pairs = split.join(c, on=keys, how="inner")
     dist = haversine_km(F.col(centre_lat), F.col(centre_lon), F.col(point_lat), F.col(point_lon))
     return pairs.filter(dist < F.lit(radius_km)).drop(*keys)
 
