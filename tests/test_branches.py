@@ -59,3 +59,25 @@ def test_yields_differ_and_the_peak_has_a_trough(ask):
 
 def test_coverage_is_partial_for_every_source(ask):
     assert all(0 < r[4] < 1 for r in ask(ORACLE["coverage_rate"]))
+
+
+def test_scores_below_and_at_their_caps(ask):
+    for q in ("amenity_scores_by_size", "transit_scores_dense"):
+        scores = [r[2] for r in ask(ORACLE[q])]
+        assert max(scores) == 10 and any(0 < s < 10 for s in scores), q
+    assert min(r[2] for r in ask(ORACLE["transit_scores_dense"])) == 0
+
+
+def test_repeated_rows_are_found_and_kept_once(ask):
+    assert all(r[2] == 2 for r in ask(ORACLE["dq_mart_repeated_rows"])) and ask(ORACLE["dq_mart_repeated_rows"])
+    n, kept = ask("SELECT count(*), count(DISTINCT suburb) FROM stg_prices", ["stg_prices"])[0]
+    assert n > 10 * kept == 10 * len(ask(ORACLE["latest_price_by_suburb"]))
+
+
+def test_lines_are_short_long_and_without_numbers(ask):
+    assert {r[1] for r in ask(ORACLE["stop_file_rejects"])} == {"short_line", "long_line", "bad_value"}
+
+
+def test_a_price_is_carried_and_some_months_have_none_before(ask):
+    rows = ask(ORACLE["price_carried_forward"])
+    assert any(r[2] is None and r[3] is not None for r in rows) and any(r[3] is None for r in rows)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tussock.operators.textmatch import contains_matches
@@ -41,28 +41,39 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
             .filter(F.col("row_count") > 1))
 
 
+#: Bit of the keys themselves in a coverage table; the sources have the next ones, in order.
+KEY_BIT = 1
+
+
+def coverage_bits(keys: DataFrame, key_col: str, sources: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """(suburb_key, bits) for each distinct key: bit 0 for the keys, one bit for each source that has it.
+
+    All sides are stacked and folded with ``bit_or``: one shuffle by key however many sources there are, with
+    partial folding before it. Sources may have keys of their own, which are dropped.
+    """
+    both = keys.select(F.col(key_col).alias("suburb_key"), F.lit(KEY_BIT).alias("bits"))
+    for i, (dim, col) in enumerate(sources.values()):
+        both = both.unionByName(dim.select(F.col(col).alias("suburb_key"), F.lit(KEY_BIT << (i + 1)).alias("bits")))
+    folded = both.filter(F.col("suburb_key").isNotNull()).groupBy("suburb_key").agg(F.bit_or("bits").alias("bits"))
+    return folded.filter(F.col("bits").bitwiseAND(KEY_BIT) != 0)
+
+
+def _covered(i: int) -> Column:
+    return F.col("bits").bitwiseAND(KEY_BIT << (i + 1)) != 0
+
+
 def unmatched_keys(keys: DataFrame, key_col: str, sources: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """(source, key) for each distinct key with no match in the source (anti join)."""
-    base = keys.select(F.col(key_col).alias("suburb_key")).filter(F.col("suburb_key").isNotNull()).distinct()
-    parts = []
-    for name, (dim, col) in sources.items():
-        d = dim.select(F.col(col).alias("suburb_key")).distinct()
-        parts.append(base.join(d, "suburb_key", "left_anti").select(F.lit(name).alias("source"), "suburb_key"))
-    return reduce(DataFrame.unionByName, parts)
+    """(source, key) for each distinct key with no match in the source."""
+    missing = F.array_compact(F.array(*(F.when(~_covered(i), F.lit(name)) for i, name in enumerate(sources))))
+    return coverage_bits(keys, key_col, sources).select(F.explode(missing).alias("source"), "suburb_key")
 
 
 def match_rates(keys: DataFrame, key_col: str, sources: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """(source, n_keys, n_matched, n_unmatched, match_rate) per source."""
-    base = keys.select(F.col(key_col).alias("suburb_key")).filter(F.col("suburb_key").isNotNull()).distinct()
-    parts = []
-    for name, (dim, col) in sources.items():
-        d = dim.select(F.col(col).alias("_m")).distinct()
-        j = base.join(d, base.suburb_key == d._m, "left")
-        parts.append(j.agg(
-            F.count(F.lit(1)).alias("n_keys"),
-            F.count("_m").alias("n_matched"),
-        ).select(F.lit(name).alias("source"), "*"))
-    out = reduce(DataFrame.unionByName, parts)
+    """(source, n_keys, n_matched, n_unmatched, match_rate) per source, from one pass over the coverage table."""
+    wide = coverage_bits(keys, key_col, sources).agg(
+        F.count(F.lit(1)).alias("n_keys"), *(F.count_if(_covered(i)).alias(f"n{i}") for i in range(len(sources))))
+    rows = F.explode(F.array(*(F.struct(F.lit(name).alias("source"), F.col(f"n{i}").alias("n_matched")) for i, name in enumerate(sources))))
+    out = wide.select("n_keys", rows.alias("r")).select("r.source", "n_keys", "r.n_matched")
     return out.select(
         "source", "n_keys", "n_matched",
         (F.col("n_keys") - F.col("n_matched")).alias("n_unmatched"),

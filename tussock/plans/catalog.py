@@ -287,6 +287,11 @@ def _mart(spark, sf_dir):
     return marts.affordability_mart(landing(spark, sf_dir))
 
 
+def _dates(spark, sf_dir):
+    """The mart's report dates without its joins."""
+    return marts.report_dates(stg.stg_prices(td.a_prices(spark, sf_dir)))
+
+
 REPORT_SELECTION = ["Ponsonby", "Remuera", "Avondale", "Manurewa", "Mt 1", "Mt 4", "Mt 12"]
 
 
@@ -307,7 +312,7 @@ FROM recent WHERE suburb IS NOT NULL GROUP BY suburb
 HAVING avg(price_to_income_ratio) IS NOT NULL""", ["recent"]))
 def q_pti_3m(spark, sf_dir):
     from tussock.plans.reports import price_to_income_recent
-    return price_to_income_recent(_mart(spark, sf_dir))
+    return price_to_income_recent(_mart(spark, sf_dir), dates=_dates(spark, sf_dir))
 
 
 @register("report_rate_cycle", O.build("SELECT * FROM rate_cycle", ["rate_cycle"]))
@@ -325,7 +330,7 @@ SELECT suburb, avg_eqi_index, school_count FROM (
 WHERE rn = 1 ORDER BY avg_eqi_index DESC, suburb LIMIT 30""", ["mart_aff"]))
 def q_top_schools(spark, sf_dir):
     from tussock.plans.reports import top_schools
-    return top_schools(_mart(spark, sf_dir))
+    return top_schools(_mart(spark, sf_dir), dates=_dates(spark, sf_dir))
 
 
 @register("report_top_amenity", O.build("""
@@ -337,7 +342,7 @@ SELECT suburb, supermarket_count FROM (
 WHERE rn = 1 ORDER BY supermarket_count DESC, suburb LIMIT 30""", ["mart_aff"]))
 def q_top_amenity(spark, sf_dir):
     from tussock.plans.reports import top_amenity
-    return top_amenity(_mart(spark, sf_dir))
+    return top_amenity(_mart(spark, sf_dir), dates=_dates(spark, sf_dir))
 
 
 @register("report_yield_3m", O.build(f"""
@@ -346,7 +351,7 @@ FROM recent WHERE suburb IS NOT NULL GROUP BY suburb
 HAVING avg(gross_yield_pct) IS NOT NULL""", ["recent"]))
 def q_yield_3m(spark, sf_dir):
     from tussock.plans.reports import yield_recent
-    return yield_recent(_mart(spark, sf_dir))
+    return yield_recent(_mart(spark, sf_dir), dates=_dates(spark, sf_dir))
 
 
 @register("report_peak_to_trough", O.build(f"""
@@ -618,3 +623,200 @@ WHERE state <> 'ok' OR idx % 3 <> 0 AND NOT EXISTS (
 def q_price_rejects(spark, sf_dir):
     from tussock.sources.html import page_rejects
     return page_rejects(td.a_report_pages(spark, sf_dir), "url")
+
+
+# ----------------------------------------------------- upkeep of the marts ---
+
+@register("property_from_batches", O.build("SELECT * FROM property", ["property"]))
+def q_property_batches(spark, sf_dir):
+    """Two landing batches, each as stored state, merged: the same rows as from all prices at once."""
+    from tussock.plans import upkeep
+    p = stg.stg_prices(td.a_prices(spark, sf_dir))
+    root = upkeep.work_folder(spark, "state")
+    half = F.pmod(F.xxhash64(*p.columns), F.lit(2))
+    states = [upkeep.stored_state(upkeep.price_state(p.filter(half == i)), f"{root}/{i}") for i in range(2)]
+    return upkeep.property_of_state(upkeep.merged_state(*states))
+
+
+def _landed_batches(spark, sf_dir):
+    """Prices landed in two batches, one of them twice, and a third that was never finished."""
+    from tussock.plans.upkeep import work_folder
+    from tussock.sources import batches
+    p, root = td.a_prices(spark, sf_dir), work_folder(spark, "batches")
+    early, late = p.filter(F.col("report_date") < "1996"), p.filter(F.col("report_date") >= "1996")
+    batches.land_batch(early, root, "early")
+    batches.land_batch(late.limit(10), root, "late", attempt="1")
+    batches.land_batch(late, root, "late", attempt="2")
+    batches.write_batch(early, root, "broken", attempt="1")
+    return root
+
+
+@register("landing_retry_safe", O.build("""
+SELECT *, CASE WHEN report_date < '1996' THEN 'early' ELSE 'late' END AS batch_id FROM a_prices""", ["a_prices"]))
+def q_retry_safe(spark, sf_dir):
+    from tussock.sources.batches import read_batches
+    return read_batches(spark, _landed_batches(spark, sf_dir))
+
+
+@register("landing_manifest", O.build("""
+SELECT CASE WHEN report_date < '1996' THEN 'early' ELSE 'late' END AS batch_id,
+       CASE WHEN report_date < '1996' THEN '1' ELSE '2' END AS attempt, count(*) AS row_count
+FROM a_prices GROUP BY ALL""", ["a_prices"]))
+def q_manifest(spark, sf_dir):
+    from tussock.sources.batches import manifest
+    return manifest(spark, _landed_batches(spark, sf_dir))
+
+
+@register("stored_mart_below_peak", O.build("""
+SELECT suburb, report_date, avg_sale_price, peak_price
+FROM mart_aff JOIN (SELECT suburb, max(avg_sale_price) AS peak_price FROM mart_aff GROUP BY suburb) p USING (suburb)
+WHERE year(report_date) >= 1998""", ["mart_aff"]))
+def q_stored_mart(spark, sf_dir):
+    """The mart stored by year and suburb bucket, read from one year on and joined with a table in the same buckets."""
+    from tussock.plans import upkeep
+    root = upkeep.work_folder(spark, "mart")
+    mart, peaks = upkeep.store_mart(_mart(spark, sf_dir), root, root.rsplit("-", 1)[1])
+    return upkeep.below_peak(mart, peaks, 1998)
+
+
+# ------------------------------------------------------------ file scans ---
+
+STOP_FILE_SCHEMA = "stop_id long, lat double, lon double, name string"
+_STOP_LINES = """
+SELECT k, lat, lon, CAST(k AS VARCHAR) || ',' || CASE WHEN k % 47 = 0 THEN 'north' ELSE lat END || ',' || lon
+       || CASE WHEN k % 41 = 0 THEN '' WHEN k % 43 = 0 THEN ',"Stop, ' || k || '",?' ELSE ',"Stop, ' || k || '"' END AS line
+FROM (SELECT o_orderkey AS k, CAST(CAST((-37500 + (o_orderkey * 7919) % 1499) / CAST(1000 AS DOUBLE) AS DECIMAL(9,3)) AS VARCHAR) AS lat,
+             CAST(CAST((174000 + (o_orderkey * 104729) % 1493) / CAST(1000 AS DOUBLE) AS DECIMAL(9,3)) AS VARCHAR) AS lon FROM orders) o"""
+
+
+def _stop_file(spark, sf_dir):
+    """Stops written as delimited files with a header; some lines are short, long or hold no number. Returns the scan."""
+    from pyspark.sql import types as T
+
+    from tussock.plans.upkeep import work_folder
+    from tussock.sources.scans import scan_delimited
+    path = work_folder(spark, "stops")
+    td.a_stop_lines(spark, sf_dir).write.text(path)
+    return scan_delimited(spark, path, T.StructType.fromDDL(STOP_FILE_SCHEMA), header=False)
+
+
+@register("stop_file_rows", f"""
+SELECT k AS stop_id, CAST(lat AS DOUBLE) AS lat, CAST(lon AS DOUBLE) AS lon, 'Stop, ' || CAST(k AS VARCHAR) AS name
+FROM ({_STOP_LINES}) l WHERE k % 41 <> 0 AND k % 43 <> 0 AND k % 47 <> 0""")
+def q_stop_file(spark, sf_dir):
+    from tussock.sources.scans import good_lines
+    return good_lines(_stop_file(spark, sf_dir))
+
+
+@register("stop_file_rejects", f"""
+SELECT line, CASE WHEN k % 41 = 0 THEN 'short_line' WHEN k % 43 = 0 THEN 'long_line' ELSE 'bad_value' END AS reason,
+       CAST(4 - CASE WHEN k % 41 = 0 THEN 1 ELSE 0 END - CASE WHEN k % 47 = 0 THEN 1 ELSE 0 END AS INTEGER) AS n_read
+FROM ({_STOP_LINES}) l WHERE k % 41 = 0 OR k % 43 = 0 OR k % 47 = 0""")
+def q_stop_rejects(spark, sf_dir):
+    from tussock.sources.scans import bad_lines
+    return bad_lines(_stop_file(spark, sf_dir), n_fields=4)
+
+
+# ------------------------------------------------- frequent and distinct ---
+
+@register("most_frequent_parts", """
+SELECT l_partkey AS value, count(*) AS row_count FROM lineitem WHERE l_partkey IS NOT NULL GROUP BY 1
+QUALIFY rank() OVER (ORDER BY count(*) DESC) <= 20""")
+def q_frequent_parts(spark, sf_dir):
+    """Exact top 20 with ties, of many values that occur about as often."""
+    from tussock.operators.frequent import most_frequent
+    from tussock.sources.landing import read_table
+    return most_frequent(read_table(spark, sf_dir, "lineitem"), "l_partkey", 20)
+
+
+@register("most_frequent_districts", O.build("""
+SELECT district AS value, count(*) AS row_count FROM stg_prices WHERE district IS NOT NULL GROUP BY 1
+QUALIFY rank() OVER (ORDER BY count(*) DESC) <= 3""", ["stg_prices"]))
+def q_frequent_districts(spark, sf_dir):
+    """Exact top 3 of few values: the sketch names them, and they alone are counted."""
+    from tussock.operators.frequent import most_frequent
+    return most_frequent(stg.stg_prices(td.a_prices(spark, sf_dir)), "district", 3)
+
+
+@register("distinct_customers_3y", """
+WITH seen AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS y, o_custkey FROM orders)
+SELECT p.y AS period, count(DISTINCT s.o_custkey) AS n_distinct, true AS within_bound
+FROM (SELECT DISTINCT y FROM seen) p JOIN seen s ON s.y BETWEEN p.y - 2 AND p.y GROUP BY p.y""")
+def q_distinct_customers(spark, sf_dir):
+    """Distinct customers of three years: from stored sketches a year, merged, and exactly; both agree within the bound."""
+    from tussock.operators import frequent
+    from tussock.plans.upkeep import stored_state, work_folder
+    from tussock.sources.landing import read_table
+    o, year = read_table(spark, sf_dir, "orders"), F.year("o_orderdate")
+    state = stored_state(frequent.distinct_state(o, "o_custkey", year), work_folder(spark, "sketches"))
+    both = frequent.distinct_exactly(o, "o_custkey", year, 3).join(frequent.distinct_over(state, 3), "period")
+    bound = F.lit(4 * frequent.DISTINCT_ERROR) * F.col("n_distinct") + 1
+    return both.select("period", "n_distinct", (F.abs(F.col("estimate") - F.col("n_distinct")) <= bound).alias("within_bound"))
+
+
+# ------------------------------------------------- branches of the marts ---
+
+@register("price_carried_forward", O.build("""
+SELECT suburb, report_month, quoted, last_value(quoted IGNORE NULLS) OVER (PARTITION BY suburb ORDER BY report_month) AS known
+FROM (SELECT suburb, report_month, CASE WHEN month(report_month) % 4 = 2 THEN avg_sale_price END AS quoted FROM property) q""", ["property"]))
+def q_carried_forward(spark, sf_dir):
+    """Each suburb's last quoted price, carried over the months without one in two levels (years, then months)."""
+    from tussock.operators.windows import carry_forward
+    p = marts.property_by_suburb_month(stg.stg_prices(td.a_prices(spark, sf_dir)))
+    quoted = p.select("suburb", "report_month", F.when(F.month("report_month") % 4 == 2, F.col("avg_sale_price")).alias("quoted"))
+    return carry_forward(quoted, "quoted", "suburb", "report_month", "known", F.year("report_month"))
+
+
+_PRICE_ORDER = ["report_date", "avg_sale_price", "avg_weekly_rent", "gross_yield_pct", "district"]
+
+
+@register("latest_price_by_suburb", O.build(f"""
+SELECT * FROM stg_prices QUALIFY row_number() OVER (PARTITION BY suburb ORDER BY {', '.join(c + ' DESC NULLS LAST' for c in _PRICE_ORDER)}) = 1""",
+    ["stg_prices"]))
+def q_latest_price(spark, sf_dir):
+    """Keep-first on rows that repeat their suburb many times, at the same date too."""
+    from tussock.operators.windows import keep_first
+    p = stg.stg_prices(td.a_prices(spark, sf_dir))
+    return keep_first(p, "suburb", [F.desc_nulls_last(c) for c in _PRICE_ORDER])
+
+
+@register("amenity_scores_by_size", O.build("""
+SELECT suburb, count(*) AS supermarket_count, CAST(least(10, 2 * count(*)) AS DOUBLE) AS amenity_score
+FROM (SELECT 'area ' || CAST(length(bin(p_partkey)) AS VARCHAR) || CASE WHEN p_partkey % 5 = 0 THEN ' edge ' || CAST(p_partkey % 71 AS VARCHAR) ELSE '' END AS suburb
+      FROM part) p GROUP BY 1""", []))
+def q_amenity_sizes(spark, sf_dir):
+    """Suburbs with few and many supermarkets: scores below the cap, and at it."""
+    from tussock.sources.landing import read_table
+    k = F.col("p_partkey")
+    area = F.concat(F.lit("area "), F.length(F.bin(k)).cast("string"),
+                    F.when(k % 5 == 0, F.concat(F.lit(" edge "), (k % 71).cast("string"))).otherwise(F.lit("")))
+    return marts.amenity_scores(read_table(spark, sf_dir, "part").select(area.alias("suburb")))
+
+
+@register("transit_scores_dense", f"""
+WITH c AS (SELECT s_name AS suburb, -36.858 + (s_suppkey % 11) / 1000.0::DOUBLE AS lat, 174.76 + (s_suppkey % 7) / 30.0::DOUBLE AS lon FROM supplier),
+     s AS (SELECT o_orderkey AS stop_id, -36.85 + (o_orderkey % 50) / 1000.0::DOUBLE AS lat, 174.76 + (o_orderkey % 300) / 2000.0::DOUBLE AS lon
+           FROM orders WHERE o_orderkey % (1 + (o_orderkey % 300) // 10) = 0)
+SELECT suburb, n AS transit_stops_800m, CAST(CASE WHEN n >= 30 THEN 10 ELSE round(CAST(n AS DECIMAL(20,0)) / 3.0, 6) END AS DOUBLE) AS transit_score
+FROM (SELECT suburb, count(stop_id) AS n FROM c LEFT JOIN s ON {O.distance_km('c.lat', 'c.lon', 's.lat', 's.lon')} < 0.8 GROUP BY suburb) t""")
+def q_transit_dense(spark, sf_dir):
+    """Centres with no stop, some stops, and more than the score counts, on a street grid of stops that thins out to the east."""
+    from tussock.sources.landing import read_table
+    k, o = F.col("s_suppkey"), F.col("o_orderkey")
+    centres = read_table(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("suburb"), (F.lit(-36.858) + (k % 11) / F.lit(1000.0)).alias("centroid_lat"),
+        (F.lit(174.76) + (k % 7) / F.lit(30.0)).alias("centroid_lon"))
+    stops = read_table(spark, sf_dir, "orders").filter(o % (1 + F.floor((o % 300) / 10)) == 0).select(
+        o.alias("stop_id"), (F.lit(-36.85) + (o % 50) / F.lit(1000.0)).alias("lat"), (F.lit(174.76) + (o % 300) / F.lit(2000.0)).alias("lon"))
+    return marts.transit_scores(centres, stops)
+
+
+@register("dq_mart_repeated_rows", O.build("""
+SELECT suburb, report_date, count(*) AS row_count
+FROM (SELECT suburb, report_date FROM mart_aff UNION ALL SELECT suburb, report_date FROM mart_aff WHERE year(report_date) = 1995) t
+GROUP BY ALL HAVING count(*) > 1""", ["mart_aff"]))
+def q_dq_repeated(spark, sf_dir):
+    """The uniqueness check on a mart into which one year was loaded twice: it names every repeated key."""
+    from tussock.operators.quality import duplicate_keys
+    mart = _mart(spark, sf_dir).select("suburb", "report_date")
+    return duplicate_keys(mart.unionByName(mart.filter(F.year("report_date") == 1995)), ["suburb", "report_date"])

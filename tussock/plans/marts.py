@@ -50,6 +50,11 @@ def property_by_suburb_month(prices_stg: DataFrame) -> DataFrame:
     )
 
 
+def report_dates(prices_stg: DataFrame) -> DataFrame:
+    """Report dates of the price rows that reach the mart: its latest date without its joins."""
+    return prices_stg.filter(price_is_ok(F.col("avg_sale_price"))).select("report_date")
+
+
 def school_summary(schools_stg: DataFrame) -> DataFrame:
     return schools_stg.groupBy("suburb").agg(
         F.count(F.lit(1)).alias("school_count"),

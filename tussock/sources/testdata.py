@@ -271,3 +271,13 @@ def a_report_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     url = F.concat(F.lit("https://reports.example/"), F.year("m").cast("string"), F.lit("/"), F.lower(F.date_format("m", "MMMM")),
                    F.lit("/suburb-report?part="), F.col("part").cast("string"))
     return pages.select(url.alias("url"), F.when(at % 7 == 0, 404).otherwise(200).alias("status"), html.alias("html"))
+
+
+def a_stop_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stops as delimited lines (stop_id, lat, lon, quoted name): some short, some with a field too many, some without a number."""
+    k = F.col("o_orderkey")
+    lat, lon = _fixed3(F.lit(-37500) + (k * 7919) % 1499), _fixed3(F.lit(174000) + (k * 104729) % 1493)
+    name = F.concat(F.lit(',"Stop, '), k.cast("string"), F.lit('"'))
+    tail = F.when(k % 41 == 0, F.lit("")).when(k % 43 == 0, F.concat(name, F.lit(",?"))).otherwise(name)
+    line = F.concat(k.cast("string"), F.lit(","), F.when(k % 47 == 0, F.lit("north")).otherwise(lat), F.lit(","), lon, tail)
+    return read_table(spark, sf_dir, "orders").select(line.alias("line"))
