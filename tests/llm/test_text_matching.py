@@ -293,3 +293,32 @@ def test_repeats_of_given_documents_equal_brute_force(spark):
     assert empty.count() == 0
     odd = suffix.remove_repeats(documents(spark, odd_rows())).filter(F.col("doc_id").isin(1, 2, 3)).collect()
     assert {r.n_removed for r in odd} == {0}
+
+
+def test_hot_stretches_are_counted_by_kind_before_any_is_cut_out(spark, monkeypatch):
+    """Of a large group of near copies one stretch of each kind is cut out, as on the normal path."""
+    rng = np.random.default_rng(8)
+    base = ["".join(rng.choice(list("abcdefg"), int(rng.integers(2, 8)))) for _ in range(300)]
+    rows = []
+    for i in range(150):
+        words_ = list(base)
+        words_[int(rng.integers(0, 300))] = f"x{i % 40}x"
+        rows.append((i, " ".join(words_)))
+    sizes = {}
+    for most in (20_000, 20):
+        monkeypatch.setattr(suffix, "HOT_STRETCHES", most)
+        kinds = []
+        told = suffix.stored
+
+        def watched(df, name, told=told, kinds=kinds):
+            out = told(df, name)
+            if name == "rep-met":
+                kinds.append(out.filter("kind > 0").count())
+            return out
+
+        monkeypatch.setattr(suffix, "stored", watched)
+        got = Counter(tuple(r)[:5] for r in suffix.remove_repeats(documents(spark, rows), length=120).collect())
+        monkeypatch.setattr(suffix, "stored", told)
+        assert got == _without_repeats(rows, 120)
+        sizes[most] = kinds[0]
+    assert sizes[20] < 2 * sizes[20_000] + 100

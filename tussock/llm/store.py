@@ -50,4 +50,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tussock-llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` returned, once everything made from them is itself stored."""
+    for t in tables:
+        session = t.sparkSession
+        path = session._jvm.org.apache.hadoop.fs.Path(t.stored_at)
+        path.getFileSystem(session._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .counters import PIECES, merged, packed
-from .store import stored
+from .store import dropped, sided, stored
 from .textbytes import Hasher, buffers, mix, slices
 
 #: Bytes of an anchor. Every string of ``length`` bytes has one: its anchor of least hash.
@@ -139,7 +139,7 @@ def _cold(counts, most):
 
 
 def _hot(counts, most):
-    """The stretches of hot anchors, one by one (kind 3)."""
+    """The stretches of hot anchors, one by one."""
     def run(batches):
         import pyarrow as pa
 
@@ -147,14 +147,26 @@ def _hot(counts, most):
         for b in batches:
             cols = [np.concatenate([np.frombuffer(x, t) for x in b.column(c).to_pylist()] or [np.zeros(0, t)]) for c, t in zip(PACKED, KINDS)]
             hot = table[_counter(cols[0])] > most
-            anchor, key, start, size = (c[hot] for c in cols[:4])
+            anchor, key, start, size, digest = (c[hot] for c in cols)
             start = start.astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(key), 3, np.int32)), pa.array(anchor), pa.array(key), pa.array(start), pa.array(start + size)],
-                names=["kind", "anchor", "key", "start", "stop"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (anchor, digest, key, start, start + size)],
+                                             names=["anchor", "digest", "key", "start", "stop"])
     return run
 
 
+def _hot_kinds(hot: DataFrame) -> DataFrame:
+    """Stretches of hot anchors by kind: all of a class of equal ones repeat (kind 0); one of each class has its strings
+    counted (kind 3: has no equal, 4: has). Classes are counted before anything is gathered."""
+    each = stored(hot.distinct(), "rep-hot")
+    place = F.struct("key", "start", "stop")
+    classes = stored(each.groupBy("anchor", "digest").agg(F.count("*").alias("copies"), F.min(place).alias("one")), "rep-classes-hot")
+    several = classes.filter("copies > 1").select(F.col("anchor").alias("a"), F.col("digest").alias("d"))
+    whole = each.join(sided(several), (F.col("anchor") == F.col("a")) & (F.col("digest") == F.col("d")), "left_semi")
+    whole = whole.select(F.lit(0).alias("kind"), "anchor", "key", "start", "stop")
+    one = classes.select(F.when(F.col("copies") > 1, 4).otherwise(3).alias("kind"), "anchor", "one.key", "one.start", "one.stop")
+    return whole.unionByName(one)
+
+
 def _strings(length):
     """Hash and place of every ``length``-byte string of a stretch."""
     def run(batches):
@@ -162,14 +174,15 @@ def _strings(length):
 
         hasher = Hasher()
         for b in batches:
-            keys, places, hashes = [], [], []
-            for raw, key, start in zip(b.column("bytes").to_pylist(), b.column("key").to_pylist(), b.column("start").to_pylist()):
+            kinds, keys, places, hashes = [], [], [], []
+            for kind, raw, key, start in zip(*(b.column(c).to_pylist() for c in ("kind", "bytes", "key", "start"))):
                 at = np.arange(len(raw) - length + 1)
+                kinds.append(np.full(len(at), kind, np.int64))
                 hashes.append(hasher.spans(hasher.prefix(np.frombuffer(raw, np.uint8)), at, at + length).view(np.int64))
                 places.append(at + start)
                 keys.append(np.full(len(at), key, np.int64))
-            cols = [np.concatenate(c or [np.zeros(0, np.int64)]) for c in (keys, places, hashes)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["key", "start", "string"])
+            cols = [np.concatenate(c or [np.zeros(0, np.int64)]) for c in (kinds, keys, places, hashes)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["kind", "key", "start", "string"])
     return run
 
 
@@ -344,7 +357,8 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     2. Where an anchor has different stretches, they are indexed together: a suffix array per about
        1 MB of stretches gives the Burrows-Wheeler transform, kept as runs. Matches are compared at the
        ends of runs only and streamed along the text; places with matches of ``length`` are marked.
-       An anchor with very many stretches (``HOT_STRETCHES``) is not gathered: its strings are counted by hash.
+       An anchor with very many stretches (``HOT_STRETCHES``) is not gathered: equal ones are counted first, and the
+       strings of one of each kind are counted by hash.
     3. Spans are joined with their texts and taken out.
 
     Equal strings have equal anchors, so every repeat is found, and all are decided on bytes (stretches and
@@ -372,12 +386,14 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     hot = bool((counts > most).any())
     if hot:
         shared = docs.sparkSession.sparkContext.broadcast(counts)
-        one_by_one, groups = groups.mapInArrow(_hot(shared, most), stretch), groups.mapInArrow(_cold(shared, most), kind)
+        one_by_one = _hot_kinds(groups.mapInArrow(_hot(shared, most), "anchor long, digest long, key long, start long, stop long"))
+        groups = groups.mapInArrow(_cold(shared, most), kind)
     met = groups.groupBy("part").applyInArrow(_meet, stretch)
     met = stored(met.unionByName(one_by_one) if hot else met, "rep-met")
+    dropped(told)
     spans = met.filter("kind = 0").select("key", "start", "stop")
-    size = met.filter("kind > 0").agg(F.sum(F.col("stop") - F.col("start"))).first()[0]
-    if size:
+    size, asked = met.agg(F.sum(F.when(F.col("kind").isin(1, 2), F.col("stop") - F.col("start")).otherwise(0)), F.count_if(F.col("kind") > 0)).first()
+    if asked:
         asks = (met.filter("kind > 0").groupBy("key").agg(F.collect_list(F.struct("anchor", "kind", "start", "stop")).alias("asks"))
                 .join(classes.select("key", "first_id"), "key"))
         one = _texts(long_rows, stored(asks, "rep-asks"), ["key", "asks"], F.col("id").eqNullSafe(F.col("first_id")))
@@ -386,10 +402,11 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
         marks = (found.filter("kind < 3").withColumn("part", F.pmod(F.xxhash64("anchor"), F.lit(indexes))).groupBy("part")
                  .applyInArrow(_index(length), "key long, start long, stop long"))
         if hot:
-            strings = stored(found.filter("kind = 3").select("key", "start", "bytes").distinct()
-                             .mapInArrow(_strings(length), "key long, start long, string long"), "rep-strings")
-            often = strings.groupBy("string").count().filter("count > 1").select("string")
-            marks = marks.unionByName(strings.join(often, "string").select("key", "start", (F.col("start") + length).alias("stop")))
+            strings = stored(found.filter("kind >= 3").select("kind", "key", "start", "bytes")
+                             .mapInArrow(_strings(length), "kind long, key long, start long, string long"), "rep-strings")
+            often = strings.groupBy("string").agg(F.count("*").alias("c")).filter("c > 1").select("string")
+            marks = marks.unionByName(strings.filter("kind = 3").join(often, "string", "left_semi")
+                                      .select("key", "start", (F.col("start") + length).alias("stop")))
         spans = spans.unionByName(stored(marks, "rep-marks"))
     single = classes.filter("copies = 1").select("key")
     lists = stored(spans.join(single, "key", "left_semi").groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "rep-spans")
