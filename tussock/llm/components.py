@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import sided, stored
+from .store import dropped, sided, stored
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -22,8 +22,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     labels = stored(nodes.withColumn("label", F.col("node")), "cc-labels")
     while not live.isEmpty():
         both = live.unionByName(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        parent = sided(stored(both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("v"))
-                              .filter("v < u"), "cc-parent"))
+        moves = stored(both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("v")).filter("v < u"), "cc-parent")
+        parent, before = sided(moves), [live, labels, moves]
         labels = stored(labels.join(parent, F.col("label") == F.col("u"), "left")
                         .select("node", F.coalesce("v", "label").alias("label")), "cc-labels")
         p, q = parent, parent.select(F.col("u").alias("u2"), F.col("v").alias("v2"))
@@ -31,4 +31,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
                  .select(F.coalesce("v", "a").alias("a"), F.coalesce("v2", "b").alias("b")))
         live = stored(moved.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                       .distinct(), "cc-edges")
+        dropped(*before)
+    dropped(live)
     return labels

@@ -8,17 +8,19 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .counters import PIECES, merged, packed
-from .store import shared_folder, sided, stored, whole_row
+from .store import dropped, shared_folder, sided, stored, whole_row
 from .textbytes import Hasher, buffers, mix, ngram_hashes, slices, word_hashes
 
 #: Counters of the shingle frequencies (a fixed table, 4 MB).
 COUNTERS = 1 << 20
-#: Longest extension of a prefix: a pair must share as many prefix tokens.
-MAX_MATCHES = 4
+#: Least and longest extension of a prefix: a pair must share as many prefix tokens. With two, one chance meeting isn't enough.
+MIN_MATCHES, MAX_MATCHES = 2, 4
 #: Checking a pair costs about as much as reading so many postings.
 CHECK_COST = 20
 #: Postings of a reduce group; tokens counted more often than this by the counters skip those groups.
 GROUP_POSTINGS, HOT_TOKEN = 200_000, 20_000
+#: Postings of a list compared with so many of its next larger ones before the list is passed on.
+NEIGHBOURS = 32
 #: Cells of a set's profile: how many of its shingles fall into each, up to 255.
 PROFILE = 256
 #: Ids of texts to be checked are broadcast up to this number, and joined by key beyond.
@@ -72,7 +74,7 @@ def prefix(s: np.ndarray, counts: np.ndarray, usual: float, percent: int):
     order = np.argsort(seen, kind="stable")
     over = least_overlap(n, percent)
     excess = np.cumsum(np.maximum(seen[order].astype(float) - usual, 0))
-    m = np.arange(1, min(MAX_MATCHES, over) + 1)
+    m = np.arange(min(MIN_MATCHES, over), min(MAX_MATCHES, over) + 1)
     lists = excess[n - over + m - 1]
     m = int(m[np.argmin(lists + CHECK_COST * lists / m)])
     return s[order[:n - over + m]], m
@@ -109,8 +111,8 @@ def _survey(n):
     return run
 
 
-def _prefixes(counts, usual, percent, n, parts):
-    """Postings (token, set, matches) of the prefixes, packed by part; tokens over HOT_TOKEN one by one."""
+def _prefixes(counts, usual, percent, n, parts, hot_ones):
+    """Postings (token, set, matches) of the prefixes, packed by part; or those of tokens over HOT_TOKEN, one by one."""
     def run(batches):
         import pyarrow as pa
 
@@ -118,20 +120,21 @@ def _prefixes(counts, usual, percent, n, parts):
         kept, size, seen = [], 0, set()
 
         def postings():
-            cols = [np.concatenate([k[i] for k in kept]) for i in range(4)]
+            cols = [np.concatenate([k[i] for k in kept]) for i in range(len(PACKED))]
             tokens = cols[0]
             hot = table[tokens & np.uint64(COUNTERS - 1)] > HOT_TOKEN
             part = (mix(tokens) % np.uint64(parts)).astype(np.int64)
             rows = []
-            for i in np.flatnonzero(hot):
-                rows.append((-1, *(c[i:i + 1] for c in cols)))
+            if hot_ones:
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(c[hot].astype(t)) for c, t in zip(cols, (np.int64, np.int64, np.int32, np.int32, np.int64))], names=["token", "fp", "m", "place", "n"])
             cold = np.flatnonzero(~hot)
             cold = cold[np.argsort(part[cold], kind="stable")]
             cuts = np.flatnonzero(np.diff(part[cold], prepend=-1, append=-2))
             for a, b in zip(cuts, cuts[1:]):
                 at = cold[a:b]
                 rows.append((int(part[at[0]]), *(c[at] for c in cols)))
-            cols = list(zip(*rows))
+            cols = list(zip(*rows)) or [[]] * (1 + len(PACKED))
             return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *(pa.array([x.tobytes() for x in c], pa.binary()) for c in cols[1:])],
                                               names=["part", *PACKED])
 
@@ -145,7 +148,7 @@ def _prefixes(counts, usual, percent, n, parts):
                     seen.add(fp)
                     tokens, m = prefix(s, table, usual, percent)
                     kept.append((tokens, np.full(len(tokens), fp, np.int64), np.full(len(tokens), m, np.int8),
-                                 np.arange(len(tokens), dtype=np.uint32)))
+                                 np.arange(len(tokens), dtype=np.uint32), np.full(len(tokens), len(s), np.uint32)))
                     size += len(tokens)
                     if size >= 5 * GROUP_POSTINGS:
                         yield postings()
@@ -155,40 +158,57 @@ def _prefixes(counts, usual, percent, n, parts):
     return run
 
 
-PACKED = ("tokens", "fps", "ms", "places")
-KINDS = (np.int64, np.int64, np.int8, np.uint32)
-POSTING = "token long, fp long, m int, place int"
+PACKED = ("tokens", "fps", "ms", "places", "sizes")
+KINDS = (np.int64, np.int64, np.int8, np.uint32, np.uint32)
+POSTING = "token long, fp long, m int, place int, n long"
 
 
 def _unpacked(table):
     return [np.concatenate([np.frombuffer(x, t) for x in table.column(c).to_pylist()] or [np.zeros(0, t)]) for c, t in zip(PACKED, KINDS)]
 
 
-def _shared(table):
-    """Of one part, the postings of tokens that at least two sets have."""
-    import pyarrow as pa
+def fitting(tokens, ms, places, sizes, percent):
+    """Which postings have a partner in their list that leaves room for a link, by sizes and places.
 
-    tokens, fps, ms, places = _unpacked(table)
-    order = np.lexsort((fps, tokens))
-    tokens, fps = tokens[order], fps[order]
-    new = np.ones(len(tokens), bool)
-    new[1:] = (tokens[1:] != tokens[:-1]) | (fps[1:] != fps[:-1])
-    order, tokens, fps = order[new], tokens[new], fps[new]
-    same = tokens[1:] == tokens[:-1]
+    Postings are in order of token and size. The partners whose sizes fit are neighbours; the next ``NEIGHBOURS`` ones
+    are compared one by one, and a posting with more of them stays.
+    """
     keep = np.zeros(len(tokens), bool)
-    keep[1:] |= same
-    keep[:-1] |= same
-    at = order[keep]
-    return pa.table({"token": tokens[keep], "fp": fps[keep], "m": ms[at].astype(np.int32), "place": places[at].astype(np.int32)})
+    for d in range(1, NEIGHBOURS + 2):
+        i = np.flatnonzero(tokens[d:] == tokens[:-d])
+        j = i + d
+        ok = 100 * sizes[i] >= percent * sizes[j]
+        i, j = i[ok], j[ok]
+        if not len(i):
+            break
+        if d <= NEIGHBOURS:
+            need, asked = -(-percent * (sizes[i] + sizes[j]) // (100 + percent)), np.minimum(ms[i], ms[j])
+            ok = (places[i] < sizes[i] - need + asked) & (places[j] < sizes[j] - need + asked)
+            i, j = i[ok], j[ok]
+        keep[i] = keep[j] = True
+    return keep
 
 
-def _unpack_hot(batches):
-    import pyarrow as pa
+def _shared(percent):
+    """Of one part, the postings that have a fitting partner in their token's list."""
+    def run(table):
+        import pyarrow as pa
 
-    for b in batches:
-        cols = _unpacked(b)
-        yield pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(cols, (np.int64, np.int64, np.int32, np.int32))],
-                                         names=["token", "fp", "m", "place"])
+        tokens, fps, ms, places, sizes = _unpacked(table)
+        order = np.lexsort((fps, sizes, tokens))
+        tokens, fps = tokens[order], fps[order]
+        new = np.ones(len(tokens), bool)
+        new[1:] = (tokens[1:] != tokens[:-1]) | (fps[1:] != fps[:-1])
+        order, tokens, fps = order[new], tokens[new], fps[new]
+        same = tokens[1:] == tokens[:-1]
+        keep = np.zeros(len(tokens), bool)
+        keep[1:] |= same
+        keep[:-1] |= same
+        at, tokens, fps = order[keep], tokens[keep], fps[keep]
+        ms, places, sizes = (x[at].astype(np.int64) for x in (ms, places, sizes))
+        keep = fitting(tokens, ms, places, sizes, percent)
+        return pa.table({"token": tokens[keep], "fp": fps[keep], "m": ms[keep].astype(np.int32), "place": places[keep].astype(np.int32), "n": sizes[keep]})
+    return run
 
 
 def _by_set(n):
@@ -273,7 +293,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, n: int = 5, id_col: str
 
 
 def _labelled(docs, percent, n, id_col, text_col):
-    """``near_duplicates`` with the id as ``id``, and the component's ``label`` (a hash; null for empty texts)."""
+    """``near_duplicates`` with the id as ``id``, and the ``first`` row of the component (id and text hash; null for empty texts)."""
     spark = docs.sparkSession
     shared_folder(spark)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -283,38 +303,41 @@ def _labelled(docs, percent, n, id_col, text_col):
     base = survey.filter("piece is null").select("id", F.col("key").alias("text_key"), "n", "fp")
     tasks = survey.agg(F.max("task")).first()[0]
     total, postings = base.agg(F.sum("n"), F.sum(F.ceil(F.col("n") * (100 - percent) / 100) + 1)).first()
-    sets = survey.filter("piece is null and n > 0").groupBy("fp").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min("cells").alias("cells"))
-    sets = stored(sets, "nd-sets")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("first")
+    sets = stored(survey.filter("piece is null and n > 0").groupBy("fp").agg(first, F.min("n").alias("n"), F.min("cells").alias("cells"))
+                  .select("fp", "n", "cells", "first", F.col("first.id").alias("id")), "nd-sets")
     links = _all_links(rows, survey, sets, (tasks or 0) + 1, total or 0, postings or 0, percent, n) if total else None
     if links is None:
-        merged = sets.select("fp", F.col("fp").alias("label"), F.col("id").alias("component_id"))
+        merged = sets.select("fp", "first")
     else:
-        labels = connected_components(links).select(F.col("node").alias("fp"), "label")
-        known = sets.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-        small = known.groupBy("label").agg(F.min("id").alias("component_id"))
-        merged = known.join(small, "label").select("fp", "label", "component_id")
-    merged = stored(merged, "nd-components")
-    return (base.withColumn("key", F.when(F.col("n") > 0, F.col("fp")))
-            .join(merged.withColumnRenamed("fp", "key"), "key", "left")
-            .select("id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), "text_key", "label"))
+        # Only linked sets look up their component; a component's first row is carried to its sets.
+        labels = connected_components(links).select(F.col("node").alias("l_fp"), "label")
+        linked = stored(sets.select("fp", "first").join(sided(labels), F.col("fp") == F.col("l_fp")).select("fp", "label", "first"), "nd-linked")
+        lead = stored(linked.groupBy("label").agg(F.min("first").alias("lead")), "nd-leads")
+        moved = linked.join(sided(lead), "label").select(F.col("fp").alias("l_fp"), "lead")
+        merged = sets.join(moved, F.col("fp") == F.col("l_fp"), "left").select("fp", F.coalesce("lead", "first").alias("first"))
+    merged = stored(merged.select(F.col("fp").alias("m_fp"), "first"), "nd-components")
+    dropped(sets)
+    return (base.join(merged, (F.col("n") > 0) & (F.col("fp") == F.col("m_fp")), "left")
+            .select("id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("first.id")).otherwise(F.col("id")).alias("component_id"),
+                    "text_key", "first"))
 
 
 def one_of_each(docs: DataFrame, percent: int = 80, n: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component of near duplicates: the one with the smallest id, nulls last (of
     several texts with that id, the one with the smallest hash; of equal rows, one).
 
-    Empty texts are duplicates of rows with their id only; without an id they all stay.
+    Empty texts are duplicates of empty texts with their id only; without an id they all stay.
     All columns are kept. What goes is looked up by id and text hash, broadcast if it is small.
     """
     found = stored(_labelled(docs, percent, n, id_col, text_col).select(
-        F.col("id").alias("r_id"), F.col("text_key").alias("r_key"), "component_id",
-        F.when(F.col("component_id").isNull(), F.col("label")).alias("label")), "nd-result")
-    found = found.filter("component_id is not null or label is not null").select("r_id", "r_key", F.struct("component_id", "label").alias("component"))
-    first = found.groupBy("component").agg(
-        F.min_by(F.struct("r_id", "r_key"), F.struct(F.col("r_id").isNull(), "r_id", "r_key")).alias("first"))
-    spare = stored(found.join(first, "component").filter(~(F.col("r_id").eqNullSafe(F.col("first.r_id")) & (F.col("r_key") == F.col("first.r_key"))))
-                   .select("r_id", "r_key").distinct(), "nd-spare")
+        F.col("id").alias("r_id"), F.col("text_key").alias("r_key"), "n_shingles", "first"), "nd-result")
+    found = found.filter("n_shingles > 0 or r_id is not null")
+    empty = found.filter("n_shingles = 0").select("r_id", "r_key").distinct()
+    least = empty.groupBy(F.col("r_id").alias("e_id")).agg(F.min("r_key").alias("e_key"))
+    empty = empty.join(least, F.col("r_id") == F.col("e_id")).filter("r_key != e_key").select("r_id", "r_key")
+    other = ~(F.col("r_id").eqNullSafe(F.col("first.id")) & (F.col("r_key") == F.col("first.key")))
+    spare = stored(found.filter("n_shingles > 0").filter(other).select("r_id", "r_key").unionByName(empty).distinct(), "nd-spare")
     again = stored(found.groupBy("r_id", "r_key").count().filter("count > 1").select("r_id", "r_key"), "nd-again")
     rows = docs.select(whole_row(docs).alias("row"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("key"))
     same = F.col("id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key"))
@@ -330,52 +353,78 @@ def _all_links(rows, survey, sets, tasks, total, postings, percent, n):
     spark = rows.sparkSession
     counts = merged(survey.filter("piece is not null"), tasks, COUNTERS)
     parts = max(1, -(-postings // GROUP_POSTINGS))
-    prefixes = stored(rows.select("text").mapInArrow(
-        _prefixes(spark.sparkContext.broadcast(counts), total / COUNTERS, percent, n, parts),
-        "part long, " + ", ".join(f"{c} binary" for c in PACKED)), "nd-prefixes")
-    lists = prefixes.filter("part >= 0").groupBy("part").applyInArrow(_shared, POSTING)
-    hot = prefixes.filter("part < 0").select(*PACKED).mapInArrow(_unpack_hot, POSTING).distinct()
-    lists = stored(lists.unionByName(hot).join(sets.select("fp", "id", "n"), "fp").select("token", "fp", "m", "place", "id", "n"), "nd-lists")
+    table = spark.sparkContext.broadcast(counts)
+
+    def prefixes(hot_ones, schema):
+        return rows.select("text").mapInArrow(_prefixes(table, total / COUNTERS, percent, n, parts, hot_ones), schema)
+
+    # The postings go from the texts into the lists without being stored between; those of very frequent tokens, where
+    # there are any, come from a pass of their own.
+    lists = prefixes(False, "part long, " + ", ".join(f"{c} binary" for c in PACKED)).groupBy("part").applyInArrow(_shared(percent), POSTING)
+    met = stored(lists.unionByName(prefixes(True, POSTING).distinct()) if (counts > HOT_TOKEN).any() else lists, "nd-met")
+    # A set with fewer postings left than the matches it needs (two at least, for sets of two or more) has no partner.
+    enough = met.groupBy("fp").agg(F.count("*").alias("c"), F.min("m").alias("least"), F.min("n").alias("n"))
+    enough = stored(enough.filter(F.col("c") >= F.least("least", F.lit(MIN_MATCHES))).select("fp").join(sets.select("fp", "id"), "fp"), "nd-some")
+    lists = stored(met.join(sided(enough), "fp"), "nd-lists")
+    dropped(met, enough)
     # A linked pair shares ``need`` tokens, and so ``asked`` of them within the first n - need + asked of either set.
     need, asked = F.ceil(percent * (F.col("n") + F.col("n2")) / (100 + percent)), F.least("m", "m2")
     fits = ((F.col("label") != F.col("label2")) & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
             & (F.col("place") < F.col("n") - need + asked) & (F.col("place2") < F.col("n2") - need + asked))
-    links, labels, last = None, None, None
+    links, labels, last, live = None, None, None, lists
     for turn in range(PIVOT_ROUNDS):
-        own = lists.withColumn("label", F.col("fp")) if labels is None else (
-            lists.join(sided(labels.select(F.col("node").alias("fp"), "label")), "fp", "left").withColumn("label", F.coalesce("label", "fp")))
+        # Lists that the last round left with one component are done with, as links only join components.
+        own = live.withColumn("label", F.col("fp")) if labels is None else (
+            live.drop("label").join(sided(labels.select(F.col("node").alias("fp"), "label")), "fp", "left")
+            .withColumn("label", F.coalesce("label", "fp")))
         mixed = own.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("token")
-        live = stored(own.join(mixed, "token", "left_semi"), "nd-live")
+        before, live = live, stored(own.join(mixed, "token", "left_semi"), "nd-live")
+        dropped(before)
         order = F.struct(F.col("id").isNull(), "id", "fp") if turn % 2 == 0 else F.struct(F.xxhash64("fp", F.lit(turn)), "fp")
         width = live.groupBy("token", "label").agg(F.count("*").alias("c")).groupBy("token").agg(
             F.sum("c").alias("t"), F.sum(F.col("c") * F.col("c")).alias("s"))
-        pairs = width.agg(F.sum((F.col("t") * F.col("t") - F.col("s")) / 2)).first()[0]
-        size = live.count()
+        pairs, size = width.agg(F.sum((F.col("t") * F.col("t") - F.col("s")) / 2), F.sum("t")).first()
         if not pairs or (turn and (pairs <= 2 * size or last is not None and pairs > 0.7 * last and turn >= 2)):
             break
         last = pairs
         pivots = live.groupBy("token").agg(F.min_by(F.struct("fp", "n", "m", "place", "label"), order).alias("p"))
-        pivots = stored(pivots.select("token", F.col("p.fp").alias("a"), *(F.col(f"p.{c}").alias(f"{c}2") for c in ("n", "m", "place", "label"))), "nd-pivots")
-        pairs_ = live.join(pivots, "token").filter(fits)
-        found = _checked(rows, pairs_.select("a", F.col("fp").alias("b")).distinct(), sets, percent, n)
-        links = found if links is None else stored(links.unionByName(found), "nd-links")
-        labels = connected_components(links)
+        pivots = pivots.select("token", F.col("p.fp").alias("a"), *(F.col(f"p.{c}").alias(f"{c}2") for c in ("n", "m", "place", "label")))
+        meet = live.join(pivots, "token").filter(fits).select("a", F.col("fp").alias("b"), asked.alias("asked"))
+        found = _checked(rows, _often(meet), sets, percent, n)
+        if links is None:
+            links = found
+        else:
+            before, links = links, stored(links.unionByName(found), "nd-links")
+            dropped(before, found)
+        before, labels = labels, connected_components(links)
+        if before is not None:
+            dropped(before)
+    if labels is not None:
+        dropped(labels)
     if not pairs:
+        dropped(live)
         return links
     x = live.select("token", F.col("fp").alias("a"), "n", "m", "place", "label")
     y = live.select("token", F.col("fp").alias("b"), *(F.col(c).alias(f"{c}2") for c in ("n", "m", "place", "label")))
     meet = x.join(y, (x["token"] == y["token"]) & (F.col("a") < F.col("b")) & fits)
-    enough = meet.groupBy("a", "b").agg(F.count("*").alias("common"), F.min(asked).alias("asked")).filter("common >= asked")
-    found = _checked(rows, enough.select("a", "b"), sets, percent, n)
+    found = _checked(rows, _often(meet.select("a", "b", asked.alias("asked"))), sets, percent, n)
+    dropped(live)
     return found if links is None else links.unionByName(found)
 
 
+def _often(meet):
+    """The pairs that meet as often as they have to."""
+    return meet.groupBy("a", "b").agg(F.count("*").alias("common"), F.min("asked").alias("asked")).filter("common >= asked").select("a", "b")
+
+
 def _checked(rows, pairs, sets, percent, n):
     """The pairs (a, b) whose sets reach the similarity: by their profiles first, then by their full sets."""
     x = sets.select(F.col("fp").alias("a"), "n", F.col("cells").alias("x"))
     y = sets.select(F.col("fp").alias("b"), F.col("n").alias("n2"), F.col("cells").alias("y"))
-    pairs = pairs.join(x, "a").join(y, "b").select("a", "b", "n", "n2", "x", "y")
+    met = stored(pairs, "nd-candidates")
+    pairs = sided(met).join(x, "a").join(y, "b").select("a", "b", "n", "n2", "x", "y")
     pairs = stored(pairs.mapInArrow(_possible(percent), "a long, b long"), "nd-pairs")
+    dropped(met)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
     ids = stored(wanted.join(sets, "fp").select("id"), "nd-ids")
     few = ids.count() <= BROADCAST_IDS
@@ -385,5 +434,7 @@ def _checked(rows, pairs, sets, percent, n):
     texts = stored(texts.mapInArrow(_by_set(n), "fp long, text string"), "nd-texts")
     x = texts.select(F.col("fp").alias("a"), F.col("text").alias("x"))
     y = texts.select(F.col("fp").alias("b"), F.col("text").alias("y"))
-    return stored(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-                  .mapInArrow(_check(percent, n), "a long, b long").distinct(), "nd-found")
+    found = stored(sided(pairs).join(x, "a").join(y, "b").select("a", "b", "x", "y")
+                   .mapInArrow(_check(percent, n), "a long, b long").distinct(), "nd-found")
+    dropped(pairs, ids, texts)
+    return found
