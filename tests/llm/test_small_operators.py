@@ -217,3 +217,33 @@ def test_token_counts_of_odd_rows(spark):
     assert {(r.n_words, r.n_tokens) for r in out if r.doc_id in (1, 2, 3)} == {(0, 0)}
     assert len({r.n_tokens for r in out if r.doc_id == 4}) == 1
     assert tokencount.token_counts(documents(spark, []), VOCABULARY).count() == 0
+
+
+@pytest.mark.parametrize("lump", [(7, "one row again and again"), (None, "no id here")])
+def test_equal_rows_are_dealt_out_evenly(spark, lump):
+    """A third of all rows are equal, with one id or none: shards stay even and slots gapless."""
+    rng = np.random.default_rng(5)
+    rows = [lump] * 4000 + [(100 + i, f"text {i} " + "w " * int(rng.integers(1, 4))) for i in range(8000)]
+    out = sharding.shard(documents(spark, rows), n_shards=24).toPandas()
+    sums = out.groupby("shard")["size"].sum()
+    assert len(sums) == 24 and abs(sums / sums.mean() - 1).max() < 0.01
+    for _, g in out.groupby("shard"):
+        assert sorted(g.slot) == list(range(len(g)))
+
+
+@pytest.mark.parametrize("lump", [(7, "equal words " * 10), (None, "words without id " * 5)])
+def test_equal_rows_are_mixed_in_part(spark, lump):
+    """A source that is one lump of equal rows meets its target within one row, and reruns agree."""
+    rows = [(*lump, "en", "a")] * 3000 + [(100 + i, "b words " * (1 + i % 9), "en", "b") for i in range(2000)] + [
+        (9000 + i, "few words here", "en", "c") for i in range(1500)]
+    df = documents(spark, rows).repartition(5)
+    out = mixing.mix(df).toPandas()
+    for _, g in out.groupby("source"):
+        assert abs(g.taken.sum() - g.target.iloc[0]) <= g["size"].max()
+    part = out[out.source == "a"]
+    assert 0 < (part.taken > part.taken.min()).sum() < len(part)
+    again = mixing.mix(documents(spark, rows).repartition(3)).toPandas()
+    key = ["source", "size", "taken"]
+    assert out.groupby(key).size().equals(again.groupby(key).size())
+    stored_df = documents(spark, rows)
+    assert abs(mixing.mixed_rows(stored_df).filter("source = 'a'").count() * part["size"].iloc[0] - part.target.iloc[0]) <= part["size"].iloc[0]

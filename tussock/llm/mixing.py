@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from .store import stored, whole_row
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Each level splits a bucket in 2 ** 12; three levels use 36 bits of the hash.
-BITS, LEVELS = 12, 3
+#: Each level splits a bucket in 2 ** 12: three levels use 36 bits of a row's hash, two more those of its place.
+BITS, LEVELS, PLACE_LEVELS = 12, 3, 2
 #: The table of sources is broadcast up to this many sources, and joined by key beyond.
 BROADCAST_SOURCES = 50_000
 
@@ -44,9 +44,12 @@ def _size(text_col):
     return F.regexp_count(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(WORD)).cast("long")
 
 
-def _hash(id_col):
-    digits = F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), 1, BITS * LEVELS // 4)
-    return F.conv(digits, 16, 10).cast("long")
+def _hash(id_col, text_col):
+    """36 bits of the md5 of id and text, then 24 that tell equal rows apart by their place in the table."""
+    whole = F.concat(*(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (id_col, text_col)))
+    digits = F.conv(F.substring(F.md5(whole.cast("binary")), 1, BITS * LEVELS // 4), 16, 10).cast("long")
+    place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << (BITS * PLACE_LEVELS)))
+    return F.shiftleft(digits, BITS * PLACE_LEVELS) + place
 
 
 def _copies(cap):
@@ -60,10 +63,11 @@ def mixed_rows(docs: DataFrame, weights=(5, 2, 1), cap: int = 3, id_col: str = "
     """The mix itself: every row of ``docs`` as often as ``mix`` takes it, with all its columns.
 
     Rows without words are taken as often as words of their hash would be. Rows find their
-    threshold by a lookup and do not move.
+    threshold by a lookup and do not move. ``docs`` is read twice and has to come in the same order, as files do; else
+    equal rows are taken in nearly the right number only.
     """
     _, edge, few = _thresholds(docs, weights, cap, id_col, text_col, source_col)
-    rows = docs.select(whole_row(docs).alias("row"), F.col(source_col).alias("source"), _hash(id_col).alias("h"))
+    rows = docs.select(whole_row(docs).alias("row"), F.col(source_col).alias("source"), _hash(id_col, text_col).alias("h"))
     rows = rows.join(F.broadcast(edge) if few else edge, F.col("source").eqNullSafe(F.col("s")))
     return (rows.select("row", _copies(cap).alias("copies")).filter("copies > 0")
             .select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*"))
@@ -74,16 +78,16 @@ def mix(docs: DataFrame, weights=(5, 2, 1), cap: int = 3, id_col: str = "doc_id"
     """How many words of each row the mix takes: 0 to ``cap`` whole copies.
 
     A source with target T and size S is taken floor(T / S) times whole; for the rest
-    R = T - S * floor(T / S), rows are taken once more while their id's hash lies below a
+    R = T - S * floor(T / S), rows are taken once more while their hash (of id and text) lies below a
     threshold. The threshold comes from a histogram of sizes by source and hash bucket;
-    the bucket in which the running sum passes R is split again, twice, and no row is
-    sorted. At the last level (36 bits: single ids) the boundary is taken if at least
+    the bucket in which the running sum passes R is split again, and no row is
+    sorted. Two further levels split rows of equal id and text, which are interchangeable, by their place in
+    the table, so a lump of them is taken in part. At the last level (single rows) the boundary is taken if at least
     half of it fits into R.
 
     Returns id, ``source``, ``size`` (words; null text 0), ``source_size``, ``target``,
-    ``copies`` and ``taken`` (copies * size). Rows that repeat an id in a source, and null
-    ids, share a hash and are taken alike. Empty table: no rows. Further columns of
-    ``docs`` are not read. The hash is md5 of the id as text, so reruns agree.
+    ``copies`` and ``taken`` (copies * size). Null ids count as empty ones. Empty table: no rows. Further columns of
+    ``docs`` are not read. Reruns agree on how often each (id, text) is taken.
     """
     base, edge, few = _thresholds(docs, weights, cap, id_col, text_col, source_col)
     copies = _copies(cap)
@@ -95,7 +99,7 @@ def mix(docs: DataFrame, weights=(5, 2, 1), cap: int = 3, id_col: str = "doc_id"
 def _thresholds(docs, weights, cap, id_col, text_col, source_col):
     """(id, source, size, h of every row; the threshold of every source; whether it may be broadcast)."""
     base = stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), _size(text_col).alias("size"),
-                              _hash(id_col).alias("h")), "mix-rows")
+                              _hash(id_col, text_col).alias("h")), "mix-rows")
     goal = targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     edge = stored(goal.withColumn("whole", whole.cast("long"))
@@ -108,8 +112,8 @@ def _thresholds(docs, weights, cap, id_col, text_col, source_col):
     def sided(e):
         return F.broadcast(e) if few else e
 
-    width = BITS * LEVELS
-    for level in range(1, LEVELS + 1):
+    width = BITS * (LEVELS + PLACE_LEVELS)
+    for level in range(1, LEVELS + PLACE_LEVELS + 1):
         shift = width - BITS * level
         hist = (base.join(sided(edge.select("s", "at")), F.col("source").eqNullSafe(F.col("s")))
                 .filter(F.shiftright("h", shift + BITS) == F.col("at"))

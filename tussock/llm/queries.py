@@ -131,7 +131,7 @@ ORACLE = {
     "op8_mixing": r"""
         WITH base AS (
             SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-                   CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 9) AS BIGINT) AS h FROM documents),
+                   CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || coalesce(text, '')), 1, 9) AS BIGINT) AS h FROM documents),
         src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM base GROUP BY source),
         weighed AS (
             SELECT *, [5.0, 2.0, 1.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight FROM src),

@@ -48,8 +48,8 @@ def shard(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", text_col:
     """Assign every row to a shard, with near-equal bytes, tokens and rows a shard.
 
     Groups are rows of equal text and stay together, unless a group exceeds a whole
-    shard in bytes, tokens or rows; such a group is cut by the hash of the id into pieces
-    of about an eighth of a shard. Groups (or pieces) of at least 1/64 of a shard are
+    shard in bytes, tokens or rows; such a group is cut by a hash of id and place in the table into
+    pieces of about an eighth of a shard. Groups (or pieces) of at least 1/64 of a shard are
     placed one by one, at most 3 * 64 * ``n_shards`` of them plus pieces; all smaller
     groups are placed with the others of their hash bucket (8,192 buckets). So the
     placement on the driver handles a number of items that does not depend on the
@@ -57,7 +57,7 @@ def shard(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", text_col:
 
     Returns id, ``size`` (UTF-8 bytes + 8), ``text_crc32``, ``tokens``, ``group`` (hash of
     the text), ``shard`` and ``slot`` (gapless from 0 within a shard). Null text: no bytes,
-    own group. Null ids: one piece of their group. Repeated rows are rows like any other.
+    own group. Rows with null or repeated ids are rows like any other and are cut apart like them.
     An empty table gives no rows; further columns of ``docs`` are not read.
     """
     spark = docs.sparkSession
@@ -67,7 +67,8 @@ def shard(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", text_col:
         (F.octet_length(text) + 8).cast("long").alias("size"),
         F.crc32(text).alias("crc"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("tokens"),
-        F.xxhash64(F.col(text_col).isNull(), F.col(text_col)).alias("grp")), "shard-rows")
+        F.xxhash64(F.col(text_col).isNull(), F.col(text_col)).alias("grp"),
+        F.monotonically_increasing_id().alias("place")), "shard-rows")
 
     sums = [F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.count("*").alias("n")]
     total = np.array([x or 0 for x in base.agg(*sums).first()], dtype=float)
@@ -77,7 +78,8 @@ def shard(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", text_col:
     large = [(r.grp, r.share) for r in groups.filter(F.col("share") >= LARGE).select("grp", "share").collect()]
     cuts = {g: max(1, int(np.ceil(s / PIECE))) if s > 1 else 1 for g, s in large}
     known = F.broadcast(spark.createDataFrame(list(cuts.items()) or [(None, 1)], "l_grp long, pieces long"))
-    piece = F.pmod(F.xxhash64("id"), F.col("pieces"))
+    # The stored place tells rows of equal id and text apart, which may go anywhere.
+    piece = F.pmod(F.xxhash64("id", "place"), F.col("pieces"))
     rows = (base.join(known, F.col("grp") == F.col("l_grp"), "left")
             .withColumn("a", F.when(F.col("l_grp").isNull(), F.lit(-1).cast("long")).otherwise(piece))
             .withColumn("b", F.when(F.col("l_grp").isNull(), _bucket(F.col("grp"))).otherwise(F.col("grp")))
@@ -86,12 +88,12 @@ def shard(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", text_col:
     where = [(a, b, s) for ((a, b), *_), s in zip(items, place(items, capacity, n_shards))]
     table = F.broadcast(spark.createDataFrame(where or [(None, None, 0)], "p_a long, p_b long, shard int"))
     rows = (rows.join(table, (F.col("a") == F.col("p_a")) & (F.col("b") == F.col("p_b")))
-            .withColumn("block", F.pmod(F.xxhash64("id", "grp"),
+            .withColumn("block", F.pmod(F.xxhash64("id", "grp", "place"),
                                         F.lit(int(total[2] // (n_shards * SLOTS_A_TASK)) + 1))))
     counts = rows.groupBy("shard", "block").count()
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("shard", "block", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
-    within = Window.partitionBy("shard", "block").orderBy("id", "grp")
+    within = Window.partitionBy("shard", "block").orderBy("id", "grp", "place")
     return (rows.withColumn("rank", F.row_number().over(within))
             .join(offsets, ["shard", "block"])
             .select(F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), "tokens",
