@@ -130,11 +130,10 @@ def test_classifier_separates_held_out_texts(spark):
 def test_an_id_that_repeats_is_learnt_once(spark, monkeypatch):
     rows, labels = _toxic_rows(60, 4)
     labelled = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
-    learnt, fit = [], toxicity.Network.fit
-    monkeypatch.setattr(toxicity.Network, "fit", lambda net, x, y, rng: (learnt.append(len(x)), fit(net, x, y, rng)))
-    toxicity.train(documents(spark, rows), labelled)
-    toxicity.train(documents(spark, rows + [(5, f"copy {i} of a hot id", "en") for i in range(300)] + [rows[7]] * 300), labelled)
-    assert learnt == [48, 48]
+    columns = (None, "doc_id", "text", "toxic", "lang", toxicity.TRAIN_ROWS)
+    once = toxicity.sample(documents(spark, rows), labelled, *columns).count()
+    hot = rows + [(5, f"copy {i} of a hot id", "en") for i in range(300)] + [rows[7]] * 300
+    assert once == toxicity.sample(documents(spark, hot), labelled, *columns).count() == 60
 
 
 def test_scores_depend_on_the_text_alone(spark):
