@@ -151,6 +151,37 @@ def test_top_k_is_exact(spark, monkeypatch, n, k, blocks):
     assert got == _top(rows, k)
 
 
+def test_top_k_of_copies_and_repeated_ids(spark, monkeypatch):
+    monkeypatch.setattr(topk, "VECTORS_A_BLOCK", 20)
+    monkeypatch.setattr(topk, "QUERIES_A_BLOCK", 4)
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(0, 0.3, 5)]) for i in range(150)]
+    rows += [(i, [0.5] * 5) for i in range(150, 400)]                     # many copies, queries among them
+    rows += [(20, [0.75] * 5)] * 40 + [(20, [0.75 + j / 64] * 5) for j in range(30)] + [(31, [0.75] * 5)] * 3
+    rows += [(i, [300.0, -600.0, 1e6, 2.5e5, float(i)]) for i in range(500, 520)]      # beyond 16 bits
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in topk.top_k(df, F.col("vec_id") % 20 == 0, k=6).orderBy("query_id", "rank").collect()]
+    assert got == _top(rows, 6)
+
+
+def test_lists_send_only_entries_that_can_matter(spark):
+    """The cutoff is reached by k rows and by no more than ties above the k-th; below its half nothing is sent or resolved."""
+    vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").filter(F.col("embedding").isNotNull())
+    lists = topk.Lists(vectors, F.col("vec_id") % 20 == 0, 20, "vec_id", "embedding", 64.0)
+    cutoffs = lists.cutoffs()
+    kth = {q: c for r in cutoffs.collect() for q, c in zip(r.cut_ids, r.cuts)}
+    entries = lists.collected(cutoffs)
+    sent = entries.join(lists.queries.filter("slice = 0").select("qblock", "q_lead"), "qblock").collect()
+    n = vectors.count()
+    assert len(kth) == vectors.filter("vec_id % 20 = 0").count() and {r.slice for r in sent} == set(range(topk.LISTS))
+    for r in sent:
+        ids = np.frombuffer(r.q_lead, np.int64)
+        assert all(p * topk.LISTS >= kth[int(ids[q])] for q, p in zip(r.qpos, r.part))
+    assert sum(len(r.part) for r in sent) < 0.2 * topk.LISTS * n * len(kth)
+    best = {r.query_id: [-e.neg for e in r.best] for r in lists.resolved(entries, cutoffs).collect()}
+    assert all(kth[q] <= scores[-1] and len(scores) == 20 for q, scores in best.items()) and best.keys() == kth.keys()
+
+
 def test_top_k_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(df, F.col("vec_id") % 20 == 0).count() == 0
