@@ -248,3 +248,46 @@ def test_gradients_of_the_labeller():
         net.p[name][at] -= 2e-5
         assert math.isclose((up - loss()) / 2e-5, g[at], rel_tol=1e-3, abs_tol=1e-7)
         net.p[name][at] += 1e-5
+
+
+def test_scores_equal_a_plain_forward_pass():
+    """The packed form (filters folded into the word table) against the filters applied token by token."""
+    rng = np.random.default_rng(4)
+    net = toxicity.Network(rng)
+    net.bias[:] = rng.normal(0, 0.1, net.bias.shape)
+    sizes = [0, 1, 2, 7, 0, 30]
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    ids = rng.integers(0, toxicity.BUCKETS, (toxicity.VIEWS, first[-1]))
+    got = toxicity.scores(net.tables(), first, ids)
+    for a, b, score in zip(first, first[1:], got):
+        z = net.out_bias
+        for k, w in enumerate(toxicity.WIDTHS):
+            for f in range(toxicity.FILTERS):
+                sums = [sum(float(net.words[ids[v, t + j]] @ net.filters[w][j][:, f])
+                            for j in range(w) if t + j < b for v in range(toxicity.VIEWS)) for t in range(a, b)]
+                z += max(max(sums) + net.bias[k, f], 0) * net.out[k, f] if sums else 0
+        assert math.isclose(score, 1 / (1 + math.exp(-z)), rel_tol=1e-5)
+
+
+def test_labeller_equals_a_plain_recurrence():
+    """Batched and padded pages against one page at a time, one block at a time."""
+    rng = np.random.default_rng(3)
+    net, n = html.Labeller(rng), html.HIDDEN
+    pages = [rng.normal(0, 1, (size, html.INPUT)) for size in (1, 6, 3)]
+    got = net.forward(*html.padded(pages))
+
+    def sigmoid(x):
+        return 1 / (1 + np.exp(-x))
+
+    for page, probs in zip(pages, got):
+        states = {}
+        for d, order in (("f", range(len(page))), ("b", range(len(page) - 1, -1, -1))):
+            h, c = np.zeros(n), np.zeros(n)
+            for t in order:
+                g = page[t] @ net.p["x" + d] + h @ net.p["h" + d] + net.p["c" + d]
+                c = sigmoid(g[n:2 * n]) * c + sigmoid(g[:n]) * np.tanh(g[3 * n:])
+                h = sigmoid(g[2 * n:3 * n]) * np.tanh(c)
+                states[d, t] = h
+        for t in range(len(page)):
+            z = np.concatenate([states["f", t], states["b", t]]) @ net.p["o"] + net.p["z"][0]
+            assert math.isclose(probs[t], sigmoid(z), rel_tol=1e-9)
