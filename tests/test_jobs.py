@@ -3,10 +3,12 @@
 import json
 import os
 
+import pytest
 from test_sources import REPORT_HTML
 
 from tussock.__main__ import main
 from tussock.plans import pipeline
+from tussock.sources import jobs
 from tussock.sources.landing import CENSUS_FILE_COLUMNS
 
 
@@ -75,3 +77,40 @@ def test_raw_files_to_marts(spark, tmp_dir):
     assert (albany.school_count, albany.avg_eqi_index, albany.supermarket_count) == (1, 400.0, 1)
     assert albany.price_to_income_ratio == 12.34
     assert rows["Swanson"].median_household_income is None
+
+
+def test_a_source_without_a_column_is_refused(spark, tmp_dir):
+    files = _write_raw(spark, os.path.join(tmp_dir))
+    landing = os.path.join(tmp_dir, "landing")
+    assert jobs.ingest_stops_file(spark, files["stops"], landing) == 1
+    for name, column in (("stops", "parent_station"), ("schools", "EQi_Index")):
+        with open(files[name]) as f:
+            text = f.read()
+        with open(files[name], "w") as f:
+            f.write(text.replace(f'"{column}"', '"other"'))
+        with pytest.raises(KeyError, match=column):
+            getattr(jobs, f"ingest_{name}_file")(spark, files[name], landing)
+    with open(files["supermarkets"], "w") as f:
+        f.write("OBJECTID,Name,Suburb,Town - City,Territorial Authority,Shape__Area\n1,Shop A,Oteha,Auckland,Auckland,1.5\n")
+    with pytest.raises(KeyError, match="(?i)shape"):
+        jobs.ingest_supermarkets_file(spark, files["supermarkets"], landing)
+    assert spark.read.parquet(os.path.join(landing, "transit_stops")).count() == 1     # the earlier table stands
+
+
+def test_payloads_by_line_and_missing_members(spark, tmp_dir):
+    path, landing = os.path.join(tmp_dir, "stops.jsonl"), os.path.join(tmp_dir, "landing")
+    stop = dict(stop_id="1", stop_code="0042", stop_name="A", stop_lat=-36.80, stop_lon=174.7, location_type=0, parent_station=None)
+    with open(path, "w") as f:
+        for i in range(3):
+            later = {**stop, "stop_id": f"s{i}", "note": {"a": 1}}
+            if i:
+                del later["parent_station"]
+            f.write(json.dumps({"data": [{"attributes": later}]}) + "\n")
+        f.write(json.dumps({"data": []}) + "\n")
+    assert jobs.ingest_stops_file(spark, path, landing, json_lines=True) == 3
+    rows = spark.read.parquet(os.path.join(landing, "transit_stops")).orderBy("stop_id").collect()
+    assert [(r.stop_id, r.stop_code, float(r.stop_lat), r.location_type, r.parent_station) for r in rows] == [
+        (f"s{i}", "0042", -36.8, 0, None) for i in range(3)]
+    with open(path, "w") as f:
+        f.write(json.dumps({"data": []}) + "\n")
+    assert jobs.ingest_stops_file(spark, path, landing, json_lines=True) == 0

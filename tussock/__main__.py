@@ -35,6 +35,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     p_ing.add_argument("--file", required=True)
     p_ing.add_argument("--landing", required=True)
     p_ing.add_argument("--date-format", default=None)
+    p_ing.add_argument("--json-lines", action="store_true", help="stops and schools: one envelope a line")
     p_ing.add_argument("--start-year", type=int, default=None)
     p_ing.add_argument("--end-year", type=int, default=None)
     p_land = sub.add_parser("land")
@@ -60,9 +61,11 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
             if args.start_year is None or args.end_year is None:
                 ap.error("prices needs --start-year and --end-year")
             n = jobs.ingest_price_pages_file(spark, args.file, args.landing, args.start_year, args.end_year)
+        elif args.source in ("stops", "schools"):
+            fn = {"stops": jobs.ingest_stops_file, "schools": jobs.ingest_schools_file}[args.source]
+            n = fn(spark, args.file, args.landing, args.json_lines)
         else:
-            fn = {"census": jobs.ingest_census_file, "supermarkets": jobs.ingest_supermarkets_file,
-                  "stops": jobs.ingest_stops_file, "schools": jobs.ingest_schools_file}[args.source]
+            fn = {"census": jobs.ingest_census_file, "supermarkets": jobs.ingest_supermarkets_file}[args.source]
             n = fn(spark, args.file, args.landing)
         result = {args.source: n}
     elif args.cmd == "land":

@@ -12,11 +12,11 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tussock.functions.cleaning import datetime_text, keep_columns
+from tussock.functions.cleaning import datetime_text
 from tussock.sources import ingest as ing
 from tussock.sources.calendar import calendar_grid
 from tussock.sources.landing import (
-    LANDING_SCHEMAS, conform, read_census_file, read_headerless, read_json_records,
+    LANDING_SCHEMAS, conform, read_census_file, read_headerless, read_json_members,
 )
 from tussock.sources.sinks import write_landing
 
@@ -34,8 +34,14 @@ REPORT_PATH_PATTERN = r"(\d{4}/[a-z]+)/suburb-report"
 # --- end of fixed values ---
 
 
+def _own_columns(table: str) -> list[str]:
+    """Columns of a landing table that its source must bring: all but the audit column."""
+    return [c for c in LANDING_SCHEMAS[table].names if c != "ingested_at"]
+
+
 def _land(df: DataFrame, table: str, landing_root: str) -> int:
-    frame = conform(df, LANDING_SCHEMAS[table]).drop("ingested_at")
+    """Write ``df`` as the landing table; a column the source lacks raises ``KeyError`` before anything is replaced."""
+    frame = conform(df, LANDING_SCHEMAS[table], required=_own_columns(table)).drop("ingested_at")
     return write_landing(frame, os.path.join(landing_root, table))
 
 
@@ -63,14 +69,16 @@ def ingest_supermarkets_file(spark: SparkSession, path: str, landing_root: str)
     return _land(_snake(ing.ingest_supermarket_file(raw)), "supermarkets", landing_root)
 
 
-def ingest_stops_file(spark: SparkSession, path: str, landing_root: str) -> int:
-    stops = read_json_records(spark, path, "data", inner="attributes")
+def ingest_stops_file(spark: SparkSession, path: str, landing_root: str, json_lines: bool = False) -> int:
+    """Stop payload -> transit_stops; ``json_lines`` for a bulk export, one envelope a line, which many tasks can read."""
+    stops = read_json_members(spark, path, "data", _own_columns("transit_stops"), inner="attributes", multiline=not json_lines)
     return _land(_snake(stops), "transit_stops", landing_root)
 
 
-def ingest_schools_file(spark: SparkSession, path: str, landing_root: str) -> int:
-    records = read_json_records(spark, path, "result.records")
-    return _land(_snake(keep_columns(records, SCHOOL_KEEP_COLUMNS)), "schools", landing_root)
+def ingest_schools_file(spark: SparkSession, path: str, landing_root: str, json_lines: bool = False) -> int:
+    """School payload -> schools; ``json_lines`` as for the stops."""
+    records = read_json_members(spark, path, "result.records", SCHOOL_KEEP_COLUMNS, multiline=not json_lines)
+    return _land(_snake(records), "schools", landing_root)
 
 
 def ingest_price_pages_file(spark: SparkSession, path: str, landing_root: str, start_year: int, end_year: int,

@@ -39,7 +39,7 @@ LANDING_SCHEMAS: dict[str, T.StructType] = {
                        ("ingested_at", TS)),
 }
 
-# Column layout of the census export file (22 columns, header row replaced).
+# --- Fixed values (column layout of the census export file: 22 columns, header row replaced) ---
 CENSUS_FILE_COLUMNS = [
     "section_title", "section_type", "classification_label", "code", "descriptor", "period", "duration",
     "variable1_label", "variable1_code", "variable1_descriptor", "variable2_label", "variable2_code",
@@ -47,6 +47,7 @@ CENSUS_FILE_COLUMNS = [
     "confidentiality_indicator", "confidentiality_label", "final_indicator", "final_label",
     "last_updated_at_source",
 ]
+# --- end of fixed values ---
 
 
 # Schemas of the given tables (column names and types of their files).
@@ -169,3 +170,25 @@ def read_json_records(spark: SparkSession, path: str, array_path: str, schema: T
     df = reader.json(path)
     rec = df.select(F.explode(F.col(array_path)).alias("r"))
     return rec.select(f"r.{inner}.*" if inner else "r.*")
+
+
+def read_json_members(spark: SparkSession, path: str, array_path: str, members: list[str], inner: str | None = None,
+                      multiline: bool = True) -> DataFrame:
+    """Records of a JSON API payload as the text columns ``members``; nothing is inferred.
+
+    Numbers keep their spelling, nested values their JSON text. A member that some
+    records lack is null there; one that no record has raises ``KeyError`` (a
+    payload without records gives no rows). Other members are not kept. See
+    ``read_json_records`` for ``multiline``.
+    """
+    texts = T.MapType(S, S)
+    node: T.DataType = T.ArrayType(T.StructType([T.StructField(inner, texts)]) if inner else texts)
+    for name in reversed(array_path.split(".")):
+        node = T.StructType([T.StructField(name, node)])
+    payload = spark.read.schema(node).option("multiLine", multiline).json(path)
+    record = payload.select(F.explode(F.col(array_path)).alias("r")).select((F.col(f"r.{inner}") if inner else F.col("r")).alias("r"))
+    held = record.agg(*(F.bool_or(F.map_contains_key("r", F.lit(m))).alias(f"m{i}") for i, m in enumerate(members))).first()
+    absent = [m for m, there in zip(members, held) if there is False]
+    if absent:
+        raise KeyError(f"columns not found in the source: {absent}")
+    return record.select(*(F.col("r")[m].alias(m) for m in members))
