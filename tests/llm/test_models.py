@@ -98,6 +98,88 @@ def test_words_beyond_the_most_frequent_get_their_own_class(spark):
     assert gain > 0.5
 
 
+def _plain_scores(texts, learnt, lexicon, top_words, own_count):
+    """log10 probability of each text by plain loops, and the words placed beyond the lexicon, from exchange and best_classes."""
+    split = [words(t) for t in texts]
+    counts = Counter(w for s, l in zip(split, learnt) if l for w in s)
+    vocabulary = sorted({w for s in split for w in s})
+    raw = [w.encode() for w in vocabulary]
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+    _, hashes, endings = brown.tokens(brown.Hasher(), np.frombuffer(b"".join(raw), np.uint8), offsets)
+    key, ending = dict(zip(vocabulary, hashes.tolist())), dict(zip(vocabulary, endings.tolist()))
+    levels = {w: math.floor(math.log(c) / math.log(2) * 16) for w, c in counts.items()}
+    cut = min((l for l in levels.values() if sum(x >= l for x in levels.values()) <= lexicon), default=math.inf)
+    near = sorted((w for w in counts if levels[w] >= cut), key=lambda w: (-counts[w], key[w]))
+    rank = {w: i for i, w in enumerate(near[:top_words])}
+    kind = {w: rank.get(w, ending[w]) for w in vocabulary}
+    kind[None] = brown.END_TYPE
+    bigrams = Counter(p for s, l in zip(split, learnt) if l for p in zip([None, *s], [*s, None]))
+    pairs = np.zeros((brown.TYPES, brown.TYPES))
+    for (a, b), n in bigrams.items():
+        pairs[kind[a], kind[b]] += n
+    label = brown.exchange(pairs)
+    of = {w: int(label[k]) for w, k in kind.items()}
+
+    def table(of):
+        out = np.zeros((brown.CLASSES, brown.CLASSES))
+        for (a, b), n in bigrams.items():
+            out[of[a], of[b]] += n
+        return out
+
+    def swept(of, movers):
+        movers = sorted(movers, key=key.get)
+        place = {w: i for i, w in enumerate(movers)}
+        full = np.zeros((len(movers), brown.SLOTS))
+        for (a, b), n in bigrams.items():
+            if a in place:
+                full[place[a], of[b]] += n
+                full[place[a], 2 * brown.CLASSES] += n * (a == b)
+            if b in place:
+                full[place[b], brown.CLASSES + of[a]] += n
+        at, slot = np.nonzero(full)
+        new = brown.best_classes(table(of), np.array([of[w] for w in movers], int), at, slot, full[at, slot])
+        return {**of, **dict(zip(movers, new.tolist()))}
+
+    for _ in range(brown.WORD_SWEEPS):
+        new = swept(of, [w for w in near[top_words:] if counts[w] >= own_count])
+        if brown.likelihood(table(new)) <= brown.likelihood(table(of)):
+            break
+        of = new
+    far = [w for w in counts if levels[w] < cut and counts[w] >= own_count]
+    new = swept(of, far)
+    moved = {w for w in far if new[w] != of[w]} if brown.likelihood(table(new)) > brown.likelihood(table(of)) else set()
+    of = new if moved else of
+    step = table(of)
+    size, kinds = np.zeros(brown.CLASSES), np.zeros(brown.CLASSES)
+    for w, c in counts.items():
+        size[of[w]] += c
+        kinds[of[w]] += 1
+    share = (step.sum(0) + 1) / (step.sum() + brown.CLASSES)
+    step = (step + brown.PRIOR * share) / (step.sum(1, keepdims=True) + brown.PRIOR)
+    scores = [sum(math.log10(step[of[a], of[b]]) for a, b in zip([None, *s], [*s, None]))
+              + sum(math.log10((counts[w] + 0.1) / (size[of[w]] + 0.1 * (kinds[of[w]] + 1))) for w in s) for s in split]
+    together = sum(n for (a, b), n in bigrams.items() if a in moved and b in moved)
+    return scores, moved, together
+
+
+@pytest.mark.parametrize("lexicon", [100_000, 300])
+def test_class_scores_equal_a_plain_computation(spark, lexicon):
+    rng = np.random.default_rng(11)
+    names = ["".join(rng.choice(list("abcdefghij"), int(rng.integers(2, 7)))) for _ in range(1500)]
+    rows = []
+    for i in range(300):
+        at = int(rng.integers(3))
+        rows.append((i, " ".join(names[3 * min(499, int(rng.exponential(120))) + (at + p) % 3] for p in range(int(rng.integers(0, 150))))))
+    rows += [(300, None), (301, names[3] + " unseen " + names[1400] + " " + names[1400])]
+    learnt = [i % 10 != 0 for i, _ in rows]
+    want, moved, together = _plain_scores([t for _, t in rows], learnt, lexicon, 100, 4)
+    assert (len(moved) > 50 and together > 10) == (lexicon == 300)
+    out = brown.class_scores(documents(spark, rows), F.col("doc_id") % 10 != 0, lexicon=lexicon, top_words=100, own_count=4)
+    got = {r.doc_id: r.score for r in out.collect()}
+    assert len(got) == len(rows)
+    assert all(math.isclose(got[i], w, rel_tol=1e-9, abs_tol=1e-9) for (i, _), w in zip(rows, want))
+
+
 TOXIC = ["grumbolt", "snarvik", "plodder", "vexnar"]
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .counters import PIECES, merged, packed
-from .store import stored
+from .store import dropped, stored
 from .textbytes import Hasher, buffers, lower, slices, word_bounds
 
 #: Types that exchange clustering puts into classes: the most frequent words, the endings of all others, the end mark.
@@ -19,8 +19,10 @@ CLASSES, SWEEPS = 96, 5
 OWN_COUNT, WORD_SWEEPS = 10, 2
 #: Counts a word has at most: each class after it, each class before it, itself after it.
 SLOTS = 2 * CLASSES + 1
-#: The most frequent words' counts are broadcast to the scoring pass; all others are joined by key.
+#: The most frequent words' counts and classes are broadcast; all others' are joined by key.
 LEXICON = 400_000
+#: Bits of the table that tells tasks which other words may have a class of their own; a full one costs time only.
+OPEN_BITS = 1 << 24
 #: Distinct words that a task holds before it passes their counts on.
 FLUSH = 1_500_000
 ADD = 0.1
@@ -193,7 +195,7 @@ def _count_classes(model):
 
 
 def _count_neighbours(model):
-    """(w, slot, c): counts of the classes around each word that may move, added up within the task."""
+    """(w, slot, c, old): counts of the classes around each word that may move, added up within the task."""
     def run(batches):
         import pyarrow as pa
 
@@ -207,8 +209,8 @@ def _count_neighbours(model):
         def rows(x):
             for i in range(0, len(x[0]), 200_000):
                 w, slot = np.divmod(x[0][i:i + 200_000], SLOTS)
-                yield pa.RecordBatch.from_arrays([pa.array(w.astype(np.int32)), pa.array(slot.astype(np.int16)),
-                                                  pa.array(x[1][i:i + 200_000])], names=["w", "slot", "c"])
+                yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(slot.astype(np.int16)), pa.array(x[1][i:i + 200_000]),
+                                                  pa.array(m["classes"][w].astype(np.int16))], names=["w", "slot", "c", "old"])
 
         for b in batches:
             data, offsets = buffers(b.column("text"))
@@ -275,21 +277,21 @@ def best_classes(table: np.ndarray, old: np.ndarray, at: np.ndarray, slot: np.nd
 
 
 def _moved(model):
-    """(w, class) of rows (w, slot, c) sorted by w."""
+    """(w, class) of rows (w, slot, c, old) sorted by w; ``old`` is the class that w has so far."""
     def run(batches):
         import pyarrow as pa
 
-        m, left = model.value, None
+        table, left = model.value, None
 
-        def rows(w, slot, c):
-            u, at = np.unique(w, return_inverse=True)
+        def rows(w, slot, c, old):
+            u, first, at = np.unique(w, return_index=True, return_inverse=True)
             for i in range(0, len(u), 256):
                 a, b = np.searchsorted(at, [i, i + 256])
-                new = best_classes(m["table"], m["classes"][u[i:i + 256]].astype(int), at[a:b] - i, slot[a:b], c[a:b])
-                yield pa.RecordBatch.from_arrays([pa.array(u[i:i + 256].astype(np.int32)), pa.array(new.astype(np.int16))], names=["w", "class"])
+                new = best_classes(table, old[first[i:i + 256]].astype(int), at[a:b] - i, slot[a:b], c[a:b])
+                yield pa.RecordBatch.from_arrays([pa.array(u[i:i + 256]), pa.array(new.astype(np.int16))], names=["w", "class"])
 
         for b in batches:
-            part = [b.column(x).to_numpy(zero_copy_only=False) for x in ("w", "slot", "c")]
+            part = [b.column(x).to_numpy(zero_copy_only=False) for x in ("w", "slot", "c", "old")]
             if not len(part[0]):
                 continue
             part = part if left is None else [np.concatenate(p) for p in zip(left, part)]
@@ -307,6 +309,13 @@ def likelihood(table: np.ndarray) -> float:
     return float(_xlogx(table).sum() - _xlogx(table.sum(0)).sum() - _xlogx(table.sum(1)).sum())
 
 
+def best_of(near: DataFrame, table: np.ndarray) -> DataFrame:
+    """(w, class): the best class of each w of rows (w, slot, c, old), at most ``SLOTS`` a word once added up."""
+    near = near.repartition("w").groupBy("w", "slot", "old").agg(F.sum("c").alias("c"))
+    moved = _moved(near.sparkSession.sparkContext.broadcast(table))
+    return stored(near.select("w", "slot", "c", "old").sortWithinPartitions("w").mapInArrow(moved, "w long, class short"), "lm-moved")
+
+
 def word_classes(lessons: DataFrame, words: np.ndarray, classes: np.ndarray, free: np.ndarray, label: np.ndarray, table: np.ndarray):
     """(class of each of the sorted ``words``, class bigrams) after distributed sweeps of the ``free`` words.
 
@@ -316,10 +325,8 @@ def word_classes(lessons: DataFrame, words: np.ndarray, classes: np.ndarray, fre
     spark = lessons.sparkSession
     best = likelihood(table), classes, table
     for _ in range(WORD_SWEEPS if free.any() else 0):
-        m = spark.sparkContext.broadcast({"words": words, "classes": classes, "free": free, "label": label, "table": table})
-        near = lessons.mapInArrow(_count_neighbours(m), "w int, slot short, c long").repartition("w")
-        near = near.groupBy("w", "slot").agg(F.sum("c").alias("c")).sortWithinPartitions("w")
-        moved = stored(near.mapInArrow(_moved(m), "w int, class short"), "lm-moved").toArrow()
+        m = spark.sparkContext.broadcast({"words": words, "classes": classes, "free": free, "label": label})
+        moved = best_of(lessons.mapInArrow(_count_neighbours(m), "w long, slot short, c long, old short"), table).toArrow()
         classes = classes.copy()
         classes[moved["w"].to_numpy()] = moved["class"].to_numpy()
         m = spark.sparkContext.broadcast({"words": words, "classes": classes, "label": label})
@@ -334,14 +341,120 @@ def word_classes(lessons: DataFrame, words: np.ndarray, classes: np.ndarray, fre
     return best[1:]
 
 
+def open_bits(words: DataFrame) -> np.ndarray:
+    """A bit table of fixed size with the low bits of each word's hash."""
+    at = F.col("word").bitwiseAND(F.lit(OPEN_BITS - 1))
+    found = (words.select(F.shiftright(at, 6).alias("at"), F.expr("shiftleft(1L, cast(word & 63 AS int))").alias("bit"))
+             .groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow())
+    out = np.zeros(OPEN_BITS // 64, np.uint64)
+    out[found["at"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def may_be_open(bits, words, known):
+    """Whether each word may be an open one: not ``known``, and its bit is set."""
+    at = words & (OPEN_BITS - 1)
+    return ~known & ((bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
+
+
+def distinct(*keys):
+    """(place of one of each, how many) of equal entries."""
+    order = np.lexsort(keys)
+    new = np.ones(len(order), bool)
+    for n, k in enumerate(keys):
+        k = k[order]
+        new[1:] = (new[1:] if n else False) | (k[1:] != k[:-1])
+    at = np.flatnonzero(new)
+    return order[at], np.diff(np.append(at, len(order)))
+
+
+def open_bigrams(kind, word, free, owner=None):
+    """Counts of the bigrams of a row of tokens with a side that may be open, told apart by ``owner`` of the place.
+
+    Returns a list: owner (None without), and per side the word (0 where it can't be open), whether it may be open,
+    and its class; last the counts.
+    """
+    at = np.flatnonzero(free[:-1] | free[1:])
+    sides = [(np.where(free[p], word[p], 0), free[p], kind[p]) for p in (at, at + 1)]
+    who = np.zeros(len(at), np.int64) if owner is None else owner(at)
+    one, c = distinct(*sides[0], *sides[1], who)
+    return [who[one], *(x[one] for s in sides for x in s), c]
+
+
+def _side(word, free, kind):
+    """Arrow columns of one side of ``open_bigrams``."""
+    import pyarrow as pa
+
+    return [pa.array(word, pa.int64(), mask=~free), pa.array(kind.astype(np.int32))]
+
+
+def _count_open(model):
+    """(lw, lc, rw, rc, c): bigrams of the learning texts with a word that may be open, added up within a slice."""
+    def run(batches):
+        import pyarrow as pa
+
+        m, hasher = model.value, Hasher()
+        for b in batches:
+            data, offsets = buffers(b.column("text"))
+            for i, j in slices(offsets):
+                first, words, ending = tokens(hasher, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                kind, place = classed(m, words, ending)
+                free = sequence(first, may_be_open(m["bits"], words, place >= 0), 0).astype(bool)
+                _, *sides, c = open_bigrams(sequence(first, kind, m["label"][END_TYPE]), sequence(first, words, 0), free)
+                yield pa.RecordBatch.from_arrays([*_side(*sides[:3]), *_side(*sides[3:]), pa.array(c)], names=["lw", "lc", "rw", "rc", "c"])
+    return run
+
+
+def relabelled(bigrams: DataFrame, opened: DataFrame) -> DataFrame:
+    """``bigrams`` with the classes ``opened`` (word, class) has of their words; sides without a word pass by the join."""
+    for word, kind in (("lw", "lc"), ("rw", "rc")):
+        found = opened.select(F.col("word").alias(word), F.col("class").cast("int").alias("found"))
+        met = bigrams.filter(F.col(word).isNotNull()).join(found, word, "left")
+        met = met.withColumn(kind, F.coalesce("found", kind)).drop("found")
+        bigrams = bigrams.filter(F.col(word).isNull()).unionByName(met)
+    return bigrams
+
+
+def open_classes(lessons: DataFrame, free: DataFrame, own: np.ndarray, classes: np.ndarray, label: np.ndarray, table: np.ndarray, bits: np.ndarray):
+    """((word, class) of the ``free`` (word, ending) beyond the lexicon, class bigrams), never collected.
+
+    Each goes where the likelihood is highest while all others stay, as in ``word_classes``; should that lower the
+    likelihood, all keep the classes of their endings.
+    """
+    m = lessons.sparkSession.sparkContext.broadcast({"words": own, "classes": classes, "label": label, "bits": bits})
+    bigrams = stored(lessons.mapInArrow(_count_open(m), "lw long, lc int, rw long, rc int, c long")
+                     .groupBy("lw", "lc", "rw", "rc").agg(F.sum("c").alias("c")), "lm-open")
+    left, right = bigrams.filter("lw is not null"), bigrams.filter("rw is not null")
+    near = (left.select(F.col("lw").alias("w"), F.col("rc").alias("slot"), "c", F.col("lc").alias("old"))
+            .unionByName(right.select(F.col("rw").alias("w"), (F.col("lc") + CLASSES).alias("slot"), "c", F.col("rc").alias("old")))
+            .unionByName(left.filter("lw = rw").select(F.col("lw").alias("w"), F.lit(2 * CLASSES).alias("slot"), "c", F.col("lc").alias("old"))))
+    near = near.join(free.select(F.col("word").alias("w")), "w", "left_semi")
+    opened = best_of(near.select("w", F.col("slot").cast("short").alias("slot"), "c", F.col("old").cast("short").alias("old")), table)
+    opened = opened.withColumnRenamed("w", "word")
+    cell = F.col("lc") * CLASSES + F.col("rc")
+    changes = relabelled(bigrams.withColumn("was", cell), opened)
+    changes = changes.select(F.explode(F.array(F.struct(F.col("was").alias("cell"), (-F.col("c")).alias("c")),
+                                               F.struct(cell.alias("cell"), F.col("c").alias("c")))).alias("x")).select("x.*")
+    now = table.copy().ravel()
+    for r in changes.groupBy("cell").agg(F.sum("c").alias("c")).collect():
+        now[r.cell] += r.c
+    now = now.reshape(table.shape)
+    dropped(bigrams)
+    return (opened, now) if likelihood(now) > likelihood(table) else (opened.filter(F.lit(False)), table)
+
+
 def _score(model):
-    """Per text: what the class transitions and the words of the lexicon give; per other word a row to be joined."""
+    """Per text: what the class transitions and the words of the lexicon give; rows to be joined for all other words.
+
+    Those are one for each distinct word outside the lexicon, and one for each distinct bigram with a word whose
+    class may be found only by a join.
+    """
     def run(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
         m, hasher = model.value, Hasher()
-        keys, counts, label, transition = m["keys"], m["counts"], m["label"], m["transition"]
+        keys, counts, classes, label, transition = m["keys"], m["counts"], m["classes"], m["label"], m["transition"]
         room, n_all, types_all, ends = m["room"], m["N"], m["V"], m["ends"]
         at_row = TaskContext.get().partitionId() << 36
         below = np.log10(n_all + ADD * (types_all + 1))
@@ -351,25 +464,35 @@ def _score(model):
             total = np.concatenate([[0.0], np.cumsum(values)])
             return total[first[1:]] - total[first[:-1]]
 
+        def numbers(k):
+            return [pa.nulls(k, t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+
+        def sides(k):
+            return [pa.nulls(k, t) for t in (pa.int64(), pa.int32()) * 2]
+
         for b in batches:
             data, offsets = buffers(b.column("text"))
             k = len(offsets) - 1
             rows = np.arange(at_row, at_row + k)
             at_row += k
             size, known, base, score = (np.zeros(k) for _ in range(4))
-            far = []
+            far, crossed = [], []
             for i, j in slices(offsets):
                 first, words, ending = tokens(hasher, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 at, there = find(keys, words)
                 c = np.where(there, counts[at] if len(counts) else 0, 0)
-                kind = classed(m, words, ending)[0]
-                row = np.full(len(words) + (j - i) + 1, label[END_TYPE])
-                row[np.arange(len(words)) + 1 + np.repeat(np.arange(j - i), np.diff(first))] = kind
+                kind = np.where(there, classes[at] if len(classes) else 0, label[ending])
+                row = sequence(first, kind, label[END_TYPE])
                 step = transition[row[:-1], row[1:]]
+                free = sequence(first, may_be_open(m["bits"], words, there), 0).astype(bool)
+                step[free[:-1] | free[1:]] = 0
+                starts = first + np.arange(j - i + 1)
+                crossed.append(open_bigrams(row, sequence(first, words, 0), free,
+                                            lambda p, a=starts, r=rows[i:j]: r[np.searchsorted(a, p, side="right") - 1]))
                 size[i:j] = np.diff(first)
                 known[i:j] = sums(there, first)
                 base[i:j] = sums(np.where(there, np.log10(c + ADD) - below, 0), first) + end_base
-                score[i:j] = (sums(step, first + np.arange(j - i + 1))
+                score[i:j] = (sums(step, starts)
                               + sums(np.where(there, np.log10(c + ADD) - room[kind], 0), first))
                 rest = np.flatnonzero(~there)
                 if len(rest):
@@ -382,19 +505,23 @@ def _score(model):
                     far.append((doc[at], word[at], cls[at], np.diff(np.append(at, len(doc)))))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows), b.column("id"), b.column("learn"), pa.array(size.astype(np.int64)), pa.array(known.astype(np.int64)),
-                 pa.array(base), pa.array(score), *(pa.nulls(k, t) for t in (pa.int64(), pa.int32(), pa.int32()))], names=NAMES)
+                 pa.array(base), pa.array(score), *(pa.nulls(k, t) for t in (pa.int64(), pa.int32(), pa.int32())), *sides(k)], names=NAMES)
+            for who, *both, c in crossed:
+                k = len(who)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(who), pa.nulls(k, b.schema.field("id").type), pa.nulls(k, pa.bool_()), *numbers(k), pa.nulls(k, pa.int64()),
+                     pa.nulls(k, pa.int32()), pa.array(c.astype(np.int32)), *_side(*both[:3]), *_side(*both[3:])], names=NAMES)
             if far:
                 doc, word, cls, tf = (np.concatenate([f[x] for f in far]) for x in range(4))
                 k = len(doc)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc), pa.nulls(k, b.schema.field("id").type), pa.nulls(k, pa.bool_()), pa.nulls(k, pa.int64()),
-                     pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.float64()),
-                     pa.array(word), pa.array(cls.astype(np.int32)), pa.array(tf.astype(np.int32))], names=NAMES)
+                    [pa.array(doc), pa.nulls(k, b.schema.field("id").type), pa.nulls(k, pa.bool_()), *numbers(k),
+                     pa.array(word), pa.array(cls.astype(np.int32)), pa.array(tf.astype(np.int32)), *sides(k)], names=NAMES)
     return run
 
 
 def _frequent(words: DataFrame, most: int):
-    """(word, ending, c) of the words above a count, chosen so that at most ``most`` words qualify; frequent first."""
+    """(words above a count, all others): at most ``most`` qualify, as pandas (word, ending, c), frequent first."""
     level = F.floor(F.log2("c") * 16)
     cut = 0
     for r in sorted(words.groupBy(level.alias("at")).count().collect(), key=lambda r: -r["at"]):
@@ -403,27 +530,30 @@ def _frequent(words: DataFrame, most: int):
             cut = r["at"] + 1
             break
     out = words.filter(level >= cut).toArrow().to_pandas()
-    return out.sort_values(["c", "word"], ascending=[False, True], ignore_index=True)
+    return out.sort_values(["c", "word"], ascending=[False, True], ignore_index=True), words.filter(level < cut)
 
 
-NAMES = ["row", "id", "learn", "size", "known", "base", "score", "word", "class", "tf"]
+NAMES = ["row", "id", "learn", "size", "known", "base", "score", "word", "class", "tf", "lw", "lc", "rw", "rc"]
 
 
-def class_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def class_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
+                 lexicon: int | None = None, top_words: int = TOP_WORDS, own_count: int = OWN_COUNT) -> DataFrame:
     """log10 probability of every whole text under a class bigram model learnt from the ``learn`` rows.
 
     Words are ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased; an end mark follows the last word.
     P(w | w') = P(class(w) | class(w')) * P(w | class(w)). Exchange clustering first puts the
     1,247 most frequent words, and all others by their last three bytes (800 hashed endings), into 96 classes, by
     a table of type bigrams of all learning texts (2,048 * 2,048, whatever the corpus). Every other word that occurs
-    ten times or more then moves to the best class for its own neighbours, in distributed sweeps;
-    only rarer and unseen words keep the class of their ending. The classes of these words are broadcast, 9 bytes a word.
+    ``own_count`` (ten) times or more then moves to the best class for its own neighbours: those of the ``lexicon``
+    (the 400,000 most frequent words) in distributed sweeps, their classes broadcast; the rest, however many, in one more
+    sweep whose classes stay in a stored table. A bit table of fixed size (2 MB) tells tasks which words may be of the
+    rest; what depends on their classes, bigrams included, is joined. Only rarer and unseen words keep the class of their ending.
     Transitions are smoothed towards the class's share; emissions add 0.1 to every count, with one more
     unseen word a class, so each class's words sum to one.
 
-    All word counts are summed over all learning texts. The scoring pass has the 400,000 most
-    frequent words' counts broadcast (6 MB) and passes every other word on, once a
-    text, to a join with the full counts.
+    All word counts are summed over all learning texts. The scoring pass has the lexicon's counts broadcast and
+    passes every other word on, once a text, to a join with the full counts. The driver holds the lexicon
+    (20 bytes a word) and tables of fixed size, whatever the corpus.
 
     Returns id, ``held_out`` (not learnt from), ``n_tokens`` (words and the end), ``n_known`` (tokens seen in learning),
     ``train_tokens``, ``base_score`` (unigrams, add 0.1) and ``score``. Null and empty texts are the end alone.
@@ -438,53 +568,57 @@ def class_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_co
                    .groupBy("word").agg(F.min("ending").alias("ending"), F.sum("c").alias("c")), "lm-words")
     n_docs = lessons.count()
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    common = _frequent(words, LEXICON)
-    key = common["word"].to_numpy(np.int64)
-    top = min(TOP_WORDS, len(key))
-    sort = np.argsort(key[:top], kind="stable")
-    parts = stored(lessons.mapInArrow(_count_pairs(spark.sparkContext.broadcast((key[:top][sort], sort))),
+    common, others = _frequent(words, LEXICON if lexicon is None else lexicon)
+    common["rank"] = np.arange(len(common))
+    top = min(top_words, len(common))
+    common = common.sort_values("word")
+    key, ending, c, rank = (common[x].to_numpy() for x in ("word", "ending", "c", "rank"))
+    first = rank < top
+    parts = stored(lessons.mapInArrow(_count_pairs(spark.sparkContext.broadcast((key[first], rank[first]))),
                                       "piece int, task long, counts binary"), "lm-pairs")
     tasks = (parts.agg(F.max("task")).first()[0] or 0) + 1
     pairs = merged(parts, tasks, TYPES * TYPES).reshape(TYPES, TYPES)
     label = exchange(pairs)
-    own = words.filter(F.col("c") >= OWN_COUNT).select("word", "ending", "c").toArrow()
-    own = [np.concatenate([common[x].to_numpy()[:top], own[x].to_numpy()]) for x in ("word", "ending", "c")]
-    _, at = np.unique(own[0], return_index=True)
-    own, ending, c = (x[at] for x in own)
-    classes, free = label[ending].astype(np.uint8), at >= top
-    classes[~free] = label[at[~free]]
+    classes = label[np.where(first, rank, ending)].astype(np.uint8)
+    own = first | (c >= own_count)
     member = np.zeros((TYPES, CLASSES))
     member[np.arange(TYPES), label] = 1
-    classes, step = word_classes(lessons, own, classes, free, label, member.T @ pairs @ member)
+    classes[own], step = word_classes(lessons, key[own], classes[own], ~first[own], label, member.T @ pairs @ member)
     size, kinds = np.bincount(classes, c, CLASSES), np.bincount(classes, minlength=CLASSES).astype(float)
-    rest = words.groupBy("ending").agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect()
-    for r in rest:
-        size[label[r.ending]] += r.c
-        kinds[label[r.ending]] += r.v
-    size -= np.bincount(label[ending], c, CLASSES)
-    kinds -= np.bincount(label[ending], minlength=CLASSES)
+    free = others.filter(F.col("c") >= own_count)
+    bits = open_bits(free)
+    opened = spark.createDataFrame([], "word long, class short")
+    if bits.any():
+        opened, step = open_classes(lessons, free.select("word", "ending"), key[own], classes[own], label, step, bits)
+    others = others.join(opened, "word", "left").groupBy("ending", "class").agg(F.sum("c").alias("c"), F.count("*").alias("v"))
+    for r in others.collect():
+        at = label[r.ending] if r["class"] is None else r["class"]
+        size[at] += r.c
+        kinds[at] += r.v
     room = np.log10(size + ADD * (kinds + 1))
     share = (step.sum(0) + 1) / (step.sum() + CLASSES)
     step = np.log10((step + PRIOR * share) / (step.sum(1, keepdims=True) + PRIOR))
-    order = np.argsort(key, kind="stable")
     total, kinds_all = float(n + n_docs), float(v + (n_docs > 0))
-    model = {"keys": key[order], "counts": common["c"].to_numpy(np.int64)[order], "label": label,
-             "words": own, "classes": classes, "transition": step, "room": room, "N": total, "V": kinds_all, "ends": float(n_docs)}
+    model = {"keys": key, "counts": c, "classes": classes, "label": label, "bits": bits,
+             "transition": step, "room": room, "N": total, "V": kinds_all, "ends": float(n_docs)}
     kind = rows.schema["id"].dataType.simpleString()
     scored = stored(rows.mapInArrow(_score(spark.sparkContext.broadcast(model)),
                                     f"row long, id {kind}, learn boolean, size long, known long, base double, score double, "
-                                    "word long, class int, tf int"), "lm-scored")
-    room_of = F.element_at(F.array(*(F.lit(float(x)) for x in room)), F.col("class") + 1)
+                                    "word long, class int, tf int, lw long, lc int, rw long, rc int"), "lm-scored")
+    room_of = F.element_at(F.array(*(F.lit(float(x)) for x in room)), F.coalesce("own", "class") + 1)
+    steps = spark.createDataFrame([(i, j, float(step[i, j])) for i in range(CLASSES) for j in range(CLASSES)], "lc int, rc int, step double")
+    crossed = (relabelled(scored.filter("lc is not null").select("row", "tf", "lw", "lc", "rw", "rc"), opened)
+               .join(F.broadcast(steps), ["lc", "rc"]).groupBy("row").agg(F.sum(F.col("tf") * F.col("step")).alias("crossed")))
     log_c = F.log10(F.coalesce("c", F.lit(0)) + F.lit(ADD))
     far = (scored.filter("word is not null").select("row", "word", "class", "tf")
-           .join(words.select("word", "c"), "word", "left")
+           .join(words.select("word", "c").join(opened.select("word", F.col("class").alias("own")), "word", "left"), "word", "left")
            .groupBy("row").agg(F.sum(F.col("tf") * (log_c - F.lit(float(np.log10(total + ADD * (kinds_all + 1)))))).alias("far_base"),
                                F.sum(F.col("tf") * (log_c - room_of)).alias("far_score"),
                                F.sum(F.when(F.col("c").isNotNull(), F.col("tf")).otherwise(0)).alias("far_known")))
     zero = F.lit(0)
-    return (scored.filter("word is null").join(far, "row", "left")
+    return (scored.filter("size is not null").join(far, "row", "left").join(crossed, "row", "left")
             .select(F.col("id").alias(id_col), (~F.col("learn")).alias("held_out"), (F.col("size") + 1).alias("n_tokens"),
                     (F.col("known") + F.coalesce("far_known", zero) + F.lit(int(n_docs > 0))).cast("long").alias("n_known"),
                     F.lit(int(n + n_docs)).cast("long").alias("train_tokens"),
                     (F.col("base") + F.coalesce("far_base", F.lit(0.0))).alias("base_score"),
-                    (F.col("score") + F.coalesce("far_score", F.lit(0.0))).alias("score")))
+                    (F.col("score") + F.coalesce("far_score", F.lit(0.0)) + F.coalesce("crossed", F.lit(0.0))).alias("score")))
