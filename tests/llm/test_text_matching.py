@@ -3,6 +3,7 @@
 import hashlib
 import re
 from collections import Counter
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -87,6 +88,17 @@ def test_short_items_and_scripts_without_spaces(spark):
     assert got == {(1, 1, 0), (3, 2, 1), (4, 3, 0)}
 
 
+@pytest.mark.parametrize("kind, ids", [("string", ["a-1", "b/2"]), ("int", [1, 2]), ("decimal(20,0)", [Decimal(10 ** 19), Decimal(2)])])
+def test_item_ids_keep_their_type(spark, kind, ids):
+    bench = spark.createDataFrame([(ids[0], "one two three four five six"), (ids[1], "never said before by anyone here"), (None, "one two three four five six")],
+                                  f"item_id {kind}, text string")
+    found = decontam.find_leaks(documents(spark, odd_rows()), bench)
+    assert found.schema["item_id"].dataType == bench.schema["item_id"].dataType
+    assert sorted((r.doc_id, r.item_id) for r in found.collect()) == [(8, ids[0]), (9, ids[0])]
+    assert decontam.without_leaks(documents(spark, odd_rows()), bench).count() == len(odd_rows()) - 2
+    assert decontam.find_leaks(documents(spark, odd_rows()), bench.limit(0)).schema == found.schema
+
+
 def test_leaks_in_chunks_and_odd_rows(spark, monkeypatch):
     bench = spark.createDataFrame([(1, "one two three four five six"), (2, "long text long text long text")], "item_id long, text string")
     docs = documents(spark, odd_rows())

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType
 
 from .textbytes import Hasher, buffers, letter_bounds, lower, slices
 
@@ -91,7 +92,7 @@ def myers(pattern: list, text: list) -> tuple[int, int]:
 class Index:
     """The pieces of a chunk of items, found by the hash of their first words."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]], error_rate: float, min_words: int):
+    def __init__(self, items: list[tuple[object, np.ndarray]], error_rate: float, min_words: int):
         self.items = [(k, w, int(len(w) * error_rate) if len(w) >= min_words else 0) for k, w in items]
         found: dict[int, list] = {}
         for at, (_, w, errors) in enumerate(self.items):
@@ -149,9 +150,12 @@ def chain(words_, n: int) -> np.ndarray:
     return out
 
 
-def _match(items, error_rate, min_words):
+def _match(items, error_rate, min_words, schema):
     def run(batches):
         import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        item_type = to_arrow_type(schema["item_id"].dataType)
 
         hasher, known = Hasher(), Index(items.value, error_rate, min_words)
         for b in batches:
@@ -164,7 +168,7 @@ def _match(items, error_rate, min_words):
                     out += [(ids[d], *m) for m in known.matches(hashes[first[d - i]:first[d - i + 1]])]
             cols = list(zip(*out)) or [[]] * 5
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], b.schema.field("id").type), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()),
+                [pa.array(cols[0], b.schema.field("id").type), pa.array(cols[1], item_type), pa.array(cols[2], pa.int32()),
                  pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int64())],
                 names=["id", "item_id", "edits", "first_word", "end_word"])
     return run
@@ -174,7 +178,7 @@ def _chunks(benchmark: DataFrame, item_col: str, text_col: str):
     """The items in lists of about ``CHUNK_BYTES`` of text each, read one partition at a time."""
     chunk, size = [], 0
     rows = benchmark.filter(F.col(item_col).isNotNull() & F.col(text_col).isNotNull())
-    for r in rows.select(F.col(item_col).cast("long").alias("k"), F.col(text_col).cast("string").alias("t")).toLocalIterator():
+    for r in rows.select(F.col(item_col).alias("k"), F.col(text_col).cast("string").alias("t")).toLocalIterator():
         raw = r.t.encode()
         chunk.append((r.k, raw))
         size += len(raw)
@@ -232,17 +236,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_
     bit-parallel distance checks them. Nothing is shuffled: each chunk of the benchmark
     (about 8 MB) is broadcast in a pass over the whole texts.
 
-    Returns one row a document row and item: id, ``item_id``, ``edits``, ``first_word`` and
+    Ids of items and documents keep their types. Returns one row a document row and item: id, ``item_id``, ``edits``, ``first_word`` and
     ``end_word`` (the best match; the first of equals). Null and empty texts, items with a null id or text, and
     items of fewer than ``min_words`` words and 12 bytes match nothing, those of fewer words only without edits; repeated rows match each by itself; items that
     repeat an id are matched each. Empty tables give no rows.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    schema = f"id {rows.schema['id'].dataType.simpleString()}, item_id long, edits int, first_word long, end_word long"
+    schema = (rows.select("id").schema.add("item_id", benchmark.schema[item_col].dataType)
+              .add("edits", IntegerType()).add("first_word", LongType()).add("end_word", LongType()))
     out = None
     for chunk in _chunks(benchmark, item_col, item_text_col):
-        found = rows.mapInArrow(_match(_items(spark, chunk, min_words), error_rate, min_words), schema)
+        found = rows.mapInArrow(_match(_items(spark, chunk, min_words), error_rate, min_words, schema), schema)
         out = found if out is None else out.unionByName(found)
     out = spark.createDataFrame([], schema) if out is None else out
     return out.withColumnRenamed("id", id_col)

@@ -445,7 +445,8 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     """The article of every page, from its whole html.
 
     A page becomes a sequence of text blocks, with hashed tag-path and word vectors; a bidirectional LSTM,
-    trained here in numpy, labels each block from the whole sequence. Kept blocks are joined
+    trained here in numpy, labels each block from the whole sequence. A tag-path vector hashes every element's name and the
+    first twelve words of each class, id or role attribute; the text itself is never cut. Kept blocks are joined
     in page order by a line feed; character references are decoded, white space inside a block is one space.
 
     Returns id, url, ``text``, ``n_chars`` (code points), ``n_blocks`` and ``n_kept``. Null and empty html give an
