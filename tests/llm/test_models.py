@@ -218,6 +218,31 @@ def test_an_id_that_repeats_is_learnt_once(spark, monkeypatch):
     assert once == toxicity.sample(documents(spark, hot), labelled, *columns).count() == 60
 
 
+def test_every_labelled_row_is_learnt_from(spark):
+    """Whatever their number, and whole long texts: label 1 is seen in texts of over 64 KB alone."""
+    rows, labels = _toxic_rows(150, 5)
+    rows = [(i, t + " plain words" * 6000 if y else t, lang) for (i, t, lang), (_, _, y) in zip(rows, labels)]
+    more = [(1000 + i, f"number {i}", "en") for i in range(3200)]
+    labelled = spark.createDataFrame([*labels, *((i, 1, 0) for i, *_ in more)], "doc_id long, quality int, toxic int")
+    docs = documents(spark, rows + more)
+    columns = (None, "doc_id", "text", "toxic", "lang", toxicity.TRAIN_ROWS)
+    assert toxicity.sample(docs, labelled, *columns).count() == len(rows) + len(more)
+    out = {r.doc_id: r.score >= 0.3 for r in toxicity.score(docs, labelled).collect()}
+    assert np.mean([out[i] for i, _, y in labels if y]) > 0.9 and not any(out[i] for i, *_ in more)
+
+
+@pytest.mark.parametrize("part", [20_000, 60_000])
+def test_parts_learnt_apart_separate_texts_too(spark, monkeypatch, part):
+    monkeypatch.setattr(toxicity, "PART_BYTES", part)
+    rows, labels = _toxic_rows(900, 1)
+    labelled = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    docs = documents(spark, rows)
+    out = {r.doc_id: r.score for r in toxicity.score(docs, labelled, usable=fold() % 4 != 2).collect()}
+    held = [i for i, *_ in rows if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert np.mean([(out[i] >= 0.3) == (i % 5 == 0) for i in held]) > 0.97
+    assert out == {r.doc_id: r.score for r in toxicity.score(docs, labelled, usable=fold() % 4 != 2).collect()}
+
+
 def test_scores_depend_on_the_text_alone(spark):
     rows, labels = _toxic_rows(300, 2)
     labelled = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
