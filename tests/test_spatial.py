@@ -85,3 +85,53 @@ def test_crowded_cells_are_dealt_out(spark):
     assert max(p._salts for p in parts) == 30 and {p._level for p in parts} == {3}
     centres = spark.createDataFrame([("c", -36.85, 174.76)], "cid string, centroid_lat double, centroid_lon double")
     assert within_distance(centres, points, 0.8, cell_points=100).count() == within_distance(centres, points, 0.8).count() > 3000
+
+
+def _counts(spark, cs, ps, radius, **kw):
+    cdf = spark.createDataFrame(cs, "cid string, centroid_lat double, centroid_lon double")
+    pdf = spark.createDataFrame(ps, "pid long, lat double, lon double")
+    return cdf, pdf, {r.cid: r.n for r in count_within_distance(cdf, pdf, radius, "cid", "pid", "n", **kw).collect()}
+
+
+def test_counts_equal_brute_force(spark):
+    """Cells met place by place and cells cut into parts; copies, null ids and places, both sides of the date line, poles."""
+    rnd = random.Random(11)
+    anchors = [(-36.85, 174.76), (0.0, 0.0), (60.0, 179.999), (-89.995, 40.0), (89.9999, -10.0)]
+    nan = float("nan")
+    for radius in (0.8, 25.0, 21000.0):
+        spread = min(radius, 30) / 111.0 * 2
+        cs, ps = [(None, -36.85, 174.76), ("none", None, 1.0), ("nan", nan, 1.0)], [(None, -36.85, 174.76), (1, None, 5.0), (2, nan, 5.0), (3, -36.85, nan)]
+        for a, (lat, lon) in enumerate(anchors):
+            def place():
+                return (max(-90.0, min(90.0, lat + rnd.uniform(-spread, spread))), (lon + rnd.uniform(-spread * 2, spread * 2) + 180) % 360 - 180)
+            cs += [(f"{a}-{j % 7}", *place()) for j in range(10)]
+            ps += [(100 * a + j, *place()) for j in range(400)]
+            ps += [(9000, lat, lon)] * 5
+        want = {}
+        for c, lat, lon in cs:
+            near = [] if lat is None else [1 for p in ps if p[0] is not None and p[1] is not None and _hav(lat, lon, p[1], p[2]) < radius]
+            want[c] = want.get(c, 0) + len(near)
+        for cell_points in (0, 40, 10 ** 9):
+            assert _counts(spark, cs, ps, radius, cell_points=cell_points)[2] == want, (radius, cell_points)
+
+
+def test_copies_and_whole_parts_are_not_paired(spark):
+    """100 x 4,000 copies and 4,000 distinct places around: far fewer rows meet than there are pairs."""
+    rnd = random.Random(5)
+    ps = [(i, -36.85, 174.76) for i in range(4000)]
+    ps += [(i, -36.85 + rnd.uniform(-0.006, 0.006), 174.76 + rnd.uniform(-0.007, 0.007)) for i in range(4000)]
+    cs = [(f"c{i}", -36.85, 174.76) for i in range(100)]
+    cdf, pdf, got = _counts(spark, cs, ps, 0.8)
+    n = sum(_hav(-36.85, 174.76, p[1], p[2]) < 0.8 for p in ps)
+    assert set(got.values()) == {n} and len(got) == 100 and n > 7000
+    df = count_within_distance(cdf, pdf, 0.8, "cid", "pid", "n")
+    df.collect()
+
+    def joined(plan):
+        own = [plan.metrics().apply("numOutputRows").value()] if plan.nodeName().endswith("Join") else []
+        name = plan.nodeName()
+        below = [plan.executedPlan()] if name == "AdaptiveSparkPlan" else [plan.plan()] if name.endswith("QueryStage") else []
+        inner = plan.children()
+        return own + sum((joined(p) for p in [*below, *(inner.apply(i) for i in range(inner.size()))]), [])
+
+    assert 0 < max(joined(df._jdf.queryExecution().executedPlan())) < 10_000

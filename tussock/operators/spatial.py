@@ -18,19 +18,29 @@ finer; a cell with more than ``CELL_POINTS`` points is split into 4, 16 or 64
 parts, and a part that is still crowded (a block of equal places) is dealt out
 by a hash. A point's key has its own cell's level, and a centre expands over the
 parts of a crowded cell that lie within reach.
+
+Counting needs no pairs: ``count_within_distance`` collapses equal places, takes the parts of crowded cells that
+lie wholly within the radius by their counts, and meets single places only in the parts that the circle cuts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tussock.functions.geo import band_height_deg, haversine_km, lon_cell_width_deg
+from tussock.functions.geo import EARTH_RADIUS_KM, band_height_deg, haversine_km, lon_cell_width_deg
 
 # Points of a grid cell (or part of one) that meet in a task; a cell with more is split.
 CELL_POINTS = 20_000
 # Finest level: a cell is split into 2 ** LEVELS parts each way.
 LEVELS = 3
+# For counting: distinct places of a cell that are met one by one; one with more is cut into 8 x 8 parts, and those once more.
+NODE_PLACES = 256
+COUNT_BITS = 6
+# Distinct places of a smallest part that meet in a task; more are dealt out by a hash.
+LEAF_PLACES = 2_000
 
 
 def _band(lat: Column, height: float) -> Column:
@@ -52,8 +62,8 @@ def _cell_index(lon: Column, n: Column, width: Column) -> Column:
 _NO_CELL = -(2 ** 62)
 
 
-def point_cells(points: DataFrame, lat: str, lon: str, radius_km: float) -> DataFrame:
-    """Add ``_band`` and ``_cell`` (one key per point), and the place in the cell on the finest level (``_y``, ``_x``).
+def point_cells(points: DataFrame, lat: str, lon: str, radius_km: float, levels: int = LEVELS) -> DataFrame:
+    """Add ``_band`` and ``_cell`` (one key per point), and the place in the cell on the finest of ``levels`` (``_y``, ``_x``).
 
     Points without coordinates can never be within range and are dropped first.
     The keys are declared non-nullable (``coalesce`` with an unreachable key),
@@ -64,7 +74,7 @@ def point_cells(points: DataFrame, lat: str, lon: str, radius_km: float) -> Data
     valid = points.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
     band = _band(F.col(lat), h)
     n, width = _cells(band, h, radius_km)
-    fine = 1 << LEVELS
+    fine = 1 << levels
 
     def part(at):
         return F.coalesce(F.least(F.floor((at - F.floor(at)) * fine), F.lit(fine - 1)), F.lit(0)).cast("int")
@@ -159,6 +169,84 @@ def within_distance(
     return pairs.filter(dist < F.lit(radius_km)).drop(*keys)
 
 
+def _boxes(df: DataFrame, *keys) -> DataFrame:
+    """Places, weight and bounds of the parts with the same ``keys``."""
+    return df.groupBy(*keys).agg(F.sum("_n").alias("_n"), F.sum("_w").alias("_w"), F.min("_s").alias("_s"), F.max("_t").alias("_t"),
+                                 F.min("_l").alias("_l"), F.max("_r").alias("_r"))
+
+
+def _box_reach(radius_km: float) -> tuple[Column, Column]:
+    """(whether the box may hold a place within the radius of the centre, whether all of the box lies within it).
+
+    The box spans ``_s`` to ``_t`` and ``_l`` to ``_r``. Compared is hav(d / R) = sin^2(dphi/2) + cos phi1 cos phi2
+    sin^2(dlambda/2) at the nearest and farthest latitude, longitude and cosine of the box. The margins are wider than
+    the rounding of the distance itself; what lies between the two is left to the exact distance.
+    """
+    angle = radius_km / EARTH_RADIUS_KM
+    hav, margin = math.sin(min(angle, math.pi) / 2) ** 2, 1e-6 + 1e-14 / max(angle, 1e-300)
+    lat, lon = F.col("_clat"), F.col("_clon")
+
+    def half_sin2(degrees):
+        return F.pow(F.sin(F.radians(degrees) / 2), 2)
+
+    far = F.greatest(F.abs(lat - F.col("_s")), F.abs(lat - F.col("_t")))
+    near = F.greatest(F.col("_s") - lat, lat - F.col("_t"), F.lit(0.0))
+    cos, own = F.abs(F.cos(F.radians("_s"))), F.cos(F.radians(lat))
+    spread = F.radians(F.col("_t") - F.col("_s"))
+    left, right, narrow = F.col("_l") - lon, F.col("_r") - lon, F.col("_r") - F.col("_l") < 180
+    ends = (half_sin2(left), half_sin2(right))
+    most = half_sin2(far) + F.abs(own) * F.least(cos + spread, F.lit(1.0)) * F.greatest(*ends)
+    whole = narrow & (ends[0] < 0.5) & (ends[1] < 0.5) & (far < 180) & (most < hav * (1 - margin))
+    across = ~narrow | (F.floor(left / 360) < F.floor(right / 360))
+    least = half_sin2(near) + own * F.greatest(cos - spread, F.lit(0.0)) * F.when(across, F.lit(0.0)).otherwise(F.least(*ends))
+    on_globe = (F.abs(lat) <= 90) & (F.col("_s") >= -90) & (F.col("_t") <= 90)
+    return ~(on_globe & (least > hav * (1 + margin))), whole
+
+
+def _weights(spots: DataFrame, places: DataFrame, radius_km: float, node_places: int) -> DataFrame:
+    """(_clat, _clon, _w): parts of the sum of ``_w`` over the ``places`` (_plat, _plon, _w) around each of the ``spots``."""
+    def coarse(c):
+        return F.shiftright(c, COUNT_BITS // 2).alias(c)
+
+    where = ["_band", "_cell", "_y", "_x"]
+    p = point_cells(places, "_plat", "_plon", radius_km, COUNT_BITS)
+    fine = p.groupBy(*where).agg(F.count(F.lit(1)).alias("_n"), F.sum("_w").alias("_w"), F.min("_plat").alias("_s"),
+                                 F.max("_plat").alias("_t"), F.min("_plon").alias("_l"), F.max("_plon").alias("_r"))
+    cells, parts = _boxes(fine, "_band", "_cell"), _boxes(fine, "_band", "_cell", coarse("_y"), coarse("_x"))
+    may, whole = _box_reach(radius_km)
+
+    def met(open_nodes, nodes, keys):
+        return open_nodes.join(nodes, keys).filter(may).withColumn("_whole", whole)
+
+    def further(nodes, *keys):
+        return nodes.filter(~F.col("_whole") & (F.col("_n") > node_places)).select("_clat", "_clon", "_band", "_cell", *keys)
+
+    # The last step's parts are not cut again, whatever they hold.
+    steps = [met(centre_cells(spots, "_clat", "_clon", radius_km).select("_clat", "_clon", "_band", "_cell"), cells, ["_band", "_cell"])
+             .withColumns({"_y": F.lit(0), "_x": F.lit(0)})]
+    steps.append(met(further(steps[0]), parts, ["_band", "_cell"]))
+    inner = fine.withColumns({"_py": coarse("_y"), "_px": coarse("_x")})
+    steps.append(met(further(steps[1], F.col("_y").alias("_py"), F.col("_x").alias("_px")), inner, ["_band", "_cell", "_py", "_px"]))
+    steps = [n.select("_clat", "_clon", *where, F.lit(i).alias("_step"), "_n", "_w", "_whole") for i, n in enumerate(steps)]
+    nodes = steps[0].unionByName(steps[1]).unionByName(steps[2])
+    cut = nodes.filter(~F.col("_whole") & ((F.col("_n") <= node_places) | (F.col("_step") == 2)))
+    salts = F.ceil(F.greatest(F.col("_n"), F.lit(1)) / LEAF_PLACES)
+    cut = cut.select("_clat", "_clon", "_step", *where, F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("_salt"))
+
+    cell, part = Window.partitionBy("_band", "_cell"), Window.partitionBy("_band", "_cell", F.shiftright("_y", COUNT_BITS // 2), F.shiftright("_x", COUNT_BITS // 2))
+    step = (F.when(F.sum("_n").over(cell) <= node_places, 0).when(F.sum("_n").over(part) <= node_places, 1).otherwise(2))
+    at = fine.select(*where, step.alias("_step"), F.when(step == 2, salts).otherwise(F.lit(1).cast("long")).alias("_salts"))
+
+    def on_step(c):
+        return F.when(F.col("_step") == 0, F.lit(0)).when(F.col("_step") == 1, coarse(c)).otherwise(F.col(c)).alias(c)
+
+    keyed = p.join(at, where).select("_plat", "_plon", "_w", "_step", "_band", "_cell", on_step("_y"), on_step("_x"),
+                                     F.pmod(F.xxhash64("_plat", "_plon"), "_salts").alias("_salt"))
+    pairs = keyed.join(cut, ["_step", *where, "_salt"])
+    pairs = pairs.filter(haversine_km(F.col("_clat"), F.col("_clon"), F.col("_plat"), F.col("_plon")) < F.lit(radius_km))
+    return nodes.filter("_whole").select("_clat", "_clon", "_w").unionByName(pairs.select("_clat", "_clon", "_w"))
+
+
 def count_within_distance(
     centres: DataFrame,
     points: DataFrame,
@@ -166,19 +254,25 @@ def count_within_distance(
     centre_key: str,
     point_id: str,
     out_col: str,
-    **kw,
+    centre_lat: str = "centroid_lat",
+    centre_lon: str = "centroid_lon",
+    point_lat: str = "lat",
+    point_lon: str = "lon",
+    cell_points: int = NODE_PLACES,
 ) -> DataFrame:
-    """Per centre, COUNT(point_id) of points within the radius; 0 when none.
+    """Per centre, COUNT(point_id) of points within the radius (strict); 0 when none.
 
-    No join back to the centres: every matching pair contributes 1 (0 for a
-    NULL point id, as COUNT(col) skips NULLs), every centre contributes one 0
-    row, and a single aggregation sums them. Partial aggregation runs before
-    the shuffle, and a NULL centre key is its own group, as in GROUP BY.
+    Equal places are counted once on either side (a NULL point id counts 0, as COUNT(col) skips NULLs), so that copies
+    meet no copies. A cell with more than ``cell_points`` distinct places is cut into 8 x 8 parts, and those once more:
+    parts wholly within the radius add their count, parts out of reach nothing, and only the places of parts that
+    the circle cuts are compared by distance. Every centre row then takes the sum of its place, and one aggregation sums
+    them by key; a NULL centre key is its own group, as in GROUP BY.
     """
-    keys = centres.select(centre_key, kw.get("centre_lat", "centroid_lat"), kw.get("centre_lon", "centroid_lon"))
-    pairs = within_distance(keys, points.select(point_id, kw.get("point_lat", "lat"), kw.get("point_lon", "lon")),
-                            radius_km, **kw)
-    hits = pairs.select(centre_key, F.when(F.col(point_id).isNotNull(), F.lit(1)).otherwise(F.lit(0)).alias("_n"))
-    zeros = centres.select(centre_key, F.lit(0).alias("_n"))
-    return (hits.unionByName(zeros).groupBy(centre_key)
-            .agg(F.sum("_n").cast("long").alias(out_col)))
+    keys = centres.select(F.col(centre_key).alias("_key"), F.col(centre_lat).cast("double").alias("_clat"),
+                          F.col(centre_lon).cast("double").alias("_clon"))
+    spots = keys.select("_clat", "_clon").filter("_clat is not null and _clon is not null").distinct()
+    places = points.select(F.col(point_lat).cast("double").alias("_plat"), F.col(point_lon).cast("double").alias("_plon"), F.col(point_id).alias("_id"))
+    places = places.filter("_plat is not null and _plon is not null").groupBy("_plat", "_plon").agg(F.count("_id").alias("_w"))
+    found = _weights(spots, places, radius_km, cell_points).groupBy("_clat", "_clon").agg(F.sum("_w").alias("_w"))
+    return (keys.join(found, ["_clat", "_clon"], "left").groupBy("_key")
+            .agg(F.sum(F.coalesce("_w", F.lit(0).cast("long"))).cast("long").alias(out_col)).withColumnRenamed("_key", centre_key))
