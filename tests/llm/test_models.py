@@ -44,6 +44,24 @@ def test_class_model_counts_exactly_and_beats_unigrams(spark, monkeypatch, lexic
     assert all(r.score < 0 for r in out)
 
 
+def test_class_model_splits_texts_into_words_twice(spark, monkeypatch):
+    """To count the words and to code them; all sweeps and the scores read the codes."""
+    from tussock.llm import store
+
+    kept = {}
+
+    def noted(df, name):
+        out = store.stored(df, name)
+        kept.setdefault(name, []).append(df._jdf.queryExecution().optimizedPlan().toString())
+        return out
+
+    monkeypatch.setattr(brown, "stored", noted)
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    brown.class_scores(documents(spark, rows), F.col("doc_id") % 10 != 0, lexicon=50, own_count=4)
+    assert sorted(name for name, plans in kept.items() if any("text" in p for p in plans)) == ["lm-coded", "lm-words"]
+    assert {"lm-pairs", "lm-moved", "lm-open", "lm-scored"} <= set(kept)
+
+
 def test_class_model_of_odd_rows(spark):
     rows = [r[:2] for r in odd_rows()]
     out = brown.class_scores(documents(spark, rows), fold() % 10 != 0).collect()

@@ -25,6 +25,8 @@ LEXICON = 400_000
 OPEN_BITS = 1 << 24
 #: Distinct words that a task holds before it passes their counts on.
 FLUSH = 1_500_000
+#: Bytes of coded words (four each) worked on at once; temporary arrays take some 50 times as much.
+CODED_BYTES = 1 << 20
 ADD = 0.1
 PRIOR = 20.0
 
@@ -41,6 +43,15 @@ def tokens(hasher, data, offsets):
     return first, words, (TOP_WORDS + (tail % np.uint64(ENDINGS))).astype(np.int16)
 
 
+def _added(kept):
+    """Sorted distinct keys of the (keys, counts) in ``kept``, each sorted by itself, and their summed counts."""
+    keys, c = (np.concatenate([k[i] for k in kept]) for i in range(2))
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
+    return keys[first], np.add.reduceat(c[order], first) if len(first) else c
+
+
 def _count_words(batches):
     """(word, ending, c): counts of the words of the learning texts, added up within the task."""
     import pyarrow as pa
@@ -49,8 +60,10 @@ def _count_words(batches):
 
     def added():
         words, ends, c = (np.concatenate([k[i] for k in kept]) for i in range(3))
-        u, at, inv = np.unique(words, return_index=True, return_inverse=True)
-        return u, ends[at], np.bincount(inv, weights=c).astype(np.int64)
+        order = np.argsort(words, kind="stable")
+        words = words[order]
+        first = np.flatnonzero(np.append(True, words[1:] != words[:-1])[:len(words)])
+        return words[first], ends[order[first]], np.add.reduceat(c[order], first) if len(first) else c
 
     def rows(x):
         for i in range(0, len(x[0]), 200_000):
@@ -89,22 +102,71 @@ def sequence(first, types, end=END_TYPE):
     return out
 
 
-def _count_pairs(top):
-    """Bigram counts of types within the task, as one fixed table."""
+def _coded(keys):
+    """(row, id, learn, at, far): whole texts as codes of their words, with the hashes of those outside the lexicon.
+
+    A code is the word's place in the sorted ``keys``, or -1 - its ending type. So a table of values by place,
+    followed by those by ending type in reverse, is indexed by codes of either kind (``by_code``).
+    """
     def run(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
-        hasher, counts = Hasher(), np.zeros(TYPES * TYPES, np.int64)
-        keys, ids = top.value
-        some = False
+        def column(values, first):
+            return pa.Array.from_buffers(pa.binary(), len(first) - 1, [None, pa.py_buffer((first * values.itemsize).astype(np.int32)), pa.py_buffer(values)])
+
+        hasher, lexicon = Hasher(), keys.value
+        at_row = TaskContext.get().partitionId() << 36
         for b in batches:
-            some = True
             data, offsets = buffers(b.column("text"))
+            n = len(offsets) - 1
+            codes, far, size, away = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(1, np.int64)], [np.zeros(1, np.int64)]
             for i, j in slices(offsets):
-                first, words, types = tokens(hasher, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                at, known = find(keys, words)
-                row = sequence(first, np.where(known, ids[at] if len(ids) else 0, types))
+                first, words, ending = tokens(hasher, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                at, known = find(lexicon, words)
+                codes.append(np.where(known, at, -1 - ending.astype(np.int64)).astype(np.int32))
+                far.append(words[~known])
+                size.append(np.diff(first))
+                away.append(np.diff(np.concatenate([[0], np.cumsum(~known)])[first]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(at_row, at_row + n)), b.column("id"), b.column("learn"),
+                 *(column(np.concatenate(x), np.cumsum(np.concatenate(k))) for x, k in ((codes, size), (far, away)))],
+                names=["row", "id", "learn", "at", "far"])
+            at_row += n
+    return run
+
+
+def _decoded(batch):
+    """(i, j, first word of each text plus the total, codes, hashes of the words outside the lexicon) of slices of coded texts.
+
+    The hashes are in a row with a zero for every word of the lexicon.
+    """
+    data, offsets = buffers(batch.column("at"))
+    others, starts = buffers(batch.column("far"))
+    data, others = data.view(np.int32), others.view(np.int64)
+    for i, j in slices(offsets, CODED_BYTES):
+        codes = data[offsets[i] // 4:offsets[j] // 4]
+        words = np.zeros(len(codes), np.int64)
+        words[codes < 0] = others[starts[i] // 8:starts[j] // 8]
+        yield i, j, (offsets[i:j + 1] - offsets[i]) // 4, codes, words
+
+
+def by_code(places, endings):
+    """Values of the lexicon's words and of all types as one table, indexed by codes."""
+    return np.concatenate([places, endings[::-1]])
+
+
+def _count_pairs(types):
+    """Bigram counts of types within the task, as one fixed table."""
+    def run(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        counts, some = np.zeros(TYPES * TYPES, np.int64), False
+        for b in batches:
+            some = True
+            for _, _, first, codes, _ in _decoded(b):
+                row = sequence(first, types.value[codes])
                 counts += np.bincount(row[:-1] * TYPES + row[1:], minlength=TYPES * TYPES)
         if some:
             yield pa.RecordBatch.from_arrays(
@@ -171,23 +233,15 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
     return label
 
 
-def classed(m, words, ending):
-    """(class, place in the words with a class of their own or -1) of each word."""
-    at, own = find(m["words"], words)
-    return np.where(own, m["classes"][at] if len(m["words"]) else 0, m["label"][ending]), np.where(own, at, -1)
-
-
 def _count_classes(model):
     """(cell, c): class bigrams of the learning texts, added up within the task."""
     def run(batches):
         import pyarrow as pa
 
-        m, hasher, counts = model.value, Hasher(), np.zeros(CLASSES * CLASSES, np.int64)
+        m, counts = model.value, np.zeros(CLASSES * CLASSES, np.int64)
         for b in batches:
-            data, offsets = buffers(b.column("text"))
-            for i, j in slices(offsets):
-                first, words, ending = tokens(hasher, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                row = sequence(first, classed(m, words, ending)[0], m["label"][END_TYPE])
+            for _, _, first, codes, _ in _decoded(b):
+                row = sequence(first, m["kinds"][codes], m["end"])
                 counts += np.bincount(row[:-1] * CLASSES + row[1:], minlength=CLASSES * CLASSES)
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["cell", "c"])
@@ -199,26 +253,18 @@ def _count_neighbours(model):
     def run(batches):
         import pyarrow as pa
 
-        m, hasher, held, kept = model.value, Hasher(), 0, []
-
-        def added():
-            cells, c = (np.concatenate([k[i] for k in kept]) for i in range(2))
-            u, inv = np.unique(cells, return_inverse=True)
-            return u, np.bincount(inv, weights=c).astype(np.int64)
+        m, held, kept = model.value, 0, []
 
         def rows(x):
             for i in range(0, len(x[0]), 200_000):
                 w, slot = np.divmod(x[0][i:i + 200_000], SLOTS)
                 yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(slot.astype(np.int16)), pa.array(x[1][i:i + 200_000]),
-                                                  pa.array(m["classes"][w].astype(np.int16))], names=["w", "slot", "c", "old"])
+                                                  pa.array(m["kinds"][w].astype(np.int16))], names=["w", "slot", "c", "old"])
 
         for b in batches:
-            data, offsets = buffers(b.column("text"))
-            for i, j in slices(offsets):
-                first, words, ending = tokens(hasher, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                kind, w = classed(m, words, ending)
-                w = np.where((w >= 0) & m["free"][w], w, -1)
-                kind, w = sequence(first, kind, m["label"][END_TYPE]), sequence(first, w, -1)
+            for _, _, first, codes, _ in _decoded(b):
+                kind = sequence(first, m["kinds"][codes], m["end"])
+                w = sequence(first, np.where(m["free"][codes], codes, -1), -1)
                 at = np.flatnonzero(w >= 0)
                 if not len(at):
                     continue
@@ -228,13 +274,13 @@ def _count_neighbours(model):
                 kept.append((u, c))
                 held += len(u)
                 if held >= 2 * FLUSH:
-                    kept = [added()]
+                    kept = [_added(kept)]
                     held = len(kept[0][0])
                     if held >= FLUSH:
                         yield from rows(kept[0])
                         kept, held = [], 0
         if kept:
-            yield from rows(added())
+            yield from rows(_added(kept))
     return run
 
 
@@ -316,20 +362,20 @@ def best_of(near: DataFrame, table: np.ndarray) -> DataFrame:
     return stored(near.select("w", "slot", "c", "old").sortWithinPartitions("w").mapInArrow(moved, "w long, class short"), "lm-moved")
 
 
-def word_classes(lessons: DataFrame, words: np.ndarray, classes: np.ndarray, free: np.ndarray, label: np.ndarray, table: np.ndarray):
-    """(class of each of the sorted ``words``, class bigrams) after distributed sweeps of the ``free`` words.
+def word_classes(lessons: DataFrame, classes: np.ndarray, free: np.ndarray, label: np.ndarray, table: np.ndarray):
+    """(class of each word of the lexicon, class bigrams) after distributed sweeps of the ``free`` words over coded texts.
 
     In a sweep every free word goes where the likelihood is highest while all others stay; the sweep with the highest
     likelihood is kept.
     """
-    spark = lessons.sparkSession
+    context = lessons.sparkSession.sparkContext
     best = likelihood(table), classes, table
     for _ in range(WORD_SWEEPS if free.any() else 0):
-        m = spark.sparkContext.broadcast({"words": words, "classes": classes, "free": free, "label": label})
+        m = context.broadcast({"kinds": by_code(classes, label).astype(np.uint8), "free": by_code(free, np.zeros(TYPES, bool)), "end": label[END_TYPE]})
         moved = best_of(lessons.mapInArrow(_count_neighbours(m), "w long, slot short, c long, old short"), table).toArrow()
         classes = classes.copy()
         classes[moved["w"].to_numpy()] = moved["class"].to_numpy()
-        m = spark.sparkContext.broadcast({"words": words, "classes": classes, "label": label})
+        m = context.broadcast({"kinds": by_code(classes, label).astype(np.uint8), "end": label[END_TYPE]})
         table = np.zeros(CLASSES * CLASSES)
         for r in lessons.mapInArrow(_count_classes(m), "cell int, c long").groupBy("cell").agg(F.sum("c").alias("c")).collect():
             table[r.cell] = r.c
@@ -393,14 +439,11 @@ def _count_open(model):
     def run(batches):
         import pyarrow as pa
 
-        m, hasher = model.value, Hasher()
+        m = model.value
         for b in batches:
-            data, offsets = buffers(b.column("text"))
-            for i, j in slices(offsets):
-                first, words, ending = tokens(hasher, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                kind, place = classed(m, words, ending)
-                free = sequence(first, may_be_open(m["bits"], words, place >= 0), 0).astype(bool)
-                _, *sides, c = open_bigrams(sequence(first, kind, m["label"][END_TYPE]), sequence(first, words, 0), free)
+            for _, _, first, codes, words in _decoded(b):
+                free = sequence(first, may_be_open(m["bits"], words, codes >= 0), 0).astype(bool)
+                _, *sides, c = open_bigrams(sequence(first, m["kinds"][codes], m["end"]), sequence(first, words, 0), free)
                 yield pa.RecordBatch.from_arrays([*_side(*sides[:3]), *_side(*sides[3:]), pa.array(c)], names=["lw", "lc", "rw", "rc", "c"])
     return run
 
@@ -415,13 +458,13 @@ def relabelled(bigrams: DataFrame, opened: DataFrame) -> DataFrame:
     return bigrams
 
 
-def open_classes(lessons: DataFrame, free: DataFrame, own: np.ndarray, classes: np.ndarray, label: np.ndarray, table: np.ndarray, bits: np.ndarray):
+def open_classes(lessons: DataFrame, free: DataFrame, classes: np.ndarray, label: np.ndarray, table: np.ndarray, bits: np.ndarray):
     """((word, class) of the ``free`` (word, ending) beyond the lexicon, class bigrams), never collected.
 
     Each goes where the likelihood is highest while all others stay, as in ``word_classes``; should that lower the
     likelihood, all keep the classes of their endings.
     """
-    m = lessons.sparkSession.sparkContext.broadcast({"words": own, "classes": classes, "label": label, "bits": bits})
+    m = lessons.sparkSession.sparkContext.broadcast({"kinds": by_code(classes, label).astype(np.uint8), "end": label[END_TYPE], "bits": bits})
     bigrams = stored(lessons.mapInArrow(_count_open(m), "lw long, lc int, rw long, rc int, c long")
                      .groupBy("lw", "lc", "rw", "rc").agg(F.sum("c").alias("c")), "lm-open")
     left, right = bigrams.filter("lw is not null"), bigrams.filter("rw is not null")
@@ -451,18 +494,14 @@ def _score(model):
     """
     def run(batches):
         import pyarrow as pa
-        from pyspark import TaskContext
 
-        m, hasher = model.value, Hasher()
-        keys, counts, classes, label, transition = m["keys"], m["counts"], m["classes"], m["label"], m["transition"]
-        room, n_all, types_all, ends = m["room"], m["N"], m["V"], m["ends"]
-        at_row = TaskContext.get().partitionId() << 36
-        below = np.log10(n_all + ADD * (types_all + 1))
-        end_base = np.log10(ends + ADD) - below
+        m = model.value
+        kinds, base_of, score_of, transition, end_base = (m[x] for x in ("kinds", "base", "score", "transition", "end_base"))
 
         def sums(values, first):
-            total = np.concatenate([[0.0], np.cumsum(values)])
-            return total[first[1:]] - total[first[:-1]]
+            out, some = np.zeros(len(first) - 1), np.flatnonzero(np.diff(first))
+            out[some] = np.add.reduceat(values, first[some], dtype=float) if len(some) else 0
+            return out
 
         def numbers(k):
             return [pa.nulls(k, t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
@@ -471,19 +510,14 @@ def _score(model):
             return [pa.nulls(k, t) for t in (pa.int64(), pa.int32()) * 2]
 
         for b in batches:
-            data, offsets = buffers(b.column("text"))
-            k = len(offsets) - 1
-            rows = np.arange(at_row, at_row + k)
-            at_row += k
+            k = b.num_rows
+            rows = b.column("row").to_numpy()
             size, known, base, score = (np.zeros(k) for _ in range(4))
             far, crossed = [], []
-            for i, j in slices(offsets):
-                first, words, ending = tokens(hasher, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                at, there = find(keys, words)
-                c = np.where(there, counts[at] if len(counts) else 0, 0)
-                kind = np.where(there, classes[at] if len(classes) else 0, label[ending])
-                row = sequence(first, kind, label[END_TYPE])
-                step = transition[row[:-1], row[1:]]
+            for i, j, first, codes, words in _decoded(b):
+                there, kind = codes >= 0, kinds[codes]
+                row = sequence(first, kind, m["end"])
+                step = transition[row[:-1] * CLASSES + row[1:]]
                 free = sequence(first, may_be_open(m["bits"], words, there), 0).astype(bool)
                 step[free[:-1] | free[1:]] = 0
                 starts = first + np.arange(j - i + 1)
@@ -491,9 +525,8 @@ def _score(model):
                                             lambda p, a=starts, r=rows[i:j]: r[np.searchsorted(a, p, side="right") - 1]))
                 size[i:j] = np.diff(first)
                 known[i:j] = sums(there, first)
-                base[i:j] = sums(np.where(there, np.log10(c + ADD) - below, 0), first) + end_base
-                score[i:j] = (sums(step, starts)
-                              + sums(np.where(there, np.log10(c + ADD) - room[kind], 0), first))
+                base[i:j] = sums(base_of[codes], first) + end_base
+                score[i:j] = sums(step, starts) + sums(score_of[codes], first)
                 rest = np.flatnonzero(~there)
                 if len(rest):
                     doc = np.repeat(rows[i:j], np.diff(first))[rest]
@@ -504,7 +537,7 @@ def _score(model):
                     at = np.flatnonzero(new)
                     far.append((doc[at], word[at], cls[at], np.diff(np.append(at, len(doc)))))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows), b.column("id"), b.column("learn"), pa.array(size.astype(np.int64)), pa.array(known.astype(np.int64)),
+                [b.column("row"), b.column("id"), b.column("learn"), pa.array(size.astype(np.int64)), pa.array(known.astype(np.int64)),
                  pa.array(base), pa.array(score), *(pa.nulls(k, t) for t in (pa.int64(), pa.int32(), pa.int32())), *sides(k)], names=NAMES)
             for who, *both, c in crossed:
                 k = len(who)
@@ -574,22 +607,24 @@ def class_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_co
     common = common.sort_values("word")
     key, ending, c, rank = (common[x].to_numpy() for x in ("word", "ending", "c", "rank"))
     first = rank < top
-    parts = stored(lessons.mapInArrow(_count_pairs(spark.sparkContext.broadcast((key[first], rank[first]))),
-                                      "piece int, task long, counts binary"), "lm-pairs")
+    kind = rows.schema["id"].dataType.simpleString()
+    coded = stored(rows.mapInArrow(_coded(spark.sparkContext.broadcast(key)), f"row long, id {kind}, learn boolean, at binary, far binary"), "lm-coded")
+    lessons = coded.filter("learn").select("at", "far")
+    types = by_code(np.where(first, rank, ending), np.arange(TYPES))
+    parts = stored(lessons.mapInArrow(_count_pairs(spark.sparkContext.broadcast(types)), "piece int, task long, counts binary"), "lm-pairs")
     tasks = (parts.agg(F.max("task")).first()[0] or 0) + 1
     pairs = merged(parts, tasks, TYPES * TYPES).reshape(TYPES, TYPES)
     label = exchange(pairs)
     classes = label[np.where(first, rank, ending)].astype(np.uint8)
-    own = first | (c >= own_count)
     member = np.zeros((TYPES, CLASSES))
     member[np.arange(TYPES), label] = 1
-    classes[own], step = word_classes(lessons, key[own], classes[own], ~first[own], label, member.T @ pairs @ member)
+    classes, step = word_classes(lessons, classes, ~first & (c >= own_count), label, member.T @ pairs @ member)
     size, kinds = np.bincount(classes, c, CLASSES), np.bincount(classes, minlength=CLASSES).astype(float)
     free = others.filter(F.col("c") >= own_count)
     bits = open_bits(free)
     opened = spark.createDataFrame([], "word long, class short")
     if bits.any():
-        opened, step = open_classes(lessons, free.select("word", "ending"), key[own], classes[own], label, step, bits)
+        opened, step = open_classes(lessons, free.select("word", "ending"), classes, label, step, bits)
     others = others.join(opened, "word", "left").groupBy("ending", "class").agg(F.sum("c").alias("c"), F.count("*").alias("v"))
     for r in others.collect():
         at = label[r.ending] if r["class"] is None else r["class"]
@@ -599,12 +634,15 @@ def class_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_co
     share = (step.sum(0) + 1) / (step.sum() + CLASSES)
     step = np.log10((step + PRIOR * share) / (step.sum(1, keepdims=True) + PRIOR))
     total, kinds_all = float(n + n_docs), float(v + (n_docs > 0))
-    model = {"keys": key, "counts": c, "classes": classes, "label": label, "bits": bits,
-             "transition": step, "room": room, "N": total, "V": kinds_all, "ends": float(n_docs)}
-    kind = rows.schema["id"].dataType.simpleString()
-    scored = stored(rows.mapInArrow(_score(spark.sparkContext.broadcast(model)),
-                                    f"row long, id {kind}, learn boolean, size long, known long, base double, score double, "
-                                    "word long, class int, tf int, lw long, lc int, rw long, rc int"), "lm-scored")
+    below = np.log10(total + ADD * (kinds_all + 1))
+    none = np.zeros(TYPES)
+    model = {"kinds": by_code(classes, label).astype(np.uint8), "end": label[END_TYPE], "bits": bits, "transition": step.ravel(),
+             "base": by_code(np.log10(c + ADD) - below, none), "score": by_code(np.log10(c + ADD) - room[classes], none),
+             "end_base": np.log10(n_docs + ADD) - below}
+    scored = stored(coded.mapInArrow(_score(spark.sparkContext.broadcast(model)),
+                                     f"row long, id {kind}, learn boolean, size long, known long, base double, score double, "
+                                     "word long, class int, tf int, lw long, lc int, rw long, rc int"), "lm-scored")
+    dropped(coded)
     room_of = F.element_at(F.array(*(F.lit(float(x)) for x in room)), F.coalesce("own", "class") + 1)
     steps = spark.createDataFrame([(i, j, float(step[i, j])) for i in range(CLASSES) for j in range(CLASSES)], "lc int, rc int, step double")
     crossed = (relabelled(scored.filter("lc is not null").select("row", "tf", "lw", "lc", "rw", "rc"), opened)
@@ -612,7 +650,7 @@ def class_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_co
     log_c = F.log10(F.coalesce("c", F.lit(0)) + F.lit(ADD))
     far = (scored.filter("word is not null").select("row", "word", "class", "tf")
            .join(words.select("word", "c").join(opened.select("word", F.col("class").alias("own")), "word", "left"), "word", "left")
-           .groupBy("row").agg(F.sum(F.col("tf") * (log_c - F.lit(float(np.log10(total + ADD * (kinds_all + 1)))))).alias("far_base"),
+           .groupBy("row").agg(F.sum(F.col("tf") * (log_c - F.lit(float(below)))).alias("far_base"),
                                F.sum(F.col("tf") * (log_c - room_of)).alias("far_score"),
                                F.sum(F.when(F.col("c").isNotNull(), F.col("tf")).otherwise(0)).alias("far_known")))
     zero = F.lit(0)
